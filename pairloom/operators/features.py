@@ -18,8 +18,8 @@ PAIR = SeriesSpec(("pair",), "date")
 def wide_by_symbol(bars: DataFrame, legs: Mapping[str, str], values: Sequence[str]) -> DataFrame:
     """Long to wide, one column set per symbol, rows matched on the date."""
     long = bars.where(F.col("symbol").isin(list(legs)))
-    wide = long.groupBy("date").pivot("symbol", list(legs)).agg(*[F.first(v).alias(v) for v in values])
-    return wide.select("date", *[F.col(f"{s}_{v}").alias(f"{v}_{name}") for s, name in legs.items() for v in values])
+    return long.groupBy("date").agg(*[
+        F.max(F.when(F.col("symbol") == s, F.col(v))).alias(f"{v}_{name}") for s, name in legs.items() for v in values])
 
 
 def pair_frame(bars: DataFrame, legs: Mapping[str, str],
@@ -221,19 +221,22 @@ def technical_features(df: DataFrame, spec: SeriesSpec = PAIR, eth: str = "eth",
     """All spread, microstructure and technical columns of a pair frame.
 
     Everything bounded in rows shares one chunked exchange; all recurrences share one scan.
-    ``atr_eth_as_called`` feeds (close, high, close) as (high, low, close) for the first leg.
+    Fact columns already in the frame are kept. ``atr_eth_as_called`` feeds (close, high, close)
+    as (high, low, close) for the first leg.
     """
+    stored = set(df.columns)
     eth_hlc = (f"close_{eth}", f"high_{eth}", f"close_{eth}") if atr_eth_as_called else (
         f"high_{eth}", f"low_{eth}", f"close_{eth}")
 
     def bounded(d: DataFrame, w: WindowSpec) -> DataFrame:
         for leg in (eth, btc):
-            d = d.withColumn(f"close_change_{leg}", R.change(F.col(f"close_{leg}"), w))
-            d = d.withColumns({
-                f"close_direction_{leg}": F.signum(f"close_change_{leg}"),
-                f"dollar_volume_{leg}": F.col(f"close_{leg}") * F.col(f"volume_{leg}"),
-                f"dollar_volume1m_{leg}": R.moving_avg(F.col(f"close_{leg}"), w),
-            })
+            if f"close_change_{leg}" not in stored:
+                d = d.withColumn(f"close_change_{leg}", R.change(F.col(f"close_{leg}"), w))
+                d = d.withColumns({
+                    f"close_direction_{leg}": F.signum(f"close_change_{leg}"),
+                    f"dollar_volume_{leg}": F.col(f"close_{leg}") * F.col(f"volume_{leg}"),
+                    f"dollar_volume1m_{leg}": R.moving_avg(F.col(f"close_{leg}"), w),
+                })
             d = d.withColumns({
                 f"close_direction_{leg}_entropy": R.entropy(F.col(f"close_direction_{leg}"), w),
                 f"bid_ask_spread_close_change_{leg}": R.roll_spread(F.col(f"close_change_{leg}"), w),
