@@ -1,0 +1,6 @@
+"""All registered queries."""
+
+from pairloom.catalog import sources, maintenance, relational  # noqa: F401
+from pairloom.catalog.base import ORACLES, QUERIES
+
+__all__ = ["ORACLES", "QUERIES"]

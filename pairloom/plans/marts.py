@@ -15,8 +15,9 @@ from pairloom.operators.tables import current_versions
 
 
 def as_text(c: str | Column) -> Column:
-    """Numbers as fixed-point text, so a key does not depend on how an engine prints doubles."""
-    return (F.col(c) if isinstance(c, str) else c).cast("decimal(18,4)")
+    """Numbers as whole ten-thousandths, so a key does not depend on how an engine prints doubles."""
+    col = F.col(c) if isinstance(c, str) else c
+    return F.floor(col.cast("double") * 10000 + 0.5).cast("string")
 
 
 def staged(df: DataFrame, names: Mapping[str, str], source: str) -> DataFrame:

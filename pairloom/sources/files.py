@@ -24,7 +24,7 @@ def copy_csv(spark: SparkSession, path: str, schema: T.StructType, skip_file: bo
         reader.schema(marked).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", _CORRUPT)
         .csv(path).withColumn("_file", F.col("_metadata.file_path"))
     )
-    bad = rows.where(F.col(_CORRUPT).isNotNull()).select("_file").distinct()
+    bad = _bad_rows(rows, schema, "_file").select("_file")
     return rows.join(bad, "_file", "left_anti").drop("_file", _CORRUPT)
 
 
@@ -36,7 +36,15 @@ def rejected_files(spark: SparkSession, path: str, schema: T.StructType) -> Data
         .option("columnNameOfCorruptRecord", _CORRUPT).csv(path)
         .select("*", F.col("_metadata.file_path").alias("file"))
     )
-    return rows.groupBy("file").agg(F.count(_CORRUPT).alias("bad_rows")).where("bad_rows > 0")
+    return _bad_rows(rows, schema, "file")
+
+
+def _bad_rows(rows: DataFrame, schema: T.StructType, file: str) -> DataFrame:
+    """Files with unreadable rows. The digest makes the reader parse every column: it would
+    otherwise judge a row only by the columns a query uses."""
+    digest = F.max(F.xxhash64(*schema.fieldNames())).alias("_digest")
+    counts = rows.groupBy(file).agg(F.count(_CORRUPT).alias("bad_rows"), digest)
+    return counts.where((F.col("bad_rows") > 0) & F.col("_digest").isNotNull()).drop("_digest")
 
 
 def stamp_load(df: DataFrame, run_ts: str, column: str = "load_ts") -> DataFrame:
@@ -53,6 +61,6 @@ def read_series(spark: SparkSession, path: str, schema: T.StructType) -> DataFra
     return spark.read.option("header", True).option("dateFormat", "yyyy-MM-dd").schema(schema).csv(path)
 
 
-def read_accounts(spark: SparkSession, path: str) -> DataFrame:
-    """Stored account states, one JSON object per line or file."""
-    return spark.read.schema(schemas.ACCOUNT).option("multiLine", True).json(path)
+def read_accounts(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
+    """Stored account states, one JSON object per line (or per file with ``multi_line``)."""
+    return spark.read.schema(schemas.ACCOUNT).option("multiLine", multi_line).json(path)

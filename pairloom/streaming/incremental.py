@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -24,12 +24,22 @@ def refreshed(stored: DataFrame, batch: DataFrame, compute: Callable[[DataFrame]
     return computed.join(batch.select("symbol", "date"), ["symbol", "date"], "left_semi")
 
 
+def latest_rows(log: DataFrame, keys: Sequence[str] = ("symbol", "date")) -> DataFrame:
+    """Current rows of a table kept as batches: per key the row of the newest batch."""
+    values = [c for c in log.columns if c not in (*keys, "batch_id")]
+    newest = log.groupBy(*keys).agg(F.max_by(F.struct(*values), "batch_id").alias("_r"))
+    return newest.select(*keys, "_r.*")
+
+
 def refresh_sink(read_stored: Callable[[], DataFrame], compute: Callable[[DataFrame], DataFrame], bars_path: str,
                  features_path: str, lookback_days: int = 150):
-    """``foreachBatch`` function: replaces the day partitions of the batch in both tables."""
+    """``foreachBatch`` function: one partition per batch in the bar and the feature table.
+
+    ``read_stored`` must give the bars of earlier batches (``latest_rows``). A repeated batch
+    overwrites its own partitions.
+    """
     def write(batch: DataFrame, batch_id: int) -> None:
         features = refreshed(read_stored(), batch, compute, lookback_days)
-        for df, path in ((features, features_path), (batch, bars_path)):
-            (df.repartition("date").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-             .partitionBy("date").parquet(path))
+        features.write.mode("overwrite").parquet(f"{features_path}/batch_id={batch_id}")
+        batch.write.mode("overwrite").parquet(f"{bars_path}/batch_id={batch_id}")
     return write
