@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from pairloom.operators.features import PAIR, pair_frame, standardized_spread
 from pairloom.sources.bars import bars_from_ticks
@@ -27,8 +28,15 @@ def query(name: str, sql: str | None = None) -> Callable[[QueryFn], QueryFn]:
     return register
 
 
+_SCHEMAS: dict[str, StructType] = {}
+
+
 def table(spark: SparkSession, d: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{d}/{name}.parquet")
+    """A driver table; its schema is read from the file once and then declared."""
+    path = f"{d}/{name}.parquet"
+    if path not in _SCHEMAS:
+        _SCHEMAS[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[path]).parquet(path)
 
 
 def bars(spark: SparkSession, d: str) -> DataFrame:

@@ -196,7 +196,7 @@ rs14 AS (SELECT o, date, CASE WHEN o >= 13 THEN CASE WHEN n = 0 THEN 100 ELSE 10
 
 @query("f16_rsi", f"WITH {SPREAD_SQL}, {RSI} SELECT date, round(rsi, 6) AS rsi FROM rs14")
 def f16(spark, d):
-    return f.rsi(b.spread(spark, d), PAIR, "standardized_spread").select("date", b.r("rsi"))
+    return f.rsi(b.spread(spark, d, keep_ordinal=True), PAIR, "standardized_spread").select("date", b.r("rsi"))
 
 
 def atr_sql(src: str, key: str, high: str, low: str, close: str, name: str) -> str:

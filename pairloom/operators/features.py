@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, WindowSpec
@@ -88,24 +89,33 @@ def _smoothing(x: Column, gap: Column, alpha: float) -> tuple[Column, Column]:
     return a, b
 
 
-def _with_gaps(df: DataFrame, spec: SeriesSpec, inputs: Sequence[str]) -> DataFrame:
-    """Add the number of values so far and the distance to the previous value."""
-    valid = {c: F.when(F.col(c).isNotNull(), F.col(ORD)) for c in inputs}
-    out = running(df, spec, sums={f"_n_{c}": F.when(F.col(c).isNotNull(), 1) for c in inputs},
-                  prevs={f"_p_{c}": v for c, v in valid.items()})
-    return out.withColumns({f"_g_{c}": F.col(ORD) - F.col(f"_p_{c}") for c in inputs}).drop(
-        *[f"_p_{c}" for c in inputs])
+def smoothing_reach(span: int) -> int:
+    """Rows after which a weight of an exponential mean is below 1e-40, far under rounding."""
+    return math.ceil(92 / -math.log(1 - 2 / (span + 1)))
+
+
+def gap_to_previous(x: Column, w: WindowSpec, reach: int) -> Column:
+    """Rows back to the previous value, null if there is none within ``reach``.
+
+    An older value has no measurable weight left, so the mean then starts anew.
+    """
+    seen = F.last(F.when(x.isNotNull(), F.col(ORD)), ignorenulls=True)
+    return F.col(ORD) - seen.over(w.rowsBetween(-reach, -1))
+
+
+def _count(x: Column) -> tuple[Column, Column]:
+    return F.lit(1.0), F.when(x.isNotNull(), 1.0).otherwise(0.0)
 
 
 def ema(df: DataFrame, spec: SeriesSpec, outs: Mapping[str, tuple[str, int]], keep_ordinal: bool = False,
         **scan) -> DataFrame:
     """Exponential means, ``{name: (column, span)}``; null until ``span`` values were seen."""
-    if ORD not in df.columns:
-        df = with_ordinal(df, spec)
     inputs = sorted({c for c, _ in outs.values()})
-    df = _with_gaps(df, spec, inputs)
+    reach = max(smoothing_reach(n) for _, n in outs.values())
+    df = sliding(df, spec, reach, lambda d, w: d.withColumns(
+        {f"_g_{c}": gap_to_previous(F.col(c), w, reach) for c in inputs}), keep_ordinal=True)
     scans = {o: _smoothing(F.col(c), F.col(f"_g_{c}"), 2 / (n + 1)) for o, (c, n) in outs.items()}
-    df = affine_scan(df, spec, scans, **scan)
+    df = affine_scan(df, spec, {**scans, **{f"_n_{c}": _count(F.col(c)) for c in inputs}}, **scan)
     df = df.withColumns({o: F.when(F.col(f"_n_{c}") >= n, F.col(o)) for o, (c, n) in outs.items()})
     df = df.drop(*[f"_{k}_{c}" for c in inputs for k in "ng"])
     return df if keep_ordinal else df.drop(ORD)
@@ -246,21 +256,21 @@ def technical_features(df: DataFrame, spec: SeriesSpec = PAIR, eth: str = "eth",
         d = d.withColumn(f"close_{eth}_coint", coint).withColumn(f"close_{btc}_coint", F.col(f"close_{eth}_coint"))
         d = atr_inputs(d, w, btc, f"high_{btc}", f"low_{btc}", f"close_{btc}")
         d = atr_inputs(d, w, eth, *eth_hlc)
-        return d.withColumns(rsi_inputs(F.col("standardized_spread"), w))
+        d = d.withColumns(rsi_inputs(F.col(z), w))
+        return d.withColumn("_gap", gap_to_previous(F.col(z), w, reach))
 
+    z, reach = "standardized_spread", smoothing_reach(20)
     df = vwap_day_of_month(df, spec, {f"vwap_{btc}": f"_{btc}", f"vwap_{eth}": f"_{eth}"})
-    df = sliding(df, spec, max(100, window + 1), bounded, keep_ordinal=True)
-    z = "standardized_spread"
-    df = _with_gaps(df, spec, [z])
+    df = sliding(df, spec, max(100, reach + window + 1), bounded, keep_ordinal=True)
     df = affine_scan(df, spec, {
-        "ma_5": _smoothing(F.col(z), F.col(f"_g_{z}"), 2 / 6),
-        "ma_20": _smoothing(F.col(z), F.col(f"_g_{z}"), 2 / 21),
+        "ma_5": _smoothing(F.col(z), F.col("_gap"), 2 / 6),
+        "ma_20": _smoothing(F.col(z), F.col("_gap"), 2 / 21), "_seen": _count(F.col(z)),
         "_up": _wilder(F.col("_up"), 14), "_dn": _wilder(F.col("_dn"), 14),
         f"atr_{btc}": atr_scan(btc), f"atr_{eth}": atr_scan(eth),
     })
-    df = df.withColumns({f"ma_{n}": F.when(F.col(f"_n_{z}") >= n, F.col(f"ma_{n}")) for n in (5, 20)})
+    df = df.withColumns({f"ma_{n}": F.when(F.col("_seen") >= n, F.col(f"ma_{n}")) for n in (5, 20)})
     df = df.withColumn("rsi", rsi_from(F.col("_up"), F.col("_dn")))
     ma5, ma20 = F.col("ma_5"), F.col("ma_20")
     df = sliding(df, spec, 1, lambda d, w: d.withColumns({
         "ma_upper_co": C.crossed_up(ma5, ma20, w), "ma_lower_co": C.crossed_down(ma5, ma20, w)}))
-    return df.drop("_up", "_dn", *[f"_{k}_{n}" for k in ("tr", "seed") for n in (eth, btc)], f"_n_{z}", f"_g_{z}")
+    return df.drop("_up", "_dn", *[f"_{k}_{n}" for k in ("tr", "seed") for n in (eth, btc)], "_seen", "_gap")

@@ -202,43 +202,33 @@ def affine_scan(
 
 def _scan_level(df: DataFrame, keys: list[str], n: int, fan: int, level: int,
                 carry_row: bool = False) -> DataFrame:
-    fields = ["_pos"] + [f"{c}{i}" for i in range(n) for c in "ab"] + (["_row"] if carry_row else [])
-    identity = F.struct(*[F.lit(v).alias(f"{c}{i}") for i in range(n) for c, v in (("A", 1.0), ("B", 0.0))])
-
-    def step(acc: Column, x: Column) -> Column:
-        last = F.element_at(acc, -1)
-        parts = []
-        for i in range(n):
-            a, b = x.getField(f"a{i}"), x.getField(f"b{i}")
-            parts.append((last.getField(f"A{i}") * a).alias(f"A{i}"))
-            parts.append((a * last.getField(f"B{i}") + b).alias(f"B{i}"))
-        return F.array_append(acc, F.struct(*parts))
+    """Scan of ``(_pos, a0, b0, a1, b1, ...)`` rows; adds ``y0, y1, ...``."""
+    each = range(n)
+    row = ["_row"] if carry_row else []
+    fields = ["_pos", *[f"{c}{i}" for i in each for c in "ab"], *row]
+    identity = ", ".join(f"'A{i}', 1D, 'B{i}', 0D" for i in each)
+    composed = ", ".join(
+        f"'A{i}', element_at(acc, -1).A{i} * x.a{i}, 'B{i}', x.a{i} * element_at(acc, -1).B{i} + x.b{i}" for i in each)
+    prefix = (f"aggregate(_rows, array(named_struct({identity})), "
+              f"(acc, x) -> array_append(acc, named_struct({composed})))")
 
     group = F.lit(0).cast("long") if level == 0 else F.floor(F.col("_pos") / fan)
     folded = (
-        df.withColumn("_group", group)
-        .groupBy(*keys, "_group")
+        df.groupBy(*keys, group.alias("_group"))
         .agg(F.sort_array(F.collect_list(F.struct(*fields))).alias("_rows"))
-        .withColumn("_prefix", F.aggregate("_rows", F.array(identity), step))
+        .selectExpr(*keys, "_group", "_rows", f"{prefix} AS _prefix")
     )
     if level == 0:
-        carried = folded
-        carry = [F.lit(0.0)] * n
+        carried, carry = folded, ["0D" for _ in each]
     else:
-        tops = folded.select(
-            *keys, F.col("_group").alias("_pos"),
-            *[F.element_at("_prefix", -1).getField(f"{c.upper()}{i}").alias(f"{c}{i}")
-              for i in range(n) for c in "ab"],
-        )
-        carries = _scan_level(tops, keys, n, fan, level - 1).select(
-            *keys, (F.col("_pos") + 1).alias("_group"), *[F.col(f"y{i}").alias(f"c{i}") for i in range(n)])
-        carried = folded.join(carries, keys + ["_group"], "left")
-        carry = [F.coalesce(F.col(f"c{i}"), F.lit(0.0)) for i in range(n)]
-    exploded = carried.select(
-        *keys, *[c.alias(f"_k{i}") for i, c in enumerate(carry)],
-        F.explode(F.arrays_zip(F.col("_rows").alias("r"),
-                               F.slice("_prefix", F.lit(2), F.size("_rows")).alias("p"))).alias("_x"))
-    return exploded.select(
-        *keys, F.col("_x.r._pos").alias("_pos"),
-        *([F.col("_x.r._row").alias("_row")] if carry_row else []),
-        *[(F.col(f"_x.p.B{i}") + F.col(f"_x.p.A{i}") * F.col(f"_k{i}")).alias(f"y{i}") for i in range(n)])
+        tops = folded.selectExpr(
+            *keys, "_group AS _pos", *[f"element_at(_prefix, -1).{c.upper()}{i} AS {c}{i}" for i in each for c in "ab"])
+        carries = _scan_level(tops, keys, n, fan, level - 1).selectExpr(
+            *keys, "_pos + 1 AS _group", *[f"y{i} AS c{i}" for i in each])
+        carried, carry = folded.join(carries, keys + ["_group"], "left"), [f"coalesce(c{i}, 0D)" for i in each]
+    exploded = carried.selectExpr(
+        *keys, *[f"{c} AS _k{i}" for i, c in enumerate(carry)],
+        "explode(arrays_zip(_rows, slice(_prefix, 2, size(_rows)))) AS _x")
+    return exploded.selectExpr(
+        *keys, "_x._rows._pos AS _pos", *[f"_x._rows.{c} AS {c}" for c in row],
+        *[f"_x.`1`.B{i} + _x.`1`.A{i} * _k{i} AS y{i}" for i in each])
