@@ -1,6 +1,6 @@
 """All registered queries."""
 
-from pairloom.catalog import maintenance, relational, scalars, sources, windows  # noqa: F401
+from pairloom.catalog import compositions, maintenance, relational, research, scalars, sources, windows  # noqa: F401
 from pairloom.catalog.base import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]

@@ -42,6 +42,9 @@ def chunk_fold(df: DataFrame, spec: SeriesSpec, summarise: Step, summary: str, f
         CHUNK, F.explode(F.sequence(F.floor(F.col(ORD) / size), F.floor((F.col(ORD) + back) / size)))
     ).withColumn(HOME, F.floor(F.col(ORD) / size) == F.col(CHUNK))
     key_fields = [df.schema[k] for k in keys]
+    summary_fields, entry_fields, output_fields = _fields(summary), _fields(entry), _fields(output)
+    summary_names, entry_names, output_names = (
+        [f.name for f in fields] for fields in (summary_fields, entry_fields, output_fields))
     chunk_field = T.StructField(CHUNK, T.LongType())
 
     def keyed(pdf: pd.DataFrame, out: pd.DataFrame, cols: list[str]) -> pd.DataFrame:
@@ -51,7 +54,7 @@ def chunk_fold(df: DataFrame, spec: SeriesSpec, summarise: Step, summary: str, f
 
     def run_summary(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(ORD)
-        names = [*keys, CHUNK, *[f.name for f in _fields(summary)]]
+        names = [*keys, CHUNK, *summary_names]
         if not pdf[HOME].any():
             return pd.DataFrame(columns=names)
         return keyed(pdf, summarise(pdf), [*keys, CHUNK])[names]
@@ -60,14 +63,14 @@ def chunk_fold(df: DataFrame, spec: SeriesSpec, summarise: Step, summary: str, f
         pdf = pdf.sort_values(CHUNK)
         out = fold(pdf)
         out[CHUNK] = pdf[CHUNK].to_numpy()
-        return keyed(pdf, out, keys)[[*keys, CHUNK, *[f.name for f in _fields(entry)]]]
+        return keyed(pdf, out, keys)[[*keys, CHUNK, *entry_names]]
 
     def run_apply(pdf: pd.DataFrame) -> pd.DataFrame:
-        return keyed(pdf, apply(pdf.sort_values(ORD)), keys)[[*keys, *[f.name for f in _fields(output)]]]
+        return keyed(pdf, apply(pdf.sort_values(ORD)), keys)[[*keys, *output_names]]
 
     summaries = rows.groupBy(*keys, CHUNK).applyInPandas(
-        run_summary, T.StructType([*key_fields, chunk_field, *_fields(summary)]))
+        run_summary, T.StructType([*key_fields, chunk_field, *summary_fields]))
     entries = summaries.groupBy(*keys).applyInPandas(
-        run_fold, T.StructType([*key_fields, chunk_field, *_fields(entry)]))
+        run_fold, T.StructType([*key_fields, chunk_field, *entry_fields]))
     return rows.join(entries, [*keys, CHUNK]).groupBy(*keys, CHUNK).applyInPandas(
-        run_apply, T.StructType([*key_fields, *_fields(output)]))
+        run_apply, T.StructType([*key_fields, *output_fields]))

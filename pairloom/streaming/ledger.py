@@ -73,7 +73,7 @@ def step(acc: Account, rules: LedgerRules, prediction, message_spread: float, sp
 
 OUTPUT = ("msg_id string, ts timestamp, action string, symbol string, amount double, position_value double, "
           "account_balance double, days_in_trade int, trade_open_spread double")
-_NAMES = [f.name for f in T.StructType.fromDDL(OUTPUT).fields]
+_NAMES = [field.split()[0] for field in OUTPUT.split(", ")]
 
 
 def _row(m, did: str, acc: Account) -> tuple:
