@@ -128,8 +128,8 @@ SELECT s.symbol, s.date, round(CASE WHEN n = 30 THEN e END, 6) AS entropy FROM s
 def f12(spark, d):
     def fn(x, w):
         x = x.withColumn("_x", F.signum(R.change(F.col("close"), w)))
-        return x.withColumn("entropy", R.entropy(F.col("_x"), w))
-    return on_bars(spark, d, 30, fn).select("symbol", "date", b.r("entropy"))
+        return R.add_entropy(x, w, F.col("_x"), "entropy")
+    return on_bars(spark, d, 31, fn).select("symbol", "date", b.r("entropy"))
 
 
 @query("f12_rolling_entropy_any_values", f"""WITH {NUMBERED},
@@ -139,7 +139,7 @@ e AS (SELECT symbol, date, sum(n) AS n, -sum(n / 30 * log2(n / 30)) AS e FROM k
 SELECT symbol, date, round(CASE WHEN n = 30 THEN e END, 6) AS entropy FROM e""")
 def f12_any(spark, d):
     level = F.floor(F.col("close") / 250)
-    out = on_bars(spark, d, 29, lambda x, w: x.withColumn("entropy", R.entropy(level, w, values=None)))
+    out = on_bars(spark, d, 29, lambda x, w: R.add_entropy(x, w, level, "entropy", values=None))
     return out.select("symbol", "date", b.r("entropy"))
 
 

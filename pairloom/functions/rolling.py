@@ -1,13 +1,14 @@
 """Window expressions bounded in rows; use them inside ``operators.series.sliding``.
 
-Each docstring states how many rows back the expression reaches.
+Each docstring states how many rows back the expression reaches. ``add_*`` functions need
+helper columns and therefore take the frame.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, Window, WindowSpec
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from pairloom.functions.columns import ratio
@@ -17,6 +18,11 @@ def frame(w: WindowSpec, n: int) -> WindowSpec:
     return w.rowsBetween(-(n - 1), 0)
 
 
+def so_far(w: WindowSpec) -> WindowSpec:
+    """Frame from the start of the chunk; its aggregates cost one update per row."""
+    return w.rowsBetween(Window.unboundedPreceding, 0)
+
+
 def full(value: Column, x: Column, w: WindowSpec, n: int) -> Column:
     """``value`` only where the last ``n`` rows all hold an ``x``."""
     return F.when(F.count(x).over(frame(w, n)) == n, value)
@@ -41,22 +47,26 @@ def rolling_std(x: Column, w: WindowSpec, n: int) -> Column:
     return full(F.stddev_samp(x).over(frame(w, n)), x, w, n)
 
 
-def entropy(x: Column, w: WindowSpec, n: int = 30, values: Sequence | None = (-1.0, 0.0, 1.0)) -> Column:
-    """Base-2 Shannon entropy of the value frequencies in ``n`` rows (n - 1 rows).
+def add_entropy(d: DataFrame, w: WindowSpec, x: Column, out: str, n: int = 30,
+                values: Sequence | None = (-1.0, 0.0, 1.0)) -> DataFrame:
+    """Base-2 Shannon entropy of the value frequencies in ``n`` rows (n rows back).
 
-    ``values`` lists the possible values; ``None`` counts whatever occurs.
+    ``values`` lists the possible values; their counts are differences of cumulative counts, so
+    a row costs the same for any ``n``. ``None`` counts whatever occurs in the window.
     """
-    f = frame(w, n)
-    if values is not None:
-        total = F.lit(0.0)
-        for v in values:
-            p = F.sum(F.when(x == F.lit(v), 1.0).otherwise(0.0)).over(f) / n
-            total = total - F.when(p > 0, p * F.log2(p)).otherwise(0.0)
-        return full(total, x, w, n)
-    seen = F.collect_list(x).over(f)
-    share = lambda v: F.size(F.filter(seen, lambda u: u == v)) / F.lit(float(n))
-    total = F.aggregate(F.array_distinct(seen), F.lit(0.0), lambda acc, v: acc - share(v) * F.log2(share(v)))
-    return full(total, x, w, n)
+    if values is None:
+        seen = F.collect_list(x).over(frame(w, n))
+        share = lambda v: F.size(F.filter(seen, lambda u: u == v)) / F.lit(float(n))
+        total = F.aggregate(F.array_distinct(seen), F.lit(0.0), lambda acc, v: acc - share(v) * F.log2(share(v)))
+        return d.withColumn(out, full(total, x, w, n))
+    cells = F.array(*[F.sum(F.when(x == F.lit(v), 1).otherwise(0)).over(so_far(w)) for v in values])
+    d = d.withColumn("_cells", cells)
+    d = d.withColumn("_then", F.coalesce(F.lag("_cells", n).over(w), F.array(*[F.lit(0).cast("long") for _ in values])))
+    shares = F.zip_with("_cells", "_then", lambda a, b: (a - b) / F.lit(float(n)))
+    total = F.aggregate(shares, F.lit(0.0), lambda acc, p: acc - F.when(p > 0, p * F.log2(p)).otherwise(0.0))
+    # the window is full when its shares add up to one
+    whole = F.aggregate(F.zip_with("_cells", "_then", lambda a, b: a - b), F.lit(0).cast("long"), lambda acc, c: acc + c) == n
+    return d.withColumn(out, F.when(whole, total)).drop("_cells", "_then")
 
 
 def roll_spread(x: Column, w: WindowSpec, n: int = 20) -> Column:
@@ -84,24 +94,36 @@ def _t_no_constant(xx: Column, xy: Column, yy: Column, n: int) -> Column:
     return ratio(slope, F.sqrt(ratio(rss / (n - 1), xx)))
 
 
-def engle_granger(y: Column, x: Column, w: WindowSpec, n: int = 100) -> Column:
-    """Rolling two-step cointegration statistic without constants and lags (n - 1 rows).
+def add_engle_granger(d: DataFrame, w: WindowSpec, y: Column, x: Column, out: str, n: int = 100) -> DataFrame:
+    """Rolling two-step cointegration statistic without constants and lags (n rows back).
 
-    Both steps come from window sums: the residuals y - beta*x have moments that are
-    polynomials in beta, so no window is ever materialised.
+    Both steps come from moments: those of the residuals y - beta*x are polynomials in beta, and
+    every moment of a window is the difference of two cumulative sums of its chunk. No window is
+    ever materialised and a row costs the same for any ``n``.
     """
-    f, inner = frame(w, n), w.rowsBetween(-(n - 2), 0)
-    beta = ratio(F.sum(x * y).over(f), F.sum(x * x).over(f))
     y1, x1 = F.lag(y).over(w), F.lag(x).over(w)
     dy, dx = y - y1, x - x1
+    terms = {"xy": x * y, "xx": x * x, "n": F.when(x.isNotNull() & y.isNotNull(), 1.0),
+             "l0": y1 * y1, "l1": x1 * y1, "l2": x1 * x1, "c0": dy * y1, "c1": dx * y1 + dy * x1, "c2": dx * x1,
+             "s0": dy * dy, "s1": dx * dy, "s2": dx * dx}
+    cum = F.struct(*[F.coalesce(F.sum(c).over(so_far(w)), F.lit(0.0)).alias(k) for k, c in terms.items()])
+    d = d.withColumn("_cum", cum)
+    # levels span n rows, differences the n - 1 steps between them
+    d = d.withColumns({"_before": F.lag("_cum", n).over(w), "_first": F.lag("_cum", n - 1).over(w)})
+
+    def level_sum(k: str) -> Column:
+        return F.col("_cum")[k] - F.coalesce(F.col("_before")[k], F.lit(0.0))
 
-    def s(c: Column) -> Column:
-        return F.sum(c).over(inner)
+    def step_sum(k: str) -> Column:
+        return F.col("_cum")[k] - F.col("_first")[k]
 
-    level = s(y1 * y1) - 2 * beta * s(x1 * y1) + beta * beta * s(x1 * x1)
-    cross = s(dy * y1) - beta * (s(dx * y1) + s(dy * x1)) + beta * beta * s(dx * x1)
-    step = s(dy * dy) - 2 * beta * s(dx * dy) + beta * beta * s(dx * dx)
-    return full(full(_t_no_constant(level, cross, step, n - 1), x, w, n), y, w, n)
+    d = d.withColumns({"_beta": ratio(level_sum("xy"), level_sum("xx")), "_n": level_sum("n")})
+    beta = F.col("_beta")
+    d = d.withColumns({f"_{m}": step_sum(f"{m}0") - f * beta * step_sum(f"{m}1") + beta * beta * step_sum(f"{m}2")
+                       for m, f in (("l", 2), ("c", 1), ("s", 2))})
+    stat = _t_no_constant(F.col("_l"), F.col("_c"), F.col("_s"), n - 1)
+    return d.withColumn(out, F.when(F.col("_n") == n, stat)).drop(
+        "_cum", "_before", "_first", "_beta", "_n", "_l", "_c", "_s")
 
 
 def unit_root(y: Column, w: WindowSpec, n: int, constant: bool = True) -> Column:
@@ -117,32 +139,35 @@ def unit_root(y: Column, w: WindowSpec, n: int, constant: bool = True) -> Column
     return full(stat, y, w, n)
 
 
-def _t_with_constant(sxx: Column, sxy: Column, syy: Column, n: int) -> Column:
+def _t_with_constant(sxx: Column, sxy: Column, syy: Column, n: int | Column) -> Column:
     """t statistic of the slope of y on x with constant, from centred sums over n pairs."""
     slope = ratio(sxy, sxx)
     rss = F.greatest(syy - slope * sxy, F.lit(0.0))
     return ratio(slope, F.sqrt(ratio(rss / (n - 2), sxx)))
 
 
-def sup_unit_root(y: Column, w: WindowSpec, min_window: int = 20, window: int = 50) -> Column:
+def add_sup_unit_root(d: DataFrame, w: WindowSpec, y: Column, out: str, min_window: int = 20,
+                      window: int = 50) -> DataFrame:
     """Largest Dickey-Fuller statistic over all suffixes of the last ``window`` rows.
 
-    Reaches ``window - 1`` rows back. Needs a helper column ``_cum`` made by ``suffix_sums``.
+    Reaches ``window - 1`` rows back. Every suffix regression is a difference of two cumulative
+    sums of the chunk, shifted by its first value for precision.
     """
-    stats = []
-    for m in range(min_window, window + 1):
-        n = m - 1
-        now, then = F.col("_cum"), F.lag("_cum", n).over(w)
-        d = {k: now[k] - then[k] for k in ("x", "y", "xx", "xy", "yy")}
-        stats.append(_t_with_constant(d["xx"] - d["x"] * d["x"] / n, d["xy"] - d["x"] * d["y"] / n,
-                                      d["yy"] - d["y"] * d["y"] / n, n))
-    return full(F.greatest(*stats), y, w, window)
-
-
-def suffix_sums(y: Column, w: WindowSpec) -> Column:
-    """Cumulative regression sums of a chunk, shifted by its first value for precision."""
-    upto = w.rowsBetween(Window.unboundedPreceding, 0)
-    base = F.first(y, ignorenulls=True).over(upto)
+    base = F.first(y, ignorenulls=True).over(so_far(w))
     x1, dy = F.lag(y).over(w) - base, y - F.lag(y).over(w)
     terms = {"x": x1, "y": dy, "xx": x1 * x1, "xy": x1 * dy, "yy": dy * dy}
-    return F.struct(*[F.coalesce(F.sum(c).over(upto), F.lit(0.0)).alias(k) for k, c in terms.items()])
+    cum = F.struct(*[F.coalesce(F.sum(c).over(so_far(w)), F.lit(0.0)).alias(k) for k, c in terms.items()])
+    d = d.withColumn("_cum", cum)
+    steps = range(min_window - 1, window)
+    d = d.withColumn("_starts", F.array(*[
+        F.struct(F.lit(float(n)).alias("n"), F.lag("_cum", n).over(w).alias("then")) for n in steps]))
+
+    def centred(start: Column) -> Column:
+        n, now, then = start["n"], F.col("_cum"), start["then"]
+        sx, sy = now["x"] - then["x"], now["y"] - then["y"]
+        return F.struct(n.alias("n"), (now["xx"] - then["xx"] - sx * sx / n).alias("xx"),
+                        (now["xy"] - then["xy"] - sx * sy / n).alias("xy"), (now["yy"] - then["yy"] - sy * sy / n).alias("yy"))
+
+    stats = F.transform(F.transform("_starts", centred),
+                        lambda m: _t_with_constant(m["xx"], m["xy"], m["yy"], m["n"]))
+    return d.withColumn(out, full(F.array_max(stats), y, w, window)).drop("_cum", "_starts")

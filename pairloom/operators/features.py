@@ -5,7 +5,7 @@ from __future__ import annotations
 import math
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, WindowSpec
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from pairloom.functions import columns as C
@@ -94,13 +94,14 @@ def smoothing_reach(span: int) -> int:
     return math.ceil(92 / -math.log(1 - 2 / (span + 1)))
 
 
-def gap_to_previous(x: Column, w: WindowSpec, reach: int) -> Column:
-    """Rows back to the previous value, null if there is none within ``reach``.
+def gap_to_previous(x: Column, w: WindowSpec) -> Column:
+    """Rows back to the previous value, null if the chunk and its halo hold none.
 
-    An older value has no measurable weight left, so the mean then starts anew.
+    With a halo of ``smoothing_reach`` rows an older value has no measurable weight left, so
+    the mean may start anew.
     """
     seen = F.last(F.when(x.isNotNull(), F.col(ORD)), ignorenulls=True)
-    return F.col(ORD) - seen.over(w.rowsBetween(-reach, -1))
+    return F.col(ORD) - seen.over(w.rowsBetween(Window.unboundedPreceding, -1))
 
 
 def _count(x: Column) -> tuple[Column, Column]:
@@ -113,7 +114,7 @@ def ema(df: DataFrame, spec: SeriesSpec, outs: Mapping[str, tuple[str, int]], ke
     inputs = sorted({c for c, _ in outs.values()})
     reach = max(smoothing_reach(n) for _, n in outs.values())
     df = sliding(df, spec, reach, lambda d, w: d.withColumns(
-        {f"_g_{c}": gap_to_previous(F.col(c), w, reach) for c in inputs}), keep_ordinal=True)
+        {f"_g_{c}": gap_to_previous(F.col(c), w) for c in inputs}), keep_ordinal=True)
     scans = {o: _smoothing(F.col(c), F.col(f"_g_{c}"), 2 / (n + 1)) for o, (c, n) in outs.items()}
     df = affine_scan(df, spec, {**scans, **{f"_n_{c}": _count(F.col(c)) for c in inputs}}, **scan)
     df = df.withColumns({o: F.when(F.col(f"_n_{c}") >= n, F.col(o)) for o, (c, n) in outs.items()})
@@ -247,17 +248,15 @@ def technical_features(df: DataFrame, spec: SeriesSpec = PAIR, eth: str = "eth",
                     f"dollar_volume_{leg}": F.col(f"close_{leg}") * F.col(f"volume_{leg}"),
                     f"dollar_volume1m_{leg}": R.moving_avg(F.col(f"close_{leg}"), w),
                 })
-            d = d.withColumns({
-                f"close_direction_{leg}_entropy": R.entropy(F.col(f"close_direction_{leg}"), w),
-                f"bid_ask_spread_close_change_{leg}": R.roll_spread(F.col(f"close_change_{leg}"), w),
-            })
+            d = R.add_entropy(d, w, F.col(f"close_direction_{leg}"), f"close_direction_{leg}_entropy")
+            d = d.withColumn(f"bid_ask_spread_close_change_{leg}", R.roll_spread(F.col(f"close_change_{leg}"), w))
         d = add_spread(d, w, f"close_{btc}", f"close_{eth}", window)
-        coint = R.engle_granger(F.col(f"close_{btc}"), F.col(f"close_{eth}"), w)
-        d = d.withColumn(f"close_{eth}_coint", coint).withColumn(f"close_{btc}_coint", F.col(f"close_{eth}_coint"))
+        d = R.add_engle_granger(d, w, F.col(f"close_{btc}"), F.col(f"close_{eth}"), f"close_{eth}_coint")
+        d = d.withColumn(f"close_{btc}_coint", F.col(f"close_{eth}_coint"))
         d = atr_inputs(d, w, btc, f"high_{btc}", f"low_{btc}", f"close_{btc}")
         d = atr_inputs(d, w, eth, *eth_hlc)
         d = d.withColumns(rsi_inputs(F.col(z), w))
-        return d.withColumn("_gap", gap_to_previous(F.col(z), w, reach))
+        return d.withColumn("_gap", gap_to_previous(F.col(z), w))
 
     z, reach = "standardized_spread", smoothing_reach(20)
     df = vwap_day_of_month(df, spec, {f"vwap_{btc}": f"_{btc}", f"vwap_{eth}": f"_{eth}"})

@@ -47,8 +47,7 @@ def engle_granger(df: DataFrame, spec: SeriesSpec, y: str, x: str, window: int =
                   out: str = "coint") -> DataFrame:
     """Rolling cointegration statistic; ``lags=0`` is native, ``"aic"`` picks lags per window."""
     if lags == 0:
-        return sliding(df, spec, window - 1,
-                       lambda d, w: d.withColumn(out, R.engle_granger(F.col(y), F.col(x), w, window)))
+        return sliding(df, spec, window, lambda d, w: R.add_engle_granger(d, w, F.col(y), F.col(x), out, window))
     return rolling_in_pandas(df, spec, [y, x], window, out, lambda a: engle_granger_aic(a[:, 0], a[:, 1]))
 
 
@@ -87,10 +86,7 @@ def sadf(df: DataFrame, spec: SeriesSpec, y: str, min_window: int = 20, window:
     Natively, every suffix regression is a difference of two cumulative sums of its chunk.
     """
     if lags == 0:
-        def native(d: DataFrame, w) -> DataFrame:
-            d = d.withColumn("_cum", R.suffix_sums(F.col(y), w))
-            return d.withColumn(out, R.sup_unit_root(F.col(y), w, min_window, window)).drop("_cum")
-        return sliding(df, spec, window - 1, native)
+        return sliding(df, spec, window, lambda d, w: R.add_sup_unit_root(d, w, F.col(y), out, min_window, window))
 
     def sup(a: np.ndarray) -> float:
         return float(np.max([adf_aic(a[i:, 0], True) for i in range(window - min_window + 1)]))
