@@ -48,8 +48,8 @@ SELECT symbol, date, round(avg(close) OVER w, 6) AS dollar_volume1m,
 FROM bars WINDOW w AS (PARTITION BY symbol ORDER BY date ROWS BETWEEN 20 PRECEDING AND CURRENT ROW)""")
 def f4(spark, d):
     value = F.col("close") * F.col("volume")
-    out = on_bars(spark, d, 20, lambda x, w: x.withColumns({
-        "dollar_volume1m": R.moving_avg(F.col("close"), w), "dollar_vol_1m_full": R.moving_avg(value, w, partial=False)}))
+    out = on_bars(spark, d, 21, lambda x, w: R.add_moving_avg(
+        R.add_moving_avg(x, w, {"dollar_volume1m": F.col("close")}), w, {"dollar_vol_1m_full": value}, partial=False))
     return out.select("symbol", "date", b.r("dollar_volume1m"), b.r("dollar_vol_1m_full", 3))
 
 
@@ -154,8 +154,8 @@ rs AS (SELECT symbol, date, CASE WHEN count(cc) = 20 THEN sqrt(greatest(0, -cova
 def f13(spark, d):
     def fn(x, w):
         x = x.withColumn("_x", R.change(F.col("close"), w))
-        return x.withColumn("roll_spread", R.roll_spread(F.col("_x"), w))
-    return on_bars(spark, d, 20, fn).select("symbol", "date", b.r("roll_spread"))
+        return R.add_roll_spread(x, w, "_x", "roll_spread")
+    return on_bars(spark, d, 22, fn).select("symbol", "date", b.r("roll_spread"))
 
 
 @query("f14_crossover", f"""WITH {BARS}
@@ -235,7 +235,7 @@ def f18(spark, d):
 SELECT symbol, date, round(CASE WHEN count(*) OVER w = 24 THEN regr_slope(close, o) OVER w END, 5) AS beta FROM nb
 WINDOW w AS (PARTITION BY symbol ORDER BY date ROWS BETWEEN 23 PRECEDING AND CURRENT ROW)""")
 def f19(spark, d):
-    return on_bars(spark, d, 23, lambda x, w: x.withColumn("beta", R.trend_beta(F.col("close"), F.col(ORD), w))).select(
+    return on_bars(spark, d, 24, lambda x, w: R.add_trend_beta(x, w, "close", ORD, "beta")).select(
         "symbol", "date", b.r("beta", 5))
 
 

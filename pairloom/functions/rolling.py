@@ -1,12 +1,14 @@
-"""Window expressions bounded in rows; use them inside ``operators.series.sliding``.
+"""Rolling statistics bounded in rows; use them inside ``operators.series.sliding``.
 
-Each docstring states how many rows back the expression reaches. ``add_*`` functions need
-helper columns and therefore take the frame.
+Each function adds columns to a chunked frame and states how many rows back it reaches. A
+sum over the last n rows is the difference of two cumulative sums of the chunk, so a row costs
+the same for any n; Spark would otherwise add up the whole frame again for every row.
+Values are shifted by the first value of the chunk where that keeps precision.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
@@ -14,160 +16,185 @@ from pyspark.sql import functions as F
 from pairloom.functions.columns import ratio
 
 
-def frame(w: WindowSpec, n: int) -> WindowSpec:
-    return w.rowsBetween(-(n - 1), 0)
-
-
 def so_far(w: WindowSpec) -> WindowSpec:
-    """Frame from the start of the chunk; its aggregates cost one update per row."""
+    """Frame from the start of the chunk."""
     return w.rowsBetween(Window.unboundedPreceding, 0)
 
 
-def full(value: Column, x: Column, w: WindowSpec, n: int) -> Column:
-    """``value`` only where the last ``n`` rows all hold an ``x``."""
-    return F.when(F.count(x).over(frame(w, n)) == n, value)
-
-
 def change(x: Column, w: WindowSpec) -> Column:
-    """Difference to the previous row (1 row)."""
+    """Difference to the previous row (1 row back)."""
     return x - F.lag(x).over(w)
 
 
-def moving_avg(x: Column, w: WindowSpec, n: int = 21, partial: bool = True) -> Column:
-    """Mean of the last ``n`` rows (n - 1 rows); ``partial`` also averages shorter starts."""
-    avg = F.avg(x).over(frame(w, n))
-    return avg if partial else full(avg, x, w, n)
+class Sums:
+    """Cumulative sums of a chunk and what they were some rows earlier."""
+
+    def __init__(self, d: DataFrame, w: WindowSpec, terms: Mapping[str, Column], lags: Iterable[int], name: str = "_cum"):
+        cum = F.struct(*[F.coalesce(F.sum(c).over(so_far(w)), F.lit(0)).alias(k) for k, c in terms.items()])
+        d = d.withColumn(name, cum)
+        self.name, self.lags = name, sorted(set(lags))
+        self.frame = d.withColumns({f"{name}_{n}": F.lag(name, n).over(w) for n in self.lags})
+
+    def _at(self, term: str, n: int) -> Column:
+        return F.col(self.name)[term] if n == 0 else F.coalesce(F.col(f"{self.name}_{n}")[term], F.lit(0))
+
+    def last(self, term: str, n: int, skip: int = 0) -> Column:
+        """Sum over the last ``n`` rows, without the ``skip`` newest of them."""
+        return self._at(term, skip) - self._at(term, n)
+
+    @property
+    def helpers(self) -> list[str]:
+        return [self.name, *[f"{self.name}_{n}" for n in self.lags]]
+
 
+def _one(x: Column) -> Column:
+    return F.when(x.isNotNull(), 1)
 
-def rolling_mean(x: Column, w: WindowSpec, n: int) -> Column:
-    return full(F.avg(x).over(frame(w, n)), x, w, n)
 
+def _shift(x: Column, w: WindowSpec) -> Column:
+    return F.first(x, ignorenulls=True).over(so_far(w))
 
-def rolling_std(x: Column, w: WindowSpec, n: int) -> Column:
-    return full(F.stddev_samp(x).over(frame(w, n)), x, w, n)
+
+def add_moving_avg(d: DataFrame, w: WindowSpec, outs: Mapping[str, Column], n: int = 21, partial: bool = True) -> DataFrame:
+    """Means of the last ``n`` rows (n rows back); ``partial`` also averages shorter starts."""
+    bases = {f"_base_{o}": _shift(x, w) for o, x in outs.items()}
+    d = d.withColumns(bases)
+    terms = {f"s_{o}": x - F.col(f"_base_{o}") for o, x in outs.items()} | {f"n_{o}": _one(x) for o, x in outs.items()}
+    s = Sums(d, w, terms, [n], "_avg")
+    means = {}
+    for o in outs:
+        count = s.last(f"n_{o}", n)
+        mean = F.col(f"_base_{o}") + ratio(s.last(f"s_{o}", n), count)
+        means[o] = mean if partial else F.when(count == n, mean)
+    return s.frame.withColumns(means).drop(*bases, *s.helpers)
+
+
+def add_moments(d: DataFrame, w: WindowSpec, x: str, mean: str, std: str, n: int) -> DataFrame:
+    """Mean and sample deviation of ``n`` complete rows (n rows back).
+
+    A window whose values are all equal has deviation exactly 0.
+    """
+    v = F.col(x)
+    d = d.withColumns({"_base": _shift(v, w), "_step": F.when(v != F.lag(v).over(w), 1).otherwise(0)})
+    c = v - F.col("_base")
+    s = Sums(d, w, {"s": c, "ss": c * c, "n": _one(v), "steps": F.col("_step")}, [n, n - 1], "_mom")
+    whole = s.last("n", n) == n
+    total = s.last("s", n)
+    var = F.greatest((s.last("ss", n) - total * total / n) / (n - 1), F.lit(0.0))
+    return s.frame.withColumns({
+        mean: F.when(whole, F.col("_base") + total / n),
+        std: F.when(whole, F.when(s.last("steps", n - 1) == 0, 0.0).otherwise(F.sqrt(var))),
+    }).drop("_base", "_step", *s.helpers)
 
 
 def add_entropy(d: DataFrame, w: WindowSpec, x: Column, out: str, n: int = 30,
                 values: Sequence | None = (-1.0, 0.0, 1.0)) -> DataFrame:
-    """Base-2 Shannon entropy of the value frequencies in ``n`` rows (n rows back).
+    """Base-2 Shannon entropy of the value frequencies in ``n`` complete rows (n rows back).
 
-    ``values`` lists the possible values; their counts are differences of cumulative counts, so
-    a row costs the same for any ``n``. ``None`` counts whatever occurs in the window.
+    ``values`` lists the possible values; ``None`` counts whatever occurs in the window.
     """
     if values is None:
-        seen = F.collect_list(x).over(frame(w, n))
+        f = w.rowsBetween(-(n - 1), 0)
+        seen = F.collect_list(x).over(f)
         share = lambda v: F.size(F.filter(seen, lambda u: u == v)) / F.lit(float(n))
         total = F.aggregate(F.array_distinct(seen), F.lit(0.0), lambda acc, v: acc - share(v) * F.log2(share(v)))
-        return d.withColumn(out, full(total, x, w, n))
-    cells = F.array(*[F.sum(F.when(x == F.lit(v), 1).otherwise(0)).over(so_far(w)) for v in values])
-    d = d.withColumn("_cells", cells)
-    d = d.withColumn("_then", F.coalesce(F.lag("_cells", n).over(w), F.array(*[F.lit(0).cast("long") for _ in values])))
-    shares = F.zip_with("_cells", "_then", lambda a, b: (a - b) / F.lit(float(n)))
-    total = F.aggregate(shares, F.lit(0.0), lambda acc, p: acc - F.when(p > 0, p * F.log2(p)).otherwise(0.0))
-    # the window is full when its shares add up to one
-    whole = F.aggregate(F.zip_with("_cells", "_then", lambda a, b: a - b), F.lit(0).cast("long"), lambda acc, c: acc + c) == n
-    return d.withColumn(out, F.when(whole, total)).drop("_cells", "_then")
+        return d.withColumn(out, F.when(F.size(seen) == n, total))
+    s = Sums(d, w, {f"v{i}": F.when(x == F.lit(v), 1) for i, v in enumerate(values)}, [n], "_ent")
+    counts = [s.last(f"v{i}", n) for i in range(len(values))]
+    total, seen = F.lit(0.0), F.lit(0)
+    for c in counts:
+        p = c / F.lit(float(n))
+        total = total - F.when(c > 0, p * F.log2(p)).otherwise(0.0)
+        seen = seen + c
+    return s.frame.withColumn(out, F.when(seen == n, total)).drop(*s.helpers)
 
 
-def roll_spread(x: Column, w: WindowSpec, n: int = 20) -> Column:
-    """Roll's effective spread from the serial covariance of ``n`` changes (n - 1 rows).
+def add_roll_spread(d: DataFrame, w: WindowSpec, x: str, out: str, n: int = 20) -> DataFrame:
+    """Roll's effective spread from the serial covariance of ``n`` changes (n rows back).
 
     The lagged series is taken inside the window with 0 in front, so it has one product less;
     rows without a full window give 0.
     """
-    products = F.sum(x * F.lag(x).over(w)).over(w.rowsBetween(-(n - 2), 0))
-    own = F.sum(x).over(frame(w, n))
-    lagged = F.sum(x).over(w.rowsBetween(-(n - 1), -1))
-    cov = (products - own * lagged / n) / (n - 1)
-    return F.coalesce(full(F.sqrt(F.greatest(F.lit(0.0), -cov)), x, w, n), F.lit(0.0))
-
-
-def trend_beta(y: Column, position: Column, w: WindowSpec, n: int = 24) -> Column:
-    """Least-squares slope on the row position over ``n`` rows (n - 1 rows)."""
-    return full(F.regr_slope(y, position).over(frame(w, n)), y, w, n)
-
-
-def _t_no_constant(xx: Column, xy: Column, yy: Column, n: int) -> Column:
+    v = F.col(x)
+    d = d.withColumn("_prod", v * F.lag(v).over(w))
+    s = Sums(d, w, {"x": v, "p": F.col("_prod"), "n": _one(v)}, [1, n - 1, n], "_roll")
+    cov = (s.last("p", n - 1) - s.last("x", n) * s.last("x", n, skip=1) / n) / (n - 1)
+    value = F.when(s.last("n", n) == n, F.sqrt(F.greatest(F.lit(0.0), -cov)))
+    return s.frame.withColumn(out, F.coalesce(value, F.lit(0.0))).drop("_prod", *s.helpers)
+
+
+def add_trend_beta(d: DataFrame, w: WindowSpec, y: str, position: str, out: str, n: int = 24) -> DataFrame:
+    """Least-squares slope on the row position over ``n`` complete rows (n rows back)."""
+    v = F.col(y)
+    d = d.withColumns({"_base": _shift(v, w), "_p": (F.col(position) - F.first(position).over(so_far(w))).cast("double")})
+    c = v - F.col("_base")
+    s = Sums(d, w, {"y": c, "py": F.col("_p") * c, "n": _one(v)}, [n], "_beta")
+    middle = F.col("_p") - (n - 1) / 2
+    slope = (s.last("py", n) - middle * s.last("y", n)) / F.lit(n * (n * n - 1) / 12)
+    return s.frame.withColumn(out, F.when(s.last("n", n) == n, slope)).drop("_base", "_p", *s.helpers)
+
+
+def t_no_constant(xx: Column, xy: Column, yy: Column, n: int | Column) -> Column:
     """t statistic of the slope of y on x without constant, from plain sums over n pairs."""
     slope = ratio(xy, xx)
     rss = F.greatest(yy - slope * xy, F.lit(0.0))
     return ratio(slope, F.sqrt(ratio(rss / (n - 1), xx)))
 
 
+def t_with_constant(sxx: Column, sxy: Column, syy: Column, n: int | Column) -> Column:
+    """t statistic of the slope of y on x with constant, from centred sums over n pairs."""
+    slope = ratio(sxy, sxx)
+    rss = F.greatest(syy - slope * sxy, F.lit(0.0))
+    return ratio(slope, F.sqrt(ratio(rss / (n - 2), sxx)))
+
+
 def add_engle_granger(d: DataFrame, w: WindowSpec, y: Column, x: Column, out: str, n: int = 100) -> DataFrame:
     """Rolling two-step cointegration statistic without constants and lags (n rows back).
 
-    Both steps come from moments: those of the residuals y - beta*x are polynomials in beta, and
-    every moment of a window is the difference of two cumulative sums of its chunk. No window is
-    ever materialised and a row costs the same for any ``n``.
+    Both steps come from moments: those of the residuals y - beta*x are polynomials in beta, so
+    no window is ever materialised.
     """
     y1, x1 = F.lag(y).over(w), F.lag(x).over(w)
+    d = d.withColumns({"_y1": y1, "_x1": x1})
+    y1, x1 = F.col("_y1"), F.col("_x1")
     dy, dx = y - y1, x - x1
-    terms = {"xy": x * y, "xx": x * x, "n": F.when(x.isNotNull() & y.isNotNull(), 1.0),
-             "l0": y1 * y1, "l1": x1 * y1, "l2": x1 * x1, "c0": dy * y1, "c1": dx * y1 + dy * x1, "c2": dx * x1,
-             "s0": dy * dy, "s1": dx * dy, "s2": dx * dx}
-    cum = F.struct(*[F.coalesce(F.sum(c).over(so_far(w)), F.lit(0.0)).alias(k) for k, c in terms.items()])
-    d = d.withColumn("_cum", cum)
+    s = Sums(d, w, {
+        "xy": x * y, "xx": x * x, "n": F.when(x.isNotNull() & y.isNotNull(), 1),
+        "l0": y1 * y1, "l1": x1 * y1, "l2": x1 * x1, "c0": dy * y1, "c1": dx * y1 + dy * x1, "c2": dx * x1,
+        "s0": dy * dy, "s1": dx * dy, "s2": dx * dx}, [n, n - 1], "_eg")
+    beta = F.col("_b")
     # levels span n rows, differences the n - 1 steps between them
-    d = d.withColumns({"_before": F.lag("_cum", n).over(w), "_first": F.lag("_cum", n - 1).over(w)})
-
-    def level_sum(k: str) -> Column:
-        return F.col("_cum")[k] - F.coalesce(F.col("_before")[k], F.lit(0.0))
-
-    def step_sum(k: str) -> Column:
-        return F.col("_cum")[k] - F.col("_first")[k]
-
-    d = d.withColumns({"_beta": ratio(level_sum("xy"), level_sum("xx")), "_n": level_sum("n")})
-    beta = F.col("_beta")
-    d = d.withColumns({f"_{m}": step_sum(f"{m}0") - f * beta * step_sum(f"{m}1") + beta * beta * step_sum(f"{m}2")
-                       for m, f in (("l", 2), ("c", 1), ("s", 2))})
-    stat = _t_no_constant(F.col("_l"), F.col("_c"), F.col("_s"), n - 1)
-    return d.withColumn(out, F.when(F.col("_n") == n, stat)).drop(
-        "_cum", "_before", "_first", "_beta", "_n", "_l", "_c", "_s")
-
-
-def unit_root(y: Column, w: WindowSpec, n: int, constant: bool = True) -> Column:
-    """Rolling Dickey-Fuller t statistic over ``n`` rows without lags (n - 1 rows)."""
-    inner = w.rowsBetween(-(n - 2), 0)
-    y1 = F.lag(y).over(w)
-    dy = y - y1
-    if not constant:
-        stat = _t_no_constant(F.sum(y1 * y1).over(inner), F.sum(y1 * dy).over(inner), F.sum(dy * dy).over(inner), n - 1)
-    else:
-        stat = _t_with_constant(F.regr_sxx(dy, y1).over(inner), F.regr_sxy(dy, y1).over(inner),
-                                F.regr_syy(dy, y1).over(inner), n - 1)
-    return full(stat, y, w, n)
-
-
-def _t_with_constant(sxx: Column, sxy: Column, syy: Column, n: int | Column) -> Column:
-    """t statistic of the slope of y on x with constant, from centred sums over n pairs."""
-    slope = ratio(sxy, sxx)
-    rss = F.greatest(syy - slope * sxy, F.lit(0.0))
-    return ratio(slope, F.sqrt(ratio(rss / (n - 2), sxx)))
+    steps = {m: s.last(f"{m}0", n - 1) - f * beta * s.last(f"{m}1", n - 1) + beta * beta * s.last(f"{m}2", n - 1)
+             for m, f in (("l", 2), ("c", 1), ("s", 2))}
+    d = s.frame.withColumn("_b", ratio(s.last("xy", n), s.last("xx", n)))
+    d = d.withColumns({f"_eg{m}": c for m, c in steps.items()})
+    stat = t_no_constant(F.col("_egl"), F.col("_egc"), F.col("_egs"), n - 1)
+    return d.withColumn(out, F.when(s.last("n", n) == n, stat)).drop(
+        "_y1", "_x1", "_b", *[f"_eg{m}" for m in steps], *s.helpers)
 
 
-def add_sup_unit_root(d: DataFrame, w: WindowSpec, y: Column, out: str, min_window: int = 20,
-                      window: int = 50) -> DataFrame:
-    """Largest Dickey-Fuller statistic over all suffixes of the last ``window`` rows.
+def add_unit_root(d: DataFrame, w: WindowSpec, y: str, out: str, windows: Sequence[int], constant: bool = True) -> DataFrame:
+    """Dickey-Fuller t statistic without lags; the largest one over several window lengths.
 
-    Reaches ``window - 1`` rows back. Every suffix regression is a difference of two cumulative
-    sums of the chunk, shifted by its first value for precision.
+    Reaches ``max(windows)`` rows back and is null until the longest window is complete.
     """
-    base = F.first(y, ignorenulls=True).over(so_far(w))
-    x1, dy = F.lag(y).over(w) - base, y - F.lag(y).over(w)
-    terms = {"x": x1, "y": dy, "xx": x1 * x1, "xy": x1 * dy, "yy": dy * dy}
-    cum = F.struct(*[F.coalesce(F.sum(c).over(so_far(w)), F.lit(0.0)).alias(k) for k, c in terms.items()])
-    d = d.withColumn("_cum", cum)
-    steps = range(min_window - 1, window)
-    d = d.withColumn("_starts", F.array(*[
-        F.struct(F.lit(float(n)).alias("n"), F.lag("_cum", n).over(w).alias("then")) for n in steps]))
-
-    def centred(start: Column) -> Column:
-        n, now, then = start["n"], F.col("_cum"), start["then"]
-        sx, sy = now["x"] - then["x"], now["y"] - then["y"]
+    longest = max(windows)
+    v = F.col(y)
+    base = _shift(v, w) if constant else F.lit(0.0)
+    d = d.withColumns({"_x": F.lag(v).over(w) - base, "_d": change(v, w)})
+    x, step = F.col("_x"), F.col("_d")
+    terms = {"x": x, "y": step, "xx": x * x, "xy": x * step, "yy": step * step, "n": _one(v)}
+    s = Sums(d, w, terms, [longest], "_df")
+    d = s.frame.withColumn("_starts", F.array(*[
+        F.struct(F.lit(float(m - 1)).alias("n"), F.lag("_df", m - 1).over(w).alias("then")) for m in windows]))
+
+    def sums(start: Column) -> Column:
+        n, now, then = start["n"], F.col("_df"), start["then"]
+        sx, sy = (now["x"] - then["x"], now["y"] - then["y"]) if constant else (F.lit(0.0), F.lit(0.0))
         return F.struct(n.alias("n"), (now["xx"] - then["xx"] - sx * sx / n).alias("xx"),
                         (now["xy"] - then["xy"] - sx * sy / n).alias("xy"), (now["yy"] - then["yy"] - sy * sy / n).alias("yy"))
 
-    stats = F.transform(F.transform("_starts", centred),
-                        lambda m: _t_with_constant(m["xx"], m["xy"], m["yy"], m["n"]))
-    return d.withColumn(out, full(F.array_max(stats), y, w, window)).drop("_cum", "_starts")
+    t = t_with_constant if constant else t_no_constant
+    stats = F.transform(F.transform("_starts", sums), lambda m: t(m["xx"], m["xy"], m["yy"], m["n"]))
+    return d.withColumn(out, F.when(s.last("n", longest) == longest, F.array_max(stats))).drop(
+        "_x", "_d", "_starts", *s.helpers)

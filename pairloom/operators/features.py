@@ -35,18 +35,15 @@ def pair_frame(bars: DataFrame, legs: Mapping[str, str],
 def standardized_spread(df: DataFrame, spec: SeriesSpec, minuend: str, subtrahend: str,
                         window: int = 55, keep_ordinal: bool = False) -> DataFrame:
     """Difference of returns with rolling mean, deviation and z score."""
-    return sliding(df, spec, window, lambda d, w: add_spread(d, w, minuend, subtrahend, window),
+    return sliding(df, spec, window + 1, lambda d, w: add_spread(d, w, minuend, subtrahend, window),
                    keep_ordinal=keep_ordinal)
 
 
 def add_spread(d: DataFrame, w: WindowSpec, minuend: str, subtrahend: str, window: int = 55) -> DataFrame:
-    """Reaches ``window`` rows back."""
-    s = F.col("spread")
-    return (
-        d.withColumn("spread", C.pct_change(F.col(minuend), w) - C.pct_change(F.col(subtrahend), w))
-        .withColumns({"mu": R.rolling_mean(s, w, window), "std": R.rolling_std(s, w, window)})
-        .withColumn("standardized_spread", C.ratio(s - F.col("mu"), F.col("std")))
-    )
+    """Reaches ``window + 1`` rows back."""
+    d = d.withColumn("spread", C.pct_change(F.col(minuend), w) - C.pct_change(F.col(subtrahend), w))
+    d = R.add_moments(d, w, "spread", "mu", "std", window)
+    return d.withColumn("standardized_spread", C.ratio(F.col("spread") - F.col("mu"), F.col("std")))
 
 
 def nonzero_direction(df: DataFrame, spec: SeriesSpec, value: str, out: str = "direction") -> DataFrame:
@@ -147,10 +144,10 @@ def rsi(df: DataFrame, spec: SeriesSpec, value: str, out: str = "rsi", n: int =
     return df.withColumn(out, rsi_from(F.col("_up"), F.col("_dn"), n)).drop("_up", "_dn", ORD)
 
 
-def atr_inputs(d: DataFrame, w: WindowSpec, name: str, high: str, low: str, close: str, n: int = 14) -> DataFrame:
-    """True range and the mean that starts the recursion (n rows back)."""
+def atr_inputs(d: DataFrame, w: WindowSpec, name: str, high: str, low: str, close: str) -> DataFrame:
+    """True range, and its mean so far, which starts the recursion in the first chunk (1 row back)."""
     tr = C.true_range(F.col(high), F.col(low), F.lag(close).over(w), first_is_range=True)
-    return d.withColumn(f"_tr_{name}", tr).withColumn(f"_seed_{name}", F.avg(f"_tr_{name}").over(R.frame(w, n)))
+    return d.withColumn(f"_tr_{name}", tr).withColumn(f"_seed_{name}", F.avg(f"_tr_{name}").over(R.so_far(w)))
 
 
 def atr_scan(name: str, n: int = 14) -> tuple[Column, Column]:
@@ -163,7 +160,8 @@ def atr_scan(name: str, n: int = 14) -> tuple[Column, Column]:
 
 def atr(df: DataFrame, spec: SeriesSpec, high: str, low: str, close: str, out: str = "atr", n: int = 14) -> DataFrame:
     """Wilder's average true range."""
-    df = sliding(df, spec, n, lambda d, w: atr_inputs(d, w, out, high, low, close, n), keep_ordinal=True)
+    spec = spec.with_(chunk_rows=max(spec.chunk_rows, n))
+    df = sliding(df, spec, 1, lambda d, w: atr_inputs(d, w, out, high, low, close), keep_ordinal=True)
     return affine_scan(df, spec, {out: atr_scan(out, n)}).drop(f"_tr_{out}", f"_seed_{out}", ORD)
 
 
@@ -246,10 +244,10 @@ def technical_features(df: DataFrame, spec: SeriesSpec = PAIR, eth: str = "eth",
                 d = d.withColumns({
                     f"close_direction_{leg}": F.signum(f"close_change_{leg}"),
                     f"dollar_volume_{leg}": F.col(f"close_{leg}") * F.col(f"volume_{leg}"),
-                    f"dollar_volume1m_{leg}": R.moving_avg(F.col(f"close_{leg}"), w),
                 })
+                d = R.add_moving_avg(d, w, {f"dollar_volume1m_{leg}": F.col(f"close_{leg}")})
             d = R.add_entropy(d, w, F.col(f"close_direction_{leg}"), f"close_direction_{leg}_entropy")
-            d = d.withColumn(f"bid_ask_spread_close_change_{leg}", R.roll_spread(F.col(f"close_change_{leg}"), w))
+            d = R.add_roll_spread(d, w, f"close_change_{leg}", f"bid_ask_spread_close_change_{leg}")
         d = add_spread(d, w, f"close_{btc}", f"close_{eth}", window)
         d = R.add_engle_granger(d, w, F.col(f"close_{btc}"), F.col(f"close_{eth}"), f"close_{eth}_coint")
         d = d.withColumn(f"close_{btc}_coint", F.col(f"close_{eth}_coint"))
@@ -260,7 +258,7 @@ def technical_features(df: DataFrame, spec: SeriesSpec = PAIR, eth: str = "eth",
 
     z, reach = "standardized_spread", smoothing_reach(20)
     df = vwap_day_of_month(df, spec, {f"vwap_{btc}": f"_{btc}", f"vwap_{eth}": f"_{eth}"})
-    df = sliding(df, spec, max(100, reach + window + 1), bounded, keep_ordinal=True)
+    df = sliding(df, spec, max(101, reach + window + 2), bounded, keep_ordinal=True)
     df = affine_scan(df, spec, {
         "ma_5": _smoothing(F.col(z), F.col("_gap"), 2 / 6),
         "ma_20": _smoothing(F.col(z), F.col("_gap"), 2 / 21), "_seen": _count(F.col(z)),

@@ -98,9 +98,9 @@ def fact_ohlc(staging: DataFrame, dates: DataFrame, spec: SeriesSpec | None = No
         close = F.col("close")
         prev = F.lag("close").over(w)
         d = d.withColumns({"dollar_volume": close * F.col("volume"), "close_change": R.change(close, w)})
+        d = R.add_moving_avg(d, w, {"dollar_volume1m": F.col(dollar_volume_mean_of)})
         return d.withColumns({
             "close_direction": F.signum("close_change"),
-            "dollar_volume1m": R.moving_avg(F.col(dollar_volume_mean_of), w),
             "range": F.col("high") - F.col("low"),
             "true_range": C.true_range(F.col("high"), F.col("low"), prev)})
 
@@ -109,7 +109,7 @@ def fact_ohlc(staging: DataFrame, dates: DataFrame, spec: SeriesSpec | None = No
     # position, VWAP sums: one pass of cumulative sums; then one chunked window pass
     summed = running(dated, spec, sums={"_ord": F.lit(1).cast("long"), "_pv": typical * F.col("volume"),
                                         "_v": F.col("volume")}).withColumn("_ord", F.col("_ord") - 1)
-    facts = sliding(summed, spec, 21, bounded)
+    facts = sliding(summed, spec, 22, bounded)
     return facts.withColumn("vwap", C.ratio(F.col("_pv"), F.col("_v"))).drop("_pv", "_v", "date")
 
 
