@@ -38,8 +38,8 @@ def i1(spark, d):
 
 def signals(spark, d):
     """One signal per scored date: direction, spread and, as prices, both 21-row mean closes."""
-    z = sliding(b.spread(spark, d, keep_ordinal=True), PAIR, 21, lambda x, w: R.add_moving_avg(
-        x, w, {f"mean_{leg}": F.col(f"close_{leg}") for leg in ("eth", "btc")})).where(F.col(Z).isNotNull())
+    z = sliding(b.spread(spark, d, keep_ordinal=True), PAIR, 21, lambda x, w: R.add(
+        x, w, *[R.moving_avg(F.col(f"close_{leg}"), f"mean_{leg}") for leg in ("eth", "btc")])).where(F.col(Z).isNotNull())
     return z.select(
         F.lit("main").alias("account"), F.col("date").cast("timestamp").alias("ts"), F.concat(F.lit("m-"), F.col("date").cast("string")).alias("msg_id"),
         F.when(F.col(Z) > 0, 1).otherwise(0).alias("prediction"), F.col(Z).alias("message_spread"), F.col(Z).alias("spread"),
@@ -142,8 +142,8 @@ def i5(spark, d):
     later.write.mode("overwrite").parquet(f"{path}/in")
 
     def compute(df):
-        return sliding(df, BAR_SERIES, 21, lambda x, w: R.add_moving_avg(
-            x.withColumn("close_change", R.change(F.col("close"), w)), w, {"m21": F.col("close")}))
+        return sliding(df, BAR_SERIES, 21, lambda x, w: R.add(
+            x.withColumn("close_change", R.change(F.col("close"), w)), w, R.moving_avg(F.col("close"), "m21")))
 
     stream = spark.readStream.schema(later.schema).parquet(f"{path}/in")
     sink = incremental.refresh_sink(lambda: incremental.latest_rows(spark.read.parquet(f"{path}/bars")), compute,

@@ -48,8 +48,8 @@ SELECT symbol, date, round(avg(close) OVER w, 6) AS dollar_volume1m,
 FROM bars WINDOW w AS (PARTITION BY symbol ORDER BY date ROWS BETWEEN 20 PRECEDING AND CURRENT ROW)""")
 def f4(spark, d):
     value = F.col("close") * F.col("volume")
-    out = on_bars(spark, d, 21, lambda x, w: R.add_moving_avg(
-        R.add_moving_avg(x, w, {"dollar_volume1m": F.col("close")}), w, {"dollar_vol_1m_full": value}, partial=False))
+    out = on_bars(spark, d, 21, lambda x, w: R.add(
+        x, w, R.moving_avg(F.col("close"), "dollar_volume1m"), R.moving_avg(value, "dollar_vol_1m_full", partial=False)))
     return out.select("symbol", "date", b.r("dollar_volume1m"), b.r("dollar_vol_1m_full", 3))
 
 
@@ -128,7 +128,7 @@ SELECT s.symbol, s.date, round(CASE WHEN n = 30 THEN e END, 6) AS entropy FROM s
 def f12(spark, d):
     def fn(x, w):
         x = x.withColumn("_x", F.signum(R.change(F.col("close"), w)))
-        return R.add_entropy(x, w, F.col("_x"), "entropy")
+        return R.add(x, w, R.entropy(F.col("_x"), "entropy"))
     return on_bars(spark, d, 31, fn).select("symbol", "date", b.r("entropy"))
 
 
@@ -139,7 +139,7 @@ e AS (SELECT symbol, date, sum(n) AS n, -sum(n / 30 * log2(n / 30)) AS e FROM k
 SELECT symbol, date, round(CASE WHEN n = 30 THEN e END, 6) AS entropy FROM e""")
 def f12_any(spark, d):
     level = F.floor(F.col("close") / 250)
-    out = on_bars(spark, d, 29, lambda x, w: R.add_entropy(x, w, level, "entropy", values=None))
+    out = on_bars(spark, d, 29, lambda x, w: x.withColumn("entropy", R.entropy_any(level, w)))
     return out.select("symbol", "date", b.r("entropy"))
 
 
@@ -154,7 +154,7 @@ rs AS (SELECT symbol, date, CASE WHEN count(cc) = 20 THEN sqrt(greatest(0, -cova
 def f13(spark, d):
     def fn(x, w):
         x = x.withColumn("_x", R.change(F.col("close"), w))
-        return R.add_roll_spread(x, w, "_x", "roll_spread")
+        return R.add(x, w, R.roll_spread("_x", "roll_spread"))
     return on_bars(spark, d, 22, fn).select("symbol", "date", b.r("roll_spread"))
 
 
@@ -235,7 +235,7 @@ def f18(spark, d):
 SELECT symbol, date, round(CASE WHEN count(*) OVER w = 24 THEN regr_slope(close, o) OVER w END, 5) AS beta FROM nb
 WINDOW w AS (PARTITION BY symbol ORDER BY date ROWS BETWEEN 23 PRECEDING AND CURRENT ROW)""")
 def f19(spark, d):
-    return on_bars(spark, d, 24, lambda x, w: R.add_trend_beta(x, w, "close", ORD, "beta")).select(
+    return on_bars(spark, d, 24, lambda x, w: R.add(x, w, R.trend_beta("close", ORD, "beta"))).select(
         "symbol", "date", b.r("beta", 5))
 
 

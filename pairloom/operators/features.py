@@ -42,7 +42,10 @@ def standardized_spread(df: DataFrame, spec: SeriesSpec, minuend: str, subtrahen
 def add_spread(d: DataFrame, w: WindowSpec, minuend: str, subtrahend: str, window: int = 55) -> DataFrame:
     """Reaches ``window + 1`` rows back."""
     d = d.withColumn("spread", C.pct_change(F.col(minuend), w) - C.pct_change(F.col(subtrahend), w))
-    d = R.add_moments(d, w, "spread", "mu", "std", window)
+    return with_score(R.add(d, w, R.moments("spread", "mu", "std", window)))
+
+
+def with_score(d: DataFrame) -> DataFrame:
     return d.withColumn("standardized_spread", C.ratio(F.col("spread") - F.col("mu"), F.col("std")))
 
 
@@ -144,14 +147,16 @@ def rsi(df: DataFrame, spec: SeriesSpec, value: str, out: str = "rsi", n: int =
     return df.withColumn(out, rsi_from(F.col("_up"), F.col("_dn"), n)).drop("_up", "_dn", ORD)
 
 
-def atr_inputs(d: DataFrame, w: WindowSpec, name: str, high: str, low: str, close: str) -> DataFrame:
-    """True range, and its mean so far, which starts the recursion in the first chunk (1 row back)."""
-    tr = C.true_range(F.col(high), F.col(low), F.lag(close).over(w), first_is_range=True)
-    return d.withColumn(f"_tr_{name}", tr).withColumn(f"_seed_{name}", F.avg(f"_tr_{name}").over(R.so_far(w)))
+def true_range_of(w: WindowSpec, high: str, low: str, close: str) -> Column:
+    """True range whose first value is the range of the bar (1 row back)."""
+    return C.true_range(F.col(high), F.col(low), F.lag(close).over(w), first_is_range=True)
 
 
 def atr_scan(name: str, n: int = 14) -> tuple[Column, Column]:
-    """0 before row ``n - 1``, the mean of the first ``n`` ranges there, then the recursion."""
+    """0 before row ``n - 1``, the mean of the first ``n`` ranges there, then the recursion.
+
+    ``_seed`` is the mean of the ranges so far, right in the first chunk, where it is needed.
+    """
     o = F.col(ORD)
     a = F.when(o < n, 0.0).otherwise((n - 1) / n)
     b = F.when(o < n - 1, 0.0).when(o == n - 1, F.col(f"_seed_{name}")).otherwise(F.col(f"_tr_{name}") / n)
@@ -161,7 +166,8 @@ def atr_scan(name: str, n: int = 14) -> tuple[Column, Column]:
 def atr(df: DataFrame, spec: SeriesSpec, high: str, low: str, close: str, out: str = "atr", n: int = 14) -> DataFrame:
     """Wilder's average true range."""
     spec = spec.with_(chunk_rows=max(spec.chunk_rows, n))
-    df = sliding(df, spec, 1, lambda d, w: atr_inputs(d, w, out, high, low, close), keep_ordinal=True)
+    df = sliding(df, spec, 1, lambda d, w: d.withColumn(f"_tr_{out}", true_range_of(w, high, low, close)).withColumn(
+        f"_seed_{out}", F.avg(f"_tr_{out}").over(R.so_far(w))), keep_ordinal=True)
     return affine_scan(df, spec, {out: atr_scan(out, n)}).drop(f"_tr_{out}", f"_seed_{out}", ORD)
 
 
@@ -238,23 +244,23 @@ def technical_features(df: DataFrame, spec: SeriesSpec = PAIR, eth: str = "eth",
         f"high_{eth}", f"low_{eth}", f"close_{eth}")
 
     def bounded(d: DataFrame, w: WindowSpec) -> DataFrame:
-        for leg in (eth, btc):
+        first = {"spread": C.pct_change(F.col(f"close_{btc}"), w) - C.pct_change(F.col(f"close_{eth}"), w)}
+        stats = [R.moments("spread", "mu", "std", window),
+                 R.engle_granger(F.col(f"close_{btc}"), F.col(f"close_{eth}"), f"close_{eth}_coint")]
+        for leg, hlc in ((btc, (f"high_{btc}", f"low_{btc}", f"close_{btc}")), (eth, eth_hlc)):
+            close, direction = F.col(f"close_{leg}"), f"close_direction_{leg}"
+            first[f"_tr_{leg}"] = true_range_of(w, *hlc)
             if f"close_change_{leg}" not in stored:
-                d = d.withColumn(f"close_change_{leg}", R.change(F.col(f"close_{leg}"), w))
-                d = d.withColumns({
-                    f"close_direction_{leg}": F.signum(f"close_change_{leg}"),
-                    f"dollar_volume_{leg}": F.col(f"close_{leg}") * F.col(f"volume_{leg}"),
-                })
-                d = R.add_moving_avg(d, w, {f"dollar_volume1m_{leg}": F.col(f"close_{leg}")})
-            d = R.add_entropy(d, w, F.col(f"close_direction_{leg}"), f"close_direction_{leg}_entropy")
-            d = R.add_roll_spread(d, w, f"close_change_{leg}", f"bid_ask_spread_close_change_{leg}")
-        d = add_spread(d, w, f"close_{btc}", f"close_{eth}", window)
-        d = R.add_engle_granger(d, w, F.col(f"close_{btc}"), F.col(f"close_{eth}"), f"close_{eth}_coint")
-        d = d.withColumn(f"close_{btc}_coint", F.col(f"close_{eth}_coint"))
-        d = atr_inputs(d, w, btc, f"high_{btc}", f"low_{btc}", f"close_{btc}")
-        d = atr_inputs(d, w, eth, *eth_hlc)
-        d = d.withColumns(rsi_inputs(F.col(z), w))
-        return d.withColumn("_gap", gap_to_previous(F.col(z), w))
+                first[f"close_change_{leg}"] = R.change(close, w)
+                first[direction] = F.signum(R.change(close, w))
+                first[f"dollar_volume_{leg}"] = close * F.col(f"volume_{leg}")
+                stats.append(R.moving_avg(close, f"dollar_volume1m_{leg}"))
+            stats += [R.entropy(F.col(direction), f"{direction}_entropy"),
+                      R.roll_spread(f"close_change_{leg}", f"bid_ask_spread_close_change_{leg}")]
+        d = with_score(R.add(d.withColumns(first), w, *stats))
+        return d.withColumns({
+            **rsi_inputs(F.col(z), w), "_gap": gap_to_previous(F.col(z), w), f"close_{btc}_coint": F.col(f"close_{eth}_coint"),
+            **{f"_seed_{leg}": F.avg(f"_tr_{leg}").over(R.so_far(w)) for leg in (eth, btc)}})
 
     z, reach = "standardized_spread", smoothing_reach(20)
     df = vwap_day_of_month(df, spec, {f"vwap_{btc}": f"_{btc}", f"vwap_{eth}": f"_{eth}"})

@@ -47,7 +47,7 @@ def engle_granger(df: DataFrame, spec: SeriesSpec, y: str, x: str, window: int =
                   out: str = "coint") -> DataFrame:
     """Rolling cointegration statistic; ``lags=0`` is native, ``"aic"`` picks lags per window."""
     if lags == 0:
-        return sliding(df, spec, window + 1, lambda d, w: R.add_engle_granger(d, w, F.col(y), F.col(x), out, window))
+        return sliding(df, spec, window + 1, lambda d, w: R.add(d, w, R.engle_granger(F.col(y), F.col(x), out, window)))
     return rolling_in_pandas(df, spec, [y, x], window, out, lambda a: engle_granger_aic(a[:, 0], a[:, 1]))
 
 
@@ -55,7 +55,7 @@ def unit_root(df: DataFrame, spec: SeriesSpec, y: str, window: int, constant: bo
               lags: str | int = 0, out: str = "adf") -> DataFrame:
     """Rolling Dickey-Fuller statistic."""
     if lags == 0:
-        return sliding(df, spec, window + 1, lambda d, w: R.add_unit_root(d, w, y, out, [window], constant))
+        return sliding(df, spec, window + 1, lambda d, w: R.add(d, w, R.unit_root(y, out, [window], constant)))
     return rolling_in_pandas(df, spec, [y], window, out, lambda a: adf_aic(a[:, 0], constant))
 
 
@@ -86,7 +86,7 @@ def sadf(df: DataFrame, spec: SeriesSpec, y: str, min_window: int = 20, window:
     """
     if lags == 0:
         lengths = range(min_window, window + 1)
-        return sliding(df, spec, window + 1, lambda d, w: R.add_unit_root(d, w, y, out, lengths))
+        return sliding(df, spec, window + 1, lambda d, w: R.add(d, w, R.unit_root(y, out, lengths)))
 
     def sup(a: np.ndarray) -> float:
         return float(np.max([adf_aic(a[i:, 0], True) for i in range(window - min_window + 1)]))

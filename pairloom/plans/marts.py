@@ -98,7 +98,7 @@ def fact_ohlc(staging: DataFrame, dates: DataFrame, spec: SeriesSpec | None = No
         close = F.col("close")
         prev = F.lag("close").over(w)
         d = d.withColumns({"dollar_volume": close * F.col("volume"), "close_change": R.change(close, w)})
-        d = R.add_moving_avg(d, w, {"dollar_volume1m": F.col(dollar_volume_mean_of)})
+        d = R.add(d, w, R.moving_avg(F.col(dollar_volume_mean_of), "dollar_volume1m"))
         return d.withColumns({
             "close_direction": F.signum("close_change"),
             "range": F.col("high") - F.col("low"),
