@@ -78,20 +78,25 @@ def vwap_day_of_month(df: DataFrame, spec: SeriesSpec, legs: Mapping[str, str])
     return summed.withColumns({o: C.ratio(F.col(f"_n_{o}"), F.col(f"_d_{o}")) for o in legs}).drop("_dom", *sums)
 
 
+# weights below this are far under the rounding of doubles
+FADED = 1e-40
+
+
 def _smoothing(x: Column, gap: Column, alpha: float) -> tuple[Column, Column]:
     """Coefficients of an exponential mean that starts at its first value.
 
-    A missing row keeps the mean but ages its weight by one step.
+    A missing row keeps the mean but ages its weight by one step. Without a previous value in
+    reach the weight of the past is below ``FADED``.
     """
     aged = F.pow(F.lit(1 - alpha), gap)
-    a = F.when(x.isNull(), 1.0).when(gap.isNull(), 0.0).otherwise(aged / (aged + alpha))
+    a = F.when(x.isNull(), 1.0).when(gap.isNull(), FADED).otherwise(F.greatest(aged / (aged + alpha), F.lit(FADED)))
     b = F.when(x.isNull(), 0.0).when(gap.isNull(), x).otherwise(x * alpha / (aged + alpha))
     return a, b
 
 
 def smoothing_reach(span: int) -> int:
-    """Rows after which a weight of an exponential mean is below 1e-40, far under rounding."""
-    return math.ceil(92 / -math.log(1 - 2 / (span + 1)))
+    """Rows after which a weight of an exponential mean is below ``FADED``."""
+    return math.ceil(math.log(FADED) / math.log(1 - 2 / (span + 1))) if span > 1 else 1
 
 
 def gap_to_previous(x: Column, w: WindowSpec) -> Column:
@@ -124,8 +129,7 @@ def ema(df: DataFrame, spec: SeriesSpec, outs: Mapping[str, tuple[str, int]], ke
 
 def _wilder(x: Column, n: int) -> tuple[Column, Column]:
     """Wilder smoothing of a complete column that starts at its first value."""
-    start = F.col(ORD) == 0
-    return F.when(start, 0.0).otherwise((n - 1) / n), F.when(start, x).otherwise(x / n)
+    return F.lit((n - 1) / n), F.when(F.col(ORD) == 0, x).otherwise(x / n)
 
 
 def rsi_inputs(x: Column, w: WindowSpec) -> dict[str, Column]:
@@ -158,7 +162,7 @@ def atr_scan(name: str, n: int = 14) -> tuple[Column, Column]:
     ``_seed`` is the mean of the ranges so far, right in the first chunk, where it is needed.
     """
     o = F.col(ORD)
-    a = F.when(o < n, 0.0).otherwise((n - 1) / n)
+    a = F.lit((n - 1) / n)
     b = F.when(o < n - 1, 0.0).when(o == n - 1, F.col(f"_seed_{name}")).otherwise(F.col(f"_tr_{name}") / n)
     return a, b
 

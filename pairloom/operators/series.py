@@ -8,7 +8,7 @@ key) that task grows with the data. The functions here split every series along
 * ``with_ordinal`` dense 0-based position, a cumulative count
 * ``sliding``      windows bounded in rows: fixed-size chunks plus a halo of neighbour rows
 * ``time_sliding`` windows bounded in time: time slices plus a halo of neighbour rows
-* ``affine_scan``  recurrences ``y = a*y_prev + b``: chunk folds plus carries, level by level
+* ``affine_scan``  recurrences ``y = a*y_prev + b``: scaled sums per group plus carries, level by level
 
 Only per-bucket or per-chunk summaries ever meet in one task.
 """
@@ -178,34 +178,47 @@ def affine_scan(
     df: DataFrame,
     spec: SeriesSpec,
     scans: Mapping[str, tuple[Column, Column]],
+    rows: int = 512,
     fan: int = 256,
     levels: int = 2,
 ) -> DataFrame:
     """Add ``y_t = a_t * y_{t-1} + b_t`` (``y_{-1} = 0``) for every ``name: (a, b)`` in ``scans``.
 
-    Needs the ordinal column. Pairs ``(a, b)`` compose associatively, so rows are folded in
-    groups of ``fan``, the group results again in groups of ``fan``, and so on; the top fold
-    sees one row per ``fan ** levels`` rows of a series. Raise ``levels`` for longer series.
+    Needs the ordinal column, ``b`` without nulls, ``a`` positive and the logarithms of any
+    ``rows`` consecutive ``a`` to add up to less than 700 in size (decays down to 1/3 per row
+    with the default). Inside a group of ``rows`` rows the recurrence is a scaled cumulative
+    sum. Group results are pairs ``(A, B)`` that compose associatively; they are folded in
+    groups of ``fan``, again in groups of ``fan``, and so on, and carried back. The top fold
+    sees one row per ``rows * fan ** (levels - 1)`` rows of a series.
     """
-    names = list(scans)
-    keys = list(spec.keys)
-    rows = df.select(
-        *keys, F.col(ORD).alias("_pos"),
+    names, keys, each = list(scans), list(spec.keys), range(len(scans))
+    grouped = df.select(
+        *keys, F.col(ORD).alias("_pos"), F.floor(F.col(ORD) / rows).alias("_group"),
         F.struct(*[F.col(c) for c in df.columns]).alias("_row"),
-        *[a.cast("double").alias(f"a{i}") for i, (a, _) in enumerate(scans.values())],
+        *[F.ln(a.cast("double")).alias(f"l{i}") for i, (a, _) in enumerate(scans.values())],
         *[b.cast("double").alias(f"b{i}") for i, (_, b) in enumerate(scans.values())],
     )
-    out = _scan_level(rows, keys, len(names), fan, levels, carry_row=True)
+    upto = Window.partitionBy(*keys, "_group").orderBy("_pos").rowsBetween(Window.unboundedPreceding, 0)
+    local = (
+        grouped.withColumns({f"l{i}": F.sum(f"l{i}").over(upto) for i in each})
+        .withColumns({f"b{i}": F.sum(F.col(f"b{i}") * F.exp(-F.col(f"l{i}"))).over(upto) for i in each})
+        .select(*keys, "_pos", "_group", "_row", *[F.exp(f"l{i}").alias(f"a{i}") for i in each],
+                *[(F.exp(f"l{i}") * F.col(f"b{i}")).alias(f"b{i}") for i in each])
+    )
+    # _row is carried along so that both uses of the exchange are the same and run once
+    last = F.max_by(F.struct(*[f"{c}{i}" for i in each for c in "ab"], "_row"), "_pos").alias("_last")
+    tops = local.groupBy(*keys, "_group").agg(last).select(
+        *keys, F.col("_group").alias("_pos"), *[F.col(f"_last.{c}{i}").alias(f"{c}{i}") for i in each for c in "ab"])
+    entries = _entry_values(tops, keys, len(names), fan, levels - 1).withColumnRenamed("_pos", "_group")
     kept = [F.col(f"_row.{c}").alias(c) for c in df.columns if c not in names]
-    return out.select(*kept, *[F.col(f"y{i}").alias(n) for i, n in enumerate(names)])
+    return local.join(entries, keys + ["_group"]).select(
+        *kept, *[(F.col(f"b{i}") + F.col(f"a{i}") * F.col(f"y{i}")).alias(n) for i, n in enumerate(names)])
 
 
-def _scan_level(df: DataFrame, keys: list[str], n: int, fan: int, level: int,
-                carry_row: bool = False) -> DataFrame:
-    """Scan of ``(_pos, a0, b0, a1, b1, ...)`` rows; adds ``y0, y1, ...``."""
+def _entry_values(df: DataFrame, keys: list[str], n: int, fan: int, level: int) -> DataFrame:
+    """Values with which each row ``(keys, _pos, a0, b0, a1, b1, ...)`` is entered: ``y0, y1, ...``"""
     each = range(n)
-    row = ["_row"] if carry_row else []
-    fields = ["_pos", *[f"{c}{i}" for i in each for c in "ab"], *row]
+    fields = ["_pos", *[f"{c}{i}" for i in each for c in "ab"]]
     identity = ", ".join(f"'A{i}', 1D, 'B{i}', 0D" for i in each)
     composed = ", ".join(
         f"'A{i}', element_at(acc, -1).A{i} * x.a{i}, 'B{i}', x.a{i} * element_at(acc, -1).B{i} + x.b{i}" for i in each)
@@ -219,16 +232,15 @@ def _scan_level(df: DataFrame, keys: list[str], n: int, fan: int, level: int,
         .selectExpr(*keys, "_group", "_rows", f"{prefix} AS _prefix")
     )
     if level == 0:
-        carried, carry = folded, ["0D" for _ in each]
+        entered, entry = folded, ["0D" for _ in each]
     else:
         tops = folded.selectExpr(
             *keys, "_group AS _pos", *[f"element_at(_prefix, -1).{c.upper()}{i} AS {c}{i}" for i in each for c in "ab"])
-        carries = _scan_level(tops, keys, n, fan, level - 1).selectExpr(
-            *keys, "_pos + 1 AS _group", *[f"y{i} AS c{i}" for i in each])
-        carried, carry = folded.join(carries, keys + ["_group"], "left"), [f"coalesce(c{i}, 0D)" for i in each]
-    exploded = carried.selectExpr(
-        *keys, *[f"{c} AS _k{i}" for i, c in enumerate(carry)],
-        "explode(arrays_zip(_rows, slice(_prefix, 2, size(_rows)))) AS _x")
+        above = _entry_values(tops, keys, n, fan, level - 1).withColumnRenamed("_pos", "_group")
+        entered, entry = folded.join(above, keys + ["_group"]), [f"y{i}" for i in each]
+    # element i of _prefix composes the rows before row i
+    exploded = entered.selectExpr(
+        *keys, *[f"{c} AS _k{i}" for i, c in enumerate(entry)],
+        "explode(arrays_zip(_rows, slice(_prefix, 1, size(_rows)))) AS _x")
     return exploded.selectExpr(
-        *keys, "_x._rows._pos AS _pos", *[f"_x._rows.{c} AS {c}" for c in row],
-        *[f"_x.`1`.B{i} + _x.`1`.A{i} * _k{i} AS y{i}" for i in each])
+        *keys, "_x._rows._pos AS _pos", *[f"_x.`1`.B{i} + _x.`1`.A{i} * _k{i} AS y{i}" for i in each])
