@@ -193,20 +193,25 @@ def affine_scan(
     """
     names, keys, each = list(scans), list(spec.keys), range(len(scans))
     grouped = df.select(
-        *keys, F.col(ORD).alias("_pos"), F.floor(F.col(ORD) / rows).alias("_group"),
-        F.struct(*[F.col(c) for c in df.columns]).alias("_row"),
+        *keys, F.col(ORD).alias("_pos"), _group_of(F.col(ORD), rows).alias("_group"),
+        F.when(F.col(ORD) >= 0, F.struct(*[F.col(c) for c in df.columns])).alias("_row"),
         *[F.ln(a.cast("double")).alias(f"l{i}") for i, (a, _) in enumerate(scans.values())],
         *[b.cast("double").alias(f"b{i}") for i, (_, b) in enumerate(scans.values())],
     )
+    # The frame is used twice below, for the rows and for the group results. Equal plans let
+    # Spark run its exchange once, so both ask for keys that are not null (as joins do) and both
+    # need the whole row (else each would be pruned to its own columns).
+    for c in keys:
+        grouped = grouped.where(F.col(c).isNotNull())
     upto = Window.partitionBy(*keys, "_group").orderBy("_pos").rowsBetween(Window.unboundedPreceding, 0)
     local = (
         grouped.withColumns({f"l{i}": F.sum(f"l{i}").over(upto) for i in each})
         .withColumns({f"b{i}": F.sum(F.col(f"b{i}") * F.exp(-F.col(f"l{i}"))).over(upto) for i in each})
+        .where(F.col("_row").isNotNull())
         .select(*keys, "_pos", "_group", "_row", *[F.exp(f"l{i}").alias(f"a{i}") for i in each],
                 *[(F.exp(f"l{i}") * F.col(f"b{i}")).alias(f"b{i}") for i in each])
     )
-    # _row is carried along so that both uses of the exchange are the same and run once
-    last = F.max_by(F.struct(*[f"{c}{i}" for i in each for c in "ab"], "_row"), "_pos").alias("_last")
+    last = F.max_by(F.struct(*[f"{c}{i}" for i in each for c in "ab"]), "_pos").alias("_last")
     tops = local.groupBy(*keys, "_group").agg(last).select(
         *keys, F.col("_group").alias("_pos"), *[F.col(f"_last.{c}{i}").alias(f"{c}{i}") for i in each for c in "ab"])
     entries = _entry_values(tops, keys, len(names), fan, levels - 1).withColumnRenamed("_pos", "_group")
@@ -215,6 +220,11 @@ def affine_scan(
         *kept, *[(F.col(f"b{i}") + F.col(f"a{i}") * F.col(f"y{i}")).alias(n) for i, n in enumerate(names)])
 
 
+def _group_of(position: Column, size: int) -> Column:
+    """Index of the group of ``size`` positions; never null, so no join adds a filter for it."""
+    return F.coalesce(F.floor(position / size), F.lit(0).cast("long"))
+
+
 def _entry_values(df: DataFrame, keys: list[str], n: int, fan: int, level: int) -> DataFrame:
     """Values with which each row ``(keys, _pos, a0, b0, a1, b1, ...)`` is entered: ``y0, y1, ...``"""
     each = range(n)
@@ -225,7 +235,7 @@ def _entry_values(df: DataFrame, keys: list[str], n: int, fan: int, level: int)
     prefix = (f"aggregate(_rows, array(named_struct({identity})), "
               f"(acc, x) -> array_append(acc, named_struct({composed})))")
 
-    group = F.lit(0).cast("long") if level == 0 else F.floor(F.col("_pos") / fan)
+    group = F.lit(0).cast("long") if level == 0 else _group_of(F.col("_pos"), fan)
     folded = (
         df.groupBy(*keys, group.alias("_group"))
         .agg(F.sort_array(F.collect_list(F.struct(*fields))).alias("_rows"))
