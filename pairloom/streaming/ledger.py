@@ -92,11 +92,11 @@ def replay(signals: DataFrame, rules: LedgerRules = LedgerRules(), balance: floa
     """Run the ledger over stored signals, one row out per signal.
 
     Columns: account, ts, msg_id, prediction, message_spread, spread, price_eth, price_btc. An
-    open position is at most ``max_days - 1`` steps old and every balance scales with its
+    open position is at most ``max_days`` steps old and every balance scales with its
     start, so a chunk is fully described by its result for each age it may start with. Long
     accounts are thus replayed chunk by chunk.
     """
-    back = rules.max_days - 1
+    back = rules.max_days
     if rules.allocation > 1:
         raise ValueError("allocation must not exceed the balance")
 
