@@ -212,9 +212,9 @@ atr_{name} AS (SELECT t.k, t.date, t.o, CASE WHEN t.o < 13 THEN 0 ELSE any_value
 """
 
 
-@query("f17_atr", f"WITH {NUMBERED}, {atr_sql('nb', 'symbol', 'high', 'low', 'close', 'b')} SELECT k AS symbol, date, round(atr, 5) AS atr FROM atr_b")
+@query("f17_atr", f"WITH {NUMBERED}, {atr_sql('nb', 'symbol', 'high', 'low', 'close', 'b')} SELECT k AS symbol, date, round(atr, 3) AS atr FROM atr_b")
 def f17(spark, d):
-    return f.atr(b.bars(spark, d), f.BARS, "high", "low", "close").select("symbol", "date", b.r("atr", 5))
+    return f.atr(b.bars(spark, d), f.BARS, "high", "low", "close").select("symbol", "date", b.r("atr", 3))
 
 
 @query("f18_daily_volatility", f"""WITH {NUMBERED},
