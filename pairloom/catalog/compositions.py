@@ -46,13 +46,14 @@ def signals(spark, d):
         F.col("mean_eth").alias("price_eth"), F.col("mean_btc").alias("price_btc"))
 
 
-def signal_stream(spark, d, path):
-    """The signals as a stream of files, one per period; each file is one micro-batch."""
+def play_periods(spark, d, path, out="", foreach=None):
+    """Deliver the signals in three periods; after each one the stream goes on from its checkpoint."""
     s = training.materialise(signals(spark, d), "signals")
     edges = ["1900-01-01", "1998-01-01", "2000-01-01", "2100-01-01"]
     for lo, hi in zip(edges, edges[1:]):
-        s.where((F.col("ts") >= lo) & (F.col("ts") < hi)).repartition(1).write.mode("append").parquet(f"{path}/in")
-    return spark.readStream.schema(s.schema).option("maxFilesPerTrigger", 1).parquet(f"{path}/in")
+        s.where((F.col("ts") >= lo) & (F.col("ts") < hi)).write.mode("append").parquet(f"{path}/in")
+        stream = spark.readStream.schema(s.schema).parquet(f"{path}/in")
+        msgs.run_once(ledger.ledger_stream(stream), out, f"{path}/ckpt", foreach=foreach)
 
 
 def ledger_sql(basis: str, upper: float, lower: float, reenter: bool, account: str = "main") -> str:
@@ -96,7 +97,7 @@ SELECT 'main' AS account, {LEDGER_COLS} FROM led_main JOIN sig_main USING (k)"""
 def i2(spark, d):
     # one state per account lives in the state store across micro-batches
     path = work_dir(spark, "ledger")
-    msgs.run_once(ledger.ledger_stream(signal_stream(spark, d, path)), f"{path}/out", f"{path}/ckpt")
+    play_periods(spark, d, path, out=f"{path}/out")
     return ledger_select(spark.read.parquet(f"{path}/out"), "account")
 
 
@@ -105,7 +106,7 @@ SELECT date, '00:00:00' AS time, sym AS symbol, 'USD' AS currency, CAST(CAST(amo
        round(bal, 2) AS account_balance, 'main' AS account_id FROM led_main JOIN sig_main USING (k)""")
 def i3(spark, d):
     path = work_dir(spark, "ledger")
-    msgs.run_once(ledger.ledger_stream(signal_stream(spark, d, path)), "", f"{path}/ckpt", foreach=ledger.write_ledger(f"{path}/out"))
+    play_periods(spark, d, path, foreach=ledger.write_ledger(f"{path}/out"))
     p, bal = spark.read.parquet(f"{path}/out/positions"), spark.read.parquet(f"{path}/out/balances")
     both = p.join(bal.select("msg_id", "account_balance"), "msg_id")
     return both.select("date", "time", "symbol", "currency", F.col("position_size").cast("double").alias("position_size"),

@@ -224,6 +224,10 @@ spans AS (SELECT event_type, ts AS t0, ts + to_minutes(CAST(30 + value AS INTEGE
 """
 
 
+# slices for events: their number is bounded by the minutes covered, a busy minute still fits a task
+MINUTE = 1 / 1440
+
+
 def event_spans(spark, d):
     """Spans of half an hour and more from every event; some early-January ones are test spans."""
     e = b.table(spark, d, "events")
@@ -238,7 +242,7 @@ SELECT event_type, event_id, t0, t1 FROM spans tr WHERE NOT is_test AND NOT EXIS
   SELECT 1 FROM spans te WHERE te.is_test AND te.event_type = tr.event_type AND tr.t0 <= te.t1 AND tr.t1 >= te.t0)""")
 def d8(spark, d):
     spans = event_spans(spark, d)
-    spec = SeriesSpec(("event_type",), "t0", ties=("event_id",), bucket_days=1)
+    spec = SeriesSpec(("event_type",), "t0", ties=("event_id",), bucket_days=MINUTE)
     return labels.purge_train(spans.where(~F.col("is_test")).drop("is_test"), spans.where("is_test").drop("is_test"), spec)
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from pairloom.catalog import base as b
 from pairloom.catalog.base import BARS, PAIR_SQL, PREDICTIONS, SPREAD_SQL, query
-from pairloom.catalog.relational import BARRIER, SPANS, event_spans
+from pairloom.catalog.relational import BARRIER, MINUTE, SPANS, event_spans
 from pairloom.catalog.windows import EMA, RSI, atr_sql
 from pairloom.operators import labels, regimes, stats
 from pairloom.operators.features import BARS as BAR_SERIES
@@ -14,7 +14,7 @@ from pairloom.operators.features import PAIR, technical_features
 from pairloom.operators.series import SeriesSpec
 from pairloom.plans import training
 
-EVENTS = SeriesSpec(("event_type",), "t0", ties=("event_id",), bucket_days=1)
+EVENTS = SeriesSpec(("event_type",), "t0", ties=("event_id",), bucket_days=MINUTE)
 Z = "standardized_spread"
 
 
@@ -47,7 +47,7 @@ ON s.event_type = e.event_type AND s.t0 <= e.t0 AND s.t1 >= e.t0 GROUP BY e.even
 def h3(spark, d):
     spans = event_spans(spark, d)
     times = spans.select("event_type", F.col("t0").alias("ts"))
-    spec = SeriesSpec(("event_type",), "ts", bucket_days=1)
+    spec = SeriesSpec(("event_type",), "ts", bucket_days=MINUTE)
     return labels.label_concurrency(times, spans, spec)
 
 

@@ -73,16 +73,15 @@ def a6(spark, d):
 SELECT CAST(o_orderdate AS DATE) AS date, o_orderpriority AS symbol, CAST(o_orderkey AS DOUBLE) AS size
 FROM orders WHERE o_orderpriority <> '5-LOW'""")
 def a7(spark, d):
-    # one CSV folder per priority; the date of some rows of one priority cannot be read, and as
-    # each folder is written from one shuffle partition its file is skipped as a whole
+    # one CSV folder per priority; the dates of one priority cannot be read, so its files are skipped
     path = work_dir(spark, "copy")
     o = b.table(spark, d, "orders")
-    unreadable = (F.col("o_orderpriority") == "5-LOW") & (F.col("o_orderkey") % 2 == 0)
+    unreadable = F.col("o_orderpriority") == "5-LOW"
     rows = o.select(
         F.when(unreadable, "n/a").otherwise(F.col("o_orderdate").cast("date").cast("string")).alias("date"),
         F.col("o_orderpriority").alias("symbol"), F.col("o_orderkey").cast("double").alias("size"),
         F.col("o_orderpriority").alias("part"))
-    rows.repartition("part").write.mode("overwrite").option("header", True).partitionBy("part").csv(f"{path}/copy")
+    rows.write.mode("overwrite").option("header", True).partitionBy("part").csv(f"{path}/copy")
     schema = T.StructType.fromDDL("date date, symbol string, size double")
     return files.copy_csv(spark, f"{path}/copy/*", schema)
 

@@ -12,8 +12,9 @@ from pairloom.functions import columns as C
 from pairloom.functions import rolling as R
 from pairloom.operators.series import ORD, SeriesSpec, affine_scan, running, sliding, with_ordinal
 
-BARS = SeriesSpec(("symbol",), "date")
-PAIR = SeriesSpec(("pair",), "date")
+# daily series have some thousand rows; small chunks spread even a few of them over many tasks
+BARS = SeriesSpec(("symbol",), "date", chunk_rows=1024)
+PAIR = SeriesSpec(("pair",), "date", chunk_rows=1024)
 
 
 def wide_by_symbol(bars: DataFrame, legs: Mapping[str, str], values: Sequence[str]) -> DataFrame:

@@ -32,8 +32,11 @@ class SeriesSpec:
     """How a frame is split into ordered series.
 
     ``(keys, ts, ties)`` must be unique and ``keys`` not null. ``bucket_days`` is the width of
-    the slices used by ``running``; give ``bucket`` instead when ``ts`` is not a date or time.
-    ``chunk_rows`` is the number of home rows of one ``sliding`` task.
+    the slices used by ``running`` and ``time_sliding``: choose it so that a slice of the busiest
+    series fits a task (the default suits daily rows; minutes or less suit ticks). The number of
+    slices is bounded by the time span, not by the rows. Give ``bucket`` instead when ``ts`` is
+    not a date or time. ``chunk_rows`` is the number of home rows of one chunk of ``sliding``.
+    Times are cut in the session time zone, which should be UTC.
     """
 
     keys: tuple[str, ...]
@@ -41,7 +44,7 @@ class SeriesSpec:
     ties: tuple[str, ...] = ()
     bucket_days: float = 1024
     bucket: Callable[[Column], Column] | None = None
-    chunk_rows: int = 1024
+    chunk_rows: int = 8192
 
     @property
     def order(self) -> list[str]:

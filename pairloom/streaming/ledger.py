@@ -14,6 +14,9 @@ from pyspark.sql import types as T
 
 from pairloom.operators.chunks import HOME, chunk_fold
 from pairloom.operators.series import SeriesSpec
+from pairloom.session import SESSION_CONF
+
+STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
 
 # Symbols of the legs, barrier margins, share of the balance per position, days held.
 LEG_FOR = {1: "ETH-USD", 0: "BTC-USD"}
@@ -182,7 +185,13 @@ class LedgerProcessor(StatefulProcessor):
 
 def ledger_stream(signals: DataFrame, rules: LedgerRules = LedgerRules(), balance: float = START_BALANCE,
                   accounts: DataFrame | None = None) -> DataFrame:
-    """Streaming ledger over the columns of ``replay``; ``accounts`` gives stored start states."""
+    """Streaming ledger over the columns of ``replay``; ``accounts`` gives stored start states.
+
+    The rows an account gets within one micro-batch are played in time order; the trigger limit
+    of the source bounds how many that are. This operator needs the RocksDB state store, which
+    is set on the session.
+    """
+    signals.sparkSession.conf.set(STATE_STORE, SESSION_CONF[STATE_STORE])
     initial = accounts.groupBy("account") if accounts is not None else None
     return signals.groupBy("account").transformWithStateInPandas(
         statefulProcessor=LedgerProcessor(rules, balance),
