@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from pairloom.operators.features import PAIR, pair_frame, standardized_spread
+from pairloom.operators import features
+from pairloom.operators.features import pair_frame, standardized_spread
 from pairloom.sources.bars import bars_from_ticks
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -18,6 +19,10 @@ ORACLES: dict[str, str] = {}
 RUN_TS = "2024-01-01 00:15:00"
 LEGS = {"A": "eth", "N": "btc"}
 
+# here bars and pairs are aggregated from the driver tables, not read from a stored table
+BAR_SERIES = features.BARS.with_(shared_input=True)
+PAIR = features.PAIR.with_(shared_input=True)
+
 
 def query(name: str, sql: str | None = None) -> Callable[[QueryFn], QueryFn]:
     def register(fn: QueryFn) -> QueryFn:

@@ -5,15 +5,13 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from pairloom.catalog import base as b
-from pairloom.catalog.base import BARS, DATES, LEGS, POSITIONS, PREDICTIONS, RUN_TS, SPREAD_SQL, query
+from pairloom.catalog.base import BARS, BAR_SERIES, DATES, LEGS, PAIR, POSITIONS, PREDICTIONS, RUN_TS, SPREAD_SQL, query
 from pairloom.catalog.maintenance import SNAPSHOT, two_snapshots
 from pairloom.catalog.relational import key_sql
 from pairloom.catalog.research import FEATURE_SELECT, NUMBERED_PAIR, PAIR_CHANGES, feature_select
 from pairloom.catalog.sources import write_messages
 from pairloom.catalog.windows import fact_position
 from pairloom.functions import rolling as R
-from pairloom.operators.features import BARS as BAR_SERIES
-from pairloom.operators.features import PAIR
 from pairloom.operators.series import sliding
 from pairloom.plans import features as feats
 from pairloom.plans import marts, training
@@ -169,7 +167,7 @@ FROM bars JOIN dates USING (date) WINDOW w AS (PARTITION BY symbol ORDER BY date
 
 
 def facts(spark, d):
-    return marts.fact_ohlc(marts.stage_bars(b.assets(spark, d), RUN_TS), b.dates(spark, d))
+    return marts.fact_ohlc(marts.stage_bars(b.assets(spark, d), RUN_TS), b.dates(spark, d), BAR_SERIES.with_(keys=("symbol_code",)))
 
 
 @query("l1_fact_ohlc", f"""WITH {FACTS}
@@ -216,14 +214,14 @@ FACT_CHANGES = """chg AS (SELECT zs.date, zs.o, e.cc AS ce, n.cc AS cb FROM zs
 def l5(spark, d):
     # facts of all days, the strict 45-column table, written and read back as the model input
     path = work_dir(spark, "features")
-    frame = feats.feature_frame(facts(spark, d), b.dates(spark, d), LEGS, n_days=0)
+    frame = feats.feature_frame(facts(spark, d), b.dates(spark, d), LEGS, n_days=0, spec=PAIR)
     feats.feature_table(frame).write.mode("overwrite").parquet(f"{path}/features")
     return feature_select(feats.read_features(spark.read.parquet(f"{path}/features")))
 
 
 @query("l5_feature_vector_latest")
 def l5_latest(spark, d):
-    frame = feats.feature_frame(facts(spark, d), b.dates(spark, d), LEGS, n_days=150)
+    frame = feats.feature_frame(facts(spark, d), b.dates(spark, d), LEGS, n_days=150, spec=PAIR)
     return feats.latest_vector(feats.read_features(feats.feature_table(frame)))
 
 
@@ -239,7 +237,7 @@ lab AS (SELECT date, CASE WHEN ts IS NULL THEN 0 WHEN v >= abs(z) * (1 + 0.66201
 SELECT {FEATURE_SELECT}, label, t1 FROM feats JOIN lab USING (date)
 WHERE date <= DATE '2000-07-31' AND z IS NOT NULL AND ma_20 IS NOT NULL AND rsi IS NOT NULL AND coint IS NOT NULL AND ent_eth IS NOT NULL""")
 def l6(spark, d):
-    out = training.labelled_set(b.pair(spark, d), until="2000-07-31")
+    out = training.labelled_set(b.pair(spark, d), PAIR, until="2000-07-31")
     return feature_select(out, "label", "t1")
 
 

@@ -5,11 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from pairloom.catalog import base as b
-from pairloom.catalog.base import BARS, DATES, LEGS, PAIR_SQL, POSITIONS, PREDICTIONS, RUN_TS, SPREAD_SQL, query
+from pairloom.catalog.base import BARS, BAR_SERIES, DATES, LEGS, PAIR, PAIR_SQL, POSITIONS, PREDICTIONS, RUN_TS, SPREAD_SQL, query
 from pairloom.functions import columns as C
 from pairloom.operators import features as f
 from pairloom.operators import labels, metrics, quality
-from pairloom.operators.features import PAIR
 from pairloom.operators.series import SeriesSpec
 from pairloom.operators.tables import normalise_names
 from pairloom.plans import marts
@@ -206,7 +205,7 @@ def d6(spark, d):
     items = b.table(spark, d, "lineitem")
     trend = items.groupBy(F.col("l_returnflag").alias("symbol"), F.trunc("l_shipdate", "month").alias("date")).agg(
         F.sum("l_quantity").alias("trend"))
-    return f.asof_fill(b.bars(spark, d).select("symbol", "date", "close"), trend, f.BARS, "trend")
+    return f.asof_fill(b.bars(spark, d).select("symbol", "date", "close"), trend, BAR_SERIES, "trend")
 
 
 @query("d7_forward_interval_join", f"""WITH {SPREAD_SQL}
@@ -309,7 +308,7 @@ a AS (SELECT symbol, first(close ORDER BY date) AS f, last(close ORDER BY date)
 SELECT symbol, final_value, round(final_value / f, 6) AS profit_ratio, round(cr, 6) AS cumulative_return,
        round(sharpe, 6) AS sharpe, round(dd, 6) AS drawdown, round(dc, 6) AS drawdown_cash, round(0.3 * cr - 0.7 * dd, 6) AS weighted FROM a""")
 def e6(spark, d):
-    out = metrics.portfolio_metrics(b.bars(spark, d), f.BARS, "close")
+    out = metrics.portfolio_metrics(b.bars(spark, d), BAR_SERIES, "close")
     return out.select("symbol", "final_value", *[b.r(c) for c in (
         "profit_ratio", "cumulative_return", "sharpe", "drawdown", "drawdown_cash", "weighted")])
 

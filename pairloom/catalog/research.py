@@ -5,12 +5,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from pairloom.catalog import base as b
-from pairloom.catalog.base import BARS, PAIR_SQL, PREDICTIONS, SPREAD_SQL, query
+from pairloom.catalog.base import BARS, BAR_SERIES, PAIR, PAIR_SQL, PREDICTIONS, SPREAD_SQL, query
 from pairloom.catalog.relational import BARRIER, MINUTE, SPANS, event_spans
 from pairloom.catalog.windows import EMA, RSI, atr_sql
 from pairloom.operators import labels, regimes, stats
-from pairloom.operators.features import BARS as BAR_SERIES
-from pairloom.operators.features import PAIR, technical_features
+from pairloom.operators.features import technical_features
 from pairloom.operators.series import SeriesSpec
 from pairloom.plans import training
 
@@ -313,4 +312,4 @@ def feature_select(df, *more):
 
 @query("h18_technical_features", f"WITH {NUMBERED_PAIR} SELECT {FEATURE_SELECT} FROM feats")
 def h18(spark, d):
-    return feature_select(technical_features(b.pair(spark, d)))
+    return feature_select(technical_features(b.pair(spark, d), PAIR))

@@ -5,10 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from pairloom.catalog import base as b
-from pairloom.catalog.base import BARS, DATES, PREDICTIONS, query
+from pairloom.catalog.base import BARS, BAR_SERIES, DATES, PREDICTIONS, query
 from pairloom.functions import columns as C
 from pairloom.operators import quality as q
-from pairloom.operators.features import BARS as BAR_SERIES
 from pairloom.operators.series import running
 
 COLS = ["symbol", "date", "open", "high", "low", "close", "volume"]

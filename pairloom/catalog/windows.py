@@ -5,11 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from pairloom.catalog import base as b
-from pairloom.catalog.base import BARS, DATES, POSITIONS, RUN_TS, SPREAD_SQL, query
+from pairloom.catalog.base import BARS, BAR_SERIES, DATES, PAIR, POSITIONS, RUN_TS, SPREAD_SQL, query
 from pairloom.functions import columns as C
 from pairloom.functions import rolling as R
 from pairloom.operators import features as f
-from pairloom.operators.features import PAIR
 from pairloom.operators.series import ORD, sliding
 from pairloom.plans import marts
 
@@ -22,7 +21,7 @@ nb AS (SELECT *, row_number() OVER w - 1 AS o, close - lag(close) OVER w AS cc F
 
 
 def on_bars(spark, d, back, fn):
-    return sliding(b.bars(spark, d), f.BARS, back, fn)
+    return sliding(b.bars(spark, d), BAR_SERIES, back, fn)
 
 
 @query("f1_close_change", f"WITH {BARS} SELECT symbol, date, close - lag(close) OVER w AS close_change FROM bars {W}")
@@ -65,14 +64,14 @@ def f5(spark, d):
 @query("f6_vwap_cumulative", f"""WITH {BARS}
 SELECT symbol, date, round(sum((high + low + close) / 3 * volume) OVER w / sum(volume) OVER w, 4) AS vwap FROM bars {W}""")
 def f6(spark, d):
-    return f.vwap(b.bars(spark, d), f.BARS).select("symbol", "date", b.r("vwap", 4))
+    return f.vwap(b.bars(spark, d), BAR_SERIES).select("symbol", "date", b.r("vwap", 4))
 
 
 @query("f7_vwap_day_of_month", f"""WITH {BARS}
 SELECT symbol, date, round(sum((high + low + close) / 3 * volume) OVER w / sum((high + low + close) / 3) OVER w, 6) AS vwap_dom
 FROM bars WINDOW w AS (PARTITION BY symbol, day(date) ORDER BY date)""")
 def f7(spark, d):
-    return f.vwap_day_of_month(b.bars(spark, d), f.BARS, {"vwap_dom": ""}).select("symbol", "date", b.r("vwap_dom"))
+    return f.vwap_day_of_month(b.bars(spark, d), BAR_SERIES, {"vwap_dom": ""}).select("symbol", "date", b.r("vwap_dom"))
 
 
 @query("f8_position_pnl", f"""WITH {BARS}, {DATES}, {POSITIONS},
@@ -99,7 +98,7 @@ p AS (SELECT symbol, date, last_value(c IGNORE NULLS) OVER (PARTITION BY symbol
 SELECT symbol, date, c / NULLIF(lag(c) OVER (PARTITION BY symbol ORDER BY date), 0) - 1 AS pct_change FROM p""")
 def f9(spark, d):
     holes = b.bars(spark, d).withColumn("close", F.when(F.col("close") > 800, F.col("close")))
-    return f.padded_pct_change(holes, f.BARS, "close").select("symbol", "date", "pct_change")
+    return f.padded_pct_change(holes, BAR_SERIES, "close").select("symbol", "date", "pct_change")
 
 
 @query("f10_standardized_spread", f"""WITH {SPREAD_SQL}
@@ -116,7 +115,7 @@ SELECT symbol, date, CAST(sign(last_value(d IGNORE NULLS) OVER (PARTITION BY sym
 def f11(spark, d):
     # closes in steps of a hundred, so that unchanged closes occur
     coarse = b.bars(spark, d).withColumn("close", F.round("close", -2))
-    return f.nonzero_direction(coarse, f.BARS, "close").select("symbol", "date", "direction")
+    return f.nonzero_direction(coarse, BAR_SERIES, "close").select("symbol", "date", "direction")
 
 
 @query("f12_rolling_entropy", f"""WITH {NUMBERED},
@@ -214,7 +213,7 @@ atr_{name} AS (SELECT t.k, t.date, t.o, CASE WHEN t.o < 13 THEN 0 ELSE any_value
 
 @query("f17_atr", f"WITH {NUMBERED}, {atr_sql('nb', 'symbol', 'high', 'low', 'close', 'b')} SELECT k AS symbol, date, round(atr, 3) AS atr FROM atr_b")
 def f17(spark, d):
-    return f.atr(b.bars(spark, d), f.BARS, "high", "low", "close").select("symbol", "date", b.r("atr", 3))
+    return f.atr(b.bars(spark, d), BAR_SERIES, "high", "low", "close").select("symbol", "date", b.r("atr", 3))
 
 
 @query("f18_daily_volatility", f"""WITH {NUMBERED},
@@ -228,7 +227,7 @@ s AS (SELECT t.symbol, t.date, sum(power(99.0 / 101, t.o - i.o) * power(i.x - mu
 SELECT m.symbol, m.date, round(CASE WHEN n > 1 THEN sqrt(ss / sw * sw * sw / (sw * sw - sw2)) END, 6) AS volatility
 FROM m LEFT JOIN s USING (symbol, date)""")
 def f18(spark, d):
-    return f.daily_volatility(b.bars(spark, d), f.BARS, "close").select("symbol", "date", b.r("volatility"))
+    return f.daily_volatility(b.bars(spark, d), BAR_SERIES, "close").select("symbol", "date", b.r("volatility"))
 
 
 @query("f19_rolling_trend_beta", f"""WITH {NUMBERED}
@@ -242,4 +241,4 @@ def f19(spark, d):
 @query("f20_cumulative_return", f"""WITH {BARS}
 SELECT symbol, date, round(CASE WHEN row_number() OVER w > 1 THEN close / first_value(close) OVER w END, 6) AS cumulative_return FROM bars {W}""")
 def f20(spark, d):
-    return f.cumulative_return(b.bars(spark, d), f.BARS, "close").select("symbol", "date", b.r("cumulative_return"))
+    return f.cumulative_return(b.bars(spark, d), BAR_SERIES, "close").select("symbol", "date", b.r("cumulative_return"))

@@ -37,6 +37,10 @@ class SeriesSpec:
     slices is bounded by the time span, not by the rows. Give ``bucket`` instead when ``ts`` is
     not a date or time. ``chunk_rows`` is the number of home rows of one chunk of ``sliding``.
     Times are cut in the session time zone, which should be UTC.
+
+    ``running`` reads its input twice, once for the carries. A stored table is best read twice
+    with the few columns each use needs. ``shared_input`` says that the input comes out of a
+    shuffle instead: both uses then keep all columns, so that Spark runs that shuffle once.
     """
 
     keys: tuple[str, ...]
@@ -45,6 +49,7 @@ class SeriesSpec:
     bucket_days: float = 1024
     bucket: Callable[[Column], Column] | None = None
     chunk_rows: int = 8192
+    shared_input: bool = False
 
     @property
     def order(self) -> list[str]:
@@ -62,9 +67,15 @@ def _time_slice(df: DataFrame, ts: str, days: float) -> Column:
 
 
 def _bucket_of(df: DataFrame, spec: SeriesSpec) -> Column:
+    """Slice of a row; never null, so that no join adds a filter for it."""
     if spec.bucket is not None:
-        return spec.bucket(F.col(spec.ts)).cast("long")
-    return _time_slice(df, spec.ts, spec.bucket_days)
+        return F.coalesce(spec.bucket(F.col(spec.ts)).cast("long"), F.lit(0).cast("long"))
+    return F.coalesce(_time_slice(df, spec.ts, spec.bucket_days), F.lit(0).cast("long"))
+
+
+def _whole_rows(df: DataFrame, always: Column) -> DataFrame:
+    """Keep every row, by a condition that needs all columns and holds whenever ``always`` does."""
+    return df.where(F.when(always, F.struct(*df.columns)).isNotNull())
 
 
 def running(
@@ -89,6 +100,12 @@ def running(
     base = df.select("*", _bucket_of(df, spec).alias(_BUCKET),
                      *[c.alias(f"_in{i}") for i, (_, _, c) in enumerate(specs)])
 
+    if spec.shared_input:
+        # equal plans for both uses below: the same filters and the same columns
+        for k in keys:
+            base = base.where(F.col(k).isNotNull())
+        base = _whole_rows(base, F.col(_BUCKET) > F.lit(-(1 << 62)))
+
     position = F.struct(*spec.order)
     totals = []
     for i, (kind, _, _) in enumerate(specs):

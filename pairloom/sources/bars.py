@@ -24,11 +24,10 @@ def bars_from_ticks(
     interval: str = "day",
 ) -> DataFrame:
     """OHLCV bars per symbol and interval; ``order`` ranks the ticks inside a bar."""
-    key = F.struct(*order)
-    stamp = F.date_trunc(interval, at)
-    name = "date" if interval == "day" else "ts"
+    key = F.struct(*order) if len(order) > 1 else order[0]
+    name, stamp = ("date", at.cast("date")) if interval == "day" else ("ts", F.date_trunc(interval, at))
     return (
-        ticks.select(F.col(symbol).alias("symbol"), (stamp.cast("date") if interval == "day" else stamp).alias(name),
+        ticks.select(F.col(symbol).alias("symbol"), stamp.alias(name),
                      price.alias("_p"), size.alias("_v"), key.alias("_k"))
         .groupBy("symbol", name)
         .agg(F.min_by("_p", "_k").alias("open"), F.max("_p").alias("high"), F.min("_p").alias("low"),
