@@ -73,9 +73,9 @@ def _bucket_of(df: DataFrame, spec: SeriesSpec) -> Column:
     return F.coalesce(_time_slice(df, spec.ts, spec.bucket_days), F.lit(0).cast("long"))
 
 
-def _whole_rows(df: DataFrame, always: Column) -> DataFrame:
-    """Keep every row, by a condition that needs all columns and holds whenever ``always`` does."""
-    return df.where(F.when(always, F.struct(*df.columns)).isNotNull())
+def _whole_rows(df: DataFrame) -> DataFrame:
+    """All rows, by a condition that always holds but needs every column."""
+    return df.where(F.xxhash64(*df.columns) >= F.lit(-(1 << 63)))
 
 
 def running(
@@ -104,7 +104,7 @@ def running(
         # equal plans for both uses below: the same filters and the same columns
         for k in keys:
             base = base.where(F.col(k).isNotNull())
-        base = _whole_rows(base, F.col(_BUCKET) > F.lit(-(1 << 62)))
+        base = _whole_rows(base)
 
     position = F.struct(*spec.order)
     totals = []
