@@ -212,16 +212,16 @@ FACT_CHANGES = """chg AS (SELECT zs.date, zs.o, e.cc AS ce, n.cc AS cb FROM zs
 
 @query("l5_feature_row", f"WITH {NUMBERED_PAIR.replace(PAIR_CHANGES, FACT_CHANGES)} SELECT {FEATURE_SELECT} FROM feats")
 def l5(spark, d):
-    # facts of all days, the strict 45-column table, written and read back as the model input
+    # facts of all days as a stored table, the strict 45-column table, read back as the model input
     path = work_dir(spark, "features")
-    frame = feats.feature_frame(facts(spark, d), b.dates(spark, d), LEGS, n_days=0, spec=PAIR)
+    frame = feats.feature_frame(training.materialise(facts(spark, d), "facts"), b.dates(spark, d), LEGS, n_days=0)
     feats.feature_table(frame).write.mode("overwrite").parquet(f"{path}/features")
     return feature_select(feats.read_features(spark.read.parquet(f"{path}/features")))
 
 
 @query("l5_feature_vector_latest")
 def l5_latest(spark, d):
-    frame = feats.feature_frame(facts(spark, d), b.dates(spark, d), LEGS, n_days=150, spec=PAIR)
+    frame = feats.feature_frame(training.materialise(facts(spark, d), "facts"), b.dates(spark, d), LEGS, n_days=150)
     return feats.latest_vector(feats.read_features(feats.feature_table(frame)))
 
 
