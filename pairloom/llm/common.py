@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from pairloom.session import work_dir
 
-__all__ = ["fresh", "read", "stored", "text_or_empty", "uniform", "word_hashes", "work_dir"]
+__all__ = ["fresh", "hash_sample", "read", "stored", "text_or_empty", "uniform", "word_hashes", "work_dir"]
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -43,6 +43,17 @@ def uniform(*parts: Column) -> Column:
     return F.shiftrightunsigned(F.xxhash64(*parts), 11).cast("double") * F.lit(2.0 ** -53)
 
 
+def hash_sample(rows: DataFrame, key: str, most: int) -> DataFrame:
+    """About ``most`` rows by the hash of their key, and never more; all rows if there are no more than that.
+
+    The share to take follows from a count, so only about that many rows leave the executors.
+    """
+    n = rows.count()
+    if n > most:
+        rows = rows.where(uniform(F.lit(11), F.col(key)) < most / n)
+    return rows.orderBy(F.xxhash64(key), key).limit(most)
+
+
 # --- words of many texts at once ------------------------------------------------------------------
 
 PIECE_BYTES = 1 << 20

@@ -8,8 +8,19 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pairloom.llm import byte_bpe, sharding, token_counts, url_filters
-from pairloom.llm.common import read, text_or_empty
+from pairloom.llm import (
+    byte_bpe,
+    compression_classifier,
+    decontamination,
+    line_dedup,
+    near_dedup,
+    quality_rules,
+    sharding,
+    token_counts,
+    token_files,
+    url_filters,
+)
+from pairloom.llm.common import read, text_or_empty, work_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -31,6 +42,29 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_bytes", "n_tokens", "over_limit")
 
 
+@query("op2_line_dedup")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    out = line_dedup.without_recurring_lines(docs)
+    return out.select("doc_id", "n_lines", "n_dropped", F.length("text").cast("long").alias("n_chars_kept"), F.md5("text").alias("text_md5"))
+
+
+@query("op3_quality_rules")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    rules = quality_rules.fit(docs, read(spark, sf_dir, "labels"))
+    out = quality_rules.judged(docs, rules)
+    return out.select("doc_id", *quality_rules.COUNTS, "base_failed", "kept", "anomaly")
+
+
+@query("op4_token_files")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = work_dir(spark, "token-files")
+    token_files.write_token_files(read(spark, sf_dir, "documents"), path, public_tokenizers.path("word_bpe_49k.json"), end_id=2)
+    out = token_files.documents_of(spark, path, "bigint", token_files.crc32_of)
+    return out.select(F.col("key").alias("doc_id"), "start", "n_tokens", F.col("ids").alias("ids_crc32"))
+
+
 @query("op5_byte_bpe")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
@@ -40,6 +74,20 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+@query("op6_compression_classifier")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    model = compression_classifier.fit(docs, read(spark, sf_dir, "labels"))
+    out = compression_classifier.scored(docs, model)
+    return out.select("doc_id", (compression_classifier.fold(F.col("doc_id")) == 0).alias("held_out"), "score", "predicted")
+
+
+@query("op7_near_dedup")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return near_dedup.near_classes(docs).select("doc_id", "class_id", "class_size")
+
+
 OP8 = """
 WITH rules(verdict, host, path) AS (VALUES ('allow', 'com', '/'), ('block', 'example.com', '/en/'),
     ('allow', 'www.example.com', '/en/'), ('block', 'net', '/es/'), ('block', 'net', '/fr/')),
@@ -71,3 +119,10 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = sharding.shuffle_into_shards(docs, shards=16)
     return out.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard",
                       F.col("slot").cast("long").alias("slot"), F.lit(None).cast("int").alias("grown_shard"))
+
+
+@query("op10_decontamination")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    found = decontamination.find_passages(docs, read(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", F.col("item").alias("item_id"), "edits")
