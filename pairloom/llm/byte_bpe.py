@@ -11,10 +11,15 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from pairloom.llm.chunks import Chunks
+from pairloom.llm.common import fresh
 from pairloom.llm.token_counts import byte_characters
 
+#: rows that a worker turns into ids at a time
+SLICE = 128
+
 
 def read_ranks(path: str) -> dict[bytes, int]:
     with open(path, "rb") as f:
@@ -53,8 +58,7 @@ class ByteBpe:
         return [np.array(e.ids, np.int32).tobytes() for e in self.tokenizer.encode_batch_fast(chunks, add_special_tokens=False)]
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        return [np.frombuffer(b"".join(v), np.int32) for lo in range(0, len(texts), 256)
-                for v in self.chunks.values(texts[lo:lo + 256])]
+        return [np.frombuffer(b"".join(v), np.int32) for v in self.chunks.values(texts)]
 
     def decode(self, ids: np.ndarray) -> bytes:
         """The bytes of all tokens in a row; only together do they form characters again."""
@@ -86,7 +90,7 @@ def encoded(text: Column, path: str, pattern: str) -> Column:
     def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         bpe = _bpe(path, pattern)
         for batch in batches:
-            yield _lists(bpe.encode(batch.to_pylist()))
+            yield _lists([x for lo in range(0, len(batch), SLICE) for x in bpe.encode(batch.slice(lo, SLICE).to_pylist())])
     return encode(F.coalesce(text, F.lit("")))
 
 
@@ -111,12 +115,24 @@ def decoded(ids: Column, path: str, pattern: str) -> Column:
     return decode(F.coalesce(ids, F.array().cast("array<int>")))
 
 
-def encode_and_decode(docs: DataFrame, path: str, pattern: str, text: str = "text") -> DataFrame:
-    """``docs`` with ``ids`` and ``decoded``, the bytes that the ids give back.
+def encode_and_decode(docs: DataFrame, path: str, pattern: str, text: str = "text", keep: list[str] | None = None) -> DataFrame:
+    """The columns ``keep`` of ``docs`` (all by default) with ``ids`` and ``decoded``, the bytes that the ids give back.
 
     Null and empty texts have no ids and decode to no bytes. Every row is encoded by itself: repeated rows and null
-    keys stay; input columns named ids or decoded are replaced. Texts are never cut short.
+    keys stay; input columns named ids or decoded are replaced. Texts are never cut short. Rows go through a worker
+    in small slices, so its memory does not depend on the size of Arrow batches.
     """
-    names = [c for c in docs.columns if c.lower() not in ("ids", "decoded")]
-    with_ids = docs.select(*names, encoded(F.col(text), path, pattern).alias("ids"))
-    return with_ids.withColumn("decoded", decoded(F.col("ids"), path, pattern))
+    names = [c for c in (docs.columns if keep is None else keep) if c.lower() not in ("ids", "decoded")]
+    source = docs.select(*names, F.coalesce(F.col(text), F.lit("")).alias(fresh(docs, "whole_text")))
+    schema = T.StructType([*source.schema.fields[:-1], T.StructField("ids", T.ArrayType(T.IntegerType())), T.StructField("decoded", T.BinaryType())])
+
+    def through(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bpe = _bpe(path, pattern)
+        for batch in batches:
+            for lo in range(0, batch.num_rows, SLICE):
+                part = batch.slice(lo, SLICE)
+                ids = bpe.encode(part.column(len(names)).to_pylist())
+                yield pa.RecordBatch.from_arrays(
+                    [*part.columns[:-1], _lists(ids), pa.array([bpe.decode(x) for x in ids], pa.binary())], names=schema.names)
+
+    return source.mapInArrow(through, schema)

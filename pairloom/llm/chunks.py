@@ -6,7 +6,7 @@ import re
 from collections.abc import Callable
 
 #: chunks kept per generation; two generations are held by a worker
-KEPT = 300_000
+KEPT = 200_000
 #: marks between words that byte-pair patterns always separate from letters before them
 TAIL = ".,"
 _BETWEEN = re.compile(r"(?<=\S) (?=\S)")

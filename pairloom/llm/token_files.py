@@ -178,10 +178,9 @@ def write_token_files(docs: DataFrame, path: str, tokenizer_path: str, end_id: i
 
         for batch in batches:
             arrow = batch.schema.field("key").type
-            names, texts, parts = (batch.column(c).to_pylist() for c in ("key", "text", "part"))
-            for lo in range(0, len(texts), 128):
-                part = parts[lo]
-                for name, got in zip(names[lo:lo + 128], encoder.ids(texts[lo:lo + 128])):
+            for lo in range(0, batch.num_rows, 128):
+                names, texts, (part, *_) = (batch.column(c).slice(lo, 128).to_pylist() for c in ("key", "text", "part"))
+                for name, got in zip(names, encoder.ids(texts)):
                     keys.append(name)
                     ids.append(got + end)
                     held += len(got) // 4 + 1
