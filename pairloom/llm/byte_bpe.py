@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import base64
 import os
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -15,10 +16,10 @@ from pyspark.sql import types as T
 
 from pairloom.llm.chunks import Chunks
 from pairloom.llm.common import fresh
-from pairloom.llm.token_counts import byte_characters
+from pairloom.llm.token_counts import byte_characters, in_byte_characters
 
 #: rows that a worker turns into ids at a time
-SLICE = 128
+SLICE = 2048
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -55,10 +56,20 @@ class ByteBpe:
         self.chunks = Chunks(self._encode_chunks, keep_space=True)
 
     def _encode_chunks(self, chunks: list[str]) -> list[bytes]:
-        return [np.array(e.ids, np.int32).tobytes() for e in self.tokenizer.encode_batch_fast(chunks, add_special_tokens=False)]
+        """A chunk of one space at most and letters is one match of the pattern, so it goes straight to the merges."""
+        merge, out = self.tokenizer.model.tokenize, [b""] * len(chunks)
+        others = []
+        for i, c in enumerate(chunks):
+            if (c[1:] if c[:1] == " " else c).isalpha():
+                out[i] = array("I", [t.id for t in merge(in_byte_characters(c))]).tobytes()
+            else:
+                others.append(i)
+        for i, e in zip(others, self.tokenizer.encode_batch_fast([chunks[i] for i in others], add_special_tokens=False)):
+            out[i] = array("I", e.ids).tobytes()
+        return out
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        return [np.frombuffer(b"".join(v), np.int32) for v in self.chunks.values(texts)]
+        return [x.view(np.int32) for x in self.chunks.joined(texts)]
 
     def decode(self, ids: np.ndarray) -> bytes:
         """The bytes of all tokens in a row; only together do they form characters again."""

@@ -1,23 +1,27 @@
-"""Values of texts as sums over space-separated chunks, each computed once while it stays in a bounded cache."""
+"""Values of texts from their space-separated chunks, each distinct one computed once while it stays in a bounded cache."""
 
 from __future__ import annotations
 
 import re
 from collections.abc import Callable
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+
 #: chunks kept per generation; two generations are held by a worker
-KEPT = 200_000
-#: marks between words that byte-pair patterns always separate from letters before them
-TAIL = ".,"
+KEPT = 300_000
+#: marks that byte-pair patterns always separate from letters before them, and keep together
+TAIL = ".,!?;:)#$%&*"
 _BETWEEN = re.compile(r"(?<=\S) (?=\S)")
 
 
 class Chunks:
-    """``compute`` gives the values (numbers or bytes) of a list of chunks; a text's value is their sum.
+    """``compute`` gives the values (numbers, or ids as bytes of 32-bit numbers) of a list of chunks.
 
     With ``keep_space`` a chunk holds the space before it. Such a cut is sound only between two characters that
-    are no white space; texts with other spaces are cut by a pattern that checks it. Values are sums, so no
-    text is cut short and the cache changes only the speed.
+    are no white space; texts with other spaces are cut by a pattern that checks it. The value of a text is the sum
+    or the concatenation of all its chunks, so no text is cut short and the cache changes only the speed.
     """
 
     def __init__(self, compute: Callable[[list[str]], list], keep_space: bool, kept: int = KEPT):
@@ -25,56 +29,86 @@ class Chunks:
         self.young: dict = {}
         self.old: dict = {}
 
-    def _cut(self, text: str) -> list[str]:
-        parts = text.split(" ")
-        if self.keep_space:
-            parts[1:] = [" " + p for p in parts[1:]]
-        return parts
-
     def _unsafe(self, chunk: str) -> bool:
         return self.keep_space and (chunk in ("", " ") or chunk[-1].isspace() or chunk[0] == " " and chunk[1].isspace())
 
-    def _fill(self, chunks: set[str]) -> None:
+    def _values(self, chunks: list[str]) -> list:
+        """The chunks' values; None for chunks at which a plain cut is not sound."""
         young, old = self.young, self.old
+        found = [young.get(c, self) for c in chunks]
         todo, need = [], {}
-        for c in chunks:
-            if c in young:
-                continue
-            if c in old:
-                young[c] = old[c]
+        for i, (c, v) in enumerate(zip(chunks, found)):
+            if v is not self:
                 continue
-            if self._unsafe(c):
-                young[c] = None
-                continue
-            core = c.rstrip(TAIL)
-            parts = (core, c[len(core):]) if len(core) < len(c) and core.lstrip(" ").isalpha() else (c,)
-            todo.append((c, parts))
-            for p in parts:
-                if p not in young:
-                    need[p] = None
-        need = dict(zip(need, self.compute(list(need)))) if need else {}
-        young.update(need)
-        for c, parts in todo:
+            v = old.get(c, self)
+            if v is not self:
+                found[i] = young[c] = v
+            elif self._unsafe(c):
+                found[i] = young[c] = None
+            else:
+                core = c.rstrip(TAIL)
+                parts = (core, c[len(core):]) if len(core) < len(c) and core.lstrip(" ").isalpha() else (c,)
+                todo.append((i, c, parts))
+                for p in parts:
+                    if p not in young:
+                        need[p] = None
+        if need:
+            young.update(zip(need, self.compute(list(need))))
+        for i, c, parts in todo:
             if len(parts) == 2:
                 young[c] = young[parts[0]] + young[parts[1]]
+            found[i] = young[c]
+        return found
 
     def _odd(self, text: str) -> list:
-        """Chunk values of a text with unusual spaces; chunks that the plain cut would not trust are not kept."""
+        """Chunk values of a text with unusual spaces; chunks that a plain cut would not trust are not kept."""
         parts = _BETWEEN.split(text)
         chunks = [parts[0], *[" " + p for p in parts[1:]]]
-        self._fill(set(chunks))
-        lost = list({c for c in chunks if self.young[c] is None})
+        values = self._values(chunks)
+        lost = list({c for c, v in zip(chunks, values) if v is None})
         extra = dict(zip(lost, self.compute(lost))) if lost else {}
-        return [extra[c] if c in extra else self.young[c] for c in chunks]
+        return [extra[c] if v is None else v for c, v in zip(chunks, values)]
 
-    def values(self, texts: list[str]) -> list[list]:
-        """Values of the chunks of every text, in order."""
+    def _cut(self, texts: list[str]) -> tuple[list, np.ndarray, np.ndarray, dict[int, list]]:
+        """Distinct values, the index into them of each chunk, the first chunk of each text, and the texts cut otherwise."""
         if len(self.young) > self.kept:
             self.old, self.young = self.young, {}
-        cuts = [self._cut(t) for t in texts]
-        self._fill(set().union(*cuts) if cuts else set())
-        out = []
-        for text, parts in zip(texts, cuts):
-            found = [self.young[p] for p in parts]
-            out.append(self._odd(text) if None in found else found)
+        lists = pc.split_pattern(pa.array(texts, pa.large_string()), " ")
+        first = lists.offsets.to_numpy()
+        coded = lists.flatten().dictionary_encode()
+        at = coded.indices.to_numpy().astype(np.int64)
+        distinct = coded.dictionary.to_pylist()
+        if not self.keep_space:
+            return self._values(distinct), at, first, {}
+        heads = lists.flatten().take(pa.array(first[:-1])).dictionary_encode()
+        starts = heads.dictionary.to_pylist()
+        values = self._values([" " + d for d in distinct] + starts)
+        at[first[:-1]] = heads.indices.to_numpy() + len(distinct)
+        odd = np.array([v is None for v in values])
+        strange = np.flatnonzero(np.logical_or.reduceat(odd[at], first[:-1])) if odd.any() else ()
+        return values, at, first, {int(i): self._odd(texts[i]) for i in strange}
+
+    def sums(self, texts: list[str]) -> np.ndarray:
+        """The sum of the chunk values of each text."""
+        if not texts:
+            return np.empty(0, np.int64)
+        values, at, first, odd = self._cut(texts)
+        out = np.add.reduceat(np.array([v or 0 for v in values], np.int64)[at], first[:-1])
+        for i, v in odd.items():
+            out[i] = sum(v)
         return out
+
+    def joined(self, texts: list[str]) -> list[np.ndarray]:
+        """The ids of all chunks of each text in a row (unsigned 32-bit numbers)."""
+        if not texts:
+            return []
+        values, at, first, odd = self._cut(texts)
+        plain = [v or b"" for v in values]
+        size = np.array([len(v) for v in plain], np.int64) // 4
+        begin = np.cumsum(size) - size
+        ids = np.frombuffer(b"".join(plain), np.uint32)
+        taken = size[at]
+        ends = np.cumsum(taken)
+        flat = ids[np.repeat(begin[at] - (ends - taken), taken) + np.arange(ends[-1])]
+        bounds = np.concatenate([[0], ends[first[1:] - 1]])
+        return [np.frombuffer(b"".join(odd[i]), np.uint32) if i in odd else flat[bounds[i]:bounds[i + 1]] for i in range(len(texts))]

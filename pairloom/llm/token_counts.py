@@ -18,6 +18,8 @@ from pairloom.llm.common import text_or_empty
 # fixed values: the split pattern of byte-level vocabularies; its \s is the Unicode property of white space
 PATTERN = (r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+"
            r"|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+")
+#: texts that a worker counts at a time
+SLICE = 2048
 _BITS = 20
 _LOW = (1 << _BITS) - 1
 
@@ -30,6 +32,13 @@ def byte_characters() -> dict[int, str]:
     return out
 
 
+def in_byte_characters(text: str) -> str:
+    return text.encode().decode("latin-1").translate(byte_characters_of)
+
+
+byte_characters_of = byte_characters()
+
+
 class MergeCounter:
     """Counts tokens of texts by the merges of a byte-level tokenizer file."""
 
@@ -93,7 +102,7 @@ class MergeCounter:
         return len(found) + sum(self.of_piece(p.encode()) for part in self.special.split(text) for p in self.split.findall(part))
 
     def of_texts(self, texts: list[str]) -> list[int]:
-        return [sum(v) for v in self.chunks.values(texts)]
+        return self.chunks.sums(texts).tolist()
 
 
 @lru_cache(maxsize=2)
@@ -108,7 +117,7 @@ def token_count(text: Column, tokenizer_path: str) -> Column:
         counter = _counter(tokenizer_path)
         for s in batches:
             texts = s.tolist()
-            yield pd.Series([n for lo in range(0, len(texts), 256) for n in counter.of_texts(texts[lo:lo + 256])], dtype="int64")
+            yield pd.Series([n for lo in range(0, len(texts), SLICE) for n in counter.of_texts(texts[lo:lo + SLICE])], dtype="int64")
     return count(F.coalesce(text, F.lit("")))
 
 

@@ -17,6 +17,7 @@ import os
 import struct
 import unicodedata
 import zlib
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -27,11 +28,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pairloom.llm.chunks import Chunks
+from pairloom.llm.token_counts import in_byte_characters
 
 BLOCK = 128
 #: share of a block's residuals that the chosen width holds at least; the others are exceptions
 PERCENTILE = 0.9
 SEGMENT_IDS = 65536
+#: texts that a worker encodes at a time
+SLICE = 2048
 _MAGIC = b"PFR1"
 _BIT = np.arange(32, dtype=np.uint32)
 
@@ -123,7 +127,17 @@ class WordEncoder:
         self.chunks = Chunks(self._encode, keep_space=False)
 
     def _encode(self, chunks: list[str]) -> list[bytes]:
-        return [np.array(e.ids, np.uint32).tobytes() for e in self.tokenizer.encode_batch_fast(chunks, add_special_tokens=False)]
+        """A lower-case word in normal form is one match of the pattern, so it goes straight to the merges."""
+        merge, out = self.tokenizer.model.tokenize, [b""] * len(chunks)
+        others = []
+        for i, c in enumerate(chunks):
+            if c.isalpha() and c == c.lower() and (c.isascii() or "Σ" not in c and unicodedata.is_normalized("NFC", c)):
+                out[i] = array("I", [t.id for t in merge(in_byte_characters(c))]).tobytes()
+            else:
+                others.append(i)
+        for i, e in zip(others, self.tokenizer.encode_batch_fast([chunks[i] for i in others], add_special_tokens=False)):
+            out[i] = array("I", e.ids).tobytes()
+        return out
 
     @staticmethod
     def lowered(text: str) -> str:
@@ -134,8 +148,8 @@ class WordEncoder:
         low = text.lower()
         return low if unicodedata.is_normalized("NFC", text) and unicodedata.is_normalized("NFC", low) else text
 
-    def ids(self, texts: list[str]) -> list[bytes]:
-        return [b"".join(v) for v in self.chunks.values([self.lowered(t) for t in texts])]
+    def ids(self, texts: list[str]) -> list[np.ndarray]:
+        return self.chunks.joined([self.lowered(t).replace("\n", " ") for t in texts])
 
 
 @lru_cache(maxsize=2)
@@ -159,7 +173,7 @@ def write_token_files(docs: DataFrame, path: str, tokenizer_path: str, end_id: i
         T.StructField("part", T.IntegerType()), T.StructField("segment", T.IntegerType()), T.StructField("before", T.LongType()),
         T.StructField("n_ids", T.LongType()), T.StructField("keys", T.ArrayType(kind)), T.StructField("lengths", T.ArrayType(T.LongType())),
         T.StructField("payload", T.BinaryType())])
-    end = np.array([end_id], np.uint32).tobytes()
+    end = np.array([end_id], np.uint32)
 
     def segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(tokenizer_path)
@@ -168,9 +182,9 @@ def write_token_files(docs: DataFrame, path: str, tokenizer_path: str, end_id: i
         keys, ids = [], []
 
         def flush() -> pa.RecordBatch:
-            data = np.frombuffer(b"".join(ids), np.uint32)
+            data = np.concatenate(ids)
             row = {"part": [part], "segment": [number], "before": [before], "n_ids": [len(data)], "keys": [keys],
-                   "lengths": [[len(x) // 4 for x in ids]], "payload": [pack(data)]}
+                   "lengths": [[len(x) for x in ids]], "payload": [pack(data)]}
             return pa.RecordBatch.from_arrays([
                 pa.array(row["part"], pa.int32()), pa.array(row["segment"], pa.int32()), pa.array(row["before"], pa.int64()),
                 pa.array(row["n_ids"], pa.int64()), pa.array(row["keys"], pa.list_(arrow)), pa.array(row["lengths"], pa.list_(pa.int64())),
@@ -178,12 +192,12 @@ def write_token_files(docs: DataFrame, path: str, tokenizer_path: str, end_id: i
 
         for batch in batches:
             arrow = batch.schema.field("key").type
-            for lo in range(0, batch.num_rows, 128):
-                names, texts, (part, *_) = (batch.column(c).slice(lo, 128).to_pylist() for c in ("key", "text", "part"))
+            for lo in range(0, batch.num_rows, SLICE):
+                names, texts, (part, *_) = (batch.column(c).slice(lo, SLICE).to_pylist() for c in ("key", "text", "part"))
                 for name, got in zip(names, encoder.ids(texts)):
                     keys.append(name)
-                    ids.append(got + end)
-                    held += len(got) // 4 + 1
+                    ids.append(np.append(got, end))
+                    held += len(got) + 1
                     if held >= SEGMENT_IDS:
                         yield flush()
                         keys, ids, number, before, held = [], [], number + 1, before + held, 0
