@@ -115,14 +115,37 @@ def keys_needed(items: list[np.ndarray], target: float = TARGET_RECALL) -> int:
     return int(min(MOST_KEYS, np.sort(found)[min(len(found) - 1, math.ceil(target * len(found)) - 1)] + 1))
 
 
+class Marks:
+    """A set of hashes: sorted, behind a table of their lowest bits that answers most questions."""
+
+    def __init__(self, values: np.ndarray):
+        self.values = np.unique(values)
+        size = 1 << min(26, max(16, int(16 * max(1, len(values))).bit_length()))
+        self.mask = np.uint64(size - 1)
+        self.table = np.zeros(size, bool)
+        self.table[values & self.mask] = True
+
+    def has(self, x: np.ndarray) -> np.ndarray:
+        out = self.table[x & self.mask]
+        if len(self.values):
+            maybe = x[out]
+            out[out] = self.values[np.minimum(np.searchsorted(self.values, maybe), len(self.values) - 1)] == maybe
+        return out
+
+
 @dataclass
 class Search:
-    """What a scan needs to know of the items: their sizes, the number of keys, and, if small enough, words and keys."""
+    """What a scan needs to know of the items: their sizes, the number of keys, and, if small enough, their words, word pairs and keys."""
     sizes: dict[int, int] = field(default_factory=dict)  # class -> most edits of its items
     longest: dict[int, int] = field(default_factory=dict)
     keys: int = 1
-    words: np.ndarray | None = None
-    known: np.ndarray | None = None
+    words: Marks | None = None
+    pairs: Marks | None = None
+    known: Marks | None = None
+
+
+def _pairs(h: np.ndarray) -> np.ndarray:
+    return mix(h[:-1] * np.uint64(3) + h[1:])
 
 
 def _item_keys(items: DataFrame, keys: int) -> DataFrame:
@@ -138,33 +161,31 @@ def _item_keys(items: DataFrame, keys: int) -> DataFrame:
     return items.withColumn("m", measure(F.col("item_text"))).select("item", "item_text", "m.*")
 
 
-def _contains(sorted_values: np.ndarray, x: np.ndarray) -> np.ndarray:
-    at = np.searchsorted(sorted_values, x)
-    return sorted_values[np.minimum(at, len(sorted_values) - 1)] == x
-
-
 def _windows(text: pa.Array, search: Search):
     """(row, start byte, end byte, class, keys) of the windows of some texts that may hold an item, and the bytes."""
     h, first, begin, finish, data = word_hashes(text, letters=True)
     if not len(h):
         return
-    if search.words is not None:
-        flag = _contains(search.words, h).astype(np.int32)
-        total = np.concatenate([[0], np.cumsum(flag)])
     row = np.repeat(np.arange(len(text)), np.diff(first))
     end = first[1:][row]
+    if search.words is not None:
+        flag = search.words.has(h)
+        total = np.concatenate([[0], np.cumsum(flag, dtype=np.int32)])
+        pair = np.append(search.pairs.has(_pairs(h)) & (row[1:] == row[:-1]), False)
+        pairs = np.concatenate([[0], np.cumsum(pair, dtype=np.int32)])
     for size, most in search.sizes.items():
-        start = np.arange(len(h))
-        stop = np.minimum(start + size, end)
-        if search.words is not None:  # an item within its edits shares all but so many words with the window
-            start = np.flatnonzero((total[stop] - total[:-1] >= size - most) & (flag > 0))
+        stop = np.minimum(np.arange(size, len(h) + size), end)
+        if search.words is not None:
+            # a window that begins with a word of the item shares all of its words but one an edit, and all of its word pairs but two
+            near = np.flatnonzero(flag & (total[stop] - total[:-1] >= size - most))
+            start = near[pairs[stop[near] - 1] - pairs[near] >= size - 1 - 2 * most]
         else:
-            start = start[stop - start >= size - most]
+            start = np.flatnonzero(stop - np.arange(len(h)) >= size - most)
         for lo in range(0, len(start), 8192):
             part = start[lo:lo + 8192]
             keys = embed(h, part, end[part], size, search.keys)
             if search.known is not None:
-                hit = _contains(search.known, keys)
+                hit = search.known.has(keys)
                 on = hit.any(axis=1)
                 part, keys, hit = part[on], keys[on], hit[on]
             else:
@@ -184,8 +205,8 @@ def find_passages(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", te
     texts share a node, so repeated rows give repeated results; items that repeat are found each. An empty
     table on either side gives an empty result; other columns are not read.
 
-    Each text is scanned whole. Windows of an item's size class begin at every word; those that share too few words with
-    all items are passed over, which loses nothing. The others are embedded, and those that share a key with an item are compared
+    Each text is scanned whole. Windows of an item's size class begin at every word; those that share too few words or word pairs
+    with all items to be within the edits are passed over, which loses nothing. The others are embedded, and those that share a key with an item are compared
     with it exactly. The number of keys follows from ``target_recall`` for the hardest edits; exact passages
     are always found.
     """
@@ -199,8 +220,9 @@ def find_passages(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", te
     volume = measured.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("words"), (F.count(F.lit(1)) * search.keys).alias("keys")).first()
     if 0 < max(volume["words"], volume["keys"]) <= HELD:  # a checked bound on what each task is given
         parts = measured.select("item_text", "keys").toPandas()
-        search.words = np.unique(np.concatenate(_words(parts["item_text"].tolist())))
-        search.known = np.unique(np.concatenate([np.asarray(k, np.int64) for k in parts["keys"]]).view(np.uint64))
+        words = _words(parts["item_text"].tolist())
+        search.words, search.pairs = Marks(np.concatenate(words)), Marks(np.concatenate([_pairs(w) for w in words]))
+        search.known = Marks(np.concatenate([np.asarray(k, np.int64) for k in parts["keys"]]).view(np.uint64))
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
