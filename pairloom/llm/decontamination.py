@@ -22,7 +22,8 @@ SAMPLED, MOST_KEYS = 4, 64
 TARGET_RECALL = 0.95
 #: words and keys of all items that a task may hold for its filters; larger benchmarks go without
 HELD = 4_000_000
-PIECE = 1 << 21
+#: windows embedded at a time, so that the arrays stay in a processor's cache
+WINDOWS = 1024
 _GAP = np.uint64(0x2545F4914F6CDD1D)
 
 
@@ -138,6 +139,7 @@ class Search:
     """What a scan needs to know of the items: their sizes, the number of keys, and, if small enough, their words, word pairs and keys."""
     sizes: dict[int, int] = field(default_factory=dict)  # class -> most edits of its items
     longest: dict[int, int] = field(default_factory=dict)
+    changes: dict[int, int] = field(default_factory=dict)  # class -> fewest pairs in the first words of an item that differ from the pair before
     keys: int = 1
     words: Marks | None = None
     pairs: Marks | None = None
@@ -171,18 +173,23 @@ def _windows(text: pa.Array, search: Search):
     if search.words is not None:
         flag = search.words.has(h)
         total = np.concatenate([[0], np.cumsum(flag, dtype=np.int32)])
-        pair = np.append(search.pairs.has(_pairs(h)) & (row[1:] == row[:-1]), False)
+        both = _pairs(h)
+        pair = np.append(search.pairs.has(both) & (row[1:] == row[:-1]), False)
         pairs = np.concatenate([[0], np.cumsum(pair, dtype=np.int32)])
+        fresh_pair = pair & np.concatenate([[True], both[1:] != both[:-1], [False]])[:len(h)]
+        fresh_pairs = np.concatenate([[0], np.cumsum(fresh_pair, dtype=np.int32)])
     for size, most in search.sizes.items():
         stop = np.minimum(np.arange(size, len(h) + size), end)
         if search.words is not None:
-            # a window that begins with a word of the item shares all of its words but one an edit, and all of its word pairs but two
+            # a window that begins with a word of the item shares all of its words but one an edit, all of its word pairs but two an
+            # edit, and all of its pairs that differ from the pair before (which repeated words lack) but three an edit
             near = np.flatnonzero(flag & (total[stop] - total[:-1] >= size - most))
-            start = near[pairs[stop[near] - 1] - pairs[near] >= size - 1 - 2 * most]
+            near = near[pairs[stop[near] - 1] - pairs[near] >= size - 1 - 2 * most]
+            start = near[fresh_pairs[stop[near] - 1] - fresh_pairs[near] >= search.changes[size] - 3 * most]
         else:
             start = np.flatnonzero(stop - np.arange(len(h)) >= size - most)
-        for lo in range(0, len(start), 8192):
-            part = start[lo:lo + 8192]
+        for lo in range(0, len(start), WINDOWS):
+            part = start[lo:lo + WINDOWS]
             keys = embed(h, part, end[part], size, search.keys)
             if search.known is not None:
                 hit = search.known.has(keys)
@@ -221,13 +228,17 @@ def find_passages(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", te
     if 0 < max(volume["words"], volume["keys"]) <= HELD:  # a checked bound on what each task is given
         parts = measured.select("item_text", "keys").toPandas()
         words = _words(parts["item_text"].tolist())
+        for w in words:
+            size = int(size_class(np.array([len(w)]))[0])
+            both = _pairs(w[:size])
+            search.changes[size] = min(search.changes.get(size, size), int((both[1:] != both[:-1]).sum()))
         search.words, search.pairs = Marks(np.concatenate(words)), Marks(np.concatenate([_pairs(w) for w in words]))
         search.known = Marks(np.concatenate([np.asarray(k, np.int64) for k in parts["keys"]]).view(np.uint64))
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             node, texts = batch.column("node"), batch.column("text")
-            for lo, hi in pieces(texts, PIECE):
+            for lo, hi in pieces(texts):
                 for row, begin, finish, size, keys, hit, data in _windows(texts.slice(lo, hi - lo), search):
                     for k in range(0, len(row), 1024):
                         cut = slice(k, k + 1024)
@@ -241,7 +252,9 @@ def find_passages(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", te
     schema = "node long, window string, keys array<bigint>"
     found = named.select("node", "text").mapInArrow(scan, schema) if search.sizes else spark.createDataFrame([], schema)
     met = (found.select("node", "window", F.explode(F.array_distinct("keys")).alias("k"))
-           .join(measured.select("item", "item_text", F.explode("keys").alias("k")), "k").select("node", "window", "item", "item_text").distinct())
+           .join(measured.select("item", "item_text", F.explode("keys").alias("k")), "k")
+           # a count, for Spark would drop a mere distinct before the minimum below and compare a pair once per shared key
+           .groupBy("node", "window", "item", "item_text").agg(F.count(F.lit(1)).alias("shared")).where("shared > 0"))
     close = (met.withColumn("edits", _edits(F.col("item_text"), F.col("window"))).where("edits IS NOT NULL")
              .groupBy("node", "item").agg(F.min("edits").alias("edits")))
     matches = stored(close, "passages")

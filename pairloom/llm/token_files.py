@@ -38,6 +38,8 @@ SEGMENT_IDS = 65536
 SLICE = 2048
 _MAGIC = b"PFR1"
 _BIT = np.arange(32, dtype=np.uint32)
+#: widths that numbers of whole bytes have
+_WHOLE = {8: "<u1", 16: "<u2", 32: "<u4"}
 
 
 def _bits(x: np.ndarray) -> np.ndarray:
@@ -68,9 +70,13 @@ def pack(ids: np.ndarray) -> bytes:
     out[at + 4], out[at + 5] = width, exceptions
     for w in np.unique(width):
         rows = np.flatnonzero(width == w)
-        if w:
+        if w in _WHOLE:
+            packed = rest[rows].astype(_WHOLE[w]).view(np.uint8)
+        elif w:
             planes = (rest[rows][:, :, None] >> _BIT[:w] & 1).astype(np.uint8).reshape(len(rows), -1)
-            out[(at[rows] + 6)[:, None] + np.arange(16 * w)] = np.packbits(planes, axis=1, bitorder="little")
+            packed = np.packbits(planes, axis=1, bitorder="little")
+        if w:
+            out[(at[rows] + 6)[:, None] + np.arange(16 * w)] = packed
     block, place = np.nonzero(odd)
     if len(block):
         k = np.arange(len(block)) - np.concatenate([[0], np.cumsum(exceptions)])[block]
@@ -94,9 +100,11 @@ def unpack(payload: bytes, blocks: slice | None = None) -> np.ndarray:
     rest = np.zeros((hi - lo, BLOCK), np.uint32)
     for w in np.unique(width):
         rows = np.flatnonzero(width == w)
-        if w:
-            planes = np.unpackbits(data[(at[rows] + 6)[:, None] + np.arange(16 * w)], axis=1, bitorder="little")
-            planes = planes.reshape(len(rows), BLOCK, w)
+        packed = data[(at[rows] + 6)[:, None] + np.arange(16 * w)]
+        if w in _WHOLE:
+            rest[rows] = packed.view(_WHOLE[w])
+        elif w:
+            planes = np.unpackbits(packed, axis=1, bitorder="little").reshape(len(rows), BLOCK, w)
             if w <= 16:
                 words = np.packbits(np.pad(planes, ((0, 0), (0, 0), (0, 16 - w))), axis=2, bitorder="little")
                 rest[rows] = words.reshape(len(rows), -1).view("<u2")
