@@ -14,24 +14,26 @@ MIN_DOCS = 3
 #: share of a line's tokens that must be constant in its leaf, or fields with digits, for a template
 SIMILARITY = 0.75
 FIELD = "<*>"
+#: what separates tokens inside a line
+SPACE = " \t\x0b\x0c\r"
 
 
 def tokens(line: Column) -> Column:
-    return F.split(F.trim(F.translate(line, "\t\x0b\x0c\r", "    ")), " +")
+    return F.split(F.btrim(line, F.lit(SPACE)), f"[{SPACE}]+")
 
 
 def _leaf(line: Column) -> Column:
     """Hash of the path down the tree: token count and leading tokens."""
     t = tokens(line)
-    lead = F.transform(F.slice(t, 1, DEPTH), lambda x: F.when(x.rlike("[0-9]"), F.lit(FIELD)).otherwise(x))
-    return F.xxhash64(F.size(t), lead)
+    lead = [F.get(t, F.lit(i)) for i in range(DEPTH)]
+    return F.xxhash64(F.size(t), *[F.when(x.rlike("[0-9]"), F.lit(FIELD)).otherwise(x) for x in lead])
 
 
 def _lines(docs: DataFrame, key: str, text: str) -> DataFrame:
     """(doc, key, pos, line) of all lines with a token; ``doc`` is a hash of key and text, so equal rows are one document."""
     plain = docs.select(F.col(key).alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     cut = plain.select(F.xxhash64("key", "text").alias("doc"), "key", F.posexplode(F.split("text", "\n", -1)).alias("pos", "line"))
-    return cut.where(F.col("line").rlike(r"[^ \t\x0b\x0c\r]"))
+    return cut.where(F.col("line").rlike(f"[^{SPACE}]"))
 
 
 def recurring_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", min_docs: int = MIN_DOCS,
