@@ -16,9 +16,10 @@ WORDS = 5
 SIMILARITY = 0.8
 #: bands and registers a band: pairs of similarity 0.8 share a band with probability 1 - (1 - 0.8**5)**20 > 0.999
 BANDS, ROWS = 20, 5
-#: rounds in which the members of a bucket are compared with one hub, before the members of different classes that are left
-#: meet pair by pair
-HUB_ROUNDS = 3
+#: rounds in which the members of a bucket are compared with one hub, before those of different classes that are left meet in blocks
+HUB_ROUNDS = 2
+#: texts on either side of a block
+BLOCK = 128
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F,
                  0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3], np.uint64)
 
@@ -145,6 +146,53 @@ def _links(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
     return met.where(jaccard(F.col("text_a"), F.col("text_b")) >= similarity).select("a", "b")
 
 
+def _block_links(open_members: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
+    """Links between texts of different classes that still share buckets, directly or through others.
+
+    Such texts form families. All pairs of different classes in a family hold a text outside its largest class; those texts meet
+    the whole family in blocks of ``BLOCK`` by ``BLOCK`` texts, dealt to tasks by family and block numbers. Overlaps are counted
+    inside a block, and only links leave it: one for each text and class it is similar to.
+    """
+    low = open_members.groupBy("band").agg(F.min("node").alias("low"))
+    family = components(open_members.join(low, "band").select("node", "low").distinct(), "node", "low")
+    nodes = stored(open_members.select("node", F.col("label").alias("class")).distinct().join(family, "node").withColumnRenamed("label", "family"), "families")
+    classes = nodes.groupBy("family", "class").agg(F.count(F.lit(1)).alias("n"))
+    sizes = classes.groupBy("family").agg(F.sum("n").alias("all"), F.max(F.struct("n", "class")).alias("main")).select(
+        "family", F.col("main.class").alias("main"), F.ceil(F.col("all") / BLOCK).alias("n_all"), F.ceil((F.col("all") - F.col("main.n")) / BLOCK).alias("n_rest"))
+    met = nodes.join(sizes, "family")
+    spread = F.xxhash64(F.lit(3), F.col("node"))
+
+    def every(n: Column) -> Column:
+        return F.explode(F.sequence(F.lit(0).cast("long"), n - 1))
+
+    rest = met.where("class <> main").select("family", F.pmod(spread, "n_rest").alias("row"), every(F.col("n_all")).alias("col"), F.lit(0).alias("side"), "node", "class")
+    whole = met.where("n_rest > 0").select("family", every(F.col("n_rest")).alias("row"), F.pmod(spread, "n_all").alias("col"), F.lit(1).alias("side"), "node", "class")
+
+    def compare(table: pa.Table) -> pa.Table:
+        side, node, kind = (table.column(c).to_numpy() for c in ("side", "node", "class"))
+        h, start = shingles(table.column("text").combine_chunks() if table.num_rows else pa.array([], pa.string()))
+        sets = [np.unique(h[a:b]) for a, b in zip(start[:-1], start[1:])]
+        right = np.flatnonzero(side == 1)
+        size = np.array([len(sets[i]) for i in right], np.int64)
+        held = np.concatenate([sets[i] for i in right]) if len(right) else np.empty(0, np.uint64)
+        order = np.argsort(held, kind="stable")
+        held, owner = held[order], np.repeat(np.arange(len(right)), size)[order]
+        a, b = [], []
+        for i in np.flatnonzero(side == 0) if len(held) else ():
+            first, last = np.searchsorted(held, sets[i]), np.searchsorted(held, sets[i], "right")
+            n = last - first
+            at = np.repeat(first - (np.cumsum(n) - n), n) + np.arange(n.sum())
+            same = np.bincount(owner[at], minlength=len(right))
+            close = right[(same >= similarity * (len(sets[i]) + size - same)) & (same > 0) & (kind[right] != kind[i])]
+            found = close[np.unique(kind[close], return_index=True)[1]]
+            a += [int(node[i])] * len(found)
+            b += node[found].tolist()
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    return (rest.unionAll(whole).join(texts, "node").groupBy("family", "row", "col").applyInArrow(compare, "a long, b long")
+            .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+
+
 def near_classes(docs: DataFrame, key: str = "doc_id", text: str = "text", similarity: float = SIMILARITY) -> DataFrame:
     """One row per row of ``docs``: its key, ``node`` (a 64-bit hash of its text), ``label`` and ``class_id``.
 
@@ -155,10 +203,10 @@ def near_classes(docs: DataFrame, key: str = "doc_id", text: str = "text", simil
     an empty result.
 
     Equal texts are one node. In each bucket of a band the members are first compared with one hub (its smallest node),
-    and classes are formed. Buckets that still hold several classes get further rounds with other hubs, for members
-    outside the hub's class. At last all pairs of different classes that still share a bucket are compared. So
-    no candidate pair that could join two classes is left out, while the members of a large group cost
-    a comparison each and not one with every other.
+    and classes are formed. Buckets that still hold several classes get a further round with another hub, for members
+    outside the hub's class. At last the texts of different classes that still share buckets are compared in blocks
+    (``_block_links``). So no candidate pair that could join two classes is left out, and the members of a large class cost
+    a comparison or two each; only texts that share buckets with a large class and are like none of it meet all of it.
     """
     plain = docs.select(F.col(key).alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     named = plain.withColumn("node", F.xxhash64("text"))
@@ -171,28 +219,21 @@ def near_classes(docs: DataFrame, key: str = "doc_id", text: str = "text", simil
     spark = docs.sparkSession
     links = spark.createDataFrame([], "a long, b long")
     labels = spark.createDataFrame([], "node long, label long")
-    done = None
     for turn in range(HUB_ROUNDS + 1):
         at = members.join(labels, "node", "left").select("band", "node", F.coalesce("label", "node").alias("label"))
         split = at.groupBy("band").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high")
         at = stored(at.join(split.select("band"), "band"), "open-buckets") if turn else at
         if turn and at.isEmpty():
             break
-        if turn < HUB_ROUNDS:
+        if turn == HUB_ROUNDS:
+            links = links.unionAll(stored(_block_links(at, texts, similarity), "similar"))
+        else:
             order = F.col("node") if not turn else F.xxhash64(F.lit(turn), F.col("node"))
             hubs = at.groupBy("band").agg(F.min(order).alias("rank"))
             hub = at.withColumn("rank", order).join(hubs, ["band", "rank"]).select(
                 "band", F.col("node").alias("hub"), F.col("label").alias("hub_label")).dropDuplicates(["band"])
-            pairs = at.join(hub, "band").where("label <> hub_label").select("node", "hub")
-        else:
-            other = at.select("band", F.col("node").alias("hub"), F.col("label").alias("hub_label"))
-            pairs = at.join(other, "band").where("label < hub_label").select("node", "hub")
-        pairs = pairs.select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct()
-        if done is not None:
-            pairs = pairs.join(done, ["a", "b"], "left_anti")
-        pairs = stored(pairs, "pairs")
-        done = pairs if done is None else done.unionAll(pairs)
-        links = links.unionAll(stored(_links(pairs, texts, similarity), "similar"))
+            pairs = at.join(hub, "band").where("label <> hub_label").select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b"))
+            links = links.unionAll(stored(_links(pairs.distinct(), texts, similarity), "similar"))
         labels = components(links)
     classed = signed.select("key", "node").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     least = classed.groupBy("label").agg(F.min("key").alias("class_id"), F.count(F.lit(1)).alias("class_size"))

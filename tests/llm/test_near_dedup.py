@@ -105,9 +105,10 @@ def test_only_hub_rounds_differ_in_cost(spark, monkeypatch):
         for _ in range(4):
             copy[rng.randrange(120)] = f"y{rng.randrange(9)}"
         texts.append(" ".join(copy))
+    monkeypatch.setattr(near_dedup, "BLOCK", 16)
     for rounds in (0, 1):
         monkeypatch.setattr(near_dedup, "HUB_ROUNDS", rounds)
-        check(spark, texts)
+        check(spark, texts + [" ".join(words(rng, 300)), "a b c"])
 
 
 @pytest.mark.parametrize("weighted", [False, True])
