@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -22,8 +23,8 @@ SAMPLED, MOST_KEYS = 4, 64
 TARGET_RECALL = 0.95
 #: words and keys of all items that a task may hold for its filters; larger benchmarks go without
 HELD = 4_000_000
-#: windows embedded at a time, so that the arrays stay in a processor's cache
-WINDOWS = 1024
+#: bytes of text scanned, and windows embedded, at a time, so that the arrays stay in a processor's cache
+PIECE, WINDOWS = 1 << 20, 1024
 _GAP = np.uint64(0x2545F4914F6CDD1D)
 
 
@@ -41,6 +42,7 @@ def size_class(n: np.ndarray) -> np.ndarray:
     return steps[np.maximum(0, np.searchsorted(steps, n, "right") - 1)]
 
 
+@lru_cache(maxsize=256)
 def _positions(size: int, keys: int) -> np.ndarray:
     """Sampled positions (keys x SAMPLED) of an embedding of a window of ``size`` words."""
     rng = np.random.default_rng([17, size])
@@ -143,6 +145,7 @@ class Search:
     keys: int = 1
     words: Marks | None = None
     pairs: Marks | None = None
+    early: dict[int, Marks] = field(default_factory=dict)  # class -> words that the first kept word of an item can be
     known: Marks | None = None
 
 
@@ -181,10 +184,11 @@ def _windows(text: pa.Array, search: Search):
     for size, most in search.sizes.items():
         stop = np.minimum(np.arange(size, len(h) + size), end)
         if search.words is not None:
-            # a window that begins with a word of the item shares all of its words but one an edit, all of its word pairs but two an
+            # a window that begins with the first kept word of an item, one of its first words, shares all of its words but one an edit, all of its word pairs but two an
             # edit, and all of its pairs that differ from the pair before (which repeated words lack) but three an edit
             near = np.flatnonzero(flag & (total[stop] - total[:-1] >= size - most))
             near = near[pairs[stop[near] - 1] - pairs[near] >= size - 1 - 2 * most]
+            near = near[search.early[size].has(h[near])]
             start = near[fresh_pairs[stop[near] - 1] - fresh_pairs[near] >= search.changes[size] - 3 * most]
         else:
             start = np.flatnonzero(stop - np.arange(len(h)) >= size - most)
@@ -228,17 +232,20 @@ def find_passages(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", te
     if 0 < max(volume["words"], volume["keys"]) <= HELD:  # a checked bound on what each task is given
         parts = measured.select("item_text", "keys").toPandas()
         words = _words(parts["item_text"].tolist())
+        early: dict[int, list[np.ndarray]] = {}
         for w in words:
             size = int(size_class(np.array([len(w)]))[0])
+            early.setdefault(size, []).append(w[:search.sizes[size] + 1])
             both = _pairs(w[:size])
             search.changes[size] = min(search.changes.get(size, size), int((both[1:] != both[:-1]).sum()))
+        search.early = {size: Marks(np.concatenate(w)) for size, w in early.items()}
         search.words, search.pairs = Marks(np.concatenate(words)), Marks(np.concatenate([_pairs(w) for w in words]))
         search.known = Marks(np.concatenate([np.asarray(k, np.int64) for k in parts["keys"]]).view(np.uint64))
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             node, texts = batch.column("node"), batch.column("text")
-            for lo, hi in pieces(texts):
+            for lo, hi in pieces(texts, PIECE):
                 for row, begin, finish, size, keys, hit, data in _windows(texts.slice(lo, hi - lo), search):
                     for k in range(0, len(row), 1024):
                         cut = slice(k, k + 1024)
@@ -253,16 +260,18 @@ def find_passages(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", te
     found = named.select("node", "text").mapInArrow(scan, schema) if search.sizes else spark.createDataFrame([], schema)
     met = (found.select("node", "window", F.explode(F.array_distinct("keys")).alias("k"))
            .join(measured.select("item", "item_text", F.explode("keys").alias("k")), "k")
-           # a count, for Spark would drop a mere distinct before the minimum below and compare a pair once per shared key
-           .groupBy("node", "window", "item", "item_text").agg(F.count(F.lit(1)).alias("shared")).where("shared > 0"))
-    close = (met.withColumn("edits", _edits(F.col("item_text"), F.col("window"))).where("edits IS NOT NULL")
+           .groupBy("node", "window", "item", "item_text").agg(F.count(F.lit(1)).alias("shared")))
+    close = (met.where("shared > 0").withColumn("edits", _edits(F.col("item_text"), F.col("window"))).where("edits IS NOT NULL")
              .groupBy("node", "item").agg(F.min("edits").alias("edits")))
     matches = stored(close, "passages")
     return named.select("key", "node").join(matches, "node").select(F.col("key").alias(key), "node", "item", "edits")
 
 
 def _edits(item_text: Column, window: Column) -> Column:
-    """Edits between the item and the beginning of the window; null if there are too many."""
+    """Edits between the item and the beginning of the window; null if there are too many.
+
+    Called non-deterministic, for else Spark moves it before the grouping and compares a pair once per shared key.
+    """
     @F.arrow_udf("int")
     def count(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
         for one, two in batches:
@@ -272,7 +281,7 @@ def _edits(item_text: Column, window: Column) -> Column:
                 d = edit_distance(a, b, most)
                 out.append(d if d <= most else None)
             yield pa.array(out, pa.int32())
-    return count(item_text, window)
+    return count.asNondeterministic()(item_text, window)
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", item: str = "item_id",

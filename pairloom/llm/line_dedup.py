@@ -57,7 +57,8 @@ def recurring_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", mi
     mixed = (kinds.groupBy("leaf").agg(F.sum("docs").alias("n"), F.count(F.lit(1)).alias("kinds"), F.min("docs").alias("least"))
              .where((F.col("n") >= min_docs) & (F.col("kinds") > 1) & (F.col("least") < min_docs)).select("leaf"))
     inside = kinds.join(mixed, "leaf").select("lh", "leaf", "docs")
-    told = lines.select(F.xxhash64("line").alias("lh"), "line").join(inside, "lh").groupBy("lh", "leaf", "docs").agg(F.min("line").alias("line"))
+    # each distinct line once, reduced before the shuffle
+    told = lines.groupBy(F.xxhash64("line").alias("lh")).agg(F.min("line").alias("line")).join(inside, "lh")
     placed = stored(told.select("lh", "leaf", "docs", F.posexplode(tokens(F.col("line"))).alias("at", "token")), "tokens")
     support = placed.groupBy("leaf", "at", "token").agg(F.sum("docs").alias("support"))
     shown = F.when(F.col("support") >= min_docs, F.col("token")).otherwise(F.lit(FIELD))
