@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from pairloom.functions.columns import packed
 from pairloom.operators import features
 from pairloom.operators.features import pair_frame, standardized_spread
 from pairloom.sources.bars import bars_from_ticks
@@ -48,8 +49,8 @@ def bars(spark: SparkSession, d: str) -> DataFrame:
     """Daily bars: symbol = return flag, date = ship date, price = extended price per unit."""
     items = table(spark, d, "lineitem")
     price = F.col("l_extendedprice") / F.col("l_quantity")
-    return bars_from_ticks(items, "l_returnflag", F.col("l_shipdate"), price, F.col("l_quantity"),
-                           [F.col("l_orderkey"), F.col("l_linenumber"), price])
+    order = packed((F.col("l_orderkey"), 17), (F.col("l_linenumber"), 4), (F.round(price * 1_000_000), 15))
+    return bars_from_ticks(items, "l_returnflag", F.col("l_shipdate"), price, F.col("l_quantity"), [order])
 
 
 def pair(spark: SparkSession, d: str) -> DataFrame:

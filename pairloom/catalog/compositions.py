@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from pairloom import schemas
 from pairloom.catalog import base as b
 from pairloom.catalog.base import BARS, BAR_SERIES, DATES, LEGS, PAIR, POSITIONS, PREDICTIONS, RUN_TS, SPREAD_SQL, query
 from pairloom.catalog.maintenance import SNAPSHOT, two_snapshots
@@ -26,14 +27,19 @@ Z = "standardized_spread"
 SELECT 'm-' || CAST(date AS VARCHAR) AS msg_id, CAST(date AS VARCHAR) AS date, prediction, round(confidence, 6) AS confidence
 FROM predictions WHERE prediction IS NOT NULL""")
 def i1(spark, d):
-    # messages with copies and broken bodies in, each readable message once out
+    # messages with copies and broken bodies, delivered in three periods; each readable message once out
     path = work_dir(spark, "ingest")
-    write_messages(spark, d, f"{path}/in")
-    clean = msgs.accepted(msgs.message_stream(spark, f"{path}/in"), "4000 days")
-    msgs.run_once(clean, f"{path}/out", f"{path}/ckpt")
+    write_messages(spark, d, f"{path}/all")
+    every = spark.read.schema(msgs.RAW).json(f"{path}/all")
+    for lo, hi in zip(EDGES, EDGES[1:]):
+        every.where((F.col("sent_at") >= lo) & (F.col("sent_at") < hi)).write.mode("append").json(f"{path}/in")
+        msgs.run_once(msgs.accepted(msgs.message_stream(spark, f"{path}/in", files_per_batch=1000)), f"{path}/out", f"{path}/ckpt")
     return spark.read.parquet(f"{path}/out").select("msg_id", "date", "prediction", F.round("confidence", 6).alias("confidence"))
 
 
+EDGES = ("1900-01-01", "1998-01-01", "2000-01-01", "2100-01-01")
+
+
 def signals(spark, d):
     """One signal per scored date: direction, spread and, as prices, both 21-row mean closes."""
     z = sliding(b.spread(spark, d, keep_ordinal=True), PAIR, 21, lambda x, w: R.add(
@@ -44,14 +50,62 @@ def signals(spark, d):
         F.col("mean_eth").alias("price_eth"), F.col("mean_btc").alias("price_btc"))
 
 
-def play_periods(spark, d, path, out="", foreach=None):
-    """Deliver the signals in three periods; after each one the stream goes on from its checkpoint."""
-    s = training.materialise(signals(spark, d), "signals")
-    edges = ["1900-01-01", "1998-01-01", "2000-01-01", "2100-01-01"]
-    for lo, hi in zip(edges, edges[1:]):
-        s.where((F.col("ts") >= lo) & (F.col("ts") < hi)).write.mode("append").parquet(f"{path}/in")
-        stream = spark.readStream.schema(s.schema).parquet(f"{path}/in")
-        msgs.run_once(ledger.ledger_stream(stream), out, f"{path}/ckpt", foreach=foreach)
+def priced_dates(spark, d):
+    """What a message is traded on: the closes and the score of its date, next to the score before, which the message carries."""
+    def before(x, w):
+        return x.withColumn("message_spread", F.lag(Z).over(w))
+    z = sliding(b.spread(spark, d, keep_ordinal=True), PAIR, 1, before).where(F.col("message_spread").isNotNull())
+    return z.select("date", "message_spread", F.col(Z).alias("spread"), F.col("close_eth").alias("price_eth"), F.col("close_btc").alias("price_btc"))
+
+
+def order_messages(spark, d, priced):
+    """One message per order of a customer, each third one sent twice."""
+    from pairloom.operators.tables import prediction_messages
+    o = b.table(spark, d, "orders").select(
+        F.col("o_orderdate").cast("date").alias("date"), F.col("o_custkey").cast("string").alias("account"), "o_orderkey")
+    sent = o.join(priced, "date").withColumns({
+        "direction": F.when(F.col("message_spread") > 0, 1).otherwise(0), "confidence": F.abs("message_spread") / (1 + F.abs("message_spread")),
+        "mu": F.lit(0.0), "std": F.lit(1.0)})
+    bodies = prediction_messages(sent.select("date", "direction", "confidence", "mu", "std", F.col("message_spread").alias("spread"))).distinct()
+    seconds = F.make_dt_interval(secs=(F.col("o_orderkey") % 86400).cast("decimal(18,6)"))
+    return sent.select("date", "account", "o_orderkey").join(bodies, "date").select(
+        F.concat(F.lit("o-"), F.col("o_orderkey").cast("string")).alias("msg_id"), (F.col("date").cast("timestamp") + seconds).alias("sent_at"),
+        "account", "body", F.explode(F.sequence(F.lit(1), F.when(F.col("o_orderkey") % 3 == 0, 2).otherwise(1))).alias("_c")).drop("_c")
+
+
+def play_messages(spark, d, path, out="", foreach=None):
+    """Messages to positions: read, parse, drop copies, add prices, play each account. They come in three periods; after each
+    one the stream goes on from its checkpoint."""
+    priced = training.materialise(priced_dates(spark, d), "priced")
+    sent = training.materialise(order_messages(spark, d, priced), "messages")
+    known = priced.select(F.col("date").cast("string").alias("date"), "spread", "price_eth", "price_btc")
+    for lo, hi in zip(EDGES, EDGES[1:]):
+        sent.where((F.col("sent_at") >= lo) & (F.col("sent_at") < hi)).write.mode("append").json(f"{path}/in")
+        clean = msgs.accepted(msgs.message_stream(spark, f"{path}/in", files_per_batch=1000))
+        signal = clean.join(known, "date").select(
+            "account", F.col("sent_at").alias("ts"), "msg_id", "prediction", "message_spread", "spread", "price_eth", "price_btc")
+        msgs.run_once(ledger.ledger_stream(signal), out, f"{path}/ckpt", foreach=foreach)
+
+
+# one recursion step plays the next message of every account
+ORDER_LEDGER = f"""WITH RECURSIVE {SPREAD_SQL},
+px AS (SELECT date, lag(z) OVER (ORDER BY date) AS ms, z AS sp, close_eth AS pe, close_btc AS pb FROM zs),
+sig AS (SELECT CAST(o_custkey AS VARCHAR) AS account, 'o-' || CAST(o_orderkey AS VARCHAR) AS msg_id, px.date,
+               CAST(px.date AS TIMESTAMP) + to_seconds(o_orderkey % 86400) AS ts, CASE WHEN ms > 0 THEN 'ETH-USD' ELSE 'BTC-USD' END AS leg, ms, sp, pe, pb
+        FROM orders JOIN px ON px.date = CAST(o_orderdate AS DATE) WHERE ms IS NOT NULL),
+s AS (SELECT *, row_number() OVER (PARTITION BY account ORDER BY ts, msg_id) AS k FROM sig),
+led AS (SELECT DISTINCT account, CAST(0 AS BIGINT) AS k, CAST(NULL AS VARCHAR) AS sym, CAST(0 AS DOUBLE) AS amount, CAST(10000 AS DOUBLE) AS bal,
+               0 AS days, CAST(0 AS DOUBLE) AS os, '' AS action FROM s
+  UNION ALL
+  SELECT account, k, CASE WHEN enters THEN leg ELSE sym END,
+         CASE WHEN enters THEN bal1 * CAST(0.1 AS DOUBLE) / CASE WHEN leg = 'ETH-USD' THEN pe ELSE pb END ELSE amount END,
+         CASE WHEN enters THEN bal1 - bal1 * CAST(0.1 AS DOUBLE) ELSE bal END, CASE WHEN enters THEN 0 ELSE days + 1 END,
+         CASE WHEN enters THEN sp ELSE os END, CASE WHEN closed THEN 'reopen' WHEN enters THEN 'open' ELSE 'hold' END
+  FROM (SELECT *, sym IS NULL OR closed AS enters, CASE WHEN closed THEN bal + amount * CASE WHEN sym = 'ETH-USD' THEN pe ELSE pb END ELSE bal END AS bal1 FROM (
+        SELECT s.*, l.sym, l.amount, l.bal, l.days, l.os,
+               l.sym IS NOT NULL AND (l.days + 1 >= 2 OR s.sp >= s.ms * (1 + 0.662016) OR s.sp <= s.ms * (1 - 0.220194)) AS closed
+        FROM led l JOIN s ON s.account = l.account AND s.k = l.k + 1)))
+"""
 
 
 def ledger_sql(basis: str, upper: float, lower: float, reenter: bool, account: str = "main") -> str:
@@ -90,24 +144,25 @@ def ledger_select(df, *more):
     return df.select(*more, "msg_id", "action", "symbol", b.r("amount", 3), b.r("account_balance", 2), "days_in_trade", b.r("trade_open_spread"))
 
 
-@query("i2_position_ledger", f"""WITH RECURSIVE {SPREAD_SQL}, {ledger_sql('message', 0.662016, 0.220194, True)}
-SELECT 'main' AS account, {LEDGER_COLS} FROM led_main JOIN sig_main USING (k)""")
+@query("i2_position_ledger", f"""{ORDER_LEDGER}
+SELECT account, msg_id, action, sym AS symbol, round(amount, 3) AS amount, round(bal, 2) AS account_balance, days AS days_in_trade,
+       round(os, 6) AS trade_open_spread FROM led JOIN s USING (account, k)""")
 def i2(spark, d):
     # one state per account lives in the state store across micro-batches
     path = work_dir(spark, "ledger")
-    play_periods(spark, d, path, out=f"{path}/out")
+    play_messages(spark, d, path, out=f"{path}/out")
     return ledger_select(spark.read.parquet(f"{path}/out"), "account")
 
 
-@query("i3_ledger_outputs", f"""WITH RECURSIVE {SPREAD_SQL}, {ledger_sql('message', 0.662016, 0.220194, True)}
-SELECT date, '00:00:00' AS time, sym AS symbol, 'USD' AS currency, CAST(CAST(amount AS DECIMAL(38, 5)) AS DOUBLE) AS position_size,
-       round(bal, 2) AS account_balance, 'main' AS account_id FROM led_main JOIN sig_main USING (k)""")
+@query("i3_ledger_outputs", f"""{ORDER_LEDGER}
+SELECT msg_id, date, strftime(ts, '%H:%M:%S') AS time, sym AS symbol, 'USD' AS currency, CAST(CAST(amount AS DECIMAL(38, 5)) AS DOUBLE) AS position_size,
+       round(bal, 2) AS account_balance, account AS account_id FROM led JOIN s USING (account, k)""")
 def i3(spark, d):
     path = work_dir(spark, "ledger")
-    play_periods(spark, d, path, foreach=ledger.write_ledger(f"{path}/out"))
+    play_messages(spark, d, path, foreach=ledger.write_ledger(f"{path}/out", run="first"))
     p, bal = spark.read.parquet(f"{path}/out/positions"), spark.read.parquet(f"{path}/out/balances")
     both = p.join(bal.select("msg_id", "account_balance"), "msg_id")
-    return both.select("date", "time", "symbol", "currency", F.col("position_size").cast("double").alias("position_size"),
+    return both.select("msg_id", "date", "time", "symbol", "currency", F.col("position_size").cast("double").alias("position_size"),
                        b.r("account_balance", 2), "account_id")
 
 
@@ -148,8 +203,10 @@ def i5(spark, d):
             x.withColumn("close_change", R.change(F.col("close"), w)), w, R.moving_avg(F.col("close"), "m21")))
 
     stream = spark.readStream.schema(later.schema).parquet(f"{path}/in")
-    sink = incremental.refresh_sink(lambda: incremental.latest_rows(spark.read.parquet(f"{path}/bars")), compute,
-                                    f"{path}/bars", f"{path}/features")
+    def stored_from(day):
+        return incremental.latest_rows(spark.read.parquet(f"{path}/bars").where(F.col("date") >= day))
+
+    sink = incremental.refresh_sink(stored_from, compute, f"{path}/bars", f"{path}/features")
     msgs.run_once(stream, "", f"{path}/ckpt", foreach=sink)
     out = incremental.latest_rows(spark.read.parquet(f"{path}/features"))
     return out.select("symbol", "date", b.r("m21"), "close_change")
@@ -225,6 +282,30 @@ def l5_latest(spark, d):
     return feats.latest_vector(feats.read_features(feats.feature_table(frame)))
 
 
+def feature_rows(spark, d):
+    """The stored feature table of all days, read back as model inputs, with the key of the pair."""
+    path = work_dir(spark, "features")
+    frame = feats.feature_frame(training.materialise(facts(spark, d), "facts"), b.dates(spark, d), LEGS, n_days=0)
+    feats.feature_table(frame).write.mode("overwrite").parquet(f"{path}/features")
+    rows = feats.read_features(spark.read.parquet(f"{path}/features"))
+    return rows.withColumn("pair", F.lit("btc-eth"))
+
+
+def leg_sql(leg: str, symbol: str) -> str:
+    return f"""{leg} AS (SELECT date, open, high, low, close, volume, close * volume AS dv, avg(close) OVER (ORDER BY date ROWS BETWEEN 20 PRECEDING AND CURRENT ROW) AS dv1m,
+       close - lag(close) OVER (ORDER BY date) AS cc FROM bars WHERE symbol = '{symbol}')"""
+
+
+@query("c15_feature_projection", f"""WITH {NUMBERED_PAIR.replace(PAIR_CHANGES, FACT_CHANGES)}, {leg_sql('e', 'A')}, {leg_sql('n', 'N')}
+SELECT date, round(mu, 6) AS mu, round(std, 6) AS std, round(z, 6) AS spread, [round(CAST(x AS DOUBLE), 3) FOR x IN [e.open, e.high, e.close, e.close, e.low, e.volume, e.dv, e.dv1m, e.cc, sign(e.cc),
+       n.open, n.high, n.close, n.close, n.low, n.volume, n.dv, n.dv1m, n.cc, sign(n.cc), mu, std, z, ent_eth, ent_btc, roll_eth, roll_btc,
+       coint, coint, ma_5, ma_20, vwap_btc, vwap_eth, ma_upper_co, ma_lower_co, rsi, atr_btc, atr_eth]] AS x
+FROM feats JOIN e USING (date) JOIN n USING (date) ORDER BY date DESC LIMIT 1""")
+def c15(spark, d):
+    out = feats.latest_vector(feature_rows(spark, d))
+    return out.select("date", b.r("mu"), b.r("std"), b.r("spread"), F.transform("x", lambda v: F.round(v, 3)).alias("x"))
+
+
 TRAINING = NUMBERED_PAIR + """,
 tb AS (SELECT a.date, a.z, f.date AS ts, abs(f.z) AS v FROM zs a LEFT JOIN zs f ON f.date > a.date AND f.date <= a.date + 2
        AND (abs(f.z) >= abs(a.z) * (1 + 0.662016) OR abs(f.z) <= abs(a.z) * (1 - 0.220194)) WHERE a.z IS NOT NULL),
@@ -243,5 +324,5 @@ def l6(spark, d):
 
 @query("l7_cv_report")
 def l7(spark, d):
-    from pairloom.catalog.research import SMALL_INPUTS, small_labelled
-    return training.cross_validate(small_labelled(spark, d), PAIR, k=3, embargo=0.01, inputs=SMALL_INPUTS, iterations=3, depth=2)
+    labelled = training.materialise(training.labelled_features(feature_rows(spark, d)), "labelled")
+    return training.cross_validate(labelled, PAIR, k=3, embargo=0.01, inputs=schemas.MODEL_FEATURES)

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from pairloom.catalog import base as b
-from pairloom.catalog.base import BARS, PREDICTIONS, RUN_TS, query
+from pairloom.catalog.base import BARS, PREDICTIONS, RUN_TS, SPREAD_SQL, query
 from pairloom.operators import tables as t
 from pairloom.plans import marts
 from pairloom.session import work_dir
@@ -30,8 +32,20 @@ def b2(spark, d):
     # the batch overlaps the stored rows; its rows with a close up to 1000 arrive without close
     df = b.bars(spark, d).select(*COLS.split(", "))
     batch = df.where("date >= '2001-01-01'").withColumn("close", F.when(F.col("close") > 1000, F.col("close")))
-    once = t.guarded_append(batch, df.where(F.col("date") <= CUT), ["date", "symbol", "open", "high", "low", "close", "volume"])
-    return once
+    required = ["date", "symbol", "open", "high", "low", "close", "volume"]
+    return t.guarded_append(batch, df.where(F.col("date") <= CUT), required, incomplete="skip")
+
+
+@query("b2_batch_gate", f"WITH {BARS} SELECT {COLS} FROM bars WHERE date <= DATE '{DAY}'")
+def b2_gate(spark, d):
+    # a complete batch that overlaps the stored rows is appended; a later one with a null close is rejected whole
+    df = b.bars(spark, d).select(*COLS.split(", "))
+    required = COLS.split(", ")
+    good = df.where((F.col("date") >= "2001-01-01") & (F.col("date") <= DAY))
+    newest = F.col("date") == F.lit("2001-10-31").cast("date")
+    bad = df.where(F.col("date") > DAY).withColumn("close", F.when(~newest, F.col("close")))
+    once = t.guarded_append(good, df.where(F.col("date") <= CUT), required)
+    return t.guarded_append(bad, once, required)
 
 
 @query("b2_rejection_report", f"""WITH {BARS}
@@ -77,7 +91,8 @@ def b5(spark, d):
 
 @query("b7_position_rows", """
 WITH o AS (SELECT CAST(o_custkey AS VARCHAR) AS account, o_orderkey, CAST(o_orderdate AS DATE) AS date, o_totalprice FROM orders)
-SELECT date, account AS account_id, CAST(o_orderkey AS VARCHAR) AS msg_id, o_totalprice AS account_balance FROM o""")
+SELECT date, account AS account_id, CAST(o_orderkey AS VARCHAR) AS msg_id, o_totalprice AS account_balance, 'ETH-USD' AS symbol,
+       CAST(CAST(o_totalprice / 100 AS DECIMAL(38, 5)) AS DOUBLE) AS position_size FROM o""")
 def b7(spark, d):
     # two batches, the first one written twice as after a retry
     from pairloom.streaming.ledger import write_ledger
@@ -92,7 +107,9 @@ def b7(spark, d):
     early = steps.where("ts < '1998-01-01'")
     for batch, batch_id in ((early, 0), (early, 0), (steps.where("ts >= '1998-01-01'"), 1)):
         sink(batch, batch_id)
-    return spark.read.parquet(f"{path}/balances").drop("batch_id")
+    balances = spark.read.parquet(f"{path}/balances").drop("batch_id", "run")
+    positions = spark.read.parquet(f"{path}/positions").select("msg_id", "symbol", F.col("position_size").cast("double").alias("position_size"))
+    return balances.join(positions, "msg_id", "full")
 
 
 @query("b8_prediction_message", f"""WITH {PREDICTIONS}
@@ -109,14 +126,46 @@ def b8(spark, d):
                     F.round(F.element_at("m.confidence", day), 6).alias("confidence"))
 
 
-@query("b9_split_csv_sink")
+@query("b9_split_csv_sink", f"""WITH {SPREAD_SQL}
+SELECT date, round(spread, 6) AS spread, round(mu, 6) AS mu, round(std, 6) AS std, round(z, 6) AS standardized_spread,
+       CASE WHEN date <= DATE '2000-12-31' THEN 'train' ELSE 'test' END AS part FROM zs WHERE z IS NOT NULL""")
 def b9(spark, d):
     path = work_dir(spark, "split")
     t.write_split(b.spread(spark, d).dropna().select("date", "spread", "mu", "std", "standardized_spread"), path, "2000-12-31")
     read = spark.read.option("header", True).schema(
         "date date, spread double, mu double, std double, standardized_spread double")
-    return read.csv(f"{path}/train").withColumn("part", F.lit("train")).unionByName(
+    both = read.csv(f"{path}/train").withColumn("part", F.lit("train")).unionByName(
         read.csv(f"{path}/test").withColumn("part", F.lit("test")))
+    return both.select("date", b.r("spread"), b.r("mu"), b.r("std"), b.r("standardized_spread"), "part")
+
+
+@query("b6_transient_drop", f"WITH {BARS} SELECT {COLS}, false AS still_there FROM bars")
+def b6(spark, d):
+    # features are kept as a table while they are scored, then the table is dropped; the scores stay
+    name = f"transient_{uuid.uuid4().hex}"
+    t.save_table(b.bars(spark, d).select(*COLS.split(", ")), name)
+    path = work_dir(spark, "scored")
+    spark.table(name).write.mode("overwrite").parquet(path)
+    t.drop_table(spark, name)
+    return spark.read.parquet(path).withColumn("still_there", F.lit(spark.catalog.tableExists(name)))
+
+
+@query("b10_materialise", f"""WITH {BARS}
+SELECT kind, symbol, CAST(count(*) AS BIGINT) AS n_bars, sum(volume) AS volume FROM bars, (VALUES ('view'), ('table'), ('inline')) k(kind) GROUP BY ALL""")
+def b10(spark, d):
+    # the same model as a view, as a stored table and inlined
+    df, name = b.bars(spark, d).select("symbol", "volume"), f"layer_{uuid.uuid4().hex}"
+    df.createOrReplaceTempView(f"{name}_view")
+    path = work_dir(spark, "layer")
+    df.write.mode("overwrite").option("path", path).saveAsTable(name)
+    stored = spark.read.parquet(path)
+    t.drop_table(spark, name)
+    layers = {"view": spark.table(f"{name}_view"), "table": stored, "inline": df}
+    out = None
+    for kind, frame in layers.items():
+        part = frame.groupBy("symbol").agg(F.count(F.lit(1)).alias("n_bars"), F.sum("volume").alias("volume")).withColumn("kind", F.lit(kind))
+        out = part if out is None else out.unionByName(part)
+    return out
 
 
 def staged_parts(spark, d, second: bool):

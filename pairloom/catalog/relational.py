@@ -9,7 +9,7 @@ from pairloom.catalog.base import BARS, BAR_SERIES, DATES, LEGS, PAIR, PAIR_SQL,
 from pairloom.functions import columns as C
 from pairloom.operators import features as f
 from pairloom.operators import labels, metrics, quality
-from pairloom.operators.series import SeriesSpec
+from pairloom.operators.series import join_per_key, SeriesSpec
 from pairloom.operators.tables import normalise_names
 from pairloom.plans import marts
 from pairloom.plans.features import latest_vector
@@ -123,17 +123,6 @@ def c14(spark, d):
     return labels.relabel(labelled(spark, d)).select("date", "label")
 
 
-@query("c15_feature_projection", f"""WITH {PAIR_SQL}
-SELECT date, volume_eth + volume_btc AS mu, close_eth AS std, close_btc AS spread,
-       [open_eth, high_eth, close_eth, low_eth, volume_eth] AS x FROM pair ORDER BY date DESC LIMIT 1""")
-def c15(spark, d):
-    p = b.pair(spark, d)
-    vector = F.array("open_eth", "high_eth", "close_eth", "low_eth", "volume_eth")
-    row = F.struct("date", (F.col("volume_eth") + F.col("volume_btc")).alias("mu"), F.col("close_eth").alias("std"),
-                   F.col("close_btc").alias("spread"), vector.alias("x"))
-    return p.agg(F.max_by(row, "date").alias("r")).select("r.*")
-
-
 @query("c16_fix_last_date", f"""WITH {BARS},
 m AS (SELECT *, max(date) OVER (PARTITION BY symbol) AS last, lag(date) OVER (PARTITION BY symbol ORDER BY date) AS prev
       FROM bars WHERE date <> DATE '2001-11-03')
@@ -283,7 +272,7 @@ def e3(spark, d):
 p AS (SELECT *, close_btc / lag(close_btc) OVER (ORDER BY date) - 1 AS rb, close_eth / lag(close_eth) OVER (ORDER BY date) - 1 AS re FROM pair)
 SELECT pair, round(corr(close_btc, close_eth), 6) AS close_corr, round(corr(rb, re), 6) AS return_corr FROM p GROUP BY pair""")
 def e4(spark, d):
-    from pairloom.operators.series import sliding
+    from pairloom.operators.series import join_per_key, sliding
     df = sliding(b.pair(spark, d), PAIR, 1, lambda p, w: p.withColumns({
         "rb": C.pct_change(F.col("close_btc"), w), "re": C.pct_change(F.col("close_eth"), w)}))
     out = metrics.correlation(df, ["pair"], {"close_corr": ("close_btc", "close_eth"), "return_corr": ("rb", "re")})
@@ -297,7 +286,7 @@ def e5(spark, d):
     df = b.bars(spark, d)
     moments = df.groupBy("symbol").agg(F.avg("close").alias("mean"), F.stddev_samp("close").alias("dev"))
     z = C.ratio(F.col("close") - F.col("mean"), F.col("dev"))
-    return df.join(moments, "symbol").select("symbol", "date", F.round(z, 6).alias("z"))
+    return join_per_key(df, moments, ["symbol"], "date").select("symbol", "date", F.round(z, 6).alias("z"))
 
 
 @query("e6_portfolio_metrics", f"""WITH {BARS},

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from pairloom import schemas
 from pairloom.catalog import base as b
 from pairloom.catalog.base import BARS, BAR_SERIES, PAIR, PAIR_SQL, PREDICTIONS, SPREAD_SQL, query
 from pairloom.catalog.relational import BARRIER, MINUTE, SPANS, event_spans
@@ -12,6 +13,7 @@ from pairloom.operators import labels, regimes, stats
 from pairloom.operators.features import technical_features
 from pairloom.operators.series import SeriesSpec
 from pairloom.plans import training
+from pairloom.session import work_dir
 
 EVENTS = SeriesSpec(("event_type",), "t0", ties=("event_id",), bucket_days=MINUTE)
 Z = "standardized_spread"
@@ -105,6 +107,23 @@ def h7_aic(spark, d):
     return stats.engle_granger(b.pair(spark, d), PAIR, "close_btc", "close_eth", lags="aic")
 
 
+# whole sample: y on x with a constant, then the residuals without one
+FULL_COINT = PAIR_SQL + """,
+f AS (SELECT regr_slope(close_btc, close_eth) AS s, regr_intercept(close_btc, close_eth) AS i FROM pair),
+u AS (SELECT date, close_btc - s * close_eth - i AS u FROM pair, f),
+d AS (SELECT u - lag(u) OVER w AS du, lag(u) OVER w AS ul FROM u WINDOW w AS (ORDER BY date)),
+g AS (SELECT sum(du * ul) / sum(ul * ul) AS g, sum(ul * ul) AS ll, count(du) AS n FROM d WHERE ul IS NOT NULL)
+"""
+
+
+@query("h7_engle_granger_full", f"""WITH {FULL_COINT}
+SELECT 'btc-eth' AS pair, any_value(n) AS n_obs, round(any_value(s), 6) AS slope, round(any_value(i), 4) AS intercept,
+       round(any_value(g) / sqrt(sum(power(du - g * ul, 2)) / (any_value(n) - 1) / any_value(ll)), 6) AS coint FROM d, g, f WHERE ul IS NOT NULL""")
+def h7_full(spark, d):
+    out = stats.engle_granger_full(b.pair(spark, d), PAIR, "close_btc", "close_eth")
+    return out.select("pair", "n_obs", b.r("slope"), b.r("intercept", 4), b.r("coint"))
+
+
 NB = BARS + ", nb AS (SELECT *, row_number() OVER (PARTITION BY symbol ORDER BY date) - 1 AS o FROM bars)"
 
 
@@ -195,6 +214,26 @@ def h11(spark, d):
     return regimes.decode(b.spread(spark, d), PAIR, Z, MODEL)
 
 
+# best path: scores forward with the chosen predecessors, then back from the better end
+VITERBI = """
+le AS (SELECT date, row_number() OVER (ORDER BY date) AS k, -0.5 * (ln(2 * pi() * 0.5) + power(z + 0.5, 2) / 0.5) AS e0,
+              -0.5 * (ln(2 * pi() * 1.5) + power(z - 0.5, 2) / 1.5) AS e1 FROM zs WHERE z IS NOT NULL),
+vf AS (SELECT k, ln(0.5) + e0 AS v0, ln(0.5) + e1 AS v1, 0 AS b0, 0 AS b1 FROM le WHERE k = 1
+       UNION ALL
+       SELECT le.k, greatest(v0 + ln(0.9), v1 + ln(0.2)) + e0, greatest(v0 + ln(0.1), v1 + ln(0.8)) + e1,
+              CASE WHEN v0 + ln(0.9) >= v1 + ln(0.2) THEN 0 ELSE 1 END, CASE WHEN v0 + ln(0.1) >= v1 + ln(0.8) THEN 0 ELSE 1 END
+       FROM vf JOIN le ON le.k = vf.k + 1),
+vb AS (SELECT k, CASE WHEN v0 >= v1 THEN 0 ELSE 1 END AS state FROM vf WHERE k = (SELECT max(k) FROM le)
+       UNION ALL
+       SELECT vf.k - 1, CASE WHEN state = 0 THEN b0 ELSE b1 END FROM vb JOIN vf ON vf.k = vb.k WHERE vf.k > 1)
+"""
+
+
+@query("h11_hmm_path", f"WITH RECURSIVE {SPREAD_SQL}, {VITERBI} SELECT date, state FROM vb JOIN le USING (k)")
+def h11_path(spark, d):
+    return regimes.decode(b.spread(spark, d), PAIR, Z, MODEL).select("date", "state")
+
+
 @query("h11_hmm_filter", f"WITH RECURSIVE {SPREAD_SQL}, {FILTER} SELECT date, round(p0, 6) AS p0, round(p1, 6) AS p1 FROM f JOIN e USING (k)")
 def h11_filter(spark, d):
     out = regimes.decode(b.spread(spark, d), PAIR, Z, MODEL, mode="filter")
@@ -236,34 +275,40 @@ def h14(spark, d):
                        F.round("transition_2_0", 6).alias("elementwise_2_0"))
 
 
-SMALL_INPUTS = ("mu", "std", "standardized_spread")
-
-
-def small_labelled(spark, d):
-    z = b.spread(spark, d).where(F.col(Z).isNotNull())
-    lab = labels.triple_barrier(z, PAIR, Z, training.TAKE_PROFIT, training.STOP_LOSS, training.HOLDING_DAYS)
-    return lab.select("pair", "date", *SMALL_INPUTS, "label", "t1")
+def labelled_rows(spark, d):
+    """Stored feature rows with all model inputs, label, label end and weight."""
+    from pairloom.catalog.compositions import feature_rows
+    rows = training.labelled_features(feature_rows(spark, d))
+    return training.materialise(labels.start_uniqueness(labels.relabel(rows), PAIR), "labelled")
 
 
 @query("h15_score_batch")
 def h15(spark, d):
     # trained on the rows up to a split date, scored on the later ones
-    rows = training.materialise(labels.relabel(small_labelled(spark, d)).withColumn("weight", F.lit(1.0)), "score")
-    model = training.classifier(SMALL_INPUTS, iterations=3, depth=2).fit(rows.where("date <= '2000-06-30'"))
+    rows = labelled_rows(spark, d)
+    model = training.classifier(schemas.MODEL_FEATURES).fit(rows.where("date <= '2000-06-30'"))
     return training.score(model, rows.where("date > '2000-06-30'")).select("pair", "date", "label", "direction", "confidence")
 
 
 @query("h16_train_classifier")
 def h16(spark, d):
     # importances of a boosted model with regime features
-    rows = training.materialise(labels.relabel(small_labelled(spark, d)).withColumn("weight", F.lit(1.0)), "train")
-    columns = [*SMALL_INPUTS, "state", "next_state_1", "next_state_2"]
-    model = training.classifier(columns, iterations=3, depth=2).fit(training.with_regimes(rows, rows, PAIR))
+    rows = labelled_rows(spark, d)
+    columns = [*schemas.MODEL_FEATURES, "state", "next_state_1", "next_state_2"]
+    model = training.classifier(columns).fit(training.materialise(training.with_regimes(rows, rows, PAIR), "train"))
     weights = model.stages[-1].featureImportances.toArray()
     literal = F.array(*[F.struct(F.lit(c).alias("feature"), F.lit(float(w)).alias("importance")) for c, w in zip(columns, weights)])
     return rows.agg(F.count(F.lit(1)).alias("n_rows")).select("n_rows", F.explode(literal).alias("f")).select("f.*", "n_rows")
 
 
+@query("k6_column_pass", f"WITH {BARS} SELECT symbol, date, close, volume FROM bars")
+def k6(spark, d):
+    # the identity step of a model pipeline, saved and loaded again
+    path = work_dir(spark, "stage")
+    training.ColumnPass(["close", "volume"]).save(path)
+    return training.ColumnPass.load(path).transform(b.bars(spark, d)).select("symbol", "date", "close", "volume")
+
+
 @query("h17_align_test_columns", f"WITH {BARS} SELECT close, 0 AS missing, date, symbol FROM bars")
 def h17(spark, d):
     return training.align_columns(b.bars(spark, d), ["close", "missing", "date", "symbol"])

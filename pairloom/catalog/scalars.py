@@ -136,6 +136,18 @@ def j3(spark, d):
     return q.outside_range(b.dates(spark, d), "month", 1, 11).select("date_code", "month")
 
 
+@query("j3_calendar_ranges", f"""WITH {DATES}
+SELECT date_code, 'year' AS column_name, year AS found FROM dates WHERE NOT (year BETWEEN 2000 AND 2100)
+UNION ALL SELECT date_code, 'month', month FROM dates WHERE NOT (month BETWEEN 1 AND 12)
+UNION ALL SELECT date_code, 'day', day FROM dates WHERE NOT (day BETWEEN 1 AND 31)""")
+def j3_calendar(spark, d):
+    dates, out = b.dates(spark, d), None
+    for column, low, high in (("year", 2000, 2100), ("month", 1, 12), ("day", 1, 31)):
+        bad = q.outside_range(dates, column, low, high).select("date_code", F.lit(column).alias("column_name"), F.col(column).alias("found"))
+        out = bad if out is None else out.unionByName(bad)
+    return out
+
+
 @query("j4_check_non_negative", "SELECT c_custkey, c_acctbal FROM customer WHERE c_acctbal < 0")
 def j4(spark, d):
     return q.negatives(b.table(spark, d, "customer"), "c_acctbal").select("c_custkey", "c_acctbal")

@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 from pairloom import schemas
 from pairloom.catalog import base as b
 from pairloom.catalog.base import BARS, DATES, POSITIONS, PREDICTIONS, RUN_TS, SPREAD_SQL, query
+from pairloom.functions.columns import packed
 from pairloom.plans import marts
 from pairloom.plans.features import read_features
 from pairloom.sources import bars as src
@@ -35,7 +36,8 @@ SELECT event_type AS symbol, date_trunc('hour', ts) AS ts, first(value ORDER BY
 FROM events GROUP BY event_type, date_trunc('hour', ts)""")
 def a2(spark, d):
     return src.bars_from_ticks(b.table(spark, d, "events"), "event_type", F.col("ts"), F.col("value"),
-                               F.lit(1).cast("long"), [F.col("ts"), F.col("event_id")], interval="hour")
+                               F.lit(1).cast("long"), [packed((F.unix_micros(F.col("ts").cast("timestamp")), 17), (F.col("event_id"), 18))],
+                               interval="hour")
 
 
 @query("a3_high_water_mark", f"WITH {BARS} SELECT symbol, max(date) AS latest FROM bars GROUP BY symbol")
@@ -159,9 +161,20 @@ def a14(spark, d):
 chunks AS (SELECT n AS chunk_no, CAST(DATE '1995-01-01' + to_months(CAST(9 * n AS INTEGER)) AS DATE) AS lo,
                   CAST(DATE '1995-01-01' + to_months(CAST(9 * (n + 1) AS INTEGER)) AS DATE) AS hi FROM range(0, 10) t(n))
 SELECT {COLS}, CAST(chunk_no AS INTEGER) AS chunk_no FROM bars JOIN chunks ON date BETWEEN lo AND hi
-WHERE hi <= DATE '2001-12-31' QUALIFY row_number() OVER (PARTITION BY symbol, date ORDER BY chunk_no) = 1""")
+WHERE date <= DATE '2001-10-31' QUALIFY row_number() OVER (PARTITION BY symbol, date ORDER BY chunk_no) = 1""")
 def a15(spark, d):
-    out = src.chunked_backfill(b.bars(spark, d), "1995-01-01", "2001-12-31", 9)
+    # the span is no multiple of nine months: the last range is shorter
+    out = src.chunked_backfill(b.bars(spark, d), "1995-01-01", "2001-10-31", 9)
+    return out.select(*COLS.split(", "), "chunk_no")
+
+
+@query("a15_chunked_backfill_whole_ranges", f"""WITH {BARS},
+chunks AS (SELECT n AS chunk_no, CAST(DATE '1995-01-01' + to_months(CAST(9 * n AS INTEGER)) AS DATE) AS lo,
+                  CAST(DATE '1995-01-01' + to_months(CAST(9 * (n + 1) AS INTEGER)) AS DATE) AS hi FROM range(0, 10) t(n))
+SELECT {COLS}, CAST(chunk_no AS INTEGER) AS chunk_no FROM bars JOIN chunks ON date BETWEEN lo AND hi
+WHERE hi <= DATE '2001-10-31' QUALIFY row_number() OVER (PARTITION BY symbol, date ORDER BY chunk_no) = 1""")
+def a15_whole(spark, d):
+    out = src.chunked_backfill(b.bars(spark, d), "1995-01-01", "2001-10-31", 9, whole_ranges_only=True)
     return out.select(*COLS.split(", "), "chunk_no")
 
 
@@ -217,8 +230,11 @@ def a18(spark, d):
     return files.read_accounts(spark, f"{path}/accounts").select("date", "amount", "account_balance", "days_in_trade", "symbol")
 
 
-@query("a19_init_tables", """
-SELECT DISTINCT l_returnflag AS symbol, 'CCC' AS exchange, 'CRYPTOCURRENCY' AS asset_type FROM lineitem""")
+@query("a19_init_tables", f"""WITH {BARS},
+dim AS (SELECT DISTINCT l_returnflag AS symbol, 'CCC' AS exchange, 'CRYPTOCURRENCY' AS asset_type FROM lineitem)
+SELECT 'asset_fact_table' AS name, symbol, date, close, volume, NULL AS asset_type FROM bars
+UNION ALL SELECT 'prediction_fact_table', NULL, date, NULL, NULL, NULL FROM bars
+UNION ALL SELECT 'symbol_dimension', symbol, NULL, NULL, NULL, asset_type FROM dim""")
 def a19(spark, d):
     # bar fact, prediction fact and the de-duplicated symbol dimension, written as CSV
     path = work_dir(spark, "init")
@@ -228,5 +244,14 @@ def a19(spark, d):
            "symbol_dimension": a.select("symbol", "exchange", "asset_type").distinct()}
     for name, df in out.items():
         df.write.mode("overwrite").option("header", True).csv(f"{path}/{name}")
-    return spark.read.option("header", True).schema("symbol string, exchange string, asset_type string").csv(
-        f"{path}/symbol_dimension")
+    none = {c: F.lit(None).cast(k).alias(c) for c, k in (
+        ("symbol", "string"), ("date", "date"), ("close", "double"), ("volume", "double"), ("asset_type", "string"))}
+    picked = {"asset_fact_table": ("symbol", "date", "close", "volume"), "prediction_fact_table": ("date",),
+              "symbol_dimension": ("symbol", "asset_type")}
+    back = None
+    for name, df in out.items():
+        rows = spark.read.option("header", True).schema(df.schema).csv(f"{path}/{name}").select(
+            F.lit(name).alias("name"), *[F.col(c).cast("double") if c in ("close", "volume") else F.col(c) for c in picked[name]])
+        rows = rows.select("name", *[F.col(c) if c in picked[name] else empty for c, empty in none.items()])
+        back = rows if back is None else back.unionByName(rows)
+    return back

@@ -66,6 +66,19 @@ def null_if_nan(c: Column) -> Column:
     return F.when(~F.isnan(c), c)
 
 
+def packed(*parts: tuple[Column, int]) -> Column:
+    """One number that orders like the given (non-negative whole number, most digits) parts, first part first.
+
+    ``min_by`` and ``max_by`` aggregate such a key by hashing; a key of several columns would make them sort. A part
+    with more digits raises an error.
+    """
+    out: Column | None = None
+    for value, digits in parts:
+        whole = value.cast(f"decimal({digits},0)")
+        out = whole if out is None else out * F.lit(10 ** digits).cast(f"decimal({digits + 1},0)") + whole
+    return out
+
+
 def any_null(cols: Sequence[str]) -> Column:
     hit = F.lit(False)
     for c in cols:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from pairloom.functions import columns as C
 from pairloom.functions import rolling as R
-from pairloom.operators.series import ORD, SeriesSpec, affine_scan, running, sliding, with_ordinal
+from pairloom.operators.series import NOTHING, ORD, SeriesSpec, affine_scan, running, sliding, with_ordinal
 
 # daily series have some thousand rows; small chunks spread even a few of them over many tasks
 BARS = SeriesSpec(("symbol",), "date", chunk_rows=1024)
@@ -79,25 +79,21 @@ def vwap_day_of_month(df: DataFrame, spec: SeriesSpec, legs: Mapping[str, str])
     return summed.withColumns({o: C.ratio(F.col(f"_n_{o}"), F.col(f"_d_{o}")) for o in legs}).drop("_dom", *sums)
 
 
-# weights below this are far under the rounding of doubles
-FADED = 1e-40
-
-
 def _smoothing(x: Column, gap: Column, alpha: float) -> tuple[Column, Column]:
     """Coefficients of an exponential mean that starts at its first value.
 
     A missing row keeps the mean but ages its weight by one step. Without a previous value in
-    reach the weight of the past is below ``FADED``.
+    reach the weight of the past is below ``NOTHING``: the mean starts anew.
     """
     aged = F.pow(F.lit(1 - alpha), gap)
-    a = F.when(x.isNull(), 1.0).when(gap.isNull(), FADED).otherwise(F.greatest(aged / (aged + alpha), F.lit(FADED)))
+    a = F.when(x.isNull(), 1.0).when(gap.isNull(), 0.0).otherwise(aged / (aged + alpha))
     b = F.when(x.isNull(), 0.0).when(gap.isNull(), x).otherwise(x * alpha / (aged + alpha))
     return a, b
 
 
 def smoothing_reach(span: int) -> int:
-    """Rows after which a weight of an exponential mean is below ``FADED``."""
-    return math.ceil(math.log(FADED) / math.log(1 - 2 / (span + 1))) if span > 1 else 1
+    """Rows after which a weight of an exponential mean is below ``NOTHING``."""
+    return math.ceil(math.log(NOTHING) / math.log(1 - 2 / (span + 1))) if span > 1 else 1
 
 
 def gap_to_previous(x: Column, w: WindowSpec) -> Column:

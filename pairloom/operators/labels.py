@@ -4,16 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pairloom.operators.series import ORD, SeriesSpec, running, time_sliding, with_ordinal
+from pairloom.operators.series import CHUNK, ORD, SeriesSpec, join_per_key, running, time_sliding, time_slices, with_ordinal
 
 
-def _ahead(w: WindowSpec, days: int) -> WindowSpec:
-    """Rows later than the current one and at most ``days`` days after it."""
-    return w.rangeBetween(1, days * 86_400_000_000)
+DAY_MICROS = 86_400_000_000
 
 
 def _micros(df: DataFrame, ts: str) -> Column:
@@ -24,25 +24,46 @@ def _stamp(micros: Column, dtype: T.DataType) -> Column:
     return F.timestamp_micros(micros).cast(dtype)
 
 
-def _future(df: DataFrame, spec: SeriesSpec, value: str, days: int, also: str | None = None) -> DataFrame:
-    """Add ``_t`` (time in microseconds) and ``_future``: later rows within ``days``, in time order."""
-    df = df.withColumn("_t", _micros(df, spec.ts))
+def _slices(df: DataFrame, spec: SeriesSpec, value: str, days: int) -> DataFrame:
+    """Rows of each time slice and of the ``days`` after it, with ``_t`` (microseconds), ``_v`` (``|value|``) and ``_home``."""
+    timed = df.withColumns({"_t": _micros(df, spec.ts), "_v": F.abs(value).cast("double")})
+    return time_slices(timed, spec, ahead_days=days)
 
-    def collect(d: DataFrame, w: WindowSpec) -> DataFrame:
-        by_time = Window.partitionBy(*spec.keys, "_chunk").orderBy("_t")
-        item = F.struct(F.col("_t").alias("t"), F.abs(value).alias("v"))
-        return d.withColumn("_future", F.sort_array(F.collect_list(item).over(_ahead(by_time, days))))
 
-    return time_sliding(df, spec, collect, ahead_days=days)
+def first_touch(t: np.ndarray, v: np.ndarray, upper: np.ndarray, lower: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """For each row the first later row, up to time ``end``, whose ``v`` is at least ``upper`` or at most ``lower``; else the number of rows.
 
-
-def _touch(future: Column, start: Column, z: Column, tp: Column, sl: Column, days: Column) -> Column:
-    """Label and touch time of the first future row outside the barriers around ``|z|``."""
-    upper, lower = F.abs(z) * (1 + tp), F.abs(z) * (1 - sl)
-    end = start + days * F.lit(86_400_000_000)
-    hit = F.get(F.filter(future, lambda x: (x["t"] <= end) & ((x["v"] >= upper) | (x["v"] <= lower))), F.lit(0))
-    label = F.when(hit.isNull(), 0).when(hit["v"] >= upper, 1).otherwise(-1)
-    return F.struct(label.alias("label"), F.coalesce(hit["t"], end).alias("t1"))
+    ``t`` is sorted. Maxima and minima of runs of 1, 2, 4, .. rows tell which runs hold no touch, so a row costs a
+    step per doubling and not one per row of its holding time.
+    """
+    n = len(t)
+    at, stop = np.searchsorted(t, t, "right"), np.searchsorted(t, end, "right")
+    most, least = np.where(np.isnan(v), -np.inf, v), np.where(np.isnan(v), np.inf, v)
+    runs = [(most, least)]
+    while 2 ** len(runs) <= n:
+        half = 2 ** (len(runs) - 1)
+        hi, lo = runs[-1]
+        runs.append((np.maximum(hi[:-half], hi[half:]), np.minimum(lo[:-half], lo[half:])))
+    for k in range(len(runs) - 1, -1, -1):
+        hi, lo = runs[k]
+        inside = at + 2 ** k <= stop
+        place = np.minimum(at, len(hi) - 1)
+        at = np.where(inside & ~((hi[place] >= upper) | (lo[place] <= lower)), at + 2 ** k, at)
+    return np.where(at < stop, at, n)
+
+
+def _touches(t: np.ndarray, v: np.ndarray, take_profit: float, stop_loss: float, days: int) -> tuple[np.ndarray, np.ndarray]:
+    """Label and touch time (microseconds) of sorted rows."""
+    upper, lower, end = v * (1 + take_profit), v * (1 - stop_loss), t + days * DAY_MICROS
+    with np.errstate(invalid="ignore"):
+        hit = first_touch(t, v, upper, lower, end)
+        touched, row = hit < len(t), np.minimum(hit, len(t) - 1)
+        label = np.where(touched, np.where(v[row] >= upper, 1, -1), 0)
+    return label, np.where(touched, t[row], end)
+
+
+def _numbers(table: pa.Table, name: str) -> np.ndarray:
+    return table.column(name).to_numpy()
 
 
 def triple_barrier(df: DataFrame, spec: SeriesSpec, value: str, take_profit: float, stop_loss: float,
@@ -50,41 +71,50 @@ def triple_barrier(df: DataFrame, spec: SeriesSpec, value: str, take_profit: flo
     """First touch of ``|z|(1+tp)`` (label 1) or ``|z|(1-sl)`` (label -1) within the holding time.
 
     The upper barrier is tested first; without a touch the label is 0 and ``t1`` the end of the
-    holding time. A missing value never touches. Only rows inside the holding time of a row
-    are gathered with it.
+    holding time. A missing value never touches. Each time slice is searched by itself, with the rows
+    of one holding time after it.
     """
-    dtype = df.schema[spec.ts].dataType
-    out = _future(df, spec, value, holding_days)
-    touch = _touch(F.col("_future"), F.col("_t"), F.col(value), F.lit(take_profit), F.lit(stop_loss),
-                   F.lit(holding_days).cast("long"))
-    return (
-        out.withColumn("_hit", touch)
-        .withColumns({"label": F.col("_hit.label"), "t1": _stamp(F.col("_hit.t1"), dtype)})
-        .drop("_hit", "_future", "_t")
-    )
+    names, dtype = df.columns, df.schema[spec.ts].dataType
+
+    def label(table: pa.Table) -> pa.Table:
+        table = table.sort_by("_t")
+        hit, t1 = _touches(_numbers(table, "_t"), _numbers(table, "_v"), take_profit, stop_loss, holding_days)
+        out = table.select(names).append_column("label", pa.array(hit, pa.int32())).append_column("_t1", pa.array(t1, pa.int64()))
+        return out.filter(table.column("_home"))
+
+    schema = T.StructType([*[T.StructField(f.name, f.dataType) for f in df.schema.fields],
+                           T.StructField("label", T.IntegerType()), T.StructField("_t1", T.LongType())])
+    out = _slices(df, spec, value, holding_days).groupBy(*spec.keys, CHUNK).applyInArrow(label, schema)
+    return out.select(*names, "label", _stamp(F.col("_t1"), dtype).alias("t1"))
 
 
 def barrier_sweep(df: DataFrame, spec: SeriesSpec, value: str,
                   grid: Sequence[tuple[float, float, int]]) -> DataFrame:
     """Label counts for every (take profit, stop loss, holding days) of a fixed grid.
 
-    Future rows are gathered once, for the longest holding time; the grid is a literal array.
+    Each time slice is searched once per cell of the grid and gives one row of counts per cell.
     """
-    longest = max(h for _, _, h in grid)
-    cells = F.array(*[
-        F.struct(F.lit(tp).alias("take_profit"), F.lit(sl).alias("stop_loss"), F.lit(h).cast("long").alias("holding_days"))
-        for tp, sl, h in grid])
-    rows = _future(df, spec, value, longest).select(*spec.keys, value, "_t", "_future", F.explode(cells).alias("_g"))
-    touch = _touch(F.col("_future"), F.col("_t"), F.col(value), F.col("_g.take_profit"), F.col("_g.stop_loss"),
-                   F.col("_g.holding_days"))
-    return (
-        rows.select(*spec.keys, "_g.*", "_t", touch.alias("_hit"))
-        .groupBy(*spec.keys, "take_profit", "stop_loss", "holding_days")
-        .agg(F.sum(F.when(F.col("_hit.label") == 1, 1).otherwise(0)).alias("n_profit"),
-             F.sum(F.when(F.col("_hit.label") == -1, 1).otherwise(0)).alias("n_stop"),
-             F.sum(F.when(F.col("_hit.label") == 0, 1).otherwise(0)).alias("n_timeout"),
-             F.sum((F.col("_hit.t1") - F.col("_t")) / F.lit(86_400_000_000)).alias("days_held"))
-    )
+    keys = list(spec.keys)
+
+    def count(table: pa.Table) -> pa.Table:
+        table = table.sort_by("_t")
+        t, v, home = _numbers(table, "_t"), _numbers(table, "_v"), table.column("_home").to_numpy()
+        rows = []
+        for cell in grid if home.any() else ():
+            hit, t1 = (x[home] for x in _touches(t, v, *cell))
+            rows.append((*cell, int((hit == 1).sum()), int((hit == -1).sum()), int((hit == 0).sum()), float(((t1 - t[home]) / DAY_MICROS).sum())))
+        first = table.slice(0, 1).select(keys)
+        series = [pa.concat_arrays([first.column(k).combine_chunks()] * len(rows)) if rows else first.column(k).combine_chunks().slice(0, 0) for k in keys]
+        kinds = [pa.float64(), pa.float64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.float64()]
+        return pa.Table.from_arrays([*series, *[pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)]], names=schema.names)
+
+    counts = ("n_profit", "n_stop", "n_timeout")
+    schema = T.StructType([*[T.StructField(k, df.schema[k].dataType) for k in keys], T.StructField("take_profit", T.DoubleType()),
+                           T.StructField("stop_loss", T.DoubleType()), T.StructField("holding_days", T.LongType()),
+                           *[T.StructField(c, T.LongType()) for c in counts], T.StructField("days_held", T.DoubleType())])
+    cut = _slices(df.select(*keys, *spec.order, value), spec, value, max(h for _, _, h in grid))
+    parts = cut.groupBy(*keys, CHUNK).applyInArrow(count, schema)
+    return parts.groupBy(*keys, "take_profit", "stop_loss", "holding_days").agg(*[F.sum(c).alias(c) for c in (*counts, "days_held")])
 
 
 def relabel(df: DataFrame, label: str = "label") -> DataFrame:
@@ -95,12 +125,16 @@ def relabel(df: DataFrame, label: str = "label") -> DataFrame:
 def forward_candidates(df: DataFrame, spec: SeriesSpec, value: str, days: int) -> DataFrame:
     """For each row the later rows within ``days``: how many, and their reach in ``|value|``."""
     dtype = df.schema[spec.ts].dataType
-    out = _future(df, spec, value, days)
-    return out.select(
-        *spec.keys, F.col(spec.ts).alias("t0"), F.size("_future").cast("long").alias("n_candidates"),
-        _stamp(F.get("_future", F.lit(0))["t"], dtype).alias("first_ts"),
-        F.array_max(F.transform("_future", lambda x: x["v"])).alias("max_abs"),
-        F.array_min(F.transform("_future", lambda x: x["v"])).alias("min_abs"))
+
+    def reach(d: DataFrame, w: WindowSpec) -> DataFrame:
+        later = Window.partitionBy(*spec.keys, CHUNK).orderBy("_t").rangeBetween(1, days * DAY_MICROS)
+        return d.withColumns({"n_candidates": F.count(F.lit(1)).over(later), "_first": F.min("_t").over(later),
+                              "max_abs": F.max("_v").over(later), "min_abs": F.min("_v").over(later)})
+
+    timed = df.withColumns({"_t": _micros(df, spec.ts), "_v": F.abs(value)})
+    out = time_sliding(timed, spec, reach, ahead_days=days)
+    return out.select(*spec.keys, F.col(spec.ts).alias("t0"), "n_candidates", _stamp(F.col("_first"), dtype).alias("first_ts"),
+                      "max_abs", "min_abs")
 
 
 def label_concurrency(bars: DataFrame, spans: DataFrame, spec: SeriesSpec, t0: str = "t0", t1: str = "t1") -> DataFrame:
@@ -120,6 +154,14 @@ def label_concurrency(bars: DataFrame, spans: DataFrame, spec: SeriesSpec, t0: s
     return summed.where("_bar = 1").select(*keys, ts, covering.cast("long").alias("concurrency"))
 
 
+def start_uniqueness(labelled: DataFrame, spec: SeriesSpec, t1: str = "t1", out: str = "weight") -> DataFrame:
+    """Add one over the number of label spans that cover the start of a row's own span."""
+    keys = list(spec.keys)
+    spans = labelled.select(*keys, F.col(spec.ts).alias("t0"), F.col(t1).alias("t1"))
+    covering = label_concurrency(labelled.select(*keys, spec.ts), spans, spec).withColumnRenamed("concurrency", "_c")
+    return labelled.join(covering, [*keys, spec.ts]).withColumn(out, 1 / F.greatest(F.col("_c"), F.lit(1))).drop("_c")
+
+
 def purge_train(train: DataFrame, test: DataFrame, spec: SeriesSpec, t0: str = "t0", t1: str = "t1") -> DataFrame:
     """Train spans that overlap no test span.
 
@@ -139,7 +181,7 @@ def purge_train(train: DataFrame, test: DataFrame, spec: SeriesSpec, t0: str = "
 def _with_size(df: DataFrame, spec: SeriesSpec) -> DataFrame:
     """Add ``_n`` (rows of the series) to an ordinal frame; one small row per series is joined."""
     sizes = df.groupBy(*spec.keys).agg((F.max(ORD) + 1).alias("_n"), F.max(spec.ts).alias("_last"))
-    return df.join(sizes, list(spec.keys))
+    return join_per_key(df, sizes, list(spec.keys), ORD)
 
 
 def embargo_times(df: DataFrame, spec: SeriesSpec, pct: float) -> DataFrame:
@@ -171,14 +213,14 @@ def purged_kfold(df: DataFrame, spec: SeriesSpec, t1: str = "t1", k: int = 3, em
     per_series = bounds.groupBy(*keys).agg(
         F.sort_array(F.collect_list(F.struct(F.col("_fold").alias("fold"), F.col("_start").alias("start"),
                                              F.col("_end").alias("end")))).alias("_folds"))
-    wide = rows.join(per_series, keys).withColumn("_f", F.explode("_folds")).drop("_folds")
+    wide = join_per_key(rows, per_series, keys, ORD).withColumn("_f", F.explode("_folds")).drop("_folds")
     reach = (
         wide.groupBy(*keys, F.col("_f.fold").alias("fold"))
         .agg(F.sum(F.when(F.col(spec.ts) < F.col("_f.end"), 1).otherwise(0)).alias("_resume"))
     )
     # one number per fold and series, at most k per series
     resumes = reach.groupBy(*keys).agg(F.map_from_entries(F.collect_list(F.struct("fold", "_resume"))).alias("_resumes"))
-    wide = wide.join(resumes, keys).withColumn("_from", F.element_at("_resumes", F.col("_f.fold")))
+    wide = join_per_key(wide, resumes, keys, ORD).withColumn("_from", F.element_at("_resumes", F.col("_f.fold")))
     skip = F.floor(F.col("_n") * embargo)
     before = F.col(t1) <= F.col("_f.start")
     after = (F.col("_from") < F.col("_n")) & (F.col(ORD) >= F.col("_from") + skip)

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from pairloom.functions.columns import argmax
 from pairloom.operators.chunks import chunk_fold
-from pairloom.operators.series import ORD, SeriesSpec, with_ordinal
+from pairloom.operators.series import ORD, SeriesSpec, join_per_key, with_ordinal
 
 
 @dataclass(frozen=True)
@@ -65,20 +65,37 @@ def _backward(beta: np.ndarray, a: np.ndarray, e: np.ndarray) -> np.ndarray:
 
 
 def _density(x: np.ndarray, m: Regimes) -> np.ndarray:
+    """Densities relative to the likelier state; the other one keeps a trace, so no product of a chain becomes zero."""
     logs = _log_density(x, m)
-    return np.exp(logs - logs.max(1, keepdims=True))
+    return np.exp(np.maximum(logs - logs.max(1, keepdims=True), -300))
 
 
-def decode(df: DataFrame, spec: SeriesSpec, value: str, model: Regimes, mode: str = "smooth") -> DataFrame:
-    """Most likely state path and state probabilities of each row with a value.
+PARAMETERS = ("start0", "start1", "p00", "p01", "p10", "p11", "mean0", "mean1", "var0", "var1")
 
-    ``smooth`` uses the whole series for the probabilities, ``filter`` only rows up to the
-    current one. Long series are decoded chunk by chunk with exact entry states.
+
+def decode(df: DataFrame, spec: SeriesSpec, value: str, model: Regimes | DataFrame, mode: str = "smooth",
+           model_keys: Sequence[str] | None = None) -> DataFrame:
+    """States and state probabilities of each row with a value.
+
+    ``smooth`` gives the most likely path and probabilities from the whole series; ``filter`` uses only rows up to the
+    current one, for the probabilities and for the state, which is the more probable one. Long series are decoded chunk by
+    chunk with exact entry states.
+
+    ``model`` is one model for all series, or a table with a row of ``PARAMETERS`` per ``model_keys`` (the keys of the
+    series by default); then the output holds the transition probabilities too, and series without a model are left out.
     """
-    log_start, log_a = _logs(model)
-    a = np.array(model.transition)
+    shared = model if isinstance(model, Regimes) else None
+    own = shared is None
+
+    def model_of(pdf: pd.DataFrame) -> Regimes:
+        if shared is not None:
+            return shared
+        r = pdf.iloc[0]
+        return Regimes((r.start0, r.start1), ((r.p00, r.p01), (r.p10, r.p11)), (r.mean0, r.mean1), (r.var0, r.var1))
 
     def summarise(pdf: pd.DataFrame) -> pd.DataFrame:
+        model = model_of(pdf)
+        log_a, a = _logs(model)[1], np.array(model.transition)
         x = pdf[value].to_numpy(float)
         logs, dens = _log_density(x, model), _density(x, model)
         row: dict[str, float] = {}
@@ -95,14 +112,17 @@ def decode(df: DataFrame, spec: SeriesSpec, value: str, model: Regimes, mode: st
             for j in (0, 1):
                 row[f"v{k}{j}"], row[f"m{k}{j}"] = best[j], m[j]
             row[f"s{k}"] = scale
+        row.update({c: pdf[c].iloc[0] for c in PARAMETERS if own})
         return pd.DataFrame([row])
 
     def fold(pdf: pd.DataFrame) -> pd.DataFrame:
+        model = model_of(pdf)
+        (log_start, log_a), a = _logs(model), np.array(model.transition)
         n = len(pdf)
         best = pdf[["v00", "v01", "v10", "v11"]].to_numpy().reshape(n, 2, 2)
         scale = pdf[["s0", "s1"]].to_numpy()
-        mass = pdf[["m00", "m01", "m10", "m11"]].to_numpy().reshape(n, 2, 2)
-        mass = mass * np.exp(scale - scale.max(1, keepdims=True))[:, :, None]
+        plain = pdf[["m00", "m01", "m10", "m11"]].to_numpy().reshape(n, 2, 2)
+        mass = plain * np.exp(scale - scale.max(1, keepdims=True))[:, :, None]
         v, u = np.empty((n, 2)), np.empty((n, 2))
         ends = np.empty((n, 2))
         for i in range(n):
@@ -113,7 +133,9 @@ def decode(df: DataFrame, spec: SeriesSpec, value: str, model: Regimes, mode: st
                 w = filtered @ a
                 u[i] = w / w.sum()
             ends[i] = (v[i][:, None] + best[i]).max(0)
-            filtered = u[i] @ mass[i]
+            with np.errstate(divide="ignore"):
+                share = np.log(u[i]) + scale[i]
+            filtered = np.exp(share - share.max()) @ plain[i]
             filtered = filtered / filtered.sum()
         last, beta = np.empty(n, dtype=int), np.empty((n, 2))
         for i in range(n - 1, -1, -1):
@@ -128,6 +150,8 @@ def decode(df: DataFrame, spec: SeriesSpec, value: str, model: Regimes, mode: st
                              "beta0": beta[:, 0], "beta1": beta[:, 1]})
 
     def apply(pdf: pd.DataFrame) -> pd.DataFrame:
+        model = model_of(pdf)
+        log_a, a = _logs(model)[1], np.array(model.transition)
         x = pdf[value].to_numpy(float)
         entry = pdf.iloc[0]
         dens = _density(x, model)
@@ -140,15 +164,22 @@ def decode(df: DataFrame, spec: SeriesSpec, value: str, model: Regimes, mode: st
         if mode == "smooth":
             p = p * _backward(np.array([entry.beta0, entry.beta1], dtype=float), a, dens)
             p = p / p.sum(1, keepdims=True)
-        return pd.DataFrame({spec.ts: pdf[spec.ts].to_numpy(), value: x, "state": states, "p0": p[:, 0], "p1": p[:, 1]})
+        else:
+            states = p.argmax(1)
+        out = pd.DataFrame({spec.ts: pdf[spec.ts].to_numpy(), value: x, "state": states, "p0": p[:, 0], "p1": p[:, 1]})
+        return out.assign(**{c: pdf[c].to_numpy() for c in moves})
 
     ts_type = df.schema[spec.ts].dataType.simpleString()
     rows = df.where(F.col(value).isNotNull()).select(*spec.keys, spec.ts, value)
+    if own:
+        keys = list(model_keys or spec.keys)
+        rows = join_per_key(rows, model.select(*keys, *PARAMETERS), keys, spec.ts)
     entry_ddl = "v0 double, v1 double, u0 double, u1 double, end_state int, beta0 double, beta1 double"
     summary_ddl = ", ".join(f"{c} double" for c in
-                            ("v00", "v01", "v10", "v11", "m00", "m01", "m10", "m11", "s0", "s1"))
+                            ("v00", "v01", "v10", "v11", "m00", "m01", "m10", "m11", "s0", "s1", *(PARAMETERS if own else ())))
+    moves = PARAMETERS[2:6] if own else ()
     return chunk_fold(rows, spec, summarise, summary_ddl, fold, entry_ddl, apply,
-                      f"{spec.ts} {ts_type}, {value} double, state int, p0 double, p1 double")
+                      ", ".join([f"{spec.ts} {ts_type}, {value} double, state int, p0 double, p1 double", *[f"{c} double" for c in moves]]))
 
 
 # Fixed values of the estimator: variance floor of the start, variance prior, stop threshold.
@@ -203,7 +234,7 @@ def fit_window(x: np.ndarray, n_iter: int = 3000) -> tuple[Regimes, float, int]:
     return m, ll, step
 
 
-FIT_COLUMNS = ("start0", "start1", "p00", "p01", "p10", "p11", "mean0", "mean1", "var0", "var1", "log_likelihood")
+FIT_COLUMNS = (*PARAMETERS, "log_likelihood")
 
 
 def fit(df: DataFrame, spec: SeriesSpec, value: str, roll: int = 40, n_iter: int = 3000) -> DataFrame:
@@ -213,7 +244,7 @@ def fit(df: DataFrame, spec: SeriesSpec, value: str, roll: int = 40, n_iter: int
     """
     rows = with_ordinal(df.where(F.col(value).isNotNull()).select(*spec.keys, spec.ts, value), spec)
     sizes = rows.groupBy(*spec.keys).agg((F.max(ORD) + 1).alias("_n"))
-    tail = rows.join(sizes, list(spec.keys)).where(F.col(ORD) >= F.col("_n") - roll)
+    tail = join_per_key(rows, sizes, list(spec.keys), ORD).where(F.col(ORD) >= F.col("_n") - roll)
     keys = list(spec.keys)
 
     def per_series(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -260,3 +291,12 @@ def next_state(df: DataFrame, transition, ahead: int, probs: Sequence[str] = ("p
     """Most probable state 1..``ahead`` steps on."""
     return df.withColumns({f"next_state_{t}": argmax(F.array(*out))
                            for t, out in _products(transition, ahead, power, probs)})
+
+
+def next_state_by_row(df: DataFrame, ahead: int) -> DataFrame:
+    """Like ``next_state`` with the transition probabilities in the columns p00, p01, p10 and p11."""
+    now, out = (F.col("p0"), F.col("p1")), {}
+    for t in range(1, ahead + 1):
+        now = tuple(now[0] * F.col(f"p0{j}") + now[1] * F.col(f"p1{j}") for j in (0, 1))
+        out[f"next_state_{t}"] = argmax(F.array(*now))
+    return df.withColumns(out)

@@ -15,7 +15,7 @@ Only per-bucket or per-chunk summaries ever meet in one task.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
@@ -23,7 +23,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 ORD = "_ord"
-_CHUNK = "_chunk"
+#: factors below this leave less of the past than doubles can show
+NOTHING = 1e-20
+CHUNK = "_chunk"
+HOME = "_home"
 _BUCKET = "_bucket"
 
 
@@ -41,6 +44,8 @@ class SeriesSpec:
     ``running`` reads its input twice, once for the carries. A stored table is best read twice
     with the few columns each use needs. ``shared_input`` says that the input comes out of a
     shuffle instead: both uses then keep all columns, so that Spark runs that shuffle once.
+    ``longest`` is a number of rows that no series exceeds; ``affine_scan`` folds in as many
+    levels as that takes.
     """
 
     keys: tuple[str, ...]
@@ -50,6 +55,7 @@ class SeriesSpec:
     bucket: Callable[[Column], Column] | None = None
     chunk_rows: int = 8192
     shared_input: bool = False
+    longest: int = 500_000_000
 
     @property
     def order(self) -> list[str]:
@@ -167,12 +173,26 @@ def sliding(
         df = with_ordinal(df, spec)
     size = F.lit(spec.chunk_rows)
     first = F.greatest(F.floor((F.col(ORD) - ahead) / size), F.lit(0))
-    chunked = df.withColumn(_CHUNK, F.explode(F.sequence(first, F.floor((F.col(ORD) + back) / size))))
-    w = Window.partitionBy(*spec.keys, _CHUNK).orderBy(ORD)
-    out = fn(chunked, w).where(F.floor(F.col(ORD) / size) == F.col(_CHUNK)).drop(_CHUNK)
+    chunked = df.withColumn(CHUNK, F.explode(F.sequence(first, F.floor((F.col(ORD) + back) / size))))
+    w = Window.partitionBy(*spec.keys, CHUNK).orderBy(ORD)
+    out = fn(chunked, w).where(F.floor(F.col(ORD) / size) == F.col(CHUNK)).drop(CHUNK)
     return out if keep_ordinal else out.drop(ORD)
 
 
+def time_slices(df: DataFrame, spec: SeriesSpec, back_days: float = 0, ahead_days: float = 0) -> DataFrame:
+    """Every row once in its own time slice (``_home``) and once in each slice that reaches it (``_chunk``)."""
+    days = max(spec.bucket_days, back_days, ahead_days)
+
+    def shifted(delta: float) -> Column:
+        if isinstance(df.schema[spec.ts].dataType, T.DateType):
+            return F.floor((F.unix_date(spec.ts) + delta) / F.lit(days)).cast("long")
+        micros = F.unix_micros(F.col(spec.ts).cast("timestamp"))
+        return F.floor((micros + F.lit(delta * 86_400e6)) / F.lit(days * 86_400e6)).cast("long")
+
+    chunked = df.withColumn(CHUNK, F.explode(F.sequence(shifted(-ahead_days), shifted(back_days))))
+    return chunked.withColumn(HOME, shifted(0) == F.col(CHUNK))
+
+
 def time_sliding(
     df: DataFrame,
     spec: SeriesSpec,
@@ -181,17 +201,22 @@ def time_sliding(
     ahead_days: float = 0,
 ) -> DataFrame:
     """Like ``sliding`` for windows bounded in time; needs no ordinal."""
-    days = max(spec.bucket_days, back_days, ahead_days)
+    w = Window.partitionBy(*spec.keys, CHUNK).orderBy(*spec.order)
+    return fn(time_slices(df, spec, back_days, ahead_days), w).where(F.col(HOME)).drop(CHUNK, HOME)
+
+
+_SALT = "_salt"
 
-    def shifted(delta: float) -> Column:
-        if isinstance(df.schema[spec.ts].dataType, T.DateType):
-            return F.floor((F.unix_date(spec.ts) + delta) / F.lit(days)).cast("long")
-        micros = F.unix_micros(F.col(spec.ts).cast("timestamp"))
-        return F.floor((micros + F.lit(delta * 86_400e6)) / F.lit(days * 86_400e6)).cast("long")
 
-    chunked = df.withColumn(_CHUNK, F.explode(F.sequence(shifted(-ahead_days), shifted(back_days))))
-    w = Window.partitionBy(*spec.keys, _CHUNK).orderBy(*spec.order)
-    return fn(chunked, w).where(shifted(0) == F.col(_CHUNK)).drop(_CHUNK)
+def join_per_key(df: DataFrame, values: DataFrame, keys: Sequence[str], by: str, how: str = "inner", salts: int = 64) -> DataFrame:
+    """Join ``values``, one small row per series, to the rows of the series.
+
+    A join on ``keys`` alone has as many busy tasks as there are series. Here a hash of ``by``, a column that differs within
+    a series, splits the rows of each key, and the small rows are repeated for each part.
+    """
+    parted = df.withColumn(_SALT, F.pmod(F.xxhash64(by), F.lit(salts)).cast("int"))
+    repeated = values.withColumn(_SALT, F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    return parted.join(repeated, [*keys, _SALT], how).drop(_SALT)
 
 
 def affine_scan(
@@ -199,23 +224,28 @@ def affine_scan(
     spec: SeriesSpec,
     scans: Mapping[str, tuple[Column, Column]],
     rows: int = 512,
-    fan: int = 256,
-    levels: int = 2,
+    fan: int = 1024,
+    levels: int | None = None,
 ) -> DataFrame:
     """Add ``y_t = a_t * y_{t-1} + b_t`` (``y_{-1} = 0``) for every ``name: (a, b)`` in ``scans``.
 
-    Needs the ordinal column, ``b`` without nulls, ``a`` positive and the logarithms of any
-    ``rows`` consecutive ``a`` to add up to less than 700 in size (decays down to 1/3 per row
-    with the default). Inside a group of ``rows`` rows the recurrence is a scaled cumulative
+    Needs the ordinal column, ``b`` without nulls, ``a`` not negative and the logarithms of any
+    ``rows`` consecutive ``a`` of at least ``NOTHING`` to add up to less than 700 in size (decays
+    down to 1/3 per row with the default). A smaller ``a`` lets nothing of the past through: the
+    recurrence starts anew. Inside a group of ``rows`` rows the recurrence is a scaled cumulative
     sum. Group results are pairs ``(A, B)`` that compose associatively; they are folded in
-    groups of ``fan``, again in groups of ``fan``, and so on, and carried back. The top fold
-    sees one row per ``rows * fan ** (levels - 1)`` rows of a series.
+    groups of ``fan``, again in groups of ``fan``, and so on, and carried back. There are as many
+    levels as the longest series needs (``spec.longest``), so no fold sees more than ``fan`` rows.
     """
     names, keys, each = list(scans), list(spec.keys), range(len(scans))
+    if levels is None:
+        levels, held = 1, rows * fan
+        while held < spec.longest:
+            levels, held = levels + 1, held * fan
     grouped = df.select(
         *keys, F.col(ORD).alias("_pos"), _group_of(F.col(ORD), rows).alias("_group"),
         F.when(F.col(ORD) >= 0, F.struct(*[F.col(c) for c in df.columns])).alias("_row"),
-        *[F.ln(a.cast("double")).alias(f"l{i}") for i, (a, _) in enumerate(scans.values())],
+        *[F.when(a.cast("double") >= NOTHING, F.ln(a.cast("double"))).alias(f"l{i}") for i, (a, _) in enumerate(scans.values())],
         *[b.cast("double").alias(f"b{i}") for i, (_, b) in enumerate(scans.values())],
     )
     # The frame is used twice below, for the rows and for the group results. Equal plans let
@@ -224,12 +254,16 @@ def affine_scan(
     for c in keys:
         grouped = grouped.where(F.col(c).isNotNull())
     upto = Window.partitionBy(*keys, "_group").orderBy("_pos").rowsBetween(Window.unboundedPreceding, 0)
+    # a null logarithm marks a new start; what was summed before the latest one is taken off again
     local = (
-        grouped.withColumns({f"l{i}": F.sum(f"l{i}").over(upto) for i in each})
-        .withColumns({f"b{i}": F.sum(F.col(f"b{i}") * F.exp(-F.col(f"l{i}"))).over(upto) for i in each})
+        grouped.withColumns({f"n{i}": F.col(f"l{i}").isNull() for i in each})
+        .withColumns({f"l{i}": F.coalesce(F.sum(f"l{i}").over(upto), F.lit(0.0)) for i in each})
+        .withColumns({f"t{i}": F.col(f"b{i}") * F.exp(-F.col(f"l{i}")) for i in each})
+        .withColumns({f"b{i}": F.sum(f"t{i}").over(upto) for i in each})
+        .withColumns({f"o{i}": F.last(F.when(F.col(f"n{i}"), F.col(f"b{i}") - F.col(f"t{i}")), ignorenulls=True).over(upto) for i in each})
         .where(F.col("_row").isNotNull())
-        .select(*keys, "_pos", "_group", "_row", *[F.exp(f"l{i}").alias(f"a{i}") for i in each],
-                *[(F.exp(f"l{i}") * F.col(f"b{i}")).alias(f"b{i}") for i in each])
+        .select(*keys, "_pos", "_group", "_row", *[F.when(F.col(f"o{i}").isNull(), F.exp(f"l{i}")).otherwise(0.0).alias(f"a{i}") for i in each],
+                *[(F.exp(f"l{i}") * (F.col(f"b{i}") - F.coalesce(f"o{i}", F.lit(0.0)))).alias(f"b{i}") for i in each])
     )
     last = F.max_by(F.struct(*[f"{c}{i}" for i in each for c in "ab"]), "_pos").alias("_last")
     tops = local.groupBy(*keys, "_group").agg(last).select(

@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 from pairloom.functions import rolling as R
 from pairloom.functions.columns import ratio
 from pairloom.functions.unit_root import adf_aic, engle_granger_aic
-from pairloom.operators.series import ORD, SeriesSpec, sliding, with_ordinal
+from pairloom.operators.series import ORD, SeriesSpec, join_per_key, sliding, with_ordinal
 
 
 def rolling_in_pandas(df: DataFrame, spec: SeriesSpec, inputs: Sequence[str], window: int, out: str,
@@ -78,6 +78,15 @@ def unit_root_full(df: DataFrame, spec: SeriesSpec, y: str, constant: bool = Fal
     return agg.select(*spec.keys, "n_obs", ratio(slope, F.sqrt(ratio(ratio(rss, dof), F.col("_xx")))).alias("adf"))
 
 
+def engle_granger_full(df: DataFrame, spec: SeriesSpec, y: str, x: str) -> DataFrame:
+    """Whole-sample cointegration statistic per series: ``y`` on ``x`` with a constant, then the residuals without one or lags."""
+    keys = list(spec.keys)
+    line = df.groupBy(*keys).agg(F.regr_slope(y, x).alias("slope"), F.regr_intercept(y, x).alias("intercept"))
+    rest = join_per_key(df, line, keys, spec.ts).withColumn("_u", F.col(y) - F.col("slope") * F.col(x) - F.col("intercept"))
+    tested = unit_root_full(rest.select(*keys, spec.ts, "_u"), spec, "_u").withColumnRenamed("adf", "coint")
+    return tested.join(line, keys)
+
+
 def sadf(df: DataFrame, spec: SeriesSpec, y: str, min_window: int = 20, window: int = 50, lags: str | int = 0,
          out: str = "sadf") -> DataFrame:
     """Sup ADF: largest statistic over the suffixes of each window.

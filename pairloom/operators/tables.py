@@ -29,10 +29,22 @@ def new_rows(incoming: DataFrame, stored: DataFrame, keys: Sequence[str] = ("sym
 
 
 def guarded_append(incoming: DataFrame, stored: DataFrame, required: Sequence[str],
-                   keys: Sequence[str] = ("symbol", "date")) -> DataFrame:
-    """Stored rows plus the complete new rows of a batch; repeating a batch changes nothing."""
-    fresh = new_rows(incoming.where(~any_null(required)), stored, keys).dropDuplicates(list(keys))
-    return stored.unionByName(fresh)
+                   keys: Sequence[str] = ("symbol", "date"), incomplete: str = "reject") -> DataFrame:
+    """Stored rows plus the new rows of a batch; repeating a batch changes nothing.
+
+    A batch with a null in a required column is rejected as a whole; ``incomplete="skip"`` leaves out just those rows. Of
+    new rows with one key the smallest is taken.
+    """
+    if incomplete not in ("reject", "skip"):
+        raise ValueError(f"incomplete: {incomplete}")
+    if incomplete == "reject":
+        n_bad = incoming.agg(F.count(F.when(any_null(required), 1))).scalar()
+        incoming = incoming.where(n_bad == 0)
+    else:
+        incoming = incoming.where(~any_null(required))
+    values = [c for c in stored.columns if c not in keys]
+    fresh = new_rows(incoming, stored, keys).groupBy(*keys).agg(F.min(F.struct(*values)).alias("_r"))
+    return stored.unionByName(fresh.select(*keys, *[F.col("_r").getField(c).alias(c) for c in values]))
 
 
 def rejection_report(incoming: DataFrame, stored: DataFrame, required: Sequence[str],

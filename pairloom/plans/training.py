@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from pairloom.operators import regimes
 from pairloom.operators.features import PAIR, technical_features
-from pairloom.operators.labels import purged_kfold, relabel, triple_barrier
+from pairloom.operators.labels import purged_kfold, relabel, start_uniqueness, triple_barrier
 from pairloom.operators.metrics import weighted_scores
 from pairloom.operators.series import SeriesSpec
 from pairloom.session import work_dir
@@ -32,8 +32,12 @@ TAKE_PROFIT, STOP_LOSS, HOLDING_DAYS = 0.662016, 0.220194, 2
 
 def labelled_set(pair: DataFrame, spec: SeriesSpec = PAIR, until: str | None = None) -> DataFrame:
     """Features, label and label end of every complete row, up to a split date."""
-    df = technical_features(pair, spec)
-    df = df.where(F.col("standardized_spread").isNotNull())
+    return labelled_features(technical_features(pair, spec), spec, until)
+
+
+def labelled_features(features: DataFrame, spec: SeriesSpec = PAIR, until: str | None = None) -> DataFrame:
+    """Label and label end of every complete feature row, up to a split date."""
+    df = features.where(F.col("standardized_spread").isNotNull())
     df = triple_barrier(df, spec, "standardized_spread", TAKE_PROFIT, STOP_LOSS, HOLDING_DAYS).dropna("any")
     return df if until is None else df.where(F.col(spec.ts) <= F.lit(until).cast("date"))
 
@@ -85,27 +89,32 @@ def score(model: PipelineModel, df: DataFrame) -> DataFrame:
     )
 
 
-def with_regimes(df: DataFrame, train: DataFrame, spec: SeriesSpec, ahead: int = 2) -> DataFrame:
-    """State and next states of a regime model fitted on the end of ``train`` (one parameter row)."""
-    row = regimes.fit(train, spec, "standardized_spread").first()
-    model = regimes.Regimes((row.start0, row.start1), ((row.p00, row.p01), (row.p10, row.p11)),
-                            (row.mean0, row.mean1), (row.var0, row.var1))
-    states = regimes.decode(df, spec, "standardized_spread", model).drop("standardized_spread")
-    states = regimes.next_state(states, model.transition, ahead).drop("p0", "p1")
-    return df.join(states, [*spec.keys, spec.ts])
+def with_regimes(df: DataFrame, train: DataFrame, spec: SeriesSpec, ahead: int = 2, parts: Sequence[str] = ()) -> DataFrame:
+    """State and next states by a model per series, fitted on the end of its ``train`` rows.
+
+    A row sees only rows before it, and only those of the same ``parts`` (columns such as the role in a fold).
+    """
+    models = materialise(regimes.fit(train, spec, "standardized_spread"), "regimes")
+    series = spec.with_(keys=(*spec.keys, *parts))
+    states = regimes.decode(df, series, "standardized_spread", models, mode="filter", model_keys=spec.keys)
+    states = regimes.next_state_by_row(states, ahead).drop("standardized_spread", "p0", "p1", *regimes.PARAMETERS)
+    return df.join(states, [*series.keys, spec.ts])
 
 
 def cross_validate(labelled: DataFrame, spec: SeriesSpec = PAIR, k: int = 3, embargo: float = 0.01,
                    inputs: Sequence[str] = MODEL_INPUTS, use_regimes: bool = True, **model) -> DataFrame:
-    """Scores of every purged fold. ``labelled`` is written once and read by every fold."""
-    rows = relabel(labelled).withColumn("weight", F.lit(1.0))
+    """Scores of every purged fold. ``labelled`` is written once and read by every fold.
+
+    A row weighs one over the number of labels that cover its start.
+    """
+    rows = start_uniqueness(relabel(labelled), spec)
     folded = materialise(purged_kfold(rows, spec, "t1", k, embargo).where(F.col("role").isin("train", "test")), "folds")
     scored: DataFrame | None = None
     for fold in range(k):
         part = folded.where(F.col("fold") == fold)
         columns = list(inputs)
         if use_regimes:
-            part = with_regimes(part, part.where("role = 'train'"), spec)
+            part = materialise(with_regimes(part, part.where("role = 'train'"), spec, parts=("role",)), "regime-rows")
             columns += ["state", "next_state_1", "next_state_2"]
         fitted = classifier(columns, **model).fit(part.where("role = 'train'"))
         out = score(fitted, part.where("role = 'test'")).select("fold", spec.ts, "label", "p_one", "weight")

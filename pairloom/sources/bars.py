@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from pairloom import schemas
+from pairloom.operators.series import join_per_key
 
 
 def read_bars(spark: SparkSession, path: str, start: str | None = None, fmt: str = "parquet") -> DataFrame:
@@ -23,7 +24,10 @@ def bars_from_ticks(
     ticks: DataFrame, symbol: str, at: Column, price: Column, size: Column, order: Sequence[Column],
     interval: str = "day",
 ) -> DataFrame:
-    """OHLCV bars per symbol and interval; ``order`` ranks the ticks inside a bar."""
+    """OHLCV bars per symbol and interval; ``order`` ranks the ticks inside a bar.
+
+    With one column in ``order`` (see ``columns.packed``) ticks are aggregated by hashing, else by sorting.
+    """
     key = F.struct(*order) if len(order) > 1 else order[0]
     name, stamp = ("date", at.cast("date")) if interval == "day" else ("ts", F.date_trunc(interval, at))
     return (
@@ -44,7 +48,7 @@ def after_high_water(incoming: DataFrame, stored: DataFrame, today: str) -> Data
     """Rows newer than the stored mark of their symbol; the mark itself only while it is today."""
     marks = high_water(stored)
     return (
-        incoming.join(marks, "symbol", "left")
+        join_per_key(incoming, marks, ["symbol"], "date", "left")
         .where(F.col("latest").isNull() | (F.col("date") > F.col("latest"))
                | ((F.col("date") == F.col("latest")) & (F.col("latest") == F.lit(today).cast("date"))))
         .drop("latest")
@@ -54,23 +58,21 @@ def after_high_water(incoming: DataFrame, stored: DataFrame, today: str) -> Data
 def last_dates(df: DataFrame) -> DataFrame:
     """Last and second last date per symbol from a mergeable aggregate (no window)."""
     top = df.groupBy("symbol").agg(F.max("date").alias("last_date"))
-    earlier = (
-        df.select("symbol", "date").join(top, "symbol").where("date < last_date")
-        .groupBy("symbol").agg(F.max("date").alias("prev_date"))
-    )
-    return top.join(earlier, "symbol", "left")
+    marked = join_per_key(df.select("symbol", "date"), top, ["symbol"], "date")
+    return marked.groupBy("symbol").agg(
+        F.max("last_date").alias("last_date"), F.max(F.when(F.col("date") < F.col("last_date"), F.col("date"))).alias("prev_date"))
 
 
 def drop_open_bar(df: DataFrame) -> DataFrame:
     """All bars but the newest of each symbol."""
     top = df.groupBy("symbol").agg(F.max("date").alias("_last"))
-    return df.join(top, "symbol").where("date < _last").drop("_last")
+    return join_per_key(df, top, ["symbol"], "date").where("date < _last").drop("_last")
 
 
 def with_symbol_info(bars: DataFrame, info: DataFrame) -> DataFrame:
     """Bars plus currency and exchange, and empty prediction columns."""
     return (
-        bars.join(info.select("symbol", "currency", "exchange"), "symbol", "left")
+        join_per_key(bars, info.select("symbol", "currency", "exchange"), ["symbol"], "date", "left")
         .withColumn("actual", F.lit(None).cast("double"))
         .withColumn("prediction", F.lit(None).cast("double"))
     )
@@ -80,7 +82,8 @@ def shift_last_if_missing(df: DataFrame, today: str) -> DataFrame:
     """Move the last bar of a symbol back one day when ``today`` has no bar."""
     top = df.groupBy("symbol").agg(F.max("date").alias("_last"))
     moved = (F.col("date") == F.col("_last")) & (F.col("_last") != F.lit(today).cast("date"))
-    return df.join(top, "symbol").withColumn("date", F.when(moved, F.date_sub("date", 1)).otherwise(F.col("date"))).drop("_last")
+    joined = join_per_key(df, top, ["symbol"], "date")
+    return joined.withColumn("date", F.when(moved, F.date_sub("date", 1)).otherwise(F.col("date"))).drop("_last")
 
 
 def shift_last_on_gap(df: DataFrame) -> DataFrame:
@@ -88,7 +91,7 @@ def shift_last_on_gap(df: DataFrame) -> DataFrame:
     ends = last_dates(df)
     moved = (F.col("date") == F.col("last_date")) & (F.datediff("last_date", "prev_date") != 1)
     return (
-        df.join(ends, "symbol")
+        join_per_key(df, ends, ["symbol"], "date")
         .withColumn("date", F.when(moved, F.date_sub("date", 1)).otherwise(F.col("date")))
         .drop("last_date", "prev_date")
     )
@@ -120,14 +123,14 @@ def range_chunks(spark: SparkSession, start: str, end: str, months: int = 9) ->
     """).withColumn("chunk_end", F.add_months("chunk_start", months))
 
 
-def chunked_backfill(source: DataFrame, start: str, end: str, months: int = 9) -> DataFrame:
-    """Read every range and keep, for a date read twice, the row of the earlier range.
+def chunked_backfill(source: DataFrame, start: str, end: str, months: int = 9, whole_ranges_only: bool = False) -> DataFrame:
+    """Rows of ``[start, end]`` with the read range they come from; the last range ends at ``end``.
 
-    Ranges that would end after ``end`` are left out, as a provider asked in whole steps would.
+    A date on the edge of two ranges belongs to the earlier one. The range follows from the date by arithmetic, so nothing
+    is joined. ``whole_ranges_only`` leaves out ranges that would end after ``end``, as a provider asked in whole steps would.
     """
-    chunks = range_chunks(source.sparkSession, start, end, months).where(F.col("chunk_end") <= F.lit(end).cast("date"))
-    read = source.join(F.broadcast(chunks), F.col("date").between(F.col("chunk_start"), F.col("chunk_end")))
-    values = [c for c in source.columns if c not in ("symbol", "date")]
-    picked = read.groupBy("symbol", "date").agg(
-        F.min_by(F.struct(*values, "chunk_no"), "chunk_no").alias("_r"))
-    return picked.select("symbol", "date", *[f"_r.{c}" for c in values], "_r.chunk_no")
+    first, last, day = F.lit(start).cast("date"), F.lit(end).cast("date"), F.col("date")
+    full = F.floor(((F.year(day) - F.year(first)) * 12 + F.month(day) - F.month(first)) / months).cast("int")
+    early = (full > 0) & (day <= F.add_months(first, full * months))
+    rows = source.where((day >= first) & (day <= last)).withColumn("chunk_no", F.when(early, full - 1).otherwise(full))
+    return rows.where(F.add_months(first, (F.col("chunk_no") + 1) * months) <= last) if whole_ranges_only else rows

@@ -2,17 +2,20 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pairloom.operators.series import join_per_key
+
 
 def touched_tail(stored: DataFrame, batch: DataFrame, lookback_days: int = 150) -> DataFrame:
     """Stored bars of the symbols in ``batch`` from ``lookback_days`` before their first new date
     on, with the batch rows in place of stored rows of the same date."""
     first = batch.groupBy("symbol").agg(F.min("date").alias("_from"))
-    old = stored.join(first, "symbol").where(F.col("date") >= F.date_sub("_from", lookback_days)).drop("_from")
+    old = join_per_key(stored, first, ["symbol"], "date").where(F.col("date") >= F.date_sub("_from", lookback_days)).drop("_from")
     kept = old.join(batch.select("symbol", "date"), ["symbol", "date"], "left_anti")
     return kept.unionByName(batch.select(*kept.columns))
 
@@ -31,15 +34,18 @@ def latest_rows(log: DataFrame, keys: Sequence[str] = ("symbol", "date")) -> Dat
     return newest.select(*keys, "_r.*")
 
 
-def refresh_sink(read_stored: Callable[[], DataFrame], compute: Callable[[DataFrame], DataFrame], bars_path: str,
+def refresh_sink(read_stored: Callable[[dt.date], DataFrame], compute: Callable[[DataFrame], DataFrame], bars_path: str,
                  features_path: str, lookback_days: int = 150):
     """``foreachBatch`` function: one partition per batch in the bar and the feature table.
 
-    ``read_stored`` must give the bars of earlier batches (``latest_rows``). A repeated batch
-    overwrites its own partitions.
+    ``read_stored`` gets the first date it is asked for and must give the bars of earlier batches from there on
+    (``latest_rows`` after a filter on the date, which then reaches the scan). A repeated batch overwrites its own partitions.
     """
     def write(batch: DataFrame, batch_id: int) -> None:
-        features = refreshed(read_stored(), batch, compute, lookback_days)
+        first = batch.agg(F.min("date")).first()[0]
+        if first is None:
+            return
+        features = refreshed(read_stored(first - dt.timedelta(days=lookback_days)), batch, compute, lookback_days)
         features.write.mode("overwrite").parquet(f"{features_path}/batch_id={batch_id}")
         batch.write.mode("overwrite").parquet(f"{bars_path}/batch_id={batch_id}")
     return write

@@ -24,6 +24,7 @@ UPPER, LOWER = 0.662016, 0.220194
 ALLOCATION = 0.1
 MAX_DAYS = 2
 START_BALANCE = 10_000.0
+NEVER = -(1 << 62)
 
 
 @dataclass(frozen=True)
@@ -156,7 +157,7 @@ def replay(signals: DataFrame, rules: LedgerRules = LedgerRules(), balance: floa
 class LedgerProcessor(StatefulProcessor):
     """Keyed state of one account across micro-batches."""
 
-    STATE = "symbol string, amount double, position_value double, balance double, days int, open_spread double"
+    STATE = "symbol string, amount double, position_value double, balance double, days int, open_spread double, last_ts long"
 
     def __init__(self, rules: LedgerRules = LedgerRules(), balance: float = START_BALANCE):
         self.rules, self.start = rules, balance
@@ -166,10 +167,14 @@ class LedgerProcessor(StatefulProcessor):
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         stored = self.account.get() if self.account.exists() else None
-        acc = Account(*stored) if stored is not None else Account(balance=self.start)
+        acc, last = (Account(*stored[:6]), stored[6]) if stored is not None else (Account(balance=self.start), NEVER)
         batch = pd.concat(list(rows), ignore_index=True).sort_values(["ts", "msg_id"])
-        out = pd.DataFrame(list(_play(batch.itertuples(), acc, self.rules)), columns=_NAMES)
-        self.account.update((acc.symbol, acc.amount, acc.position_value, acc.balance, acc.days, acc.open_spread))
+        micros = batch["ts"].astype("datetime64[us]").astype("int64")
+        late = batch[micros < last]
+        played = [_row(m, "late", acc) for m in late.itertuples()] + list(_play(batch[micros >= last].itertuples(), acc, self.rules))
+        out = pd.DataFrame(played, columns=_NAMES)
+        last = max(int(last), int(micros.max()))
+        self.account.update((acc.symbol, acc.amount, acc.position_value, acc.balance, acc.days, acc.open_spread, last))
         out.insert(0, "account", key[0])
         yield out
 
@@ -177,7 +182,7 @@ class LedgerProcessor(StatefulProcessor):
         s = initialState.iloc[0]
         symbol = None if pd.isna(s["symbol"]) or not s["symbol"] else s["symbol"]
         self.account.update((symbol, float(s["amount"]), float(s["position_value"]), float(s["account_balance"]),
-                             int(s["days_in_trade"]), float(s["trade_open_spread"])))
+                             int(s["days_in_trade"]), float(s["trade_open_spread"]), NEVER))
 
     def close(self) -> None:
         pass
@@ -188,7 +193,8 @@ def ledger_stream(signals: DataFrame, rules: LedgerRules = LedgerRules(), balanc
     """Streaming ledger over the columns of ``replay``; ``accounts`` gives stored start states.
 
     The rows an account gets within one micro-batch are played in time order; the trigger limit
-    of the source bounds how many that are. This operator needs the RocksDB state store, which
+    of the source bounds how many that are. A row older than the last one played comes out with the action
+    ``late`` and changes nothing. This operator needs the RocksDB state store, which
     is set on the session.
     """
     signals.sparkSession.conf.set(STATE_STORE, SESSION_CONF[STATE_STORE])
@@ -213,15 +219,16 @@ def balance_rows(ledger: DataFrame) -> DataFrame:
     return ledger.select(F.to_date("ts").alias("date"), F.col("account").alias("account_id"), "account_balance", "msg_id")
 
 
-def write_ledger(path: str):
+def write_ledger(path: str, run: str = "0"):
     """``foreachBatch`` sink: each micro-batch owns one partition of both tables, so a replayed
-    batch overwrites its own rows instead of appending them again."""
+    batch overwrites its own rows instead of appending them again. Batch numbers start at 0 with every new
+    checkpoint: give each checkpoint a ``run`` of its own."""
     def write(batch: DataFrame, batch_id: int) -> None:
         # read twice below; cached blocks are rebuilt from the batch if an executor is lost
         batch = batch.persist()
         try:
-            position_rows(batch).write.mode("overwrite").parquet(f"{path}/positions/batch_id={batch_id}")
-            balance_rows(batch).write.mode("overwrite").parquet(f"{path}/balances/batch_id={batch_id}")
+            position_rows(batch).write.mode("overwrite").parquet(f"{path}/positions/run={run}/batch_id={batch_id}")
+            balance_rows(batch).write.mode("overwrite").parquet(f"{path}/balances/run={run}/batch_id={batch_id}")
         finally:
             batch.unpersist()
     return write

@@ -38,6 +38,15 @@ def test_ema_after_a_gap_longer_than_its_reach(spark):
     close(out.e, pdf.groupby("k").v.transform(lambda x: x.ewm(span=2, min_periods=2, adjust=False).mean()))
 
 
+def test_ema_of_short_spans_over_long_series_and_gaps(spark):
+    rng = np.random.default_rng(1)
+    v = np.concatenate([rng.normal(size=3000), np.full(10_000, np.nan), rng.normal(size=2000)])
+    pdf = pd.DataFrame({"k": "a", "date": pd.date_range("1980-01-01", periods=len(v)).date, "v": v})
+    out = back(f.ema(to_spark(spark, pdf), SPEC.with_(chunk_rows=4096), {"e1": ("v", 1), "e2": ("v", 2), "e20": ("v", 20)}))
+    for n in (1, 2, 20):
+        close(out[f"e{n}"], pdf.v.ewm(span=n, min_periods=n, adjust=False).mean(), 1e-8)
+
+
 def test_rsi(spark):
     pdf = walk()
     d = pdf.groupby("k").v.diff()

@@ -36,6 +36,22 @@ def barriers(pdf, tp, sl, h):
     return out
 
 
+def test_barriers_on_minutes(spark):
+    rng = np.random.default_rng(3)
+    n = 6000
+    pdf = pd.DataFrame({"k": "a", "date": pd.date_range("2020-01-01", periods=n, freq="min"), "v": rng.normal(size=n).cumsum() + 50})
+    pdf.loc[100:130, "v"] = np.nan
+    spec = SPEC.with_(bucket_days=1 / 24)
+    out = back(labels.triple_barrier(to_spark(spark, pdf), spec, "v", 0.1, 0.1, 2))
+    v, t = pdf.v.to_numpy(), pdf.date.to_numpy()
+    for i in range(0, n, 37):
+        later = np.flatnonzero((t > t[i]) & (t <= t[i] + np.timedelta64(2, "D")))
+        with np.errstate(invalid="ignore"):
+            hit = later[(np.abs(v[later]) >= abs(v[i]) * 1.1) | (np.abs(v[later]) <= abs(v[i]) * 0.9)]
+        want = (0, t[i] + np.timedelta64(2, "D")) if not len(hit) else (1 if abs(v[hit[0]]) >= abs(v[i]) * 1.1 else -1, t[hit[0]])
+        assert (out.label[i], out.t1.to_numpy()[i]) == want
+
+
 @pytest.mark.parametrize("h", [2, 9])
 def test_barriers_against_loops(spark, h):
     pdf = walk(n=200, start=0.0)
@@ -120,3 +136,9 @@ def test_forward_candidates(spark):
     out = back(labels.forward_candidates(to_spark(spark, pdf), SPEC.with_(bucket_days=10), "v", 4), "k", "t0")
     want = [sum(1 for e in x.date if 0 < (e - d).days <= 4) for _, x in pdf.groupby("k") for d in x.date]
     assert out.n_candidates.tolist() == want
+
+
+def test_start_uniqueness(spark):
+    pdf = pd.DataFrame({"k": "a", "date": [dt.date(2020, 1, i) for i in (1, 2, 3, 9)], "t1": [dt.date(2020, 1, i) for i in (3, 3, 4, 9)]})
+    out = back(labels.start_uniqueness(spark.createDataFrame(pdf), SPEC))
+    assert out.weight.round(6).tolist() == [1.0, 0.5, round(1 / 3, 6), 1.0]

@@ -93,6 +93,28 @@ def test_stream_over_batches_is_the_loop_and_sinks_repeat_safely(spark, tmp_path
     close(out.account_balance, want.balance)
 
 
+def test_late_messages_change_nothing(spark, tmp_path):
+    rows = signals(n=30, accounts=("a",))
+    late = [("a", rows[5][1], "a-late", 1, 0.1, 0.2, 100.0, 1000.0)]
+    for k, part in enumerate((rows[:20], rows[20:] + late)):
+        spark.createDataFrame(part, COLS).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+        stream = spark.readStream.schema(COLS).parquet(str(tmp_path / "in"))
+        run_once(ledger.ledger_stream(stream), str(tmp_path / "out"), str(tmp_path / "ckpt"))
+    out = spark.read.parquet(str(tmp_path / "out")).toPandas().sort_values("msg_id").reset_index(drop=True)
+    assert out[out.msg_id == "a-late"].action.tolist() == ["late"]
+    played = out[out.msg_id != "a-late"].reset_index(drop=True)
+    close(played.account_balance, loop(rows, ledger.LedgerRules()).balance)
+
+
+def test_runs_do_not_overwrite_each_other(spark, tmp_path):
+    batch = spark.createDataFrame([("a", "m1", dt.datetime(2020, 1, 1), "open", "ETH-USD", 1.0, 1.0, 1.0, 0, 0.0)],
+                                  "account string, msg_id string, ts timestamp, action string, symbol string, amount double, position_value double, "
+                                  "account_balance double, days_in_trade int, trade_open_spread double")
+    for run in ("one", "two", "two"):
+        ledger.write_ledger(str(tmp_path / "out"), run)(batch, 0)
+    assert spark.read.parquet(str(tmp_path / "out" / "positions")).count() == 2
+
+
 def test_stored_account_is_the_start_state(spark, tmp_path):
     accounts = spark.createDataFrame([("a", "ETH-USD", 2.0, 200.0, 800.0, 1, 0.5)],
                                      "account string, symbol string, amount double, position_value double, "

@@ -57,3 +57,48 @@ def test_transitions(spark):
     assert (row.next_state_1, row.next_state_2) == (1, 0)
     row = r.transition_probs(df, MODEL.transition, 2, power="elementwise").first()
     close([row.transition_2_0], [0.25 * 0.81 + 0.75 * 0.09])
+
+
+def two_pairs(n=160):
+    pdf = walk(n=n)
+    rng = np.random.default_rng(0)
+    level = np.where(pdf.k == "a", 1.0, 50.0)
+    pdf["v"] = np.where(pdf.index % 40 < 20, -level, level) + rng.normal(size=len(pdf)) / 4
+    return pdf
+
+
+def test_every_series_is_decoded_with_its_own_model(spark):
+    df = to_spark(spark, two_pairs())
+    models = r.fit(df, SPEC, "v", roll=40).cache()
+    both = back(r.decode(df, SPEC.with_(chunk_rows=17), "v", models, mode="filter"))
+    for m in models.collect():
+        one = r.Regimes((m.start0, m.start1), ((m.p00, m.p01), (m.p10, m.p11)), (m.mean0, m.mean1), (m.var0, m.var1))
+        alone = back(r.decode(df.where(f"k = '{m.k}'"), SPEC, "v", one, mode="filter"))
+        mine = both[both.k == m.k].reset_index(drop=True)
+        assert mine.state.tolist() == alone.state.tolist()
+        close(mine.p0, alone.p0)
+        ahead = back(r.next_state_by_row(r.decode(df.where(f"k = '{m.k}'"), SPEC, "v", models, mode="filter"), 2))
+        by_model = back(r.next_state(r.decode(df.where(f"k = '{m.k}'"), SPEC, "v", one, mode="filter"), one.transition, 2))
+        assert ahead.next_state_2.tolist() == by_model.next_state_2.tolist() and ahead.next_state_1.tolist() == by_model.next_state_1.tolist()
+
+
+def test_filtered_states_do_not_look_ahead(spark):
+    pdf = two_pairs()
+    early = pdf[pdf.date < pdf.date.iloc[100]]
+    model = r.Regimes((0.5, 0.5), ((0.9, 0.1), (0.2, 0.8)), (-1.0, 1.0), (1.0, 1.0))
+    whole = back(r.decode(to_spark(spark, pdf), SPEC.with_(chunk_rows=13), "v", model, mode="filter"))
+    part = back(r.decode(to_spark(spark, early), SPEC.with_(chunk_rows=13), "v", model, mode="filter"))
+    same = whole.merge(part, on=["k", "date"])
+    assert len(same) == len(part) and (same.state_x == same.state_y).all()
+    close(same.p0_x, same.p0_y)
+
+
+def test_regimes_of_folds_join_by_key(spark):
+    from pairloom.plans import training
+    pdf = two_pairs().rename(columns={"v": "standardized_spread"})
+    pdf["role"] = np.where(pdf.index % 160 < 110, "train", "test")
+    df = to_spark(spark, pdf)
+    out = training.with_regimes(df, df.where("role = 'train'"), SPEC, parts=("role",)).toPandas()
+    assert len(out) == len(pdf) and {"state", "next_state_1", "next_state_2"} <= set(out.columns)
+    high = out[out.standardized_spread > 0]
+    assert (high.state == 1).mean() > 0.9 and (out[out.standardized_spread < 0].state == 0).mean() > 0.9

@@ -42,6 +42,21 @@ def test_affine_scan_is_the_recursion(spark, shape):
     assert (out.n == out._ord + 1).all()
 
 
+def test_affine_scan_starts_anew_where_nothing_is_left(spark):
+    pdf = walk(n=200)
+    df = s.with_ordinal(to_spark(spark, pdf), SPEC)
+    a = F.when(F.col(s.ORD) % 7 == 3, 0.0).when(F.col(s.ORD) % 11 == 5, 1e-30).otherwise(0.4)
+    for shape in (dict(rows=16, fan=4, levels=4), dict()):
+        out = back(s.affine_scan(df, SPEC, {"y": (a, F.col("v"))}, **shape))
+        want = []
+        for _, x in pdf.groupby("k").v:
+            y = 0.0
+            for i, v in enumerate(x):
+                y = (0.0 if i % 7 == 3 or i % 11 == 5 else 0.4) * y + v
+                want.append(y)
+        close(out.y, want, 1e-8)
+
+
 def test_time_sliding_reaches_over_slices(spark):
     pdf = walk(n=120)
     spec = SPEC.with_(bucket_days=10)

@@ -22,10 +22,13 @@ def bars(spark, rows):
 def test_append_is_idempotent_and_rejects_incomplete_rows(spark):
     stored = bars(spark, [("A", D(2020, 1, 1), 1.0)])
     batch = bars(spark, [("A", D(2020, 1, 1), 9.0), ("A", D(2020, 1, 2), 2.0), ("A", D(2020, 1, 3), None)])
-    once = tables.guarded_append(batch, stored, ["close"])
-    twice = tables.guarded_append(batch, once, ["close"])
+    once = tables.guarded_append(batch, stored, ["close"], incomplete="skip")
+    twice = tables.guarded_append(batch, once, ["close"], incomplete="skip")
     assert sorted(once.collect()) == sorted(twice.collect())
     assert sorted(r.close for r in once.collect()) == [1.0, 2.0]
+    assert tables.guarded_append(batch, stored, ["close"]).collect() == stored.collect()  # rejected as a whole
+    copies = bars(spark, [("B", D(2020, 1, 1), 5.0), ("B", D(2020, 1, 1), 4.0)])
+    assert sorted(r.close for r in tables.guarded_append(copies, stored, ["close"]).collect()) == [1.0, 4.0]
     report = {r.status: r.n_rows for r in tables.rejection_report(batch, stored, ["close"]).collect()}
     assert report == {"stored": 1, "new": 1, "incomplete": 1}
 
@@ -112,6 +115,68 @@ def test_calendar_and_chunks(spark):
     assert [c.chunk_start for c in chunks] == [D(2020, 1, 1), D(2020, 10, 1), D(2021, 7, 1)]
 
 
+def test_backfill_keeps_the_end_of_the_span(spark):
+    days = spark.sql("SELECT 'A' AS symbol, explode(sequence(DATE'2019-12-01', DATE'2022-02-01', INTERVAL 1 DAY)) AS date, 1.0D AS close")
+    got = {r.date: r.chunk_no for r in src.chunked_backfill(days, "2020-01-31", "2021-12-31", 9).collect()}
+    edges = [(c.chunk_start, c.chunk_end) for c in src.range_chunks(spark, "2020-01-31", "2021-12-31", 9).orderBy("chunk_no").collect()]
+    assert min(got) == D(2020, 1, 31) and max(got) == D(2021, 12, 31) and len(got) == 701
+    for day, n in got.items():
+        assert n == min(k for k, (lo, hi) in enumerate(edges) if lo <= day <= hi), day
+    whole = {r.date for r in src.chunked_backfill(days, "2020-01-31", "2021-12-31", 9, whole_ranges_only=True).collect()}
+    assert max(whole) == max(hi for _, hi in edges if hi <= D(2021, 12, 31))
+
+
+def operators_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_bars_are_aggregated_by_hashing(spark):
+    from pairloom.functions.columns import packed
+    ticks = spark.createDataFrame([("A", dt.datetime(2020, 1, 1, h), 10.0 * n + h, 1.0, n, h) for n in (2, 1) for h in (9, 3)],
+                                  "s string, ts timestamp, p double, v double, n int, h int")
+    out = src.bars_from_ticks(ticks, "s", F.col("ts"), F.col("p"), F.col("v"), [packed((F.col("n"), 5), (F.col("h"), 2))])
+    assert "SortAggregate" not in operators_of(out)
+    row = out.first()
+    assert (row.open, row.high, row.low, row.close, row.volume) == (13.0, 29.0, 13.0, 29.0, 4.0)
+    with pytest.raises(Exception, match="NUMERIC_VALUE_OUT_OF_RANGE"):
+        ticks.select(packed((F.col("n"), 5), (F.col("h") * 100, 2)).alias("k")).collect()
+
+
+def test_no_join_on_the_series_key_alone(spark):
+    from pairloom.operators import labels
+    from pairloom.operators.series import SeriesSpec
+    import re
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = bars(spark, [(s, D(2020, 1, i), float(i)) for s in "AB" for i in range(1, 9)])
+        spec = SeriesSpec(("symbol",), "date")
+        spans = df.withColumn("t1", F.date_add("date", 2))
+        info = spark.createDataFrame([("A", "USD", "X")], "symbol string, currency string, exchange string")
+        frames = [src.after_high_water(df, df, "2020-01-08"), src.drop_open_bar(df), src.with_symbol_info(df, info), src.shift_last_on_gap(df),
+                  src.shift_last_if_missing(df, "2020-01-09"), labels.embargo_times(df, spec, 0.2), labels.purged_kfold(spans, spec, "t1", 2),
+                  incremental.touched_tail(df, df)]
+        for out in frames:
+            joins = re.findall(r"(?:SortMerge|ShuffledHash)Join \[([^\]]*)\]", operators_of(out))
+            assert joins and all("," in keys for keys in joins), joins
+            out.collect()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_work_folder_must_be_shared_off_local_masters(spark):
+    from types import SimpleNamespace
+
+    from pairloom.session import work_dir
+
+    def session(master, **conf):
+        return SimpleNamespace(conf=SimpleNamespace(get=lambda k, d=None: conf.get("dir", d)), sparkContext=SimpleNamespace(master=master))
+    with pytest.raises(ValueError, match="checkpoint"):
+        work_dir(session("spark://host:7077"), "x")
+    assert work_dir(session("yarn", dir="hdfs:///shared/"), "x").startswith("hdfs:///shared/x-")
+    assert work_dir(session("local[4]"), "x")
+
+
 def test_surrogate_key_marks_nulls(spark):
     import hashlib
 
