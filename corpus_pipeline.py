@@ -37,7 +37,8 @@ def benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every document, and whether they decode to its text again."""
-    out = byte_bpe.encode_and_decode(docs, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+    out = byte_bpe.encode_and_decode(docs, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN,
+                                     keep=["doc_id", "text"])
     return out.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids",
                       (F.col("decoded") == F.coalesce("text", F.lit("")).cast("binary")).alias("round_trip"))
 

@@ -18,8 +18,8 @@ from pairloom.llm.chunks import Chunks
 from pairloom.llm.common import fresh
 from pairloom.llm.token_counts import byte_characters, in_byte_characters
 
-#: rows that a worker turns into ids at a time
-SLICE = 2048
+#: rows that a worker turns into ids at a time, and chunks it keeps per generation: both bound its memory
+SLICE, KEPT = 512, 100_000
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -53,7 +53,7 @@ class ByteBpe:
         for name, i in self.tokenizer.get_vocab().items():
             self.bytes_of[i] = bytes([byte_of[c] for c in name])
         self.lengths = np.array([len(t) for t in self.bytes_of], np.int64)
-        self.chunks = Chunks(self._encode_chunks, keep_space=True)
+        self.chunks = Chunks(self._encode_chunks, keep_space=True, kept=KEPT)
 
     def _encode_chunks(self, chunks: list[str]) -> list[bytes]:
         """A chunk of one space at most and letters is one match of the pattern, so it goes straight to the merges."""

@@ -10,7 +10,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: chunks kept per generation; two generations are held by a worker
-KEPT = 300_000
+KEPT = 200_000
 #: marks that byte-pair patterns always separate from letters before them, and keep together
 TAIL = ".,!?;:)#$%&*"
 _BETWEEN = re.compile(r"(?<=\S) (?=\S)")

@@ -42,7 +42,36 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_bytes", "n_tokens", "over_limit")
 
 
-@query("op2_line_dedup")
+OP2 = r"""
+WITH lines AS (SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+               generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS pos FROM documents),
+l AS (SELECT *, string_split_regex(trim(line, ' ' || chr(9) || chr(11) || chr(12) || chr(13)), '[ \t\x0B\f\r]+') AS t
+      FROM lines WHERE regexp_matches(line, '[^ \t\x0B\f\r]')),
+k AS (SELECT doc_id, line, t, concat(len(t), chr(10), CASE WHEN regexp_matches(t[1], '[0-9]') THEN '<*>' ELSE t[1] END, chr(10),
+             CASE WHEN regexp_matches(t[2], '[0-9]') THEN '<*>' ELSE t[2] END) AS leaf FROM l),
+kinds AS (SELECT leaf, line, any_value(t) AS t, count(DISTINCT doc_id) AS docs FROM k GROUP BY leaf, line),
+mixed AS (SELECT leaf FROM kinds GROUP BY leaf HAVING sum(docs) >= 3 AND count(*) > 1 AND min(docs) < 3),
+tok AS (SELECT leaf, line, docs, unnest(t) AS token, generate_subscripts(t, 1) AS place FROM kinds JOIN mixed USING (leaf)),
+sup AS (SELECT leaf, place, token, sum(docs) AS support FROM tok GROUP BY ALL),
+spelled AS (SELECT leaf, line, any_value(docs) AS docs, count(*) AS n, sum(CASE WHEN support >= 3 THEN 1 ELSE 0 END) AS fixed,
+                   sum(CASE WHEN support < 3 AND regexp_matches(token, '[0-9]') THEN 1 ELSE 0 END) AS figures,
+                   string_agg(CASE WHEN support >= 3 THEN token ELSE '<*>' END, ' ' ORDER BY place) AS template
+            FROM tok JOIN sup USING (leaf, place, token) GROUP BY leaf, line),
+known AS (SELECT line, 'line ' || line AS template FROM kinds WHERE docs >= 3
+          UNION ALL SELECT line, 'leaf ' || leaf || chr(10) || template FROM spelled
+          WHERE docs < 3 AND fixed > 0 AND fixed < n AND fixed + figures >= 0.75 * n),
+used AS (SELECT DISTINCT template, doc_id, line FROM k JOIN known USING (line)),
+firsts AS (SELECT template, min(doc_id) AS first_id FROM used GROUP BY template HAVING count(DISTINCT doc_id) >= 3),
+dropped AS (SELECT DISTINCT doc_id, line, true AS gone FROM used JOIN firsts USING (template) WHERE doc_id <> first_id),
+kept AS (SELECT doc_id, count(*) AS n_lines, count(gone) AS n_dropped,
+                coalesce(string_agg(lines.line, chr(10) ORDER BY pos) FILTER (WHERE gone IS NULL), '') AS text
+         FROM lines LEFT JOIN dropped USING (doc_id, line) GROUP BY doc_id)
+SELECT doc_id, CAST(n_lines AS BIGINT) AS n_lines, CAST(n_dropped AS BIGINT) AS n_dropped, CAST(length(text) AS BIGINT) AS n_chars_kept,
+       md5(text) AS text_md5 FROM kept
+"""
+
+
+@query("op2_line_dedup", OP2)
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     out = line_dedup.without_recurring_lines(docs)
