@@ -145,5 +145,6 @@ def encode_and_decode(docs: DataFrame, path: str, pattern: str, text: str = "tex
                 ids = bpe.encode(part.column(len(names)).to_pylist())
                 yield pa.RecordBatch.from_arrays(
                     [*part.columns[:-1], _lists(ids), pa.array([bpe.decode(x) for x in ids], pa.binary())], names=schema.names)
+        bpe.chunks.forget()
 
     return source.mapInArrow(through, schema)

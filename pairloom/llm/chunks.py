@@ -29,6 +29,10 @@ class Chunks:
         self.young: dict = {}
         self.old: dict = {}
 
+    def forget(self) -> None:
+        """Empties the cache, so that a worker that goes on to other work doesn't carry it along."""
+        self.young, self.old = {}, {}
+
     def _unsafe(self, chunk: str) -> bool:
         return self.keep_space and (chunk in ("", " ") or chunk[-1].isspace() or chunk[0] == " " and chunk[1].isspace())
 

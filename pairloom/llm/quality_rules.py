@@ -22,7 +22,7 @@ RATES = 8
 MOST_LOST = 0.02
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 _SYMBOLS = b"#*$%&|<>"
-_KIND = "struct<" + ",".join(f"{c}:bigint" for c in COUNTS) + ",stats:array<float>>"
+_COUNTED = ",".join(f"{c}:bigint" for c in COUNTS)
 
 
 def _repeated(words: list[bytes]) -> int:
@@ -76,14 +76,21 @@ _UPPER = bytes(range(65, 91))
 _ASCII_MARKS = bytes(b for b in range(33, 127) if not chr(b).isalnum())
 
 
-def rule_statistics(text: Column) -> Column:
-    """Struct of the counts and the rates (``stats``) of every whole text; a null text has no words."""
-    @F.pandas_udf(_KIND)
+def rule_statistics(text: Column, forest: Forest | None = None) -> Column:
+    """Struct of the counts and the rates (``stats``) of every whole text, or with a forest of the counts and ``anomaly``.
+
+    A null text has no words.
+    """
+    @F.pandas_udf(f"struct<{_COUNTED},{'stats:array<float>' if forest is None else 'anomaly:double'}>")
     def measure(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for s in batches:
             rows = [statistics(t) for t in s]
             out = pd.DataFrame([r[0] for r in rows], columns=list(COUNTS), dtype="int64")
-            out["stats"] = [np.array(r[1], np.float32) for r in rows]
+            rates = np.array([r[1] for r in rows], np.float32).reshape(-1, RATES)
+            if forest is None:
+                out["stats"] = list(rates)
+            else:
+                out["anomaly"] = forest.scores(rates)
             yield out
     return measure(F.coalesce(text, F.lit("")))
 
@@ -111,8 +118,10 @@ class Forest:
     depth: int
     scale: float
 
-    def scores(self, x: np.ndarray) -> np.ndarray:
+    def scores(self, x: np.ndarray, part: int = 4096) -> np.ndarray:
         """Anomaly scores between 0 and 1, higher for rows that random splits isolate sooner."""
+        if len(x) > part:
+            return np.concatenate([self.scores(x[k:k + part]) for k in range(0, len(x), part)])
         total = np.zeros(len(x))
         rows = np.arange(len(x))
         for t in range(len(self.column)):
@@ -159,7 +168,7 @@ def anomaly(stats: Column, forest: Forest) -> Column:
     def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for s in batches:
             x = np.stack(s.tolist()).astype(np.float32) if len(s) else np.zeros((0, RATES), np.float32)
-            yield pd.Series(np.concatenate([forest.scores(x[k:k + 8192]) for k in range(0, len(x), 8192)]) if len(x) else [])
+            yield pd.Series(forest.scores(x))
     return score(stats)
 
 
@@ -212,15 +221,13 @@ def judged(docs: DataFrame, rules: Rules, text: str = "text") -> DataFrame:
     results = {*COUNTS, "base_failed", "anomaly", "kept"}
     names = [c for c in docs.columns if c.lower() not in results]
     s = fresh(docs, "rule_stats")
-    with_stats = docs.select(*names, rule_statistics(F.col(text)).alias(s))
-    scored = with_stats.select(*names, *[F.col(f"{s}.{c}") for c in COUNTS], base_failed(s).alias("base_failed"),
-                               anomaly(F.col(f"{s}.stats"), rules.forest).alias("anomaly"))
+    with_stats = docs.select(*names, rule_statistics(F.col(text), rules.forest).alias(s))
+    scored = with_stats.select(*names, *[F.col(f"{s}.{c}") for c in COUNTS], base_failed(s).alias("base_failed"), F.col(f"{s}.anomaly"))
     return scored.withColumn("kept", ~F.col("base_failed") & (F.col("anomaly") < F.lit(rules.threshold)))
 
 
 def keep_good(docs: DataFrame, rules: Rules, text: str = "text") -> DataFrame:
     """The documents that ``judged`` keeps, with their own columns."""
-    s, k = fresh(docs, "rule_stats"), fresh(docs, "rule_kept")
-    with_stats = docs.withColumn(s, rule_statistics(F.col(text)))
-    scored = with_stats.withColumn(k, ~base_failed(s) & (anomaly(F.col(f"{s}.stats"), rules.forest) < F.lit(rules.threshold)))
-    return scored.where(F.col(k)).drop(s, k)
+    s = fresh(docs, "rule_stats")
+    with_stats = docs.withColumn(s, rule_statistics(F.col(text), rules.forest))
+    return with_stats.where(~base_failed(s) & (F.col(f"{s}.anomaly") < F.lit(rules.threshold))).drop(s)
