@@ -166,6 +166,7 @@ def i3(spark, d):
                        b.r("account_balance", 2), "account_id")
 
 
+# The barrier margins of the two rule sets.
 RULES = {"tight": ledger.LedgerRules(0.173043, 0.117092, barrier_basis="open", reenter_same_step=False),
          "wide": ledger.LedgerRules(0.662016, 0.220194, barrier_basis="open")}
 

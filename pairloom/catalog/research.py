@@ -25,6 +25,7 @@ def h1(spark, d):
     return out.select("date", F.round(Z, 6).alias("z"), "label", "t1")
 
 
+# Barrier settings (take profit, stop loss, holding days).
 GRID = [(0.1, 0.1, 2), (0.25, 0.25, 2), (0.662016, 0.220194, 2), (0.173043, 0.117092, 3), (1.0, 0.5, 4)]
 
 

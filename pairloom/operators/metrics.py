@@ -24,6 +24,7 @@ def portfolio_metrics(equity: DataFrame, spec: SeriesSpec, value: str) -> DataFr
     return out.select(
         *keys, "final_value", ratio(F.col("final_value"), F.col("_first")).alias("profit_ratio"), "cumulative_return",
         (ratio(F.col("_mean"), F.col("_dev")) * F.sqrt(F.lit(252.0))).alias("sharpe"), "drawdown", "drawdown_cash",
+        # fixed values: the weights of the score
         (0.3 * F.col("cumulative_return") - 0.7 * F.col("drawdown")).alias("weighted"))
 
 
