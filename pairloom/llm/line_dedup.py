@@ -37,21 +37,24 @@ def _lines(docs: DataFrame, key: str, text: str) -> DataFrame:
 
 
 def recurring_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", min_docs: int = MIN_DOCS,
-                    similarity: float = SIMILARITY) -> DataFrame:
+                    similarity: float = SIMILARITY, long_words: int | None = None) -> DataFrame:
     """(doc, pos) of the lines to drop: all lines of a recurring template but those of the first document that has it.
 
     Lines with the same token count and the same leading tokens share a leaf. A token is constant if it stands at its place in
     lines of ``min_docs`` documents of the leaf (a document counts once for each of its distinct lines); other tokens are variable
     fields. The line's template is its constant tokens with a mark for each field. It recurs if it occurs in ``min_docs``
     documents and at least one token is constant and at most 1 - ``similarity`` of the tokens are fields without
-    a digit. A line that recurs as it is needs no fields.
+    a digit. A line that recurs as it is needs no fields. A line of ``long_words`` tokens or more, which chance does not repeat, recurs
+    as it is from two documents on; it can share a template with others besides. Without ``long_words`` no line does.
 
     Order and place of rows don't matter: every step is a count by key, with map-side sums, so one line that all
     documents have costs no task more than others.
     """
     lines = _lines(docs, key, text)
-    narrow = stored(lines.select("doc", "key", "pos", _leaf(F.col("line")).alias("leaf"), F.xxhash64("line").alias("lh")), "lines")
-    kinds = stored(narrow.select("leaf", "lh", "doc").distinct().groupBy("leaf", "lh").agg(F.count(F.lit(1)).alias("docs")), "line-kinds")
+    long = [] if long_words is None else [(F.size(tokens(F.col("line"))) >= long_words).alias("long")]
+    narrow = stored(lines.select("doc", "key", "pos", _leaf(F.col("line")).alias("leaf"), F.xxhash64("line").alias("lh"), *long), "lines")
+    kinds = stored(narrow.select("leaf", "lh", "doc", *["long" for _ in long]).distinct().groupBy("leaf", "lh")
+                   .agg(F.count(F.lit(1)).alias("docs"), *[F.max("long").alias("long") for _ in long]), "line-kinds")
     exact = kinds.where(F.col("docs") >= min_docs).select("lh", F.col("lh").alias("template"))
     # leaves in which rarer lines may share a template
     mixed = (kinds.groupBy("leaf").agg(F.sum("docs").alias("n"), F.count(F.lit(1)).alias("kinds"), F.min("docs").alias("least"))
@@ -68,17 +71,26 @@ def recurring_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", mi
                     F.array_sort(F.collect_list(F.struct("at", shown.alias("shown")))).alias("parts")))
     templates = (spelled.where((F.col("fixed") > 0) & (F.col("fixed") < F.col("n")) & (F.col("fixed") + F.col("figures") >= F.lit(similarity) * F.col("n")))
                  .select("lh", F.xxhash64("leaf", F.transform("parts", lambda p: p["shown"])).alias("template")))
-    known = stored(exact.unionAll(templates.join(exact.select("lh"), "lh", "left_anti")), "templates")
-    used = narrow.join(known, "lh").select("template", "doc", "key", "pos")
+    known = exact.unionAll(templates.join(exact.select("lh"), "lh", "left_anti"))
+    need = F.lit(min_docs)
+    if long_words is not None:
+        # a passage by a mark of its own, so that its two documents don't count for the template it may have besides
+        passage = F.xxhash64(F.lit("passage"), "lh")
+        rare = kinds.where(F.col("long") & (F.col("docs") >= 2) & (F.col("docs") < min_docs))
+        known = known.select("*", F.lit(False).alias("passage")).unionAll(rare.select("lh", passage.alias("template"), F.lit(True).alias("passage")))
+        need = F.when(F.max("passage"), 2).otherwise(min_docs)
+    known = stored(known, "templates")
+    marks = known.columns[2:]
+    used = narrow.join(known, "lh").select("template", "doc", "key", "pos", *marks)
     none = F.col("key").isNull()
-    first = (used.groupBy("template", "doc", "key").agg(F.lit(1).alias("one")).groupBy("template")
-             .agg(F.count(F.lit(1)).alias("docs"), F.min(F.struct(none.alias("none"), "key", "doc")).alias("first"))
-             .where(F.col("docs") >= min_docs).select("template", F.col("first.doc").alias("first")))
+    first = (used.groupBy("template", "doc", "key", *marks).agg(F.lit(1).alias("one")).groupBy("template")
+             .agg(F.count(F.lit(1)).alias("docs"), F.min(F.struct(none.alias("none"), "key", "doc")).alias("first"), need.alias("need"))
+             .where(F.col("docs") >= F.col("need")).select("template", F.col("first.doc").alias("first")))
     return used.join(first, "template").where("doc <> first").select("doc", "pos").distinct()
 
 
 def without_recurring_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", min_docs: int = MIN_DOCS,
-                            similarity: float = SIMILARITY) -> DataFrame:
+                            similarity: float = SIMILARITY, long_words: int | None = None) -> DataFrame:
     """``docs`` with n_lines, n_dropped and the text without its recurring lines.
 
     The first document of a template, by key (nulls last) and then by hash, keeps its lines, so groups of copies don't
@@ -88,7 +100,7 @@ def without_recurring_lines(docs: DataFrame, key: str = "doc_id", text: str = "t
     """
     names = [c for c in docs.columns if c.lower() not in ("n_lines", "n_dropped")]
     doc, drops, parts = fresh(docs, "doc"), fresh(docs, "drops"), fresh(docs, "parts")
-    dropped = (recurring_lines(docs, key, text, min_docs, similarity).groupBy(F.col("doc").alias(doc))
+    dropped = (recurring_lines(docs, key, text, min_docs, similarity, long_words).groupBy(F.col("doc").alias(doc))
                .agg(F.collect_list("pos").alias(drops)))
     marked = docs.select(*names, F.xxhash64(F.col(key), F.coalesce(F.col(text), F.lit(""))).alias(doc)).join(dropped, doc, "left")
     cut = marked.withColumn(parts, F.split(text, "\n", -1))

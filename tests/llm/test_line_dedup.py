@@ -96,3 +96,21 @@ def test_documents(spark):
 def test_empty_table(spark):
     df = spark.createDataFrame([], "doc_id long, text string")
     assert L.without_recurring_lines(df).count() == 0
+
+
+def test_long_passage_in_two_documents(spark):
+    passage = " ".join(f"p{i}" for i in range(60))
+    other = " ".join(f"q{i}" for i in range(49))
+    docs = [(1, f"one\n{passage}"), (2, f"{passage}\ntwo\n{other}"), (3, f"three\n{other}\nshort one"), (4, "short one"),
+            (5, " ".join(f"r{i}" for i in range(60))), (5, " ".join(f"r{i}" for i in range(60)))]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    got = sorted((r.doc_id, r.text, r.n_dropped) for r in L.without_recurring_lines(df, long_words=50).collect())
+    assert got == sorted([(1, docs[0][1], 0), (2, f"two\n{other}", 1)] + [(d, t, 0) for d, t in docs[2:]])
+
+
+def test_long_passage_keeps_its_template(spark):
+    body = " ".join(f"p{i}" for i in range(60))
+    docs = [(1, f"{body} no 1"), (2, f"{body} no 2"), (3, f"{body} no 2")]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    got = {r.doc_id: r.text for r in L.without_recurring_lines(df, long_words=50).collect()}
+    assert got == {1: f"{body} no 1", 2: "", 3: ""}
