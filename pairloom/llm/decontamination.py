@@ -18,9 +18,11 @@ from pairloom.llm.common import fresh, mix, pieces, stored, word_hashes
 EDIT_SHARE = 0.2
 #: items with fewer words are no evidence and match nothing
 MIN_WORDS = 5
-#: sampled positions a key, and the most keys a window
+#: sampled positions a key, and the most keys a window; classes that these don't serve are searched by segments
 SAMPLED, MOST_KEYS = 4, 64
 TARGET_RECALL = 0.95
+#: edited copies of a size class's items, at least, that its number of keys follows from
+TRIALS = 400
 #: words and keys of all items that a task may hold for its filters; larger benchmarks go without
 HELD = 4_000_000
 #: bytes of text scanned, and windows embedded, at a time, so that the arrays stay in a processor's cache
@@ -94,28 +96,65 @@ def _words(texts: list[str]) -> list[np.ndarray]:
     return [h[a:b] for a, b in zip(first[:-1], first[1:])]
 
 
-def keys_needed(items: list[np.ndarray], target: float = TARGET_RECALL) -> int:
-    """Keys a window needs so that ``target`` of the items are found with as many random edits as are allowed.
+def _edited(words: np.ndarray, rng: np.random.Generator) -> tuple[np.ndarray, int]:
+    """The words with as many random edits as are allowed, other words behind them, and where the first kept word is."""
+    most = int(edits_allowed(len(words)))
+    out, own = list(words), [True] * len(words)
+    for _ in range(most):
+        i, kind = int(rng.integers(len(out))), int(rng.integers(3))
+        out[i:i + (kind != 0)] = [np.uint64(rng.integers(1, 2**63))] if kind != 2 else []
+        own[i:i + (kind != 0)] = [False] if kind != 2 else []
+    return np.concatenate([np.array(out, np.uint64), rng.integers(1, 2**63, most).astype(np.uint64)]), own.index(True)
 
-    Found out by editing the given items; the draws are fixed.
+
+def found_at(words: np.ndarray, rounds: int) -> np.ndarray:
+    """For ``rounds`` edited copies of an item, the first key that it shares with the window from its first kept word; MOST_KEYS if none.
+
+    The draws follow from the words alone.
     """
-    rng = np.random.default_rng(5)
-    found = []
-    for words in items:
-        if len(words) < MIN_WORDS:
-            continue
-        size = int(size_class(np.array([len(words)]))[0])
-        edited = list(words)
-        for _ in range(int(edits_allowed(len(words)))):
-            i, kind = int(rng.integers(1, max(2, len(edited)))), int(rng.integers(3))
-            other = np.uint64(rng.integers(1, 2**63))
-            edited[i:i + (kind != 0)] = [other] if kind != 2 else []
-        both = [embed(np.array(w, np.uint64), np.array([0]), np.array([len(w)]), size, MOST_KEYS)[0] for w in (words, edited)]
-        same = np.flatnonzero(both[0] == both[1])
-        found.append(same[0] if len(same) else MOST_KEYS)
-    if not found:
-        return 1
-    return int(min(MOST_KEYS, np.sort(found)[min(len(found) - 1, math.ceil(target * len(found)) - 1)] + 1))
+    rng = np.random.default_rng([5, len(words), int(np.bitwise_xor.reduce(words))])
+    size = int(size_class(np.array([len(words)]))[0])
+    copies, kept = zip(*[_edited(words, rng) for _ in range(rounds)])
+    ends = np.cumsum([len(c) for c in copies])
+    own = embed(words, np.array([0]), np.array([len(words)]), size, MOST_KEYS)
+    same = embed(np.concatenate(copies), ends - [len(c) for c in copies] + np.array(kept), ends, size, MOST_KEYS) == own
+    return np.where(same.any(axis=1), same.argmax(axis=1), MOST_KEYS)
+
+
+def keys_needed(items: DataFrame, target: float = TARGET_RECALL) -> dict[int, int]:
+    """Keys that windows of each size class need so that ``target`` of its items are found with as many random edits as are allowed.
+
+    ``items`` has item_text, n and size. Found out by editing all items, each so often that a class has ``TRIALS`` copies; only counts
+    per class and key are collected. The share of the copies must exceed the target by two standard errors. A class that ``MOST_KEYS``
+    keys don't serve gets 0.
+    """
+    @F.arrow_udf("array<int>")
+    def trial(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        for texts, rounds in batches:
+            rows = [found_at(w, r).tolist() for w, r in zip(_words(texts.to_pylist()), rounds.to_pylist())]
+            yield pa.array(rows, pa.list_(pa.int32()))
+
+    rounds = items.groupBy("size").agg(F.ceil(F.lit(TRIALS) / F.count(F.lit(1))).cast("int").alias("rounds"))
+    found = items.join(rounds, "size").select("size", F.explode(trial(F.col("item_text"), F.col("rounds"))).alias("at"))
+    at: dict[int, np.ndarray] = {}
+    for r in found.groupBy("size", "at").agg(F.count(F.lit(1)).alias("n")).collect():
+        at.setdefault(r["size"], np.zeros(MOST_KEYS + 1, np.int64))[r["at"]] = r["n"]
+    served = {size: np.cumsum(n)[:-1] >= target * n.sum() + 2 * math.sqrt(target * (1 - target) * n.sum()) for size, n in at.items()}
+    return {size: int(ok.argmax()) + 1 if ok.any() else 0 for size, ok in served.items()}
+
+
+def grams(h: np.ndarray, length: int, size: int) -> np.ndarray:
+    """Hashes of the runs of ``length`` words from each word on, told apart by size class."""
+    out = np.full(max(0, len(h) - length + 1), mix(np.array([size], np.uint64))[0])
+    for k in range(length):
+        out = mix(out * np.uint64(0x9E3779B97F4A7C15) + h[k:k + len(out)])
+    return out
+
+
+def segments(words: np.ndarray, length: int, size: int) -> np.ndarray:
+    """Hashes of the first ``length`` words of the item's segments, one more than edits, so that each passage has one of them unchanged."""
+    parts = int(edits_allowed(len(words))) + 1
+    return grams(words, length, size)[np.arange(parts) * len(words) // parts]
 
 
 class Marks:
@@ -138,11 +177,12 @@ class Marks:
 
 @dataclass
 class Search:
-    """What a scan needs to know of the items: their sizes, the number of keys, and, if small enough, their words, word pairs and keys."""
+    """What a scan needs to know of the items: their sizes, the numbers of keys, and, if small enough, their words, word pairs and keys."""
     sizes: dict[int, int] = field(default_factory=dict)  # class -> most edits of its items
     longest: dict[int, int] = field(default_factory=dict)
     changes: dict[int, int] = field(default_factory=dict)  # class -> fewest pairs in the first words of an item that differ from the pair before
-    keys: int = 1
+    keys: dict[int, int] = field(default_factory=dict)  # class -> keys a window; 0: by segments
+    lengths: dict[int, int] = field(default_factory=dict)  # class -> words of a segment that are compared
     words: Marks | None = None
     pairs: Marks | None = None
     early: dict[int, Marks] = field(default_factory=dict)  # class -> words that the first kept word of an item can be
@@ -153,21 +193,27 @@ def _pairs(h: np.ndarray) -> np.ndarray:
     return mix(h[:-1] * np.uint64(3) + h[1:])
 
 
-def _item_keys(items: DataFrame, keys: int) -> DataFrame:
-    @F.arrow_udf("struct<n:bigint,size:bigint,keys:array<bigint>>")
+def _measured(items: DataFrame) -> DataFrame:
+    @F.arrow_udf("struct<n:bigint,size:bigint>")
     def measure(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
-            words = _words(batch.to_pylist())
-            n = np.array([len(w) for w in words], np.int64)
-            size = size_class(n)
-            rows = [embed(w, np.array([0]), np.array([len(w)]), int(s), keys)[0].view(np.int64).tolist() if len(w) >= MIN_WORDS else []
-                    for w, s in zip(words, size)]
-            yield pa.StructArray.from_arrays([pa.array(n), pa.array(size), pa.array(rows, pa.list_(pa.int64()))], ["n", "size", "keys"])
+            n = np.array([len(w) for w in _words(batch.to_pylist())], np.int64)
+            yield pa.StructArray.from_arrays([pa.array(n), pa.array(size_class(n))], ["n", "size"])
     return items.withColumn("m", measure(F.col("item_text"))).select("item", "item_text", "m.*")
 
 
+def _item_keys(items: DataFrame, keys: dict[int, int], lengths: dict[int, int]) -> DataFrame:
+    @F.arrow_udf("array<bigint>")
+    def given(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        for texts, sizes in batches:
+            rows = [embed(w, np.array([0]), np.array([len(w)]), s, keys[s])[0] if keys[s] else segments(w, lengths[s], s)
+                    for w, s in zip(_words(texts.to_pylist()), sizes.to_pylist())]
+            yield pa.array([r.view(np.int64).tolist() for r in rows], pa.list_(pa.int64()))
+    return items.withColumn("keys", given(F.col("item_text"), F.col("size")))
+
+
 def _windows(text: pa.Array, search: Search):
-    """(row, start byte, end byte, class, keys) of the windows of some texts that may hold an item, and the bytes."""
+    """(row, start byte, end byte, keys) of the windows of some texts that may hold an item, and the bytes."""
     h, first, begin, finish, data = word_hashes(text, letters=True)
     if not len(h):
         return
@@ -192,9 +238,22 @@ def _windows(text: pa.Array, search: Search):
             start = near[fresh_pairs[stop[near] - 1] - fresh_pairs[near] >= search.changes[size] - 3 * most]
         else:
             start = np.flatnonzero(stop - np.arange(len(h)) >= size - most)
+        if not search.keys[size] and len(start):
+            # from each window's first word to the last that a passage can have: all segments that stand there
+            length = search.lengths[size]
+            gram = grams(h, length, size)
+            at = np.flatnonzero((end[:len(gram)] - np.arange(len(gram)) >= length) & (True if search.known is None else search.known.has(gram)))
+            lo, hi = np.searchsorted(at, start), np.searchsorted(at, np.minimum(start + search.longest[size] + most, end[start]) - length, "right")
+            for k in range(0, len(start), WINDOWS):
+                on = k + np.flatnonzero(hi[k:k + WINDOWS] > lo[k:k + WINDOWS])
+                if len(on):
+                    part = start[on]
+                    last = np.minimum(part + search.longest[size] + most, end[part]) - 1
+                    yield row[part], begin[part], finish[last], [gram[at[a:b]] for a, b in zip(lo[on], hi[on])], data
+            continue
         for lo in range(0, len(start), WINDOWS):
             part = start[lo:lo + WINDOWS]
-            keys = embed(h, part, end[part], size, search.keys)
+            keys = embed(h, part, end[part], size, search.keys[size])
             if search.known is not None:
                 hit = search.known.has(keys)
                 on = hit.any(axis=1)
@@ -203,7 +262,7 @@ def _windows(text: pa.Array, search: Search):
                 hit = np.ones(keys.shape, bool)
             if len(part):
                 last = np.minimum(part + search.longest[size] + most, end[part]) - 1
-                yield row[part], begin[part], finish[last], size, keys, hit, data
+                yield row[part], begin[part], finish[last], [x[y] for x, y in zip(keys, hit)], data
 
 
 def find_passages(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", item: str = "item_id",
@@ -218,17 +277,19 @@ def find_passages(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", te
 
     Each text is scanned whole. Windows of an item's size class begin at every word; those that share too few words or word pairs
     with all items to be within the edits are passed over, which loses nothing. The others are embedded, and those that share a key with an item are compared
-    with it exactly. The number of keys follows from ``target_recall`` for the hardest edits; exact passages
-    are always found.
+    with it exactly. Each size class has its own number of keys, which follows from ``target_recall`` for the hardest edits of all its items; a class
+    for which ``MOST_KEYS`` keys are too few (long items) is searched by segments instead: one more than edits, so that one
+    of them stands unchanged in each passage, and none is lost. Exact passages are always found.
     """
     spark = docs.sparkSession
     items = benchmark.select(F.col(item).alias("item"), F.col(item_text).alias("item_text")).where("item_text IS NOT NULL")
-    trial = items.orderBy(F.xxhash64("item_text"), "item_text").limit(200).select("item_text").collect()
-    search = Search(keys=keys_needed(_words([r.item_text for r in trial]), target_recall))
-    measured = stored(_item_keys(items, search.keys).where(F.col("n") >= MIN_WORDS), "items")
-    for r in measured.groupBy("size").agg(F.max("n").alias("n")).collect():
-        search.sizes[r["size"]], search.longest[r["size"]] = int(edits_allowed(r["n"])), int(r["n"])
-    volume = measured.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("words"), (F.count(F.lit(1)) * search.keys).alias("keys")).first()
+    sized = stored(_measured(items).where(F.col("n") >= MIN_WORDS), "sized-items")
+    search = Search(keys=keys_needed(sized, target_recall))
+    shortest = F.min(F.floor(F.col("n") / (F.floor(F.col("n") * EDIT_SHARE + 1e-9) + 1)))
+    for r in sized.groupBy("size").agg(F.max("n").alias("n"), shortest.alias("length")).collect():
+        search.sizes[r["size"]], search.longest[r["size"]], search.lengths[r["size"]] = int(edits_allowed(r["n"])), int(r["n"]), int(r["length"])
+    measured = stored(_item_keys(sized, search.keys, search.lengths), "items")
+    volume = measured.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("words"), F.coalesce(F.sum(F.size("keys")), F.lit(0)).alias("keys")).first()
     if 0 < max(volume["words"], volume["keys"]) <= HELD:  # a checked bound on what each task is given
         parts = measured.select("item_text", "keys").toPandas()
         words = _words(parts["item_text"].tolist())
@@ -246,13 +307,13 @@ def find_passages(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", te
         for batch in batches:
             node, texts = batch.column("node"), batch.column("text")
             for lo, hi in pieces(texts, PIECE):
-                for row, begin, finish, size, keys, hit, data in _windows(texts.slice(lo, hi - lo), search):
+                for row, begin, finish, keys, data in _windows(texts.slice(lo, hi - lo), search):
                     for k in range(0, len(row), 1024):
                         cut = slice(k, k + 1024)
                         yield pa.RecordBatch.from_arrays([
                             node.take(pa.array(row[cut] + lo)),
                             pa.array([data[a:b].tobytes().decode(errors="replace") for a, b in zip(begin[cut], finish[cut])], pa.string()),
-                            pa.array([x[y].view(np.int64).tolist() for x, y in zip(keys[cut], hit[cut])], pa.list_(pa.int64()))],
+                            pa.array([x.view(np.int64).tolist() for x in keys[cut]], pa.list_(pa.int64()))],
                             names=["node", "window", "keys"])
 
     named = docs.select(F.col(key).alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text")).withColumn("node", F.xxhash64("text"))

@@ -126,3 +126,37 @@ def test_embedding_keeps_close_windows_close():
     assert (keys[0] == keys[1]).mean() > 0.3 and (keys[0] == keys[2]).mean() > 0.2 and not (keys[0] == keys[3]).any()
     shifted = D.embed(np.concatenate([other, a]), np.array([60]), np.array([120]), 50, 64)[0]
     assert (shifted == keys[0]).all()
+
+
+def edited(rng, words, edits):
+    x = list(words)
+    for _ in range(edits):
+        p, kind = rng.randrange(len(x)), rng.randrange(3)
+        x[p:p + (kind != 0)] = [f"new{rng.randrange(10**9)}"] if kind != 2 else []
+    return x
+
+
+def test_recall_of_each_size(spark):
+    rng = random.Random(3)
+    sizes = (5, 9, 15, 30, 59, 100, 200, 300)
+    items = {100 * n + k: [f"w{rng.randrange(10**9)}" for _ in range(n)] for n in sizes for k in range(100)}
+    docs = [(i, " ".join([f"a{rng.randrange(10**9)}" for _ in range(20)] + edited(rng, w, int(0.2 * len(w) + 1e-9))
+                         + [f"z{rng.randrange(10**9)}" for _ in range(20)])) for i, w in items.items()]
+    df, bench = frames(spark, docs, [(i, " ".join(w)) for i, w in items.items()])
+    found = {(r.doc_id, r.item) for r in D.find_passages(df, bench).collect()}
+    recall = {n: sum((i, i) in found for i in items if i // 100 == n) / 100 for n in sizes}
+    assert all(r >= 0.93 for r in recall.values()), recall
+    assert len(found) == sum((i, i) in found for i in items)
+
+
+def test_segments_stand_unchanged():
+    rng = random.Random(6)
+    for n in (5, 9, 10, 14, 15, 40, 200):
+        words = list(range(1, n + 1))
+        most = int(0.2 * n + 1e-9)
+        length = n // (most + 1)
+        want = D.segments(np.array(words, np.uint64), length, 7)
+        assert len(want) == most + 1
+        for _ in range(20):
+            x = np.array([w if isinstance(w, int) else 1000 + int(w[3:]) for w in edited(rng, words, most)], np.uint64)
+            assert np.isin(want, D.grams(x, length, 7)).any()
