@@ -5,7 +5,7 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass, field
-from functools import lru_cache
+from functools import lru_cache, reduce
 
 import numpy as np
 import pyarrow as pa
@@ -23,7 +23,7 @@ SAMPLED, MOST_KEYS = 4, 64
 TARGET_RECALL = 0.95
 #: edited copies of a size class's items, at least, that its number of keys follows from
 TRIALS = 400
-#: words and keys of all items that a task may hold for its filters; larger benchmarks go without
+#: words, or keys, of items that a task holds for its filters, about; larger benchmarks are searched in slices
 HELD = 4_000_000
 #: bytes of text scanned, and windows embedded, at a time, so that the arrays stay in a processor's cache
 PIECE, WINDOWS = 1 << 20, 1024
@@ -177,16 +177,33 @@ class Marks:
 
 @dataclass
 class Search:
-    """What a scan needs to know of the items: their sizes, the numbers of keys, and, if small enough, their words, word pairs and keys."""
+    """What a scan needs to know of its slice of the items: their sizes, the numbers of keys, their words, word pairs and keys."""
+    words: Marks
+    pairs: Marks
+    known: Marks
+    keys: dict[int, int]  # class -> keys a window; 0: by segments
+    lengths: dict[int, int]  # class -> words of a segment that are compared
     sizes: dict[int, int] = field(default_factory=dict)  # class -> most edits of its items
     longest: dict[int, int] = field(default_factory=dict)
     changes: dict[int, int] = field(default_factory=dict)  # class -> fewest pairs in the first words of an item that differ from the pair before
-    keys: dict[int, int] = field(default_factory=dict)  # class -> keys a window; 0: by segments
-    lengths: dict[int, int] = field(default_factory=dict)  # class -> words of a segment that are compared
-    words: Marks | None = None
-    pairs: Marks | None = None
     early: dict[int, Marks] = field(default_factory=dict)  # class -> words that the first kept word of an item can be
-    known: Marks | None = None
+
+
+def _search(parts: DataFrame, keys: dict[int, int], lengths: dict[int, int]) -> Search:
+    rows = parts.select("item_text", "keys").toPandas()
+    words = _words(rows["item_text"].tolist())
+    out = Search(Marks(np.concatenate(words)), Marks(np.concatenate([_pairs(w) for w in words])),
+                 Marks(np.concatenate([np.asarray(k, np.int64) for k in rows["keys"]]).view(np.uint64)), keys, lengths)
+    of: dict[int, list[np.ndarray]] = {}
+    for w in words:
+        of.setdefault(int(size_class(np.array([len(w)]))[0]), []).append(w)
+    for size, group in of.items():
+        out.longest[size] = max(map(len, group))
+        out.sizes[size] = most = int(edits_allowed(out.longest[size]))
+        out.early[size] = Marks(np.concatenate([w[:most + 1] for w in group]))
+        both = [_pairs(w[:size]) for w in group]
+        out.changes[size] = min(size, min(int((b[1:] != b[:-1]).sum()) for b in both))
+    return out
 
 
 def _pairs(h: np.ndarray) -> np.ndarray:
@@ -219,30 +236,26 @@ def _windows(text: pa.Array, search: Search):
         return
     row = np.repeat(np.arange(len(text)), np.diff(first))
     end = first[1:][row]
-    if search.words is not None:
-        flag = search.words.has(h)
-        total = np.concatenate([[0], np.cumsum(flag, dtype=np.int32)])
-        both = _pairs(h)
-        pair = np.append(search.pairs.has(both) & (row[1:] == row[:-1]), False)
-        pairs = np.concatenate([[0], np.cumsum(pair, dtype=np.int32)])
-        fresh_pair = pair & np.concatenate([[True], both[1:] != both[:-1], [False]])[:len(h)]
-        fresh_pairs = np.concatenate([[0], np.cumsum(fresh_pair, dtype=np.int32)])
+    flag = search.words.has(h)
+    total = np.concatenate([[0], np.cumsum(flag, dtype=np.int32)])
+    both = _pairs(h)
+    pair = np.append(search.pairs.has(both) & (row[1:] == row[:-1]), False)
+    pairs = np.concatenate([[0], np.cumsum(pair, dtype=np.int32)])
+    fresh_pair = pair & np.concatenate([[True], both[1:] != both[:-1], [False]])[:len(h)]
+    fresh_pairs = np.concatenate([[0], np.cumsum(fresh_pair, dtype=np.int32)])
     for size, most in search.sizes.items():
         stop = np.minimum(np.arange(size, len(h) + size), end)
-        if search.words is not None:
-            # a window that begins with the first kept word of an item, one of its first words, shares all of its words but one an edit, all of its word pairs but two an
-            # edit, and all of its pairs that differ from the pair before (which repeated words lack) but three an edit
-            near = np.flatnonzero(flag & (total[stop] - total[:-1] >= size - most))
-            near = near[pairs[stop[near] - 1] - pairs[near] >= size - 1 - 2 * most]
-            near = near[search.early[size].has(h[near])]
-            start = near[fresh_pairs[stop[near] - 1] - fresh_pairs[near] >= search.changes[size] - 3 * most]
-        else:
-            start = np.flatnonzero(stop - np.arange(len(h)) >= size - most)
+        # a window that begins with the first kept word of an item, one of its first words, shares all of its words but one an edit, all of its word pairs but two an
+        # edit, and all of its pairs that differ from the pair before (which repeated words lack) but three an edit
+        near = np.flatnonzero(flag & (total[stop] - total[:-1] >= size - most))
+        near = near[pairs[stop[near] - 1] - pairs[near] >= size - 1 - 2 * most]
+        near = near[search.early[size].has(h[near])]
+        start = near[fresh_pairs[stop[near] - 1] - fresh_pairs[near] >= search.changes[size] - 3 * most]
         if not search.keys[size] and len(start):
             # from each window's first word to the last that a passage can have: all segments that stand there
             length = search.lengths[size]
             gram = grams(h, length, size)
-            at = np.flatnonzero((end[:len(gram)] - np.arange(len(gram)) >= length) & (True if search.known is None else search.known.has(gram)))
+            at = np.flatnonzero((end[:len(gram)] - np.arange(len(gram)) >= length) & search.known.has(gram))
             lo, hi = np.searchsorted(at, start), np.searchsorted(at, np.minimum(start + search.longest[size] + most, end[start]) - length, "right")
             for k in range(0, len(start), WINDOWS):
                 on = k + np.flatnonzero(hi[k:k + WINDOWS] > lo[k:k + WINDOWS])
@@ -254,12 +267,9 @@ def _windows(text: pa.Array, search: Search):
         for lo in range(0, len(start), WINDOWS):
             part = start[lo:lo + WINDOWS]
             keys = embed(h, part, end[part], size, search.keys[size])
-            if search.known is not None:
-                hit = search.known.has(keys)
-                on = hit.any(axis=1)
-                part, keys, hit = part[on], keys[on], hit[on]
-            else:
-                hit = np.ones(keys.shape, bool)
+            hit = search.known.has(keys)
+            on = hit.any(axis=1)
+            part, keys, hit = part[on], keys[on], hit[on]
             if len(part):
                 last = np.minimum(part + search.longest[size] + most, end[part]) - 1
                 yield row[part], begin[part], finish[last], [x[y] for x, y in zip(keys, hit)], data
@@ -279,30 +289,40 @@ def find_passages(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", te
     with all items to be within the edits are passed over, which loses nothing. The others are embedded, and those that share a key with an item are compared
     with it exactly. Each size class has its own number of keys, which follows from ``target_recall`` for the hardest edits of all its items; a class
     for which ``MOST_KEYS`` keys are too few (long items) is searched by segments instead: one more than edits, so that one
-    of them stands unchanged in each passage, and none is lost. Exact passages are always found.
+    of them stands unchanged in each passage, and none is lost. Exact passages are always found. A benchmark of more than ``HELD`` words or
+    keys is dealt into slices by the hash of the text, and the texts are scanned once for each, with the same result.
     """
-    spark = docs.sparkSession
     items = benchmark.select(F.col(item).alias("item"), F.col(item_text).alias("item_text")).where("item_text IS NOT NULL")
     sized = stored(_measured(items).where(F.col("n") >= MIN_WORDS), "sized-items")
-    search = Search(keys=keys_needed(sized, target_recall))
+    needed = keys_needed(sized, target_recall)
     shortest = F.min(F.floor(F.col("n") / (F.floor(F.col("n") * EDIT_SHARE + 1e-9) + 1)))
-    for r in sized.groupBy("size").agg(F.max("n").alias("n"), shortest.alias("length")).collect():
-        search.sizes[r["size"]], search.longest[r["size"]], search.lengths[r["size"]] = int(edits_allowed(r["n"])), int(r["n"]), int(r["length"])
-    measured = stored(_item_keys(sized, search.keys, search.lengths), "items")
-    volume = measured.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("words"), F.coalesce(F.sum(F.size("keys")), F.lit(0)).alias("keys")).first()
-    if 0 < max(volume["words"], volume["keys"]) <= HELD:  # a checked bound on what each task is given
-        parts = measured.select("item_text", "keys").toPandas()
-        words = _words(parts["item_text"].tolist())
-        early: dict[int, list[np.ndarray]] = {}
-        for w in words:
-            size = int(size_class(np.array([len(w)]))[0])
-            early.setdefault(size, []).append(w[:search.sizes[size] + 1])
-            both = _pairs(w[:size])
-            search.changes[size] = min(search.changes.get(size, size), int((both[1:] != both[:-1]).sum()))
-        search.early = {size: Marks(np.concatenate(w)) for size, w in early.items()}
-        search.words, search.pairs = Marks(np.concatenate(words)), Marks(np.concatenate([_pairs(w) for w in words]))
-        search.known = Marks(np.concatenate([np.asarray(k, np.int64) for k in parts["keys"]]).view(np.uint64))
-
+    lengths = {r["size"]: int(r["length"]) for r in sized.groupBy("size").agg(shortest.alias("length")).collect()}
+    measured = stored(_item_keys(sized, needed, lengths), "items")
+    distinct = measured.select("item_text", "n", "keys").dropDuplicates(["item_text"])
+    volume = distinct.agg(F.count(F.lit(1)).alias("items"), F.coalesce(F.greatest(F.sum("n"), F.sum(F.size("keys"))), F.lit(0)).alias("held")).first()
+    slices = min(volume["items"], math.ceil(volume["held"] / max(1, HELD)))
+    named = docs.select(F.col(key).alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text")).withColumn("node", F.xxhash64("text"))
+    matches = []
+    for k in range(slices):
+        mine = F.pmod(F.xxhash64("item_text"), F.lit(slices)) == k
+        if distinct.where(mine).isEmpty():
+            continue
+        found = _found(named, _search(distinct.where(mine), needed, lengths))
+        met = (found.select("node", "window", F.explode(F.array_distinct("keys")).alias("k"))
+               .join(measured.where(mine).select("item", "item_text", F.explode("keys").alias("k")), "k")
+               .groupBy("node", "window", "item", "item_text").agg(F.count(F.lit(1)).alias("shared")))
+        close = (met.where("shared > 0").withColumn("edits", _edits(F.col("item_text"), F.col("window"))).where("edits IS NOT NULL")
+                 .groupBy("node", "item").agg(F.min("edits").alias("edits")))
+        # item ids may repeat with other texts, so a pair can come from two slices
+        matches.append(stored(close, "passages"))
+    if not matches:
+        matches = [named.select("node").crossJoin(items.select("item")).select("node", "item", F.lit(0).alias("edits")).limit(0)]
+    best = matches[0] if len(matches) == 1 else reduce(DataFrame.unionAll, matches).groupBy("node", "item").agg(F.min("edits").alias("edits"))
+    return named.select("key", "node").join(best, "node").select(F.col("key").alias(key), "node", "item", "edits")
+
+
+def _found(named: DataFrame, search: Search) -> DataFrame:
+    """(node, window, keys) of the windows that share keys with items of the slice."""
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             node, texts = batch.column("node"), batch.column("text")
@@ -316,20 +336,12 @@ def find_passages(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", te
                             pa.array([x.view(np.int64).tolist() for x in keys[cut]], pa.list_(pa.int64()))],
                             names=["node", "window", "keys"])
 
-    named = docs.select(F.col(key).alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text")).withColumn("node", F.xxhash64("text"))
-    schema = "node long, window string, keys array<bigint>"
-    found = named.select("node", "text").mapInArrow(scan, schema) if search.sizes else spark.createDataFrame([], schema)
-    met = (found.select("node", "window", F.explode(F.array_distinct("keys")).alias("k"))
-           .join(measured.select("item", "item_text", F.explode("keys").alias("k")), "k")
-           .groupBy("node", "window", "item", "item_text").agg(F.count(F.lit(1)).alias("shared")))
-    close = (met.where("shared > 0").withColumn("edits", _edits(F.col("item_text"), F.col("window"))).where("edits IS NOT NULL")
-             .groupBy("node", "item").agg(F.min("edits").alias("edits")))
-    matches = stored(close, "passages")
-    return named.select("key", "node").join(matches, "node").select(F.col("key").alias(key), "node", "item", "edits")
+    return named.select("node", "text").mapInArrow(scan, "node long, window string, keys array<bigint>")
 
 
 def _edits(item_text: Column, window: Column) -> Column:
-    """Edits between the item and the beginning of the window; null if there are too many.
+    """Edits between the item and the beginning of the window; null if there are too many, or if the window does not begin with
+    one of the item's first words: what is found for an item must not follow from the other items of its slice.
 
     Called non-deterministic, for else Spark moves it before the grouping and compares a pair once per shared key.
     """
@@ -339,7 +351,7 @@ def _edits(item_text: Column, window: Column) -> Column:
             out = []
             for a, b in zip(_words(one.to_pylist()), _words(two.to_pylist())):
                 most = int(edits_allowed(len(a)))
-                d = edit_distance(a, b, most)
+                d = edit_distance(a, b, most) if len(b) and b[0] in a[:most + 1] else most + 1
                 out.append(d if d <= most else None)
             yield pa.array(out, pa.int32())
     return count.asNondeterministic()(item_text, window)

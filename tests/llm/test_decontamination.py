@@ -160,3 +160,19 @@ def test_segments_stand_unchanged():
         for _ in range(20):
             x = np.array([w if isinstance(w, int) else 1000 + int(w[3:]) for w in edited(rng, words, most)], np.uint64)
             assert np.isin(want, D.grams(x, length, 7)).any()
+
+
+def test_slices_change_nothing(spark, monkeypatch):
+    rng = random.Random(8)
+    items = [(k, " ".join(f"w{rng.randrange(2000)}" for _ in range(n))) for k in range(200) for n in (15 + k % 3,)]
+    items += [(0, items[1][1]), (0, items[2][1]), (500, " ".join(f"v{k}" for k in range(120)))]
+    docs = [(k, " ".join([f"w{rng.randrange(2000)}" for _ in range(9)] + edited(rng, t.split(), int(0.2 * len(t.split()) + 1e-9)) + ["end"] * 9))
+            for k, t in items]
+    df, bench = frames(spark, docs, items)
+    key = lambda rows: sorted((r.doc_id, r.item, r.edits) for r in rows)
+    whole, scans = key(D.find_passages(df, bench).collect()), []
+    monkeypatch.setattr(D, "HELD", 1500)
+    search = getattr(D, "_search", None)
+    monkeypatch.setattr(D, "_search", lambda *a: scans.append(search(*a)) or scans[-1], raising=False)
+    assert key(D.find_passages(df, bench).collect()) == whole
+    assert len(scans) > 2 and all(len(s.known.values) < 3000 for s in scans)
