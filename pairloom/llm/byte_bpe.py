@@ -126,25 +126,32 @@ def decoded(ids: Column, path: str, pattern: str) -> Column:
     return decode(F.coalesce(ids, F.array().cast("array<int>")))
 
 
-def encode_and_decode(docs: DataFrame, path: str, pattern: str, text: str = "text", keep: list[str] | None = None) -> DataFrame:
+def encode_and_decode(docs: DataFrame, path: str, pattern: str, text: str = "text", keep: list[str] | None = None,
+                      offsets: bool = False) -> DataFrame:
     """The columns ``keep`` of ``docs`` (all by default) with ``ids`` and ``decoded``, the bytes that the ids give back.
 
+    With ``offsets`` also ``starts``, the character of the text in which each token begins.
+
     Null and empty texts have no ids and decode to no bytes. Every row is encoded by itself: repeated rows and null
     keys stay; input columns named ids or decoded are replaced. Texts are never cut short. Rows go through a worker
     in small slices, so its memory does not depend on the size of Arrow batches.
     """
-    names = [c for c in (docs.columns if keep is None else keep) if c.lower() not in ("ids", "decoded")]
+    new = ("ids", "decoded", "starts") if offsets else ("ids", "decoded")
+    names = [c for c in (docs.columns if keep is None else keep) if c.lower() not in new]
     source = docs.select(*names, F.coalesce(F.col(text), F.lit("")).alias(fresh(docs, "whole_text")))
-    schema = T.StructType([*source.schema.fields[:-1], T.StructField("ids", T.ArrayType(T.IntegerType())), T.StructField("decoded", T.BinaryType())])
+    schema = T.StructType([*source.schema.fields[:-1], T.StructField("ids", T.ArrayType(T.IntegerType())), T.StructField("decoded", T.BinaryType()),
+                           *[T.StructField(c, T.ArrayType(T.IntegerType())) for c in new[2:]]])
 
     def through(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = _bpe(path, pattern)
         for batch in batches:
             for lo in range(0, batch.num_rows, SLICE):
                 part = batch.slice(lo, SLICE)
-                ids = bpe.encode(part.column(len(names)).to_pylist())
+                texts = part.column(len(names)).to_pylist()
+                ids = bpe.encode(texts)
+                at = [_lists([bpe.starts(t, x) for t, x in zip(texts, ids)])] if offsets else []
                 yield pa.RecordBatch.from_arrays(
-                    [*part.columns[:-1], _lists(ids), pa.array([bpe.decode(x) for x in ids], pa.binary())], names=schema.names)
+                    [*part.columns[:-1], _lists(ids), pa.array([bpe.decode(x) for x in ids], pa.binary()), *at], names=schema.names)
         bpe.chunks.forget()
 
     return source.mapInArrow(through, schema)

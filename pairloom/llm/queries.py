@@ -98,9 +98,10 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     out = byte_bpe.encode_and_decode(docs, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN,
-                                     keep=["doc_id"])
+                                     keep=["doc_id"], offsets=True)
     return out.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
                       F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+                      F.sha2(F.array_join(F.col("starts").cast("array<string>"), ","), 256).alias("starts_sha256"),
                       F.sha2("decoded", 256).alias("decoded_sha256"))
 
 

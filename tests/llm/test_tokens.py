@@ -1,5 +1,6 @@
 """Token counts, encoding and decoding next to the libraries themselves."""
 
+import hashlib
 
 import public_tokenizers
 import pytest
@@ -85,3 +86,16 @@ def test_cache_generations_do_not_change_results():
     for _ in range(3):
         for t, n in zip(ODD, want):
             assert counter.of_texts([t or ""]) == [n]
+
+
+def test_query_returns_offsets(spark, tmp_path):
+    from pairloom.llm.queries import QUERIES
+    frame(spark).write.parquet(str(tmp_path / "documents.parquet"))
+    own, want = tiktoken_encoder(), []
+    for t in [t or "" for t in ODD] + ["same row"] * 2:
+        at, starts = 0, []
+        for i in own.encode_ordinary(t):
+            starts.append(len(t.encode()[:at].decode(errors="ignore")))
+            at += len(own.decode_single_token_bytes(i))
+        want.append(hashlib.sha256(",".join(map(str, starts)).encode()).hexdigest())
+    assert sorted(r.starts_sha256 for r in QUERIES["op5_byte_bpe"](spark, str(tmp_path)).collect()) == sorted(want)
