@@ -27,13 +27,14 @@ Z = "standardized_spread"
 SELECT 'm-' || CAST(date AS VARCHAR) AS msg_id, CAST(date AS VARCHAR) AS date, prediction, round(confidence, 6) AS confidence
 FROM predictions WHERE prediction IS NOT NULL""")
 def i1(spark, d):
-    # messages with copies and broken bodies, delivered in three periods; each readable message once out
+    # messages with copies and broken bodies, delivered in three periods; each readable message once out. A period is one batch: the
+    # watermark must not move inside it, whose files are in no time order
     path = work_dir(spark, "ingest")
     write_messages(spark, d, f"{path}/all")
     every = spark.read.schema(msgs.RAW).json(f"{path}/all")
     for lo, hi in zip(EDGES, EDGES[1:]):
         every.where((F.col("sent_at") >= lo) & (F.col("sent_at") < hi)).write.mode("append").json(f"{path}/in")
-        msgs.run_once(msgs.accepted(msgs.message_stream(spark, f"{path}/in", files_per_batch=1000)), f"{path}/out", f"{path}/ckpt")
+        msgs.run_once(msgs.accepted(msgs.message_stream(spark, f"{path}/in", files_per_batch=None)), f"{path}/out", f"{path}/ckpt")
     return spark.read.parquet(f"{path}/out").select("msg_id", "date", "prediction", F.round("confidence", 6).alias("confidence"))
 
 
@@ -75,13 +76,13 @@ def order_messages(spark, d, priced):
 
 def play_messages(spark, d, path, out="", foreach=None):
     """Messages to positions: read, parse, drop copies, add prices, play each account. They come in three periods; after each
-    one the stream goes on from its checkpoint."""
+    one, which is one batch as its files are in no time order, the stream goes on from its checkpoint."""
     priced = training.materialise(priced_dates(spark, d), "priced")
     sent = training.materialise(order_messages(spark, d, priced), "messages")
     known = priced.select(F.col("date").cast("string").alias("date"), "spread", "price_eth", "price_btc")
     for lo, hi in zip(EDGES, EDGES[1:]):
         sent.where((F.col("sent_at") >= lo) & (F.col("sent_at") < hi)).write.mode("append").json(f"{path}/in")
-        clean = msgs.accepted(msgs.message_stream(spark, f"{path}/in", files_per_batch=1000))
+        clean = msgs.accepted(msgs.message_stream(spark, f"{path}/in", files_per_batch=None))
         signal = clean.join(known, "date").select(
             "account", F.col("sent_at").alias("ts"), "msg_id", "prediction", "message_spread", "spread", "price_eth", "price_btc")
         msgs.run_once(ledger.ledger_stream(signal), out, f"{path}/ckpt", foreach=foreach)

@@ -13,9 +13,12 @@ RAW = T.StructType([
     T.StructField("account", T.StringType()), T.StructField("body", T.StringType())])
 
 
-def message_stream(spark: SparkSession, path: str, files_per_batch: int = 4) -> DataFrame:
-    """Message records from a folder of JSON lines (a message bus in production)."""
-    return spark.readStream.schema(RAW).option("maxFilesPerTrigger", files_per_batch).json(path)
+def message_stream(spark: SparkSession, path: str, files_per_batch: int | None = 4) -> DataFrame:
+    """Message records from a folder of JSON lines (a message bus in production); without a number, all new files are one batch."""
+    reader = spark.readStream.schema(RAW)
+    if files_per_batch is not None:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    return reader.json(path)
 
 
 def parse(raw: DataFrame) -> DataFrame:
