@@ -18,8 +18,12 @@ from pairloom.llm.chunks import Chunks
 from pairloom.llm.common import fresh
 from pairloom.llm.token_counts import byte_characters, in_byte_characters
 
-#: rows that a worker turns into ids at a time, and chunks it keeps per generation: both bound its memory
-SLICE, KEPT = 512, 100_000
+#: rows that a worker turns into ids at a time, and bytes of chunks it keeps per generation: both bound its memory
+SLICE, KEPT = 512, 24 << 20
+
+
+# fixed value: the pattern of rank files whose texts may be cut before a single space
+PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -31,7 +35,8 @@ class ByteBpe:
     """Encoder and decoder for a rank file.
 
     The vocabulary is written with one printable character per byte. Rank files merge any adjacent pair whose joined
-    bytes have a rank, so every split of a token into two tokens becomes a merge with the rank of the token.
+    bytes have a rank, so every split of a token into two tokens becomes a merge with the rank of the token. Chunks are
+    kept for the pattern whose cuts at spaces are known to be sound; with another one the library gets whole texts.
     """
 
     def __init__(self, path: str, pattern: str):
@@ -53,7 +58,7 @@ class ByteBpe:
         for name, i in self.tokenizer.get_vocab().items():
             self.bytes_of[i] = bytes([byte_of[c] for c in name])
         self.lengths = np.array([len(t) for t in self.bytes_of], np.int64)
-        self.chunks = Chunks(self._encode_chunks, keep_space=True, kept=KEPT)
+        self.chunks = Chunks(self._encode_chunks, keep_space=True, kept=KEPT) if pattern == PATTERN else None
 
     def _encode_chunks(self, chunks: list[str]) -> list[bytes]:
         """A chunk of one space at most and letters is one match of the pattern, so it goes straight to the merges."""
@@ -69,6 +74,8 @@ class ByteBpe:
         return out
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
+        if self.chunks is None:
+            return [np.array(e.ids, np.int32) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
         return [x.view(np.int32) for x in self.chunks.joined(texts)]
 
     def decode(self, ids: np.ndarray) -> bytes:
@@ -152,6 +159,7 @@ def encode_and_decode(docs: DataFrame, path: str, pattern: str, text: str = "tex
                 at = [_lists([bpe.starts(t, x) for t, x in zip(texts, ids)])] if offsets else []
                 yield pa.RecordBatch.from_arrays(
                     [*part.columns[:-1], _lists(ids), pa.array([bpe.decode(x) for x in ids], pa.binary()), *at], names=schema.names)
-        bpe.chunks.forget()
+        if bpe.chunks is not None:
+            bpe.chunks.forget()
 
     return source.mapInArrow(through, schema)

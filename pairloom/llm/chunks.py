@@ -3,14 +3,20 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-#: chunks kept per generation; two generations are held by a worker
-KEPT = 200_000
+#: bytes that the chunks of one generation and their values take; a worker holds two generations
+KEPT_BYTES = 32 << 20
+#: longer chunks rarely come again: they are computed for the texts at hand and not kept
+LONGEST = 128
+#: what an entry costs besides its characters and ids
+_ENTRY = 240
+#: rows and bytes of texts that are cut at a time
+SLICE_ROWS, SLICE_BYTES = 2048, 8 << 20
 #: marks that byte-pair patterns always separate from letters before them, and keep together
 TAIL = ".,!?;:)#$%&*"
 _BETWEEN = re.compile(r"(?<=\S) (?=\S)")
@@ -20,48 +26,71 @@ class Chunks:
     """``compute`` gives the values (numbers, or ids as bytes of 32-bit numbers) of a list of chunks.
 
     With ``keep_space`` a chunk holds the space before it. Such a cut is sound only between two characters that
-    are no white space; texts with other spaces are cut by a pattern that checks it. The value of a text is the sum
-    or the concatenation of all its chunks, so no text is cut short and the cache changes only the speed.
+    are no white space; texts with other spaces are cut by a pattern that checks it. With ``lead`` a space is put before
+    each text, so that all chunks start with one. The value of a text is the sum or the concatenation of all its chunks,
+    so no text is cut short and the cache changes only the speed. ``tail`` are marks that may be cut off after letters.
+
+    What a generation holds is bounded in bytes (``kept``), and chunks over ``LONGEST`` characters are not kept, so text
+    without spaces, where every line is a chunk, costs no more memory than prose.
     """
 
-    def __init__(self, compute: Callable[[list[str]], list], keep_space: bool, kept: int = KEPT):
-        self.compute, self.keep_space, self.kept = compute, keep_space, kept
-        self.young: dict = {}
-        self.old: dict = {}
+    def __init__(self, compute: Callable[[list[str]], list], keep_space: bool, kept: int = KEPT_BYTES, lead: bool = False,
+                 tail: str = TAIL):
+        self.compute, self.keep_space, self.kept, self.lead, self.tail = compute, keep_space, kept, lead, tail
+        self.forget()
 
     def forget(self) -> None:
         """Empties the cache, so that a worker that goes on to other work doesn't carry it along."""
-        self.young, self.old = {}, {}
+        self.young: dict = {}
+        self.old: dict = {}
+        self.held = 0
+
+    def _keep(self, chunk: str, value) -> None:
+        self.young[chunk] = value
+        self.held += _ENTRY + 2 * len(chunk) + (len(value) if isinstance(value, bytes) else 0)
 
     def _unsafe(self, chunk: str) -> bool:
         return self.keep_space and (chunk in ("", " ") or chunk[-1].isspace() or chunk[0] == " " and chunk[1].isspace())
 
     def _values(self, chunks: list[str]) -> list:
         """The chunks' values; None for chunks at which a plain cut is not sound."""
-        young, old = self.young, self.old
+        if self.held > self.kept:
+            self.old, self.young, self.held = self.young, {}, 0
+        young, old, keep = self.young, self.old, self._keep
         found = [young.get(c, self) for c in chunks]
-        todo, need = [], {}
+        todo, need, passing = [], {}, {}
         for i, (c, v) in enumerate(zip(chunks, found)):
             if v is not self:
                 continue
             v = old.get(c, self)
             if v is not self:
-                found[i] = young[c] = v
+                found[i] = v
+                keep(c, v)
             elif self._unsafe(c):
-                found[i] = young[c] = None
+                found[i] = None
+                if len(c) <= LONGEST:
+                    keep(c, None)
             else:
-                core = c.rstrip(TAIL)
+                core = c.rstrip(self.tail) if self.tail else c
                 parts = (core, c[len(core):]) if len(core) < len(c) and core.lstrip(" ").isalpha() else (c,)
                 todo.append((i, c, parts))
                 for p in parts:
-                    if p not in young:
+                    if p in young:
+                        passing[p] = young[p]
+                    else:
                         need[p] = None
         if need:
-            young.update(zip(need, self.compute(list(need))))
+            for p, v in zip(need, self.compute(list(need))):
+                passing[p] = v
+                if len(p) <= LONGEST:
+                    keep(p, v)
         for i, c, parts in todo:
+            v = passing[parts[0]]
             if len(parts) == 2:
-                young[c] = young[parts[0]] + young[parts[1]]
-            found[i] = young[c]
+                v = v + passing[parts[1]]
+                if len(c) <= LONGEST:
+                    keep(c, v)
+            found[i] = v
         return found
 
     def _odd(self, text: str) -> list:
@@ -75,8 +104,6 @@ class Chunks:
 
     def _cut(self, texts: list[str]) -> tuple[list, np.ndarray, np.ndarray, dict[int, list]]:
         """Distinct values, the index into them of each chunk, the first chunk of each text, and the texts cut otherwise."""
-        if len(self.young) > self.kept:
-            self.old, self.young = self.young, {}
         lists = pc.split_pattern(pa.array(texts, pa.large_string()), " ")
         first = lists.offsets.to_numpy()
         coded = lists.flatten().dictionary_encode()
@@ -84,6 +111,11 @@ class Chunks:
         distinct = coded.dictionary.to_pylist()
         if not self.keep_space:
             return self._values(distinct), at, first, {}
+        if self.lead:
+            values = self._values([" " + d for d in distinct])
+            odd = np.array([v is None for v in values])
+            strange = np.flatnonzero(np.logical_or.reduceat(odd[at], first[:-1])) if odd.any() else ()
+            return values, at, first, {int(i): self._odd(" " + texts[i]) for i in strange}
         heads = lists.flatten().take(pa.array(first[:-1])).dictionary_encode()
         starts = heads.dictionary.to_pylist()
         values = self._values([" " + d for d in distinct] + starts)
@@ -92,10 +124,22 @@ class Chunks:
         strange = np.flatnonzero(np.logical_or.reduceat(odd[at], first[:-1])) if odd.any() else ()
         return values, at, first, {int(i): self._odd(texts[i]) for i in strange}
 
+    def _parts(self, texts: list[str]) -> Iterator[list[str]]:
+        """The texts in slices of few rows and bytes; a longer text is a slice of its own."""
+        lo, held = 0, 0
+        for i, t in enumerate(texts):
+            if i > lo and (i - lo == SLICE_ROWS or held + len(t) > SLICE_BYTES):
+                yield texts[lo:i]
+                lo, held = i, 0
+            held += len(t)
+        if lo < len(texts):
+            yield texts[lo:]
+
     def sums(self, texts: list[str]) -> np.ndarray:
         """The sum of the chunk values of each text."""
-        if not texts:
-            return np.empty(0, np.int64)
+        return np.concatenate([np.empty(0, np.int64), *map(self._sums, self._parts(texts))])
+
+    def _sums(self, texts: list[str]) -> np.ndarray:
         values, at, first, odd = self._cut(texts)
         out = np.add.reduceat(np.array([v or 0 for v in values], np.int64)[at], first[:-1])
         for i, v in odd.items():
@@ -104,8 +148,9 @@ class Chunks:
 
     def joined(self, texts: list[str]) -> list[np.ndarray]:
         """The ids of all chunks of each text in a row (unsigned 32-bit numbers)."""
-        if not texts:
-            return []
+        return [ids for part in self._parts(texts) for ids in self._joined(part)]
+
+    def _joined(self, texts: list[str]) -> list[np.ndarray]:
         values, at, first, odd = self._cut(texts)
         plain = [v or b"" for v in values]
         size = np.array([len(v) for v in plain], np.int64) // 4

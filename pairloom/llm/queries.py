@@ -101,8 +101,8 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
                                      keep=["doc_id"], offsets=True)
     return out.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
                       F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
-                      F.sha2(F.array_join(F.col("starts").cast("array<string>"), ","), 256).alias("starts_sha256"),
-                      F.sha2("decoded", 256).alias("decoded_sha256"))
+                      F.sha2("decoded", 256).alias("decoded_sha256"),
+                      F.sha2(F.array_join(F.col("starts").cast("array<string>"), ","), 256).alias("starts_sha256"))
 
 
 @query("op6_compression_classifier")

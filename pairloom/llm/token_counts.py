@@ -39,12 +39,25 @@ def in_byte_characters(text: str) -> str:
 byte_characters_of = byte_characters()
 
 
+def require_byte_level(made: dict, path: str) -> None:
+    """Raises a ValueError unless the file says what ``MergeCounter`` does: no normaliser, the byte-level pattern, plain merges."""
+    model, cut = made["model"], made.get("pre_tokenizer") or {}
+    odd = [k for k in ("dropout", "unk_token", "continuing_subword_prefix", "end_of_word_suffix", "byte_fallback", "ignore_merges")
+           if model.get(k)]
+    if (made.get("normalizer") or model.get("type") != "BPE" or odd or made.get("truncation") or made.get("padding")
+            or cut.get("type") != "ByteLevel" or cut.get("add_prefix_space") or not cut.get("use_regex", True)):
+        raise ValueError(f"{path} is no plain byte-level BPE file")
+    if any(t.get(k) for t in made.get("added_tokens", ()) for k in ("single_word", "lstrip", "rstrip", "normalized")):
+        raise ValueError(f"{path} has added tokens that take in text around them")
+
+
 class MergeCounter:
-    """Counts tokens of texts by the merges of a byte-level tokenizer file."""
+    """Counts tokens of texts by the merges of a byte-level tokenizer file; other files are refused."""
 
     def __init__(self, path: str):
         with open(path, encoding="utf-8") as f:
             made = json.load(f)
+        require_byte_level(made, path)
         vocab = made["model"]["vocab"]
         pairs = [m if isinstance(m, list) else m.split(" ") for m in made["model"]["merges"]]
         # left id and right id -> rank and id of the merged symbol

@@ -13,6 +13,7 @@ holds (ids, lengths). Spark writes and reads the rows, so any store that Spark r
 
 from __future__ import annotations
 
+import json
 import os
 import struct
 import unicodedata
@@ -120,11 +121,24 @@ def unpack(payload: bytes, blocks: slice | None = None) -> np.ndarray:
     return (rest + low[:, None]).ravel()[: min(n, hi * BLOCK) - lo * BLOCK]
 
 
+# fixed values: the steps before the merges that let texts be cut at spaces
+STEPS = {
+    "normalizer": {"type": "Sequence", "normalizers": [
+        {"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]},
+    "pre_tokenizer": {"type": "Sequence", "pretokenizers": [
+        {"type": "Split", "pattern": {"Regex": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"}, "behavior": "Removed",
+         "invert": True},
+        {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]},
+    "truncation": None, "padding": None, "post_processor": None,
+}
+
+
 class WordEncoder:
     """Ids of whole texts by the tokenizers library, for vocabularies whose white space is dropped.
 
     Texts are cut at spaces, which no token crosses, and each distinct piece goes to the library once while it stays in
-    the cache. Where lower-casing first cannot change the result it is done first, so that more pieces are equal.
+    the cache. Where lower-casing first cannot change the result it is done first, so that more pieces are equal. That holds
+    for files with ``STEPS``; with any other file the library gets the whole texts.
     """
 
     def __init__(self, path: str):
@@ -132,7 +146,13 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.chunks = Chunks(self._encode, keep_space=False)
+        with open(path, encoding="utf-8") as f:
+            made = json.load(f)
+        model, steps = made["model"], {k: made.get(k) for k in STEPS}
+        plain = steps == STEPS and not any(model.get(k) for k in ("dropout", "continuing_subword_prefix", "ignore_merges")) and all(
+            t["content"].startswith("<|") and not any(t.get(k) for k in ("single_word", "lstrip", "rstrip", "normalized"))
+            and " " not in t["content"] for t in made.get("added_tokens", ()))
+        self.chunks = Chunks(self._encode, keep_space=False) if plain else None
 
     def _encode(self, chunks: list[str]) -> list[bytes]:
         """A lower-case word in normal form is one match of the pattern, so it goes straight to the merges."""
@@ -157,6 +177,8 @@ class WordEncoder:
         return low if unicodedata.is_normalized("NFC", text) and unicodedata.is_normalized("NFC", low) else text
 
     def ids(self, texts: list[str]) -> list[np.ndarray]:
+        if self.chunks is None:
+            return [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
         return self.chunks.joined([self.lowered(t).replace("\n", " ") for t in texts])
 
 

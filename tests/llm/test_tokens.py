@@ -8,7 +8,7 @@ import tiktoken
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from pairloom.llm import byte_bpe, token_counts
+from pairloom.llm import byte_bpe, token_counts, token_files
 
 ODD = [
     "", None, " ", "  a  b ", "It's we'll they'd 12345 ...!!! don't", "a\n\n b \t c\u00a0d\u2003e", "naïve Straße ÀÉ ΣΑΣ ſ",
@@ -99,3 +99,31 @@ def test_query_returns_offsets(spark, tmp_path):
             at += len(own.decode_single_token_bytes(i))
         want.append(hashlib.sha256(",".join(map(str, starts)).encode()).hexdigest())
     assert sorted(r.starts_sha256 for r in QUERIES["op5_byte_bpe"](spark, str(tmp_path)).collect()) == sorted(want)
+
+
+def test_cache_is_bounded_in_bytes():
+    """Chunks without spaces, each distinct and long, leave nothing behind; short ones at most two generations."""
+    bpe = byte_bpe.ByteBpe(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+    own = tiktoken_encoder()
+    long = ["".join(chr(0x4E00 + (i * 37 + k * k) % 5000) for k in range(600)) for i in range(200)]
+    assert [x.tolist() for x in bpe.encode(long)] == [own.encode_ordinary(t) for t in long]
+    assert sum(len(c) for c in (*bpe.chunks.young, *bpe.chunks.old)) < 1000
+    bpe.chunks.kept = 20_000
+    for i in range(50):
+        texts = [f"word{i}x{k} und{k}" for k in range(40)]
+        assert [x.tolist() for x in bpe.encode(texts)] == [own.encode_ordinary(t) for t in texts]
+        assert len(bpe.chunks.young) + len(bpe.chunks.old) < 600
+
+
+def test_other_files_and_patterns():
+    """A file that the quick paths are not made for is refused (counts) or goes to the library whole (ids)."""
+    words, plain = public_tokenizers.path("word_bpe_49k.json"), public_tokenizers.path("byte_bpe_50k.json")
+    with pytest.raises(ValueError):
+        token_counts.MergeCounter(words)
+    texts = [t or "" for t in ODD] + ["Hello World"]
+    for path in (words, plain):
+        library, encoder = Tokenizer.from_file(path), token_files.WordEncoder(path)
+        assert [x.tolist() for x in encoder.ids(texts)] == [library.encode(t, add_special_tokens=False).ids for t in texts]
+    path, pattern = public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), r"\p{L}+\s?|\s|[^\s\p{L}]"
+    own = tiktoken.Encoding("x", pat_str=pattern, mergeable_ranks=byte_bpe.read_ranks(path), special_tokens={})
+    assert [x.tolist() for x in byte_bpe.ByteBpe(path, pattern).encode(texts)] == [own.encode_ordinary(t) for t in texts]
