@@ -12,6 +12,7 @@ from pairloom.llm import (
     byte_bpe,
     compression_classifier,
     decontamination,
+    fill_in_middle,
     line_dedup,
     near_dedup,
     quality_rules,
@@ -157,3 +158,27 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     found = decontamination.find_passages(docs, read(spark, sf_dir, "benchmark"))
     return found.select("doc_id", F.col("item").alias("item_id"), "edits")
+
+
+OP13 = """
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h FROM documents),
+u AS (SELECT doc_id, t, length(t) AS n, CAST('0x' || substr(h, 1, 8) AS BIGINT) AS h1, CAST('0x' || substr(h, 9, 8) AS BIGINT) AS h2,
+             CAST('0x' || substr(h, 17, 8) AS BIGINT) AS h3, CAST('0x' || substr(h, 25, 8) AS BIGINT) AS h4 FROM d),
+f AS (SELECT doc_id, t, n, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+             CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= 90 THEN 'plain'
+                  WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM u),
+o AS (SELECT *, CASE form WHEN 'plain' THEN t
+                          WHEN 'psm' THEN '<P>' || t[1:a] || '<S>' || t[b + 1:n] || '<M>' || t[a + 1:b]
+                          ELSE '<S>' || t[b + 1:n] || '<P>' || t[1:a] || '<M>' || t[a + 1:b] END AS output FROM f)
+SELECT doc_id, CAST(n AS BIGINT) AS n, form, CAST(CASE WHEN form <> 'plain' THEN a END AS BIGINT) AS prefix_chars,
+       CAST(CASE WHEN form <> 'plain' THEN b - a END AS BIGINT) AS middle_chars, sha256(output) AS output_sha256, sha256(t) AS restored_sha256
+FROM o
+"""
+
+
+@query("op13_fill_in_middle", OP13)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    out = fill_in_middle.fill_in_middle(docs)
+    return out.select("doc_id", "n", "form", "prefix_chars", "middle_chars", "output_sha256",
+                      fill_in_middle.original_sha256(F.col("output"), F.col("form")).alias("restored_sha256"))
