@@ -17,6 +17,7 @@ from pairloom.llm import (
     near_dedup,
     quality_rules,
     sharding,
+    token_alignment,
     token_counts,
     token_files,
     url_filters,
@@ -160,6 +161,14 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.col("item").alias("item_id"), "edits")
 
 
+@query("op11_token_alignment")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    out = token_alignment.with_alignment(docs.select("doc_id", "text"), public_tokenizers.path("byte_bpe_50k.json"),
+                                         public_tokenizers.path("piece_bpe_32k.model"))
+    return out.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
+
+
 OP13 = """
 WITH d AS (SELECT doc_id, coalesce(text, '') AS t, sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h FROM documents),
 u AS (SELECT doc_id, t, length(t) AS n, CAST('0x' || substr(h, 1, 8) AS BIGINT) AS h1, CAST('0x' || substr(h, 9, 8) AS BIGINT) AS h2,
