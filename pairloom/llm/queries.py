@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from pairloom.llm import (
     byte_bpe,
+    byte_language,
     compression_classifier,
     decontamination,
     fill_in_middle,
@@ -169,6 +170,14 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
 
 
+@query("op12_byte_language")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    learned = docs.where(compression_classifier.fold(F.col("doc_id")) != 0)
+    out = byte_language.with_language(docs.select("doc_id", "text"), byte_language.fit(learned))
+    return out.select("doc_id", (compression_classifier.fold(F.col("doc_id")) == 0).alias("held_out"), "lang_pred", "score")
+
+
 OP13 = """
 WITH d AS (SELECT doc_id, coalesce(text, '') AS t, sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h FROM documents),
 u AS (SELECT doc_id, t, length(t) AS n, CAST('0x' || substr(h, 1, 8) AS BIGINT) AS h1, CAST('0x' || substr(h, 9, 8) AS BIGINT) AS h2,
