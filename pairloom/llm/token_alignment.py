@@ -11,9 +11,9 @@ from __future__ import annotations
 
 import hashlib
 import os
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -21,18 +21,26 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pairloom.llm.chunks import Chunks
+from pairloom.llm.chunks import TAIL, Chunks
 from pairloom.llm.common import fresh, pieces, stored
-from pairloom.llm.token_counts import byte_characters
+from pairloom.llm.token_counts import byte_characters, in_byte_characters
 
 #: bytes of texts that a worker aligns at a time; a longer text is a batch of its own
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
+#: bytes of chunks that a worker keeps per generation
+KEPT = 48 << 20
 #: rows of the id pair table that are broadcast at most
 MOST_PAIRS = 2_000_000
 #: id pairs whose documents a task counts before it hands the counts on
 HELD_PAIRS = 1 << 20
 
 
+#: a pair of ids in one number; the id of the first side is the upper half
+SHIFT = 32
+#: marks ids of the second side in a stream of both, and a chunk whose tokens do not give its bytes back
+SECOND, BROKEN = 1 << 31, (1 << 32) - 1
+
+
 class ByteLevel:
     """Ids and token bytes of a byte-level file of the tokenizers library; special strings are plain text."""
 
@@ -40,25 +48,29 @@ class ByteLevel:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer = made = Tokenizer.from_file(path)
+        made.encode_special_tokens = True
         byte_of = {c: b for b, c in byte_characters().items()}
-        vocab = self.tokenizer.get_vocab()
+        vocab = made.get_vocab()
         self.bytes_of = [b""] * (max(vocab.values()) + 1)
         for name, i in vocab.items():
             self.bytes_of[i] = bytes([byte_of[c] for c in name]) if all(c in byte_of for c in name) else name.encode()
-        made = self.tokenizer
-        plain = made.normalizer is None and type(made.pre_tokenizer).__name__ == "ByteLevel" and not made.pre_tokenizer.add_prefix_space
-        self.chunks = Chunks(self._encode, keep_space=True, lead=True) if plain else None
-
-    def _encode(self, chunks: list[str]) -> list[bytes]:
-        return [np.array(e.ids, np.uint32).tobytes() for e in self.tokenizer.encode_batch_fast(chunks, add_special_tokens=False)]
-
-    def ids(self, texts: list[str]) -> list[np.ndarray]:
-        """Ids of a space and each text."""
-        if self.chunks is not None:
-            return self.chunks.joined(texts)
-        return [np.frombuffer(b, np.uint32) for b in self._encode([" " + t for t in texts])]
+        cut = made.pre_tokenizer
+        self.separable = made.normalizer is None and type(cut).__name__ == "ByteLevel" and not cut.add_prefix_space and cut.use_regex
+
+    def ids(self, texts: list[str]) -> list[list[int]]:
+        """Ids of texts that begin with a space. A space and letters are one match of the pattern and go straight to the merges."""
+        out: list[list[int]] = [[]] * len(texts)
+        others = []
+        merge = self.tokenizer.model.tokenize
+        for i, t in enumerate(texts):
+            if self.separable and t[0] == " " and t[1:].isalpha():
+                out[i] = [x.id for x in merge(in_byte_characters(t))]
+            else:
+                others.append(i)
+        for i, e in zip(others, self.tokenizer.encode_batch_fast([texts[i] for i in others], add_special_tokens=False)):
+            out[i] = e.ids
+        return out
 
 
 class Pieces:
@@ -68,60 +80,55 @@ class Pieces:
         import sentencepiece
 
         self.model = sentencepiece.SentencePieceProcessor(model_file=path)
-        size = self.model.get_piece_size()
-        names = [self.model.id_to_piece(i) for i in range(size)]
+        names = [self.model.id_to_piece(i) for i in range(self.model.get_piece_size())]
         self.bytes_of = [bytes([int(n[3:5], 16)]) if self.model.is_byte(i) else n.replace("▁", " ").encode()
                          for i, n in enumerate(names)]
         # where no piece goes on after a space within it, no merge crosses from a character to the space behind it
-        apart = all("▁" not in n.lstrip("▁") for n in names)
-        same = "a  b éé ﬁ "
-        as_is = self.model.normalize(same) == "▁" + same.replace(" ", "▁")
-        self.chunks = Chunks(self._encode, keep_space=True, lead=True, tail="") if apart and as_is else None
-
-    def _encode(self, chunks: list[str]) -> list[bytes]:
-        """Each chunk starts with the space that the model adds again."""
-        return [np.array(x, np.uint32).tobytes() for x in self.model.encode([c[1:] for c in chunks], num_threads=1)]
+        same = "a  b éé ﬁ "
+        self.separable = (all("▁" not in n.lstrip("▁") for n in names)
+                          and self.model.normalize(same) == "▁" + same.replace(" ", "▁"))
+        # likewise marks can be encoded apart from the letters before them
+        joined = any(x.isalpha() and y in TAIL for n in names for x, y in zip(n, n[1:]))
+        self.tail = TAIL if not joined and names[self.model.piece_to_id("▁a")] == "▁a" else ""
 
-    def ids(self, texts: list[str]) -> list[np.ndarray]:
-        if self.chunks is not None:
-            return self.chunks.joined(texts)
-        return [np.frombuffer(b, np.uint32) for b in self._encode([" " + t for t in texts])]
+    def ids(self, texts: list[str]) -> list[list[int]]:
+        """Ids of texts that begin with a space, which the model adds again, or of marks that follow a letter."""
+        got = self.model.encode([t[1:] if t[0] == " " else "a" + t for t in texts], num_threads=1)
+        return [g if t[0] == " " else g[1:] for t, g in zip(texts, got)]
 
 
-def runs(a: list[int], b: list[int]) -> tuple[list[int], list[int], list[int], list[int]]:
-    """The alignment of two arrays of token ends over the same bytes, which both end at the last byte.
+def runs(a: list[int], b: list[int]) -> tuple[list[int], list[int], list[int], list[int], list[int], list[int], list[int]]:
+    """The alignment of two lists of token ends over the same bytes, both of which end at the last byte.
 
-    Gives the links (indexes into ``a`` and ``b`` of tokens that share bytes, in order) and the number of tokens of ``a``
-    and of ``b`` up to the end of each group.
+    Gives the one-to-one stretches (first index in ``a``, in ``b``, length) and, of the irregular groups, the links (indexes of
+    tokens that share bytes) and how many tokens of ``a`` and ``b`` there are up to the end of each.
     """
-    links_a, links_b, groups_a, groups_b = [], [], [], []
+    first_a, first_b, lengths, links_a, links_b, ends_a, ends_b = ([] for _ in range(7))
     n, i, j = len(a), 0, 0
     while i < n:
-        # probe along the diagonal: stretches that double while all their ends are equal
-        start, width = i, 1
-        while True:
-            stretch = a[i:i + width]
-            if not stretch or stretch != b[j:j + width]:
-                break
-            i, j, width = i + len(stretch), j + len(stretch), 2 * width
-        # the first difference lies within the last stretch: halve it
-        while width > 1 and i < n:
-            width >>= 1
-            stretch = a[i:i + width]
-            if len(stretch) == width and stretch == b[j:j + width]:
-                i, j = i + width, j + width
-        if i > start:
-            shift = j - i
-            links_a += range(start, i)
-            links_b += range(start + shift, j)
-            groups_a += range(start + 1, i + 1)
-            groups_b += range(start + shift + 1, j + 1)
+        x, y = a[i], b[j]
+        if x == y:
+            # probe along the diagonal: stretches that double while all their ends are equal
+            start, width = i, 1
+            i, j = i + 1, j + 1
+            while (stretch := a[i:i + 2 * width]) and stretch == b[j:j + 2 * width]:
+                width *= 2
+                i, j = i + len(stretch), j + len(stretch)
+            # the first difference lies within the last stretch: halve it
+            while width:
+                stretch = a[i:i + width]
+                if len(stretch) == width and stretch == b[j:j + width]:
+                    i, j = i + width, j + width
+                width >>= 1
+            first_a.append(start)
+            first_b.append(start + j - i)
+            lengths.append(i - start)
             if i == n:
                 break
-        # an irregular group: the side that is behind advances to the next common end
+            x, y = a[i], b[j]
+        # an irregular group: the side that is behind advances to the next common end, and the shift changes
         links_a.append(i)
         links_b.append(j)
-        x, y = a[i], b[j]
         while x != y:
             if x < y:
                 i += 1
@@ -132,47 +139,93 @@ def runs(a: list[int], b: list[int]) -> tuple[list[int], list[int], list[int], l
             links_a.append(i)
             links_b.append(j)
         i, j = i + 1, j + 1
-        groups_a.append(i)
-        groups_b.append(j)
-    return links_a, links_b, groups_a, groups_b
+        ends_a.append(i)
+        ends_b.append(j)
+    return first_a, first_b, lengths, links_a, links_b, ends_a, ends_b
+
+
+def alignment(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Links (indexes into both, in no order) and the tokens of both up to the end of each group (in order) from two arrays of ends."""
+    first_a, first_b, lengths, links_a, links_b, ends_a, ends_b = (np.array(x, np.int64) for x in runs(a.tolist(), b.tolist()))
+    within = np.arange(lengths.sum()) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+    one_a, one_b = np.repeat(first_a, lengths) + within, np.repeat(first_b, lengths) + within
+    return (np.concatenate([one_a, links_a]), np.concatenate([one_b, links_b]),
+            np.sort(np.concatenate([one_a + 1, ends_a])), np.sort(np.concatenate([one_b + 1, ends_b])))
 
 
 class Aligner:
-    """Aligns texts under a byte-level file (of a space and the text) and a sentencepiece model (of the text)."""
+    """Aligns texts under a byte-level file (of a space and the text) and a sentencepiece model (of the text).
+
+    Both sides are encoded chunk by chunk where both allow it; the alignment itself runs over whole texts.
+    """
 
     def __init__(self, path_a: str, path_b: str):
         self.a, self.b = ByteLevel(path_a), Pieces(path_b)
-        self.names_a, self.names_b = ([str(i) for i in range(len(x.bytes_of))] for x in (self.a, self.b))
+        self.lengths = [np.array([len(t) for t in x.bytes_of], np.int64) for x in (self.a, self.b)]
+        self.chunks = Chunks(self._encode, keep_space=True, lead=True, tail=self.b.tail,
+                             kept=KEPT) if self.a.separable and self.b.separable else None
+        # decimal ids with the mark behind them: in a group, at the end of its first half, at its end
+        size_a, size_b = len(self.a.bytes_of), len(self.b.bytes_of)
+        self.names = pa.array([f"{i}{mark}" for size, marks in ((size_a, ",|"), (size_b, ",;")) for mark in marks for i in range(size)])
+
+    def _encode(self, chunks: list[str]) -> list[bytes]:
+        """Ids of both sides in one stream, those of the second marked; of a chunk whose bytes a side changes, ``BROKEN``."""
+        out = []
+        for c, a, b in zip(chunks, self.a.ids(chunks), self.b.ids(chunks)):
+            data = c.encode()
+            whole = all(b"".join([side.bytes_of[k] for k in ids]) == data for side, ids in ((self.a, a), (self.b, b)))
+            out.append(array("I", [*a, *[k + SECOND for k in b]] if whole else [BROKEN]).tobytes())
+        return out
+
+    def streams(self, texts: list[str]) -> list[np.ndarray]:
+        if self.chunks is not None:
+            return self.chunks.joined(texts)
+        return [np.frombuffer(b, np.uint32) for b in self._encode([" " + t for t in texts])]
 
     def forget(self) -> None:
-        for x in (self.a, self.b):
-            if x.chunks is not None:
-                x.chunks.forget()
-
-    def of(self, text: str, ids_a: list[int], ids_b: list[int]):
-        """(ids, ids, links into both, group bounds of both) of one text; no tokens if the bytes of a side are not the text's."""
-        data = " " + text
-        data = data.encode()
-        parts_a, parts_b = [self.a.bytes_of[k] for k in ids_a], [self.b.bytes_of[k] for k in ids_b]
-        if not text or b"".join(parts_a) != data or b"".join(parts_b) != data:
-            return [], [], [], [], [], []
-        return ids_a, ids_b, *runs(list(accumulate(map(len, parts_a))), list(accumulate(map(len, parts_b))))
-
-    def texts(self, texts: list[str]) -> Iterator[tuple]:
-        for t, a, b in zip(texts, self.a.ids(texts), self.b.ids(texts)):
-            yield self.of(t, a.tolist(), b.tolist())
-
-    def written(self, ids_a: list[int], ids_b: list[int], groups_a: list[int], groups_b: list[int]) -> str:
-        """The groups as text, ``a1,a2|b1;a3|b2,b3``: ids of both sides in order."""
-        a, b = [self.names_a[k] for k in ids_a], [self.names_b[k] for k in ids_b]
-        out, i, j = [], 0, 0
-        for x, y in zip(groups_a, groups_b):
-            if x - i == 1 == y - j:
-                out.append(a[i] + "|" + b[j])
-            else:
-                out.append(",".join(a[i:x]) + "|" + ",".join(b[j:y]))
-            i, j = x, y
-        return ";".join(out)
+        if self.chunks is not None:
+            self.chunks.forget()
+
+    def of(self, texts: list[str]) -> tuple[np.ndarray, list[bytes], list[np.ndarray], list[np.ndarray]]:
+        """Of each text: (n_a, n_b, n_groups, n_links), the written groups, the distinct linked pairs and their links.
+
+        All texts are aligned as one sequence of tokens: where a text ends, tokens of both sides end.
+        """
+        n = len(texts)
+        streams = [s if t and not (s == BROKEN).any() else s[:0] for t, s in zip(texts, self.streams(texts))]
+        flat = np.concatenate([np.empty(0, np.uint32), *streams]).astype(np.int64)
+        of = np.repeat(np.arange(n), [len(s) for s in streams])
+        second = flat >= SECOND
+        a, b, of_a, of_b = flat[~second], flat[second] - SECOND, of[~second], of[second]
+        links_a, links_b, ends_a, ends_b = alignment(*(np.cumsum(size[x]) for size, x in zip(self.lengths, (a, b))))
+        counts = np.stack([np.bincount(x, minlength=n) for x in (of_a, of_b, of_a[ends_a - 1], of_a[links_a])], axis=1)
+        size_a, size_b = (len(x) for x in self.lengths)
+        key, times = np.unique((of_a[links_a] * size_a + a[links_a]) * size_b + b[links_b], return_counts=True)
+        text, pair = np.divmod(key, size_a * size_b)
+        pair = pair // size_b << SHIFT | pair % size_b
+        cut = np.searchsorted(text, np.arange(1, n))
+        return counts, self._written(a, b, ends_a, ends_b, counts), np.split(pair, cut), np.split(times, cut)
+
+    def _written(self, a: np.ndarray, b: np.ndarray, ends_a: np.ndarray, ends_b: np.ndarray, counts: np.ndarray) -> list[bytes]:
+        """The groups of each text, ``a1,a2|b1;a3|b2,b3``: ids of both sides in order.
+
+        Tokens of a group stand behind those of earlier groups, the first side before the second; taking their names in that
+        order writes all texts at once.
+        """
+        size_a, size_b = (len(x) for x in self.lengths)
+        last_a, last_b = np.zeros(len(a), np.int64), np.zeros(len(b), np.int64)
+        last_a[ends_a - 1] = last_b[ends_b - 1] = 1
+        before_b = np.concatenate([[0], ends_b[:-1]]) if len(ends_b) else ends_b
+        at_a = np.arange(len(a)) + np.repeat(before_b, np.diff(ends_a, prepend=0))
+        at_b = np.arange(len(b)) + np.repeat(ends_a, np.diff(ends_b, prepend=0))
+        names = np.empty(len(a) + len(b), np.int64)
+        names[at_a] = a + size_a * last_a
+        names[at_b] = b + size_b * last_b + 2 * size_a
+        written = self.names.take(pa.array(names)).cast(pa.large_string())
+        offsets = np.frombuffer(written.buffers()[1], np.int64) if len(names) else np.zeros(1, np.int64)
+        data = memoryview(written.buffers()[2]) if len(names) else memoryview(b"")
+        ends = np.concatenate([[0], np.cumsum(counts[:, 0] + counts[:, 1])])
+        return [bytes(data[offsets[x]:max(offsets[x], offsets[y] - 1)]) for x, y in zip(ends[:-1], ends[1:])]
 
 
 @lru_cache(maxsize=1)
@@ -180,10 +233,6 @@ def _aligner(path_a: str, path_b: str) -> Aligner:
     return Aligner(path_a, path_b)
 
 
-#: a pair of ids in one number; the id of the first side is the upper half
-SHIFT = 32
-
-
 def aligned(docs: DataFrame, path_a: str, path_b: str, text: str = "text", with_groups: bool = False) -> DataFrame:
     """``docs`` with n_a, n_b, n_groups, n_links, groups_sha256, and the linked id pairs: ``pairs`` and ``times`` (arrays of long).
 
@@ -210,21 +259,12 @@ def aligned(docs: DataFrame, path_a: str, path_b: str, text: str = "text", with_
         for batch in batches:
             for lo, hi in pieces(batch.column(len(names)), SLICE_BYTES):
                 part = batch.slice(lo, hi - lo)
-                counts, digests, written, pairs, times = [], [], [], [], []
-                for a, b, links_a, links_b, groups_a, groups_b in aligner.texts(part.column(len(names)).to_pylist()):
-                    counts.append((len(a), len(b), len(groups_a), len(links_a)))
-                    groups = aligner.written(a, b, groups_a, groups_b)
-                    digests.append(hashlib.sha256(groups.encode()).hexdigest() if a else "")
-                    if with_groups:
-                        written.append(groups)
-                    linked = np.array(a, np.int64)[links_a] << SHIFT | np.array(b, np.int64)[links_b] if a else np.empty(0, np.int64)
-                    p, n = np.unique(linked, return_counts=True)
-                    pairs.append(p)
-                    times.append(n)
-                table = np.array(counts, np.int64).reshape(-1, 4)
+                texts = part.column(len(names)).to_pylist()
+                counts, written, pairs, times = aligner.of(texts)
+                digests = [hashlib.sha256(w).hexdigest() if w else "" for w in written]
                 yield pa.RecordBatch.from_arrays(
-                    [*part.columns[:-1], *[pa.array(table[:, k]) for k in range(4)], pa.array(digests, pa.string()),
-                     lists(pairs), lists(times), *([pa.array(written, pa.string())] if with_groups else [])], names=schema.names)
+                    [*part.columns[:-1], *[pa.array(counts[:, k], pa.int64()) for k in range(4)], pa.array(digests, pa.string()),
+                     lists(pairs), lists(times), *([pa.array(written, pa.binary()).cast(pa.string())] if with_groups else [])], names=schema.names)
         aligner.forget()
 
     return source.mapInArrow(through, schema)
