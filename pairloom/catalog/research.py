@@ -241,13 +241,67 @@ def h11_filter(spark, d):
     return out.select("date", b.r("p0"), b.r("p1"))
 
 
+def returns(spark, d):
+    from pairloom.functions.columns import pct_change
+    from pairloom.operators.series import sliding
+    return sliding(b.bars(spark, d), BAR_SERIES, 1, lambda x, w: x.withColumn("ret", pct_change(F.col("close"), w)))
+
+
 @query("h12_hmm_fit")
 def h12(spark, d):
     # one model per symbol on its last returns
-    from pairloom.functions.columns import pct_change
-    from pairloom.operators.series import sliding
-    rets = sliding(b.bars(spark, d), BAR_SERIES, 1, lambda x, w: x.withColumn("ret", pct_change(F.col("close"), w)))
-    return regimes.fit(rets, BAR_SERIES, "ret")
+    return regimes.fit(returns(spark, d), BAR_SERIES, "ret")
+
+
+def _em_step(k: int) -> str:
+    """One step of expectation-maximisation on all returns, from the models ``m{k}`` to ``m{k + 1}``, row after row."""
+    logs = [f"-0.5 * (ln(2 * pi() * v{j}) + power(x - u{j}, 2) / v{j})" for j in (0, 1)]
+    ahead = [f"(p0 * a0{j} + p1 * a1{j})" for j in (0, 1)]
+    behind = [f"(a{i}0 * n.d0 * q0 + a{i}1 * n.d1 * q1)" for i in (0, 1)]
+    xi = {f"{i}{j}": f"f.p{i} * a{i}{j} * n.d{j} * b.q{j}" for i in (0, 1) for j in (0, 1)}
+    return f"""
+l{k} AS MATERIALIZED (SELECT symbol, k, n, x, {logs[0]} AS l0, {logs[1]} AS l1 FROM rk JOIN m{k} USING (symbol)),
+e{k} AS MATERIALIZED (SELECT symbol, k, n, x, greatest(l0, l1) AS top, exp(l0 - greatest(l0, l1)) AS d0, exp(l1 - greatest(l0, l1)) AS d1 FROM l{k}),
+f{k} AS (SELECT symbol, k, s0 * d0 / (s0 * d0 + s1 * d1) AS p0, s1 * d1 / (s0 * d0 + s1 * d1) AS p1, ln(s0 * d0 + s1 * d1) + top AS ll
+         FROM e{k} JOIN m{k} USING (symbol) WHERE k = 1
+         UNION ALL
+         SELECT e.symbol, e.k, {ahead[0]} * d0 / ({ahead[0]} * d0 + {ahead[1]} * d1), {ahead[1]} * d1 / ({ahead[0]} * d0 + {ahead[1]} * d1),
+                ln({ahead[0]} * d0 + {ahead[1]} * d1) + top
+         FROM f{k} f JOIN e{k} e ON e.symbol = f.symbol AND e.k = f.k + 1 JOIN m{k} m ON m.symbol = f.symbol),
+b{k} AS (SELECT symbol, k, 5e-1 AS q0, 5e-1 AS q1 FROM e{k} WHERE k = n
+         UNION ALL
+         SELECT n.symbol, n.k - 1, {behind[0]} / ({behind[0]} + {behind[1]}), {behind[1]} / ({behind[0]} + {behind[1]})
+         FROM b{k} b JOIN e{k} n ON n.symbol = b.symbol AND n.k = b.k JOIN m{k} m ON m.symbol = b.symbol WHERE n.k > 1),
+g{k} AS (SELECT symbol, k, x, p0 * q0 / (p0 * q0 + p1 * q1) AS g0, p1 * q1 / (p0 * q0 + p1 * q1) AS g1, ll FROM f{k} JOIN b{k} USING (symbol, k) JOIN e{k} USING (symbol, k)),
+x{k} AS (SELECT f.symbol, {', '.join(f"sum({e} / ({' + '.join(xi.values())})) AS t{ij}" for ij, e in xi.items())}
+         FROM f{k} f JOIN e{k} n ON n.symbol = f.symbol AND n.k = f.k + 1 JOIN b{k} b ON b.symbol = f.symbol AND b.k = f.k + 1
+         JOIN m{k} m ON m.symbol = f.symbol GROUP BY f.symbol),
+w{k} AS (SELECT symbol, sum(g0) AS w0, sum(g1) AS w1, sum(g0 * x) / sum(g0) AS u0, sum(g1 * x) / sum(g1) AS u1, sum(ll) AS ll,
+                sum(CASE WHEN k = 1 THEN g0 END) AS s0, sum(CASE WHEN k = 1 THEN g1 END) AS s1 FROM g{k} GROUP BY symbol),
+m{k + 1} AS MATERIALIZED (SELECT symbol, any_value(s0) AS s0, any_value(s1) AS s1, {', '.join(f"any_value(t{i}{j} / (t{i}0 + t{i}1)) AS a{i}{j}" for i in (0, 1) for j in (0, 1))},
+         any_value(u0) AS u0, any_value(u1) AS u1, (0.01 + sum(g0 * power(x - u0, 2))) / any_value(w0) AS v0, (0.01 + sum(g1 * power(x - u1, 2))) / any_value(w1) AS v1,
+         any_value(w{k}.ll) AS ll FROM g{k} JOIN w{k} USING (symbol) JOIN x{k} USING (symbol) GROUP BY symbol)"""
+
+
+FIT_STEPS = 3
+# returns numbered along each series, the best split of their values, then a fixed number of steps
+WHOLE_FIT = BARS + """,
+rt AS (SELECT symbol, date, close / NULLIF(lag(close) OVER (PARTITION BY symbol ORDER BY date), 0) - 1 AS x FROM bars),
+rk AS MATERIALIZED (SELECT symbol, x, row_number() OVER (PARTITION BY symbol ORDER BY date) AS k, count(*) OVER (PARTITION BY symbol) AS n FROM rt WHERE x IS NOT NULL),
+cs AS (SELECT symbol, n, row_number() OVER w AS c, sum(x) OVER w AS s, sum(x) OVER (PARTITION BY symbol) AS t, var_samp(x) OVER (PARTITION BY symbol) AS v
+       FROM rk WINDOW w AS (PARTITION BY symbol ORDER BY x ROWS UNBOUNDED PRECEDING)),
+m0 AS MATERIALIZED (SELECT symbol, 5e-1 AS s0, 5e-1 AS s1, 5e-1 AS a00, 5e-1 AS a01, 5e-1 AS a10, 5e-1 AS a11, s / c AS u0, (t - s) / (n - c) AS u1, v + 0.001 AS v0,
+              v + 0.001 AS v1, 0.0 AS ll FROM cs WHERE c < n QUALIFY row_number() OVER (PARTITION BY symbol ORDER BY s * s / c + (t - s) * (t - s) / (n - c) DESC) = 1),
+""" + ",".join(_em_step(k) for k in range(FIT_STEPS))
+FITTED = dict(start0="s0", start1="s1", p00="a00", p01="a01", p10="a10", p11="a11", mean0="u0", mean1="u1", var0="v0", var1="v1")
+
+
+@query("h12_hmm_fit_series", f"""WITH RECURSIVE {WHOLE_FIT}
+SELECT symbol, {', '.join(f"round({c}, 6) AS {n}" for n, c in FITTED.items())}, round(ll, 4) AS log_likelihood, {FIT_STEPS} AS steps FROM m{FIT_STEPS}""")
+def h12_series(spark, d):
+    # one model per symbol on all its returns
+    out = regimes.fit(returns(spark, d), BAR_SERIES, "ret", roll=None, n_iter=FIT_STEPS)
+    return out.select("symbol", *[b.r(c) for c in FITTED], b.r("log_likelihood", 4), "steps")
 
 
 P = MODEL.transition

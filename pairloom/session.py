@@ -7,7 +7,7 @@ import tempfile
 import uuid
 import zipfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 SESSION_CONF = {
     "spark.sql.session.timeZone": "UTC",
@@ -64,3 +64,10 @@ def work_dir(spark: SparkSession, label: str) -> str:
     if not (master == "local" or master.startswith("local[")):
         raise ValueError(f"spark.checkpoint.dir must name a shared folder on {master}")
     return tempfile.mkdtemp(prefix=f"{label}-")
+
+
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """The rows of ``df``, written under the shared folder and read back: later uses neither run nor plan its lineage again."""
+    path = work_dir(df.sparkSession, label)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -1,6 +1,7 @@
 import itertools
 
 import numpy as np
+import pandas as pd
 import pytest
 from helpers import SPEC, back, close, to_spark, walk
 
@@ -102,3 +103,34 @@ def test_regimes_of_folds_join_by_key(spark):
     assert len(out) == len(pdf) and {"state", "next_state_1", "next_state_2"} <= set(out.columns)
     high = out[out.standardized_spread > 0]
     assert (high.state == 1).mean() > 0.9 and (out[out.standardized_spread < 0].state == 0).mean() > 0.9
+
+
+def test_whole_series_fit_equals_the_window_fit(spark):
+    """The same model, likelihood and number of steps as on one window, whatever the groups; series of one and of equal values too."""
+    pdf = two_pairs(90)
+    more = pd.DataFrame({"k": ["one"] + ["same"] * 4 + ["none"], "date": list(pdf.date[:1]) + list(pdf.date[:4]) + list(pdf.date[:1]),
+                         "v": [3.0] + [2.0] * 4 + [np.nan]})
+    both = pd.concat([pdf, more], ignore_index=True)
+    df = to_spark(spark, both)
+    for chunk in (13, 512):
+        out = back(r.fit(df, SPEC.with_(chunk_rows=chunk), "v", roll=None, n_iter=6), "k")
+        assert out.k.tolist() == ["a", "b", "one", "same"]
+        for row in out.itertuples():
+            x = both[(both.k == row.k) & both.v.notna()].sort_values("date").v.to_numpy()
+            m, ll, steps = r.fit_window(x, 6)
+            o = [0, 1] if m.means[0] <= m.means[1] else [1, 0]
+            want = [m.start[o[0]], m.start[o[1]], *np.array(m.transition)[np.ix_(o, o)].ravel(), m.means[o[0]], m.means[o[1]],
+                    m.variances[o[0]], m.variances[o[1]], ll]
+            close([getattr(row, c) for c in r.FIT_COLUMNS], want, 1e-7)
+            assert row.steps == steps
+
+
+def test_start_of_the_whole_fit_is_the_best_split(spark, monkeypatch):
+    monkeypatch.setattr(r, "CUTS", 5)
+    pdf = walk(n=150, start=0.0)
+    pdf["v"] = pdf.v.round(1)
+    out = back(r.two_groups(to_spark(spark, pdf), SPEC, "v"), "k")
+    for row in out.itertuples():
+        x = pdf[pdf.k == row.k].v.to_numpy()
+        close([row.mean0, row.mean1], r._two_means(x))
+        close([row.var], [x.var(ddof=1) + r.MIN_VARIANCE])
