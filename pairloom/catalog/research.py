@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pairloom import schemas
 from pairloom.catalog import base as b
 from pairloom.catalog.base import BARS, BAR_SERIES, PAIR, PAIR_SQL, PREDICTIONS, SPREAD_SQL, query
+from pairloom.catalog.lag_choice import prefix_moments, row_moments, statistic
 from pairloom.catalog.relational import BARRIER, MINUTE, SPANS, event_spans
 from pairloom.catalog.windows import EMA, RSI, atr_sql
 from pairloom.operators import labels, regimes, stats
@@ -103,9 +104,17 @@ def h7(spark, d):
     return stats.engle_granger(b.pair(spark, d), PAIR, "close_btc", "close_eth").select("date", b.r("coint"))
 
 
-@query("h7_engle_granger_rolling_aic")
+# residuals of each window of 100 rows, numbered 0..99; the criterion's moments start at difference 1 + the number of lags
+_U = row_moments("u_aic", 100)
+COINT_AIC = f"""
+u_aic AS (SELECT 'btc-eth' AS symbol, u100.date, io - o + 99 AS i, u FROM u100 WHERE n = 100),
+{_U[0]}, {statistic(_U[1], "n", 100, False, "ct")}"""
+
+
+@query("h7_engle_granger_rolling_aic", f"WITH {SPREAD_SQL}, {COINT}, {COINT_AIC} SELECT zs.date, round(t, 6) AS coint FROM zs LEFT JOIN ct USING (date)")
 def h7_aic(spark, d):
-    return stats.engle_granger(b.pair(spark, d), PAIR, "close_btc", "close_eth", lags="aic")
+    out = stats.engle_granger(b.pair(spark, d), PAIR, "close_btc", "close_eth", lags="aic")
+    return out.select("date", b.r("coint"))
 
 
 # whole sample: y on x with a constant, then the residuals without one
@@ -151,9 +160,13 @@ def h8_rolling(spark, d):
     return stats.unit_root(b.bars(spark, d), BAR_SERIES, "close", 60).select("symbol", "date", b.r("adf"))
 
 
-@query("h8_adf_stat_rolling_aic")
+_Y = prefix_moments("cl", "w60", 60, True)
+
+
+@query("h8_adf_stat_rolling_aic", f"""WITH {NB}, cl AS (SELECT symbol, o, close AS y FROM nb), w60 AS (SELECT symbol, date, o, 60 AS n FROM nb WHERE o >= 59),
+{_Y[0]}, {statistic(_Y[1], "n", 60, True, "df")} SELECT nb.symbol, nb.date, round(t, 6) AS adf FROM nb LEFT JOIN df USING (symbol, date)""")
 def h8_aic(spark, d):
-    return stats.unit_root(b.bars(spark, d), BAR_SERIES, "close", 60, lags="aic")
+    return stats.unit_root(b.bars(spark, d), BAR_SERIES, "close", 60, lags="aic").select("symbol", "date", b.r("adf"))
 
 
 @query("h9_sadf", f"""WITH {NB},
@@ -168,6 +181,18 @@ def h9(spark, d):
     return stats.sadf(logs, BAR_SERIES, "y").select("symbol", "date", b.r("sadf", 5))
 
 
+_L = prefix_moments("lg", "w50", 50, True)
+
+
+@query("h9_sadf_aic", f"""WITH {PAIR_SQL}, np AS (SELECT 'btc-eth' AS symbol, date, ln(close_btc / close_eth) AS y, row_number() OVER (ORDER BY date) - 1 AS o FROM pair),
+lg AS (SELECT symbol, o, y FROM np), w50 AS (SELECT symbol, date, o, CAST(len.m AS INTEGER) AS n FROM np CROSS JOIN range(30, 51) len(m) WHERE o >= 49),
+{_L[0]}, {statistic(_L[1], "n", 50, True, "sx")}, best AS (SELECT date, max(t) AS sadf FROM sx GROUP BY date)
+SELECT np.symbol AS pair, np.date, round(sadf, 5) AS sadf FROM np LEFT JOIN best USING (date)""")
+def h9_aic(spark, d):
+    ratio = b.pair(spark, d).select("pair", "date", F.log(F.col("close_btc") / F.col("close_eth")).alias("y"))
+    return stats.sadf(ratio, PAIR, "y", min_window=30, lags="aic").select("pair", "date", b.r("sadf", 5))
+
+
 @query("h10_johansen_trace", f"""WITH {PAIR_SQL},
 l AS (SELECT close_btc - lag(close_btc) OVER w AS dx, close_eth - lag(close_eth) OVER w AS dy, lag(close_btc) OVER w AS lx, lag(close_eth) OVER w AS ly,
              lag(close_btc) OVER w - lag(close_btc, 2) OVER w AS zx, lag(close_eth) OVER w - lag(close_eth, 2) OVER w AS zy

@@ -12,13 +12,16 @@ from pyspark.sql import types as T
 
 from pairloom.functions import rolling as R
 from pairloom.functions.columns import ratio
-from pairloom.functions.unit_root import adf_aic, engle_granger_aic
+from pairloom.functions.unit_root import adf_aic_rolling, engle_granger_aic_rolling, sadf_aic_rolling
 from pairloom.operators.series import ORD, SeriesSpec, join_per_key, sliding, with_ordinal
 
 
-def rolling_in_pandas(df: DataFrame, spec: SeriesSpec, inputs: Sequence[str], window: int, out: str,
-                      fn: Callable[[np.ndarray], float]) -> DataFrame:
-    """``fn`` on every full window of ``inputs``; chunks plus halo are the groups, never a series."""
+def rolling_windows(df: DataFrame, spec: SeriesSpec, inputs: Sequence[str], window: int, out: str,
+                    fn: Callable[[np.ndarray, np.ndarray], np.ndarray]) -> DataFrame:
+    """``fn(values, ends)`` for all full windows of ``inputs`` that end in a chunk; chunks plus halo are the groups, never a series.
+
+    Windows with a missing value have no statistic.
+    """
     if ORD not in df.columns:
         df = with_ordinal(df, spec)
     size = spec.chunk_rows
@@ -29,13 +32,14 @@ def rolling_in_pandas(df: DataFrame, spec: SeriesSpec, inputs: Sequence[str], wi
     def per_chunk(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(ORD)
         values = pdf[list(inputs)].to_numpy(dtype=float)
-        stat = np.full(len(pdf), np.nan)
+        known = np.isfinite(values).all(1)
+        seen = np.concatenate([[0], np.cumsum(known)])
         home = (pdf[ORD] // size == pdf["_chunk"]).to_numpy()
-        for end in np.flatnonzero(home):
-            if end >= window - 1:
-                part = values[end - window + 1:end + 1]
-                if np.all(np.isfinite(part)):
-                    stat[end] = fn(part)
+        last = np.arange(window - 1, len(pdf))
+        last = last[home[last] & (seen[last + 1] - seen[last - window + 1] == window)]
+        stat = np.full(len(pdf), np.nan)
+        if len(last):
+            stat[last] = fn(np.where(known[:, None], values, 0.0), last)
         return pdf.assign(**{out: stat})[[*keys, spec.ts, out]][home]
 
     schema = T.StructType([df.schema[c] for c in (*keys, spec.ts)] + [T.StructField(out, T.DoubleType())])
@@ -48,7 +52,7 @@ def engle_granger(df: DataFrame, spec: SeriesSpec, y: str, x: str, window: int =
     """Rolling cointegration statistic; ``lags=0`` is native, ``"aic"`` picks lags per window."""
     if lags == 0:
         return sliding(df, spec, window + 1, lambda d, w: R.add(d, w, R.engle_granger(F.col(y), F.col(x), out, window)))
-    return rolling_in_pandas(df, spec, [y, x], window, out, lambda a: engle_granger_aic(a[:, 0], a[:, 1]))
+    return rolling_windows(df, spec, [y, x], window, out, lambda a, last: engle_granger_aic_rolling(a[:, 0], a[:, 1], last, window))
 
 
 def unit_root(df: DataFrame, spec: SeriesSpec, y: str, window: int, constant: bool = True,
@@ -56,7 +60,7 @@ def unit_root(df: DataFrame, spec: SeriesSpec, y: str, window: int, constant: bo
     """Rolling Dickey-Fuller statistic."""
     if lags == 0:
         return sliding(df, spec, window + 1, lambda d, w: R.add(d, w, R.unit_root(y, out, [window], constant)))
-    return rolling_in_pandas(df, spec, [y], window, out, lambda a: adf_aic(a[:, 0], constant))
+    return rolling_windows(df, spec, [y], window, out, lambda a, last: adf_aic_rolling(a[:, 0], last, window, constant))
 
 
 def unit_root_full(df: DataFrame, spec: SeriesSpec, y: str, constant: bool = False) -> DataFrame:
@@ -91,15 +95,13 @@ def sadf(df: DataFrame, spec: SeriesSpec, y: str, min_window: int = 20, window:
          out: str = "sadf") -> DataFrame:
     """Sup ADF: largest statistic over the suffixes of each window.
 
-    Natively, every suffix regression is a difference of two cumulative sums of its chunk.
+    Every suffix regression is a difference of two cumulative sums of its chunk. ``lags="aic"`` picks the lags of each.
     """
     if lags == 0:
         lengths = range(min_window, window + 1)
         return sliding(df, spec, window + 1, lambda d, w: R.add(d, w, R.unit_root(y, out, lengths)))
 
-    def sup(a: np.ndarray) -> float:
-        return float(np.max([adf_aic(a[i:, 0], True) for i in range(window - min_window + 1)]))
-    return rolling_in_pandas(df, spec, [y], window, out, sup)
+    return rolling_windows(df, spec, [y], window, out, lambda a, last: sadf_aic_rolling(a[:, 0], last, min_window, window))
 
 
 def _inv(m: tuple[Column, ...]) -> tuple[Column, ...]:

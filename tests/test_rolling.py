@@ -5,6 +5,7 @@ from helpers import SPEC, back, close, to_spark, walk
 from pyspark.sql import functions as F
 
 from pairloom.functions import rolling as R
+from pairloom.functions import unit_root
 from pairloom.functions.unit_root import adf_aic, engle_granger_aic
 from pairloom.operators import stats
 from pairloom.operators.series import ORD, sliding
@@ -114,6 +115,27 @@ def test_aic_variants_run_on_chunks(spark):
     close(out.coint, [engle_granger_aic(y[i - 39:i + 1], x[i - 39:i + 1]) if i >= 39 else np.nan for i in range(len(y))])
 
 
+@pytest.mark.parametrize("kind", range(4))
+def test_all_windows_at_once_equal_single_ones(kind):
+    rng = np.random.default_rng(kind)
+    y = [rng.normal(size=150).cumsum() + 1500, 1500 + 300 * rng.normal(size=150), np.where(np.arange(150) % 40 < 25, 7.0, rng.normal(size=150)),
+         np.arange(150.0)][kind]
+    last = np.arange(60, 150)
+    for n, constant in ((4, True), (20, True), (50, True), (50, False)):
+        close(unit_root.adf_aic_rolling(y, last, n, constant), [adf_aic(y[e - n + 1:e + 1], constant) for e in last], 1e-7)
+    x = rng.normal(size=150).cumsum()
+    close(unit_root.engle_granger_aic_rolling(y, x, last, 40), [engle_granger_aic(y[e - 39:e + 1], x[e - 39:e + 1]) for e in last], 1e-7)
+    close(unit_root.sadf_aic_rolling(y, last, 20, 30), [np.max([adf_aic(y[e - k + 1:e + 1], True) for k in range(20, 31)]) for e in last], 1e-7)
+
+
+def test_sadf_with_lags_on_chunks(spark):
+    pdf = walk(n=130, nulls=(40, 41))
+    out = back(stats.sadf(to_spark(spark, pdf), SPEC, "v", 20, 30, lags="aic"))
+    for k, part in out.groupby("k"):
+        v = pdf[pdf.k == k].v.to_numpy()
+        close(part.sadf, [np.max([adf_aic(v[e - n + 1:e + 1], True) for n in range(20, 31)]) if e >= 29 else np.nan for e in range(len(v))], 1e-8)
+
+
 def test_lag_choice_minimises_aic():
     rng = np.random.default_rng(3)
     e = rng.normal(size=203)
