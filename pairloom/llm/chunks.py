@@ -10,11 +10,11 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: bytes that the chunks of one generation and their values take; a worker holds two generations
-KEPT_BYTES = 32 << 20
+KEPT_BYTES = 48 << 20
 #: longer chunks rarely come again: they are computed for the texts at hand and not kept
 LONGEST = 128
-#: what an entry costs besides its characters and ids
-_ENTRY = 240
+#: what an entry of so few characters costs besides them, with its ids
+_ENTRY = 260
 #: rows and bytes of texts that are cut at a time
 SLICE_ROWS, SLICE_BYTES = 2048, 8 << 20
 #: marks that byte-pair patterns always separate from letters before them, and keep together
@@ -45,10 +45,6 @@ class Chunks:
         self.old: dict = {}
         self.held = 0
 
-    def _keep(self, chunk: str, value) -> None:
-        self.young[chunk] = value
-        self.held += _ENTRY + 2 * len(chunk) + (len(value) if isinstance(value, bytes) else 0)
-
     def _unsafe(self, chunk: str) -> bool:
         return self.keep_space and (chunk in ("", " ") or chunk[-1].isspace() or chunk[0] == " " and chunk[1].isspace())
 
@@ -56,7 +52,7 @@ class Chunks:
         """The chunks' values; None for chunks at which a plain cut is not sound."""
         if self.held > self.kept:
             self.old, self.young, self.held = self.young, {}, 0
-        young, old, keep = self.young, self.old, self._keep
+        young, old, held = self.young, self.old, 0
         found = [young.get(c, self) for c in chunks]
         todo, need, passing = [], {}, {}
         for i, (c, v) in enumerate(zip(chunks, found)):
@@ -64,12 +60,13 @@ class Chunks:
                 continue
             v = old.get(c, self)
             if v is not self:
-                found[i] = v
-                keep(c, v)
+                found[i] = young[c] = v
+                held += _ENTRY + 2 * len(c)
             elif self._unsafe(c):
                 found[i] = None
                 if len(c) <= LONGEST:
-                    keep(c, None)
+                    young[c] = None
+                    held += _ENTRY + 2 * len(c)
             else:
                 core = c.rstrip(self.tail) if self.tail else c
                 parts = (core, c[len(core):]) if len(core) < len(c) and core.lstrip(" ").isalpha() else (c,)
@@ -83,14 +80,17 @@ class Chunks:
             for p, v in zip(need, self.compute(list(need))):
                 passing[p] = v
                 if len(p) <= LONGEST:
-                    keep(p, v)
+                    young[p] = v
+                    held += _ENTRY + 2 * len(p)
         for i, c, parts in todo:
             v = passing[parts[0]]
             if len(parts) == 2:
                 v = v + passing[parts[1]]
                 if len(c) <= LONGEST:
-                    keep(c, v)
+                    young[c] = v
+                    held += _ENTRY + 2 * len(c)
             found[i] = v
+        self.held += held
         return found
 
     def _odd(self, text: str) -> list:
