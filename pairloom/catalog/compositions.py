@@ -11,13 +11,13 @@ from pairloom.catalog.maintenance import SNAPSHOT, two_snapshots
 from pairloom.catalog.relational import key_sql
 from pairloom.catalog.research import FEATURE_SELECT, NUMBERED_PAIR, PAIR_CHANGES, feature_select
 from pairloom.catalog.sources import write_messages
-from pairloom.catalog.windows import fact_position
+from pairloom.catalog.windows import atr_sql, fact_position
 from pairloom.functions import rolling as R
 from pairloom.operators.series import sliding
 from pairloom.plans import features as feats
 from pairloom.plans import marts, training
 from pairloom.session import work_dir
-from pairloom.streaming import incremental, ledger
+from pairloom.streaming import carried, incremental, ledger
 from pairloom.streaming import predictions as msgs
 
 Z = "standardized_spread"
@@ -74,18 +74,25 @@ def order_messages(spark, d, priced):
         "account", "body", F.explode(F.sequence(F.lit(1), F.when(F.col("o_orderkey") % 3 == 0, 2).otherwise(1))).alias("_c")).drop("_c")
 
 
+#: how late a message can be: longer than a period, whose files are in no time order
+DELAY = "1300 days"
+
+
 def play_messages(spark, d, path, out="", foreach=None):
-    """Messages to positions: read, parse, drop copies, add prices, play each account. They come in three periods; after each
-    one, which is one batch as its files are in no time order, the stream goes on from its checkpoint."""
+    """Messages to positions: read, parse, drop copies, add prices, play each account in event time. They come in three periods; after
+    each one the stream goes on from its checkpoint. At the end a message of another account, long after, moves the watermark."""
     priced = training.materialise(priced_dates(spark, d), "priced")
     sent = training.materialise(order_messages(spark, d, priced), "messages")
     known = priced.select(F.col("date").cast("string").alias("date"), "spread", "price_eth", "price_btc")
-    for lo, hi in zip(EDGES, EDGES[1:]):
-        sent.where((F.col("sent_at") >= lo) & (F.col("sent_at") < hi)).write.mode("append").json(f"{path}/in")
-        clean = msgs.accepted(msgs.message_stream(spark, f"{path}/in", files_per_batch=None))
+    clock = sent.limit(1).select(
+        F.lit("clock").alias("msg_id"), F.lit("2200-01-01").cast("timestamp").alias("sent_at"), F.lit("clock").alias("account"), "body")
+    parts = [sent.where((F.col("sent_at") >= lo) & (F.col("sent_at") < hi)) for lo, hi in zip(EDGES, EDGES[1:])]
+    for part in [*parts, clock]:
+        part.write.mode("append").json(f"{path}/in")
+        clean = msgs.accepted(msgs.message_stream(spark, f"{path}/in"), DELAY)
         signal = clean.join(known, "date").select(
             "account", F.col("sent_at").alias("ts"), "msg_id", "prediction", "message_spread", "spread", "price_eth", "price_btc")
-        msgs.run_once(ledger.ledger_stream(signal), out, f"{path}/ckpt", foreach=foreach)
+        msgs.run_once(ledger.ledger_in_event_time(signal), out, f"{path}/ckpt", foreach=foreach)
 
 
 # one recursion step plays the next message of every account
@@ -161,7 +168,7 @@ SELECT msg_id, date, strftime(ts, '%H:%M:%S') AS time, sym AS symbol, 'USD' AS c
 def i3(spark, d):
     path = work_dir(spark, "ledger")
     play_messages(spark, d, path, foreach=ledger.write_ledger(f"{path}/out", run="first"))
-    p, bal = spark.read.parquet(f"{path}/out/positions"), spark.read.parquet(f"{path}/out/balances")
+    p, bal = (ledger.read_ledger(spark, f"{path}/out", name) for name in ledger.TABLES)
     both = p.join(bal.select("msg_id", "account_balance"), "msg_id")
     return both.select("msg_id", "date", "time", "symbol", "currency", F.col("position_size").cast("double").alias("position_size"),
                        b.r("account_balance", 2), "account_id")
@@ -328,3 +335,31 @@ def l6(spark, d):
 def l7(spark, d):
     labelled = training.materialise(training.labelled_features(feature_rows(spark, d)), "labelled")
     return training.cross_validate(labelled, PAIR, k=3, embargo=0.01, inputs=schemas.MODEL_FEATURES)
+
+
+# means by symbol in closed form: sums over all earlier rows
+SYMBOL_MEANS = """
+nb AS (SELECT *, row_number() OVER (PARTITION BY symbol ORDER BY date) - 1 AS o, close - lag(close) OVER (PARTITION BY symbol ORDER BY date) AS ch FROM bars),
+es AS (SELECT t.symbol, t.date, t.o, sum(CASE WHEN i.o = 0 THEN 1 ELSE 2.0 / 6 END * power(1 - 2.0 / 6, t.o - i.o) * i.close) AS e5,
+              sum(CASE WHEN i.o = 0 THEN 1 ELSE 2.0 / 21 END * power(1 - 2.0 / 21, t.o - i.o) * i.close) AS e20,
+              sum(1.0 / 14 * power(13.0 / 14, t.o - i.o) * greatest(i.ch, 0)) AS u, sum(1.0 / 14 * power(13.0 / 14, t.o - i.o) * greatest(-i.ch, 0)) AS n
+       FROM nb t JOIN nb i ON i.symbol = t.symbol AND i.o <= t.o GROUP BY ALL)
+"""
+
+
+@query("i5_carried_features", f"""WITH {BARS}, {SYMBOL_MEANS}, {atr_sql('nb', 'symbol', 'high', 'low', 'close', 'b')},
+vw AS (SELECT symbol, date, sum((high + low + close) / 3 * volume) OVER w / sum(volume) OVER w AS vwap FROM bars
+       WINDOW w AS (PARTITION BY symbol ORDER BY date ROWS UNBOUNDED PRECEDING))
+SELECT es.symbol, es.date, round(CASE WHEN es.o >= 4 THEN e5 END, 5) AS ma_5, round(CASE WHEN es.o >= 19 THEN e20 END, 5) AS ma_20,
+       round(CASE WHEN es.o >= 13 THEN CASE WHEN n = 0 THEN 100 ELSE 100 - 100 / (1 + u / n) END END, 5) AS rsi, round(atr, 3) AS atr, round(vwap, 5) AS vwap
+FROM es JOIN atr_b ON k = es.symbol AND atr_b.date = es.date JOIN vw ON vw.symbol = es.symbol AND vw.date = es.date""")
+def i5_carried(spark, d):
+    # all bars as three batches of a stream; recursive features go on from the carries of the batch before
+    path = work_dir(spark, "carried")
+    bars = training.materialise(b.bars(spark, d), "bars")
+    sink = carried.carry_sink(spark, f"{path}/out", BAR_SERIES, {"ma_5": ("close", 5), "ma_20": ("close", 20)})
+    for lo, hi in zip(EDGES, EDGES[1:]):
+        bars.where((F.col("date") >= lo) & (F.col("date") < hi)).write.mode("append").parquet(f"{path}/in")
+        msgs.run_once(spark.readStream.schema(bars.schema).parquet(f"{path}/in"), "", f"{path}/ckpt", foreach=sink)
+    out = spark.read.parquet(f"{path}/out/features")
+    return out.select("symbol", "date", b.r("ma_5", 5), b.r("ma_20", 5), b.r("rsi", 5), b.r("atr", 3), b.r("vwap", 5))

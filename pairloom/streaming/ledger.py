@@ -2,19 +2,20 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql import types as T
 
 from pairloom.operators.chunks import HOME, chunk_fold
 from pairloom.operators.series import SeriesSpec
-from pairloom.session import SESSION_CONF
+from pairloom.session import SESSION_CONF, path_exists
 
 STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
 
@@ -205,6 +206,114 @@ def ledger_stream(signals: DataFrame, rules: LedgerRules = LedgerRules(), balanc
         outputMode="Append", timeMode="None", initialState=initial)
 
 
+# a waiting message; its time is kept in microseconds, which mean the same in every time zone
+MESSAGE = "micros long, msg_id string, prediction int, message_spread double, spread double, price_eth double, price_btc double"
+_MESSAGE_NAMES = [field.split()[0] for field in MESSAGE.split(", ")]
+
+
+def _micros(ts: pd.Series) -> pd.Series:
+    return ts.astype("datetime64[us]").astype("int64")
+
+
+def _messages(rows: pd.DataFrame) -> list[tuple]:
+    """State rows: plain numbers, None for what is missing."""
+    columns = {c: rows[c].tolist() for c in _MESSAGE_NAMES}
+    for c, v in columns.items():
+        if c not in ("micros", "msg_id"):
+            columns[c] = [None if pd.isna(x) else int(x) if c == "prediction" else float(x) for x in v]
+    return list(zip(*columns.values()))
+
+
+def _milliseconds(micros: int) -> int:
+    """Rounded up, as timers count in milliseconds."""
+    return -int(-micros // 1000)
+
+
+class EventTimeLedger(StatefulProcessor):
+    """Keyed state of one account whose messages wait for the watermark.
+
+    Waiting messages are a list in the state store; one timer stands at the earliest of them. When the watermark has passed it no older
+    message can come any more, so all messages up to the watermark are played in time order and the timer moves on.
+    """
+
+    STATE = "symbol string, amount double, position_value double, balance double, days int, open_spread double, timer long"
+
+    def __init__(self, rules: LedgerRules = LedgerRules(), balance: float = START_BALANCE):
+        self.rules, self.start = rules, balance
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.account = handle.getValueState("account", self.STATE)
+        self.waiting = handle.getListState("waiting", MESSAGE)
+
+    def _state(self) -> tuple[Account, int]:
+        stored = self.account.get() if self.account.exists() else None
+        return (Account(*stored[:6]), stored[6]) if stored is not None else (Account(balance=self.start), NEVER)
+
+    def _keep(self, acc: Account, timer: int) -> None:
+        self.account.update((acc.symbol, acc.amount, acc.position_value, acc.balance, acc.days, acc.open_spread, timer))
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        acc, timer = self._state()
+        first = None
+        for part in rows:
+            part = part.assign(micros=_micros(part["ts"]))
+            least = _milliseconds(part["micros"].min())
+            first = least if first is None else min(first, least)
+            self.waiting.appendList(_messages(part))
+        if first is not None and (timer == NEVER or first < timer):
+            if timer != NEVER:
+                self.handle.deleteTimer(timer)
+            self.handle.registerTimer(first)
+            timer = first
+        self._keep(acc, timer)
+        return iter(())
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        acc, _ = self._state()
+        now = timerValues.getCurrentWatermarkInMs() * 1000
+        waiting = pd.DataFrame(list(self.waiting.get()), columns=_MESSAGE_NAMES).sort_values(["micros", "msg_id"])
+        waiting["ts"] = waiting["micros"].astype("datetime64[us]")
+        due, later = waiting[waiting["micros"] <= now], waiting[waiting["micros"] > now]
+        out = pd.DataFrame(list(_play(due.itertuples(), acc, self.rules)), columns=_NAMES)
+        timer = NEVER
+        if len(later):
+            timer = _milliseconds(later["micros"].iloc[0])
+            self.handle.registerTimer(timer)
+            self.waiting.put(_messages(later))
+        else:
+            self.waiting.clear()
+        self._keep(acc, timer)
+        out.insert(0, "account", key[0])
+        yield out
+
+    def handleInitialState(self, key, initialState, timerValues) -> None:
+        s = initialState.iloc[0]
+        symbol = None if pd.isna(s["symbol"]) or not s["symbol"] else s["symbol"]
+        self._keep(Account(symbol, float(s["amount"]), float(s["position_value"]), float(s["account_balance"]), int(s["days_in_trade"]),
+                           float(s["trade_open_spread"])), NEVER)
+
+    def close(self) -> None:
+        pass
+
+
+def ledger_in_event_time(signals: DataFrame, rules: LedgerRules = LedgerRules(), balance: float = START_BALANCE,
+                         accounts: DataFrame | None = None) -> DataFrame:
+    """Streaming ledger over the columns of ``replay``, whose ``ts`` has a watermark, in event time.
+
+    A message waits until the watermark has passed it and is then played behind all older ones of its account, so the rows are those of
+    ``replay`` however messages fall into files and batches, as long as none comes later than the delay of the
+    watermark; later ones are dropped by Spark. What waits is bounded by the messages of one delay. The messages of the last delay come
+    out when newer ones, of any account, move the watermark.
+    """
+    signals.sparkSession.conf.set(STATE_STORE, SESSION_CONF[STATE_STORE])
+    initial = accounts.groupBy("account") if accounts is not None else None
+    return signals.groupBy("account").transformWithStateInPandas(
+        statefulProcessor=EventTimeLedger(rules, balance),
+        outputStructType=T.StructType([T.StructField("account", T.StringType()), *T.StructType.fromDDL(OUTPUT).fields]),
+        outputMode="Append", timeMode="EventTime", initialState=initial)
+
+
 def position_rows(ledger: DataFrame) -> DataFrame:
     """Row of the position table per step."""
     return ledger.select(
@@ -219,16 +328,39 @@ def balance_rows(ledger: DataFrame) -> DataFrame:
     return ledger.select(F.to_date("ts").alias("date"), F.col("account").alias("account_id"), "account_balance", "msg_id")
 
 
+COMMIT = "run string, batch_id long, attempt string"
+TABLES = {"positions": position_rows, "balances": balance_rows}
+
+
 def write_ledger(path: str, run: str = "0"):
-    """``foreachBatch`` sink: each micro-batch owns one partition of both tables, so a replayed
-    batch overwrites its own rows instead of appending them again. Batch numbers start at 0 with every new
-    checkpoint: give each checkpoint a ``run`` of its own."""
+    """``foreachBatch`` sink that publishes each micro-batch in both tables at once.
+
+    An attempt at a batch writes its rows of both tables under a name of its own, and then one commit record that names the
+    attempt. Readers follow the records (``read_ledger``), so a failure between the writes shows the batch in neither table, and files
+    that a reader uses are never written again. A batch that has a record is left as it is when it comes again. Batch numbers
+    start at 0 with every new checkpoint: give each checkpoint a ``run`` of its own.
+    """
     def write(batch: DataFrame, batch_id: int) -> None:
+        spark, done = batch.sparkSession, f"{path}/commits/run={run}/batch_id={batch_id}"
+        if path_exists(spark, f"{done}/_SUCCESS"):
+            return
+        attempt = uuid.uuid4().hex
         # read twice below; cached blocks are rebuilt from the batch if an executor is lost
         batch = batch.persist()
         try:
-            position_rows(batch).write.mode("overwrite").parquet(f"{path}/positions/run={run}/batch_id={batch_id}")
-            balance_rows(batch).write.mode("overwrite").parquet(f"{path}/balances/run={run}/batch_id={batch_id}")
+            for name, rows in TABLES.items():
+                rows(batch).write.parquet(f"{path}/{name}/run={run}/batch_id={batch_id}/attempt={attempt}")
         finally:
             batch.unpersist()
+        spark.createDataFrame([(attempt,)], "attempt string").coalesce(1).write.mode("overwrite").parquet(done)
     return write
+
+
+def read_ledger(spark: SparkSession, path: str, name: str) -> DataFrame:
+    """The published rows of the table ``name`` (positions or balances) with run and batch_id; an empty one before the first commit."""
+    if not path_exists(spark, f"{path}/commits"):
+        return spark.read.schema(f"msg_id string, {COMMIT}").parquet(f"{path}/{name}").where("false").drop("attempt")
+    commits = spark.read.schema(COMMIT).parquet(f"{path}/commits")
+    rows = spark.read.option("basePath", f"{path}/{name}").parquet(f"{path}/{name}")
+    rows = rows.withColumns({"run": F.col("run").cast("string"), "batch_id": F.col("batch_id").cast("long"), "attempt": F.col("attempt").cast("string")})
+    return rows.join(commits, ["run", "batch_id", "attempt"], "left_semi").drop("attempt")

@@ -88,7 +88,7 @@ def test_stream_over_batches_is_the_loop_and_sinks_repeat_safely(spark, tmp_path
         sink(batch, batch_id)
 
     run_once(ledger.ledger_stream(stream, rules), "", str(tmp_path / "ckpt"), foreach=twice)
-    out = spark.read.parquet(str(tmp_path / "out" / "balances")).toPandas().sort_values("msg_id").reset_index(drop=True)
+    out = ledger.read_ledger(spark, str(tmp_path / "out"), "balances").toPandas().sort_values("msg_id").reset_index(drop=True)
     assert out.msg_id.tolist() == want.msg_id.tolist() and out.batch_id.nunique() == 3
     close(out.account_balance, want.balance)
 
@@ -112,7 +112,74 @@ def test_runs_do_not_overwrite_each_other(spark, tmp_path):
                                   "account_balance double, days_in_trade int, trade_open_spread double")
     for run in ("one", "two", "two"):
         ledger.write_ledger(str(tmp_path / "out"), run)(batch, 0)
-    assert spark.read.parquet(str(tmp_path / "out" / "positions")).count() == 2
+    assert ledger.read_ledger(spark, str(tmp_path / "out"), "positions").count() == 2
+
+
+def test_both_tables_are_published_together(spark, tmp_path, monkeypatch):
+    """A failure between the two writes shows the batch in neither table; the next attempt shows it in both, once."""
+    schema = ("account string, msg_id string, ts timestamp, action string, symbol string, amount double, position_value double, "
+              "account_balance double, days_in_trade int, trade_open_spread double")
+
+    def batch(k):
+        return spark.createDataFrame([("a", f"m{k}", dt.datetime(2020, 1, 1 + k), "open", "ETH-USD", 1.0, 1.0, 1.0, 0, 0.0)], schema)
+
+    def seen():
+        return [sorted(r.msg_id for r in ledger.read_ledger(spark, str(tmp_path / "out"), name).collect()) for name in ledger.TABLES]
+
+    def broken(df):
+        raise OSError("disk")
+
+    sink = ledger.write_ledger(str(tmp_path / "out"))
+    with monkeypatch.context() as m:
+        m.setitem(ledger.TABLES, "balances", broken)
+        with pytest.raises(OSError):
+            sink(batch(0), 0)
+    (tmp_path / "out" / "balances").mkdir(exist_ok=True)
+    assert seen() == [[], []]
+    sink(batch(0), 0)
+    assert seen() == [["m0"], ["m0"]]
+    with monkeypatch.context() as m:
+        m.setitem(ledger.TABLES, "balances", broken)
+        with pytest.raises(OSError):
+            sink(batch(1), 1)
+    assert seen() == [["m0"], ["m0"]]
+    for _ in range(2):
+        sink(batch(1), 1)
+    assert seen() == [["m0", "m1"], ["m0", "m1"]]
+
+
+@pytest.mark.parametrize("per_batch", [1, 100])
+def test_event_time_does_not_depend_on_files_and_batches(spark, tmp_path, per_batch):
+    rows, rules = signals(n=40), ledger.LedgerRules()
+    want = loop(rows, rules)
+    rng = np.random.default_rng(1)
+    order = rng.permutation(len(rows))
+    for k in range(3):  # no file is in time order, the latest messages come first
+        part = [rows[i] for i in order[::-1][k::3]]
+        spark.createDataFrame(part, COLS).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema(COLS).option("maxFilesPerTrigger", per_batch).parquet(str(tmp_path / "in")).withWatermark("ts", "60 days")
+    run_once(ledger.ledger_in_event_time(stream, rules), str(tmp_path / "out"), str(tmp_path / "ckpt"))
+    early = spark.read.schema(f"account string, {ledger.OUTPUT}").parquet(str(tmp_path / "out")).count()
+    clock = ("clock", dt.datetime(2030, 1, 1), "clock", None, 0.0, 0.0, 1.0, 1.0)
+    spark.createDataFrame([clock], COLS).write.mode("append").parquet(str(tmp_path / "in"))
+    run_once(ledger.ledger_in_event_time(stream, rules), str(tmp_path / "out"), str(tmp_path / "ckpt"))
+    out = spark.read.parquet(str(tmp_path / "out")).toPandas().sort_values("msg_id").reset_index(drop=True)
+    assert early == 0 and out.msg_id.tolist() == want.msg_id.tolist() and out.action.tolist() == want.action.tolist()
+    close(out.account_balance, want.balance)
+
+
+def test_event_time_plays_what_the_watermark_has_passed(spark, tmp_path):
+    rows = signals(n=30, accounts=("a",))
+    (tmp_path / "in").mkdir()
+    stream = spark.readStream.schema(COLS).parquet(str(tmp_path / "in")).withWatermark("ts", "5 days")
+    seen = []
+    for part in (rows[3:12][::-1] + rows[:3], rows[12:][::-1]):
+        spark.createDataFrame(part, COLS).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+        run_once(ledger.ledger_in_event_time(stream), str(tmp_path / "out"), str(tmp_path / "ckpt"))
+        seen.append(spark.read.parquet(str(tmp_path / "out")).count())
+    assert seen == [7, 25]
+    out = spark.read.parquet(str(tmp_path / "out")).toPandas().sort_values("msg_id").reset_index(drop=True)
+    close(out.account_balance, loop(rows[:25], ledger.LedgerRules()).balance)
 
 
 def test_stored_account_is_the_start_state(spark, tmp_path):
