@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import unicodedata
 import uuid
+from collections.abc import Callable
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -43,6 +46,22 @@ def uniform(*parts: Column) -> Column:
     return F.shiftrightunsigned(F.xxhash64(*parts), 11).cast("double") * F.lit(2.0 ** -53)
 
 
+#: labels that are broadcast at most
+MOST_LABELS = 2_000_000
+
+
+def with_labels(texts: DataFrame, labels: DataFrame, key: str, of: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """``of(texts)`` joined with ``labels`` by ``key``; where there are few labels, only the texts that have one go through ``of``.
+
+    ``of`` computes something costly and narrow from each row and keeps the key. Up to ``MOST_LABELS`` labels are broadcast before it; more are
+    joined behind it by a shuffle, which then moves no text.
+    """
+    if labels.count() <= MOST_LABELS:
+        have = texts.join(F.broadcast(labels.select(key)), key, "left_semi")
+        return of(have).join(F.broadcast(labels), key)
+    return of(texts).join(labels, key)
+
+
 def hash_sample(rows: DataFrame, key: str, most: int) -> DataFrame:
     """About ``most`` rows by the hash of their key, and never more; all rows if there are no more than that.
 
@@ -91,19 +110,51 @@ def mix(h: np.ndarray) -> np.ndarray:
 _SPACE = np.ones(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = False
 _ALNUM = np.zeros(256, bool)
-_ALNUM[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = True
-
-
-def _letters(b: np.ndarray) -> np.ndarray:
-    """True for bytes of words: ASCII letters and digits, and characters beyond ASCII but for common punctuation."""
+_ALNUM[[*range(48, 58), *range(65, 91), *range(97, 123)]] = True
+# fixed values: first and last characters of scripts that write no spaces between words (Thai to Khmer, kana, bopomofo, Han)
+UNSPACED = ((0x0E00, 0x0FFF), (0x1000, 0x109F), (0x1780, 0x17FF), (0x1950, 0x19DF), (0x1A20, 0x1AAF), (0x3005, 0x3007), (0x3040, 0x312F),
+            (0x31A0, 0x31FF), (0x3400, 0x4DBF), (0x4E00, 0xA4CF), (0xAA00, 0xAA7F), (0xF900, 0xFAFF), (0xFF66, 0xFF9F), (0x1B000, 0x1B2FF),
+            (0x20000, 0x323AF))
+_OTHER, _LETTER, _MARK, _ALONE, _ALONE_MARK = range(5)
+
+
+@lru_cache(maxsize=1)
+def _kinds() -> np.ndarray:
+    """The kind of every character up to the last Han one: letter or digit, mark, letter or mark of a script without spaces, other."""
+    kinds = np.array([_OTHER if c[0] not in "LNM" else _MARK if c[0] == "M" else _LETTER
+                      for c in map(unicodedata.category, map(chr, range(UNSPACED[-1][1] + 1)))], np.int8)
+    for first, last in UNSPACED:
+        part = kinds[first:last + 1]
+        part[part == _LETTER] = _ALONE
+        part[part == _MARK] = _ALONE_MARK
+    return kinds
+
+
+def _letters(b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """True for the bytes of words, and the bytes before which a word ends although the next byte belongs to one.
+
+    Words are runs of letters, digits and marks by their Unicode category. In scripts without spaces each letter, with the marks on
+    it, is a word.
+    """
     inside = _ALNUM[b]
-    for lead, seconds, n in ((0xC2, range(0x80, 0xC0), 2), (0xE2, (0x80, 0x81), 3), (0xE3, (0x80,), 3)):
-        at = np.flatnonzero(b[:-1] == lead)
-        if len(at):
-            at = at[np.isin(b[at + 1], list(seconds))]
-            for k in range(n):
-                inside[np.minimum(at + k, len(b) - 1)] = False
-    return inside
+    lead = np.flatnonzero(b >= 0xC0)
+    if not len(lead):
+        return inside, lead
+    size = 2 + (b[lead] >= 0xE0) + (b[lead] >= 0xF0)
+    code = np.where(size == 2, b[lead] & 0x1F, np.where(size == 3, b[lead] & 0x0F, b[lead] & 0x07)).astype(np.int64)
+    for k in (1, 2, 3):
+        code = np.where(size > k, code << 6 | b[np.minimum(lead + k, len(b) - 1)] & 0x3F, code)
+    kinds = _kinds()
+    kind = kinds[np.minimum(code, len(kinds) - 1)]
+    kind[code >= len(kinds)] = _OTHER
+    known = kind != _OTHER
+    for k in range(4):
+        at = lead[known & (size > k)] + k
+        inside[at[at < len(b)]] = True
+    alone, behind = kind >= _ALONE, (lead + size)[kind >= _ALONE]
+    marks = np.zeros(len(b) + 5, bool)
+    marks[lead[(kind == _MARK) | (kind == _ALONE_MARK)]] = True
+    return inside, np.concatenate([lead[kind == _ALONE], behind[~marks[behind]]]) if alone.any() else lead[:0]
 
 
 def pieces(texts: pa.Array, limit: int = PIECE_BYTES):
@@ -120,8 +171,8 @@ def pieces(texts: pa.Array, limit: int = PIECE_BYTES):
 def word_hashes(texts: pa.Array, letters: bool = False):
     """64-bit hashes of all words of ``texts`` and the position of each text's first word (one more than texts).
 
-    Words are runs of bytes other than space and \\t..\\r, or, with ``letters``, lower-cased runs of letters and
-    digits. Also gives the byte bounds of each word and the bytes they refer to.
+    Words are runs of bytes other than space and \\t..\\r, or, with ``letters``, lower-cased runs of letters, digits and marks, in scripts
+    without spaces single letters. Also gives the byte bounds of each word and the bytes they refer to.
     """
     texts = pc.fill_null(texts, "")
     if letters:
@@ -135,9 +186,13 @@ def word_hashes(texts: pa.Array, letters: bool = False):
     if n == 0:
         empty = np.empty(0, np.int64)
         return np.empty(0, np.uint64), np.zeros(len(texts) + 1, np.int64), empty, empty, b
-    inside = _letters(b) if letters else _SPACE[b]
     cut = np.zeros(n + 1, bool)
     cut[bounds] = True
+    if letters:
+        inside, apart = _letters(b)
+        cut[np.minimum(apart, n)] = True
+    else:
+        inside = _SPACE[b]
     before = np.concatenate([[False], inside[:-1]])
     starts = np.flatnonzero(inside & (~before | cut[:-1]))
     after = np.concatenate([inside[1:], [False]])

@@ -10,7 +10,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pairloom.llm.common import fresh, hash_sample
+from pairloom.llm.common import fresh, hash_sample, with_labels
 
 #: labelled documents of each kind that a dictionary is built from at most, and the longest of them in bytes
 SAMPLE_ROWS, SAMPLE_BYTES = 3000, 16384
@@ -124,8 +124,9 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
                 .orderBy(F.xxhash64("label_key"), "label_key", "t").limit(sample_rows).select("t").collect())
         dictionaries.append(_dictionary([r.t for r in rows], DICTIONARY_BYTES))
     # only the two measures leave the scan of the texts
-    cells = (known.where(fold(F.col("label_key")).isin(3, 4)).select("label_key", compressed(F.col("t"), *dictionaries).alias("m"))
-             .join(good, "label_key")
+    measured = with_labels(known.where(fold(F.col("label_key")).isin(3, 4)), good, "label_key", lambda rows: rows.select(
+        "label_key", compressed(F.col("t"), *dictionaries).alias("m")))
+    cells = (measured
              .groupBy(F.round(F.col("m.difference") * BINS * 4).alias("difference"), F.round(F.col("m.density") * BINS * 4).alias("density"))
              .agg(F.count(F.lit(1)).alias("n"), F.sum("good").alias("good")).orderBy("difference", "density").toPandas())
     x = np.stack(_terms(cells["difference"].to_numpy() / BINS / 4, cells["density"].to_numpy() / BINS / 4, np.minimum, np.maximum), axis=1)

@@ -11,12 +11,13 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from pairloom.llm.common import fresh, mix, pieces, stored, word_hashes
 
 #: edits (words inserted, dropped or replaced) a passage may have, as a share of the item's words
 EDIT_SHARE = 0.2
-#: items with fewer words are no evidence and match nothing
+#: items with fewer words match only word for word
 MIN_WORDS = 5
 #: sampled positions a key, and the most keys a window; classes that these don't serve are searched by segments
 SAMPLED, MOST_KEYS = 4, 64
@@ -35,13 +36,13 @@ def edits_allowed(n):
 
 
 def size_class(n: np.ndarray) -> np.ndarray:
-    """The largest of 5, 6, 8, 10, 13, .. (each a quarter more) that is not above ``n``: windows of an item's class have that size."""
+    """The largest of 5, 6, 8, 10, 13, .. (each a quarter more) that is not above ``n``, below 5 ``n`` itself: windows of an item's class have that size."""
     n = np.asarray(n)
     steps = [MIN_WORDS]
     while steps[-1] <= n.max(initial=MIN_WORDS):
         steps.append(math.ceil(steps[-1] * 1.25))
     steps = np.array(steps)
-    return steps[np.maximum(0, np.searchsorted(steps, n, "right") - 1)]
+    return np.where(n < MIN_WORDS, n, steps[np.maximum(0, np.searchsorted(steps, n, "right") - 1)])
 
 
 @lru_cache(maxsize=256)
@@ -187,6 +188,7 @@ class Search:
     longest: dict[int, int] = field(default_factory=dict)
     changes: dict[int, int] = field(default_factory=dict)  # class -> fewest pairs in the first words of an item that differ from the pair before
     early: dict[int, Marks] = field(default_factory=dict)  # class -> words that the first kept word of an item can be
+    short: list[int] = field(default_factory=list)  # numbers of words of items that match only word for word
 
 
 def _search(parts: DataFrame, keys: dict[int, int], lengths: dict[int, int]) -> Search:
@@ -197,7 +199,10 @@ def _search(parts: DataFrame, keys: dict[int, int], lengths: dict[int, int]) ->
     of: dict[int, list[np.ndarray]] = {}
     for w in words:
         of.setdefault(int(size_class(np.array([len(w)]))[0]), []).append(w)
+    out.short = sorted(size for size in of if size < MIN_WORDS)
     for size, group in of.items():
+        if size < MIN_WORDS:
+            continue
         out.longest[size] = max(map(len, group))
         out.sizes[size] = most = int(edits_allowed(out.longest[size]))
         out.early[size] = Marks(np.concatenate([w[:most + 1] for w in group]))
@@ -223,7 +228,8 @@ def _item_keys(items: DataFrame, keys: dict[int, int], lengths: dict[int, int])
     @F.arrow_udf("array<bigint>")
     def given(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
         for texts, sizes in batches:
-            rows = [embed(w, np.array([0]), np.array([len(w)]), s, keys[s])[0] if keys[s] else segments(w, lengths[s], s)
+            rows = [grams(w, s, s) if s < MIN_WORDS else embed(w, np.array([0]), np.array([len(w)]), s, keys[s])[0] if keys[s]
+                    else segments(w, lengths[s], s)
                     for w, s in zip(_words(texts.to_pylist()), sizes.to_pylist())]
             yield pa.array([r.view(np.int64).tolist() for r in rows], pa.list_(pa.int64()))
     return items.withColumn("keys", given(F.col("item_text"), F.col("size")))
@@ -236,6 +242,15 @@ def _windows(text: pa.Array, search: Search):
         return
     row = np.repeat(np.arange(len(text)), np.diff(first))
     end = first[1:][row]
+    for size in search.short:
+        gram = grams(h, size, size)
+        at = np.flatnonzero((end[:len(gram)] - np.arange(len(gram)) >= size) & search.known.has(gram))
+        at = at[np.unique(np.stack([row[at].astype(np.uint64), gram[at]]), axis=1, return_index=True)[1]]  # each item once a text
+        for lo in range(0, len(at), WINDOWS):
+            part = at[lo:lo + WINDOWS]
+            yield row[part], begin[part], finish[part + size - 1], [gram[k:k + 1] for k in part], data
+    if not search.sizes:
+        return
     flag = search.words.has(h)
     total = np.concatenate([[0], np.cumsum(flag, dtype=np.int32)])
     both = _pairs(h)
@@ -276,12 +291,13 @@ def _windows(text: pa.Array, search: Search):
 
 
 def find_passages(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", item: str = "item_id",
-                  item_text: str = "text", target_recall: float = TARGET_RECALL) -> DataFrame:
+                  item_text: str = "text", target_recall: float = TARGET_RECALL, short_items: bool = True) -> DataFrame:
     """(key, node, item, edits) for each text that holds a passage of an item; ``node`` is a hash of the text.
 
     A passage matches if it can be turned into the item by at most ``EDIT_SHARE`` of the item's words inserted, dropped or
-    replaced. Words are lower-cased runs of letters and digits, so marks and spaces don't matter. Items of fewer than
-    ``MIN_WORDS`` words, null items and null or empty texts match nothing. ``edits`` is the fewest over all places found. Equal
+    replaced. Words are lower-cased runs of letters, digits and the marks on them, so punctuation and spaces don't matter; in scripts without
+    spaces (``UNSPACED`` in ``common``) each letter is a word. Items of fewer than ``MIN_WORDS`` words are found word for word, or not at all without
+    ``short_items``; null items, items without a word and null or empty texts match nothing. ``edits`` is the fewest over all places found. Equal
     texts share a node, so repeated rows give repeated results; items that repeat are found each. An empty
     table on either side gives an empty result; other columns are not read.
 
@@ -293,8 +309,8 @@ def find_passages(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", te
     keys is dealt into slices by the hash of the text, and the texts are scanned once for each, with the same result.
     """
     items = benchmark.select(F.col(item).alias("item"), F.col(item_text).alias("item_text")).where("item_text IS NOT NULL")
-    sized = stored(_measured(items).where(F.col("n") >= MIN_WORDS), "sized-items")
-    needed = keys_needed(sized, target_recall)
+    sized = stored(_measured(items).where(F.col("n") >= (1 if short_items else MIN_WORDS)), "sized-items")
+    needed = keys_needed(sized.where(F.col("n") >= MIN_WORDS), target_recall)
     shortest = F.min(F.floor(F.col("n") / (F.floor(F.col("n") * EDIT_SHARE + 1e-9) + 1)))
     lengths = {r["size"]: int(r["length"]) for r in sized.groupBy("size").agg(shortest.alias("length")).collect()}
     measured = stored(_item_keys(sized, needed, lengths), "items")
@@ -316,7 +332,8 @@ def find_passages(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", te
         # item ids may repeat with other texts, so a pair can come from two slices
         matches.append(stored(close, "passages"))
     if not matches:
-        matches = [named.select("node").crossJoin(items.select("item")).select("node", "item", F.lit(0).alias("edits")).limit(0)]
+        matches = [docs.sparkSession.createDataFrame([], T.StructType([
+            T.StructField("node", T.LongType()), T.StructField("item", items.schema["item"].dataType), T.StructField("edits", T.IntegerType())]))]
     best = matches[0] if len(matches) == 1 else reduce(DataFrame.unionAll, matches).groupBy("node", "item").agg(F.min("edits").alias("edits"))
     return named.select("key", "node").join(best, "node").select(F.col("key").alias(key), "node", "item", "edits")
 
@@ -358,8 +375,11 @@ def _edits(item_text: Column, window: Column) -> Column:
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", item: str = "item_id",
-                      item_text: str = "text") -> DataFrame:
-    """The documents without any passage of an item, with their own columns."""
+                      item_text: str = "text", short_items: bool = False) -> DataFrame:
+    """The documents without any passage of an item, with their own columns.
+
+    Items of fewer than ``MIN_WORDS`` words drop nothing unless ``short_items`` says so: a clean text has them by chance.
+    """
     node = fresh(docs, "node")
-    bad = find_passages(docs, benchmark, key, text, item, item_text).select(F.col("node").alias(node)).distinct()
+    bad = find_passages(docs, benchmark, key, text, item, item_text, short_items=short_items).select(F.col("node").alias(node)).distinct()
     return docs.withColumn(node, F.xxhash64(F.coalesce(F.col(text), F.lit("")))).join(bad, node, "left_anti").drop(node)

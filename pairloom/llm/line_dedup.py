@@ -83,9 +83,10 @@ def recurring_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", mi
     marks = known.columns[2:]
     used = narrow.join(known, "lh").select("template", "doc", "key", "pos", *marks)
     none = F.col("key").isNull()
-    first = (used.groupBy("template", "doc", "key", *marks).agg(F.lit(1).alias("one")).groupBy("template")
+    # stored, so that the join below is one of two plain shuffles and adaptive execution can split a template that many lines have
+    first = stored(used.groupBy("template", "doc", "key", *marks).agg(F.lit(1).alias("one")).groupBy("template")
              .agg(F.count(F.lit(1)).alias("docs"), F.min(F.struct(none.alias("none"), "key", "doc")).alias("first"), need.alias("need"))
-             .where(F.col("docs") >= F.col("need")).select("template", F.col("first.doc").alias("first")))
+             .where(F.col("docs") >= F.col("need")).select("template", F.col("first.doc").alias("first")), "first-documents")
     return used.join(first, "template").where("doc <> first").select("doc", "pos").distinct()
 
 
@@ -101,10 +102,12 @@ def without_recurring_lines(docs: DataFrame, key: str = "doc_id", text: str = "t
     names = [c for c in docs.columns if c.lower() not in ("n_lines", "n_dropped")]
     doc, drops, parts = fresh(docs, "doc"), fresh(docs, "drops"), fresh(docs, "parts")
     dropped = (recurring_lines(docs, key, text, min_docs, similarity, long_words).groupBy(F.col("doc").alias(doc))
-               .agg(F.collect_list("pos").alias(drops)))
+               .agg(F.sort_array(F.collect_list("pos")).alias(drops)))
     marked = docs.select(*names, F.xxhash64(F.col(key), F.coalesce(F.col(text), F.lit(""))).alias(doc)).join(dropped, doc, "left")
     cut = marked.withColumn(parts, F.split(text, "\n", -1))
-    kept = F.array_join(F.filter(parts, lambda x, i: ~F.array_contains(F.col(drops), i)), "\n")
+    # the stretches between dropped lines: a step a dropped line, and no line is looked up
+    edges = F.arrays_zip(F.concat(F.array(F.lit(-1)), drops).alias("a"), F.concat(drops, F.array(F.size(parts))).alias("b"))
+    kept = F.array_join(F.flatten(F.transform(edges, lambda x: F.slice(parts, x["a"] + 2, x["b"] - x["a"] - 1))), "\n")
     out = F.when(F.col(drops).isNull() | F.col(text).isNull(), F.col(text)).otherwise(kept)
     return cut.select(*[out.alias(c) if c == text else F.col(c) for c in names],
                       F.when(F.col(text).isNull(), 0).otherwise(F.size(parts)).cast("long").alias("n_lines"),

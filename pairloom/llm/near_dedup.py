@@ -8,6 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from pairloom.llm.common import fresh, mix, pieces, stored, word_hashes
 from pairloom.llm.components import components
@@ -215,7 +216,8 @@ def near_classes(docs: DataFrame, key: str = "doc_id", text: str = "text", simil
     shared = members.groupBy("band").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low <> high")
     members = stored(members.join(shared.select("band"), "band"), "buckets")
     wanted = members.select("node").distinct()
-    texts = stored(named.select("node", "text").join(wanted, "node").groupBy("node").agg(F.min("text").alias("text")), "texts")
+    # equal texts are reduced before anything moves, so copies of one text don't meet in a task
+    texts = stored(named.groupBy("node").agg(F.min("text").alias("text")).join(wanted, "node"), "texts")
     spark = docs.sparkSession
     links = spark.createDataFrame([], "a long, b long")
     labels = spark.createDataFrame([], "node long, label long")
@@ -232,18 +234,29 @@ def near_classes(docs: DataFrame, key: str = "doc_id", text: str = "text", simil
             hubs = at.groupBy("band").agg(F.min(order).alias("rank"))
             hub = at.withColumn("rank", order).join(hubs, ["band", "rank"]).select(
                 "band", F.col("node").alias("hub"), F.col("label").alias("hub_label")).dropDuplicates(["band"])
+            hub = stored(hub, "hubs")  # a plain table, so that adaptive execution can split a band that many texts share
             pairs = at.join(hub, "band").where("label <> hub_label").select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b"))
             links = links.unionAll(stored(_links(pairs.distinct(), texts, similarity), "similar"))
         labels = components(links)
     classed = signed.select("key", "node").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    least = classed.groupBy("label").agg(F.min("key").alias("class_id"), F.count(F.lit(1)).alias("class_size"))
+    least = stored(classed.groupBy("label").agg(F.min("key").alias("class_id"), F.count(F.lit(1)).alias("class_size")), "classes")
     return classed.join(least, "label").select(F.col("key").alias(key), "node", "label", "class_id", "class_size")
 
 
+def _has_order(kind: T.DataType) -> bool:
+    """Whether Spark can sort values of a type."""
+    if isinstance(kind, T.StructType):
+        return all(_has_order(f.dataType) for f in kind.fields)
+    if isinstance(kind, T.ArrayType):
+        return _has_order(kind.elementType)
+    return not isinstance(kind, (T.MapType, T.VariantType))
+
+
 def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", similarity: float = SIMILARITY) -> DataFrame:
     """One document of each near-duplicate class, with its own columns: the one of smallest key (nulls last).
 
-    Among rows of that key and class the smallest row stays, so of rows that are equal in all columns one stays.
+    Among rows of that key and class the smallest row stays, so of rows that are equal in all columns one stays. Columns whose type has
+    no order (maps, variants) are compared as JSON text.
     """
     columns = docs.columns
     node = fresh(docs, "node")
@@ -251,6 +264,9 @@ def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", similarit
     first = (classed.groupBy("label").agg(F.min(F.struct(F.col(key).isNull().alias("none"), F.col(key).alias("key"), "node")).alias("best"))
              .select(F.col("best.node").alias(node)))
     rest = [c for c in columns if c != key]
-    best = (docs.withColumn(node, F.xxhash64(F.coalesce(F.col(text), F.lit("")))).groupBy(node)
-            .agg(F.min(F.struct(F.col(key).isNull().alias("none"), F.col(key), *rest)).alias("row")))
+    ordered = {c: F.col(c) if _has_order(docs.schema[c].dataType) else F.to_json(F.struct(c)) for c in rest}
+    rank = F.struct(F.col(key).isNull().alias("none"), F.col(key), *[o.alias(c) for c, o in ordered.items()])
+    plain = all(_has_order(docs.schema[c].dataType) for c in rest)
+    row = F.min(rank) if plain else F.min_by(F.struct(*columns), rank)
+    best = docs.withColumn(node, F.xxhash64(F.coalesce(F.col(text), F.lit("")))).groupBy(node).agg(row.alias("row"))
     return best.join(first, node, "left_semi").select(*[F.col("row").getField(c).alias(c) for c in columns])

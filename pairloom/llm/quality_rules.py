@@ -10,7 +10,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pairloom.llm.common import fresh, hash_sample, stored
+from pairloom.llm.common import fresh, hash_sample, stored, with_labels
 
 #: labelled rows that the trees are grown from at most; all labelled rows set the threshold
 SAMPLE_ROWS = 20_000
@@ -194,8 +194,9 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
     kinds nothing is rejected by the forest. A key labelled twice counts as good only if all labels say so.
     """
     # only the rates leave the scan of the texts
-    measured = stored(docs.select(F.col(key).alias("label_key"), rule_statistics(F.col(text))["stats"].alias("stats"))
-                      .join(_good_labels(labels, key), "label_key"), "rule-stats")
+    texts = docs.select(F.col(key).alias("label_key"), F.col(text).alias("t"))
+    measured = stored(with_labels(texts, _good_labels(labels, key), "label_key", lambda rows: rows.select(
+        "label_key", rule_statistics(F.col("t"))["stats"].alias("stats"))), "rule-stats")
     sample = hash_sample(measured, "label_key", sample_rows).toPandas()
     x = np.stack(sample["stats"].tolist()).astype(np.float32) if len(sample) else np.zeros((0, RATES), np.float32)
     forest = grow(x)

@@ -30,7 +30,7 @@ def brute(docs, items):
         for i, s in items:
             x = norm(s)
             most = int(0.2 * len(x) + 1e-9)
-            if len(x) >= D.MIN_WORDS and len(w) >= len(x) - most:
+            if x and len(w) >= len(x) - most:
                 e = distance(x, w, most)
                 if e <= most:
                     out[d, i] = e
@@ -176,3 +176,48 @@ def test_slices_change_nothing(spark, monkeypatch):
     monkeypatch.setattr(D, "_search", lambda *a: scans.append(search(*a)) or scans[-1], raising=False)
     assert key(D.find_passages(df, bench).collect()) == whole
     assert len(scans) > 2 and all(len(s.known.values) < 3000 for s in scans)
+
+
+CHINESE = "中文基准测试题目需要在长文档里面被逐字找到即使整段文字没有任何空格也不能漏掉这一个句子因为它来自公开的评测集合"
+JAPANESE = "これは公開された評価用の問題文であり、カタカナとひらがなと漢字を含みますが、単語の間に空白はありません。"
+THAI = "นี่คือข้อสอบภาษาไทยที่ไม่มีช่องว่างระหว่างคำเลยและต้องหาให้พบในเอกสาร"
+
+
+def test_words_of_all_scripts():
+    def count(text):
+        return len(D._words([text])[0])
+
+    assert count("naïve Straße ÀÉ 3½") == 4 and count("e\u0301a b") == 2 and count("→ ・ 🙂 × ÷ — «»") == 0
+    assert count("中文 abc中d") == 5 and count("カタカナ") == 4 and count("हिन्दी भाषा") == 2 and count("กำลัง") == 4 and count("한국어 단어") == 2
+    one, two = D._words(["中文测试 naïve", "中 文, 测-试 (NAÏVE)"])
+    assert (one == two).all()
+    texts = [CHINESE, "", "a", JAPANESE + THAI, "x" * 70]
+    apart, together = [D._words([t])[0] for t in texts], D._words(texts)
+    assert all((a == b).all() and len(a) == len(b) for a, b in zip(apart, together))
+
+
+def test_scripts_without_spaces(spark):
+    rng = random.Random(4)
+    letters = [chr(c) for c in range(0x4E00, 0x4E00 + 800)]
+    noise = ["".join(rng.choice(letters) for _ in range(200)) for _ in range(30)]
+    items = [(1, CHINESE), (2, JAPANESE), (3, THAI)]
+    docs = [(k, n) for k, n in enumerate(noise)]
+    for i, t in items:
+        edited = t[:10] + "换" + t[11:30] + t[31:]
+        docs += [(100 + i, noise[i] + t + noise[i + 1]), (200 + i, noise[i] + "。" + edited + noise[i + 2]), (300 + i, t.replace("่", "่\u200b") if i == 3 else "\n".join(t))]
+    df, bench = frames(spark, docs, items)
+    found = {(r.doc_id, r.item) for r in D.find_passages(df, bench).collect()}
+    assert found == {(base + i, i) for base in (100, 200, 300) for i, _ in items}
+
+
+def test_short_items_word_for_word(spark):
+    items = [(1, "Zugspitze"), (2, "forty two"), (3, "one, two three"), (4, "alpha beta gamma delta"), (5, "東京"), (6, "..."), (7, "nowhere at all")]
+    docs = [(1, "on the ZUGSPITZE today"), (2, "zugspitzen forty-two"), (3, "two three one two\nThree"), (4, "alpha beta gamma delt alpha beta gamma delta"),
+            (5, "去東京"), (6, "京東 one two"), (7, "forty two " * 3000), (8, None), (9, "")]
+    df, bench = frames(spark, docs, items)
+    got = sorted((r.doc_id, r.item, r.edits) for r in D.find_passages(df, bench).collect())
+    assert got == [(1, 1, 0), (2, 2, 0), (3, 3, 0), (4, 4, 0), (5, 5, 0), (7, 2, 0)]
+    assert D.find_passages(df, bench, short_items=False).count() == 0 and D.drop_contaminated(df, bench).count() == len(docs)
+    assert sorted(r.doc_id for r in D.drop_contaminated(df, bench, short_items=True).collect()) == [6, 8, 9]
+    one = spark.createDataFrame([(1, "Zugspitze")], "item_id long, text string")
+    assert [r.doc_id for r in D.find_passages(df, one).collect()] == [1]

@@ -114,3 +114,15 @@ def test_long_passage_keeps_its_template(spark):
     df = spark.createDataFrame(docs, "doc_id long, text string")
     got = {r.doc_id: r.text for r in L.without_recurring_lines(df, long_words=50).collect()}
     assert got == {1: f"{body} no 1", 2: "", 3: ""}
+
+
+def test_documents_of_many_dropped_lines(spark):
+    """Every third line is the document's own; the others recur and leave all documents but the first."""
+    def text(d):
+        return "\n".join(f"own {d} line {i}x{d}y" if i % 3 == 0 else f"shared line {i * 7919 % 9973} stays" for i in range(6000))
+
+    got = {r.doc_id: (r.text, r.n_lines, r.n_dropped) for r in L.without_recurring_lines(
+        spark.createDataFrame([(d, text(d)) for d in range(4)], "doc_id long, text string"), similarity=1.0).collect()}
+    assert got[0] == (text(0), 6000, 0)
+    for d in (1, 2, 3):
+        assert got[d] == ("\n".join(line for line in text(d).split("\n") if line.startswith("own")), 6000, 4000)

@@ -161,3 +161,11 @@ def test_similarity_is_exact(spark):
     df = spark.createDataFrame(rows, "a string, b string").withColumn("j", near_dedup.jaccard(F.col("a"), F.col("b")))
     for r in df.collect():
         assert abs(r.j - similar(shingle_set(r.a), shingle_set(r.b))) < 1e-12
+
+
+def test_columns_without_an_order(spark):
+    text = " ".join(f"w{i}" for i in range(80))
+    rows = [(1, text, {"a": 2}, [{"x": 1}]), (1, text, {"a": 1}, None), (2, text + " more", None, None), (3, "other words entirely", {}, [])]
+    df = spark.createDataFrame(rows * 2, "doc_id long, text string, extra map<string,int>, nested array<map<string,int>>")
+    kept = sorted(near_dedup.keep_one(df).collect(), key=lambda r: r.doc_id)
+    assert [(r.doc_id, r.extra) for r in kept] == [(1, {"a": 1}), (3, {})] and kept[0].asDict().keys() == set(df.columns)
