@@ -17,7 +17,7 @@ from pairloom.operators.series import sliding
 from pairloom.plans import features as feats
 from pairloom.plans import marts, training
 from pairloom.session import work_dir
-from pairloom.streaming import carried, incremental, ledger
+from pairloom.streaming import carried, incremental, ledger, published, scoring
 from pairloom.streaming import predictions as msgs
 
 Z = "standardized_spread"
@@ -363,3 +363,29 @@ def i5_carried(spark, d):
         msgs.run_once(spark.readStream.schema(bars.schema).parquet(f"{path}/in"), "", f"{path}/ckpt", foreach=sink)
     out = spark.read.parquet(f"{path}/out/features")
     return out.select("symbol", "date", b.r("ma_5", 5), b.r("ma_20", 5), b.r("rsi", 5), b.r("atr", 3), b.r("vwap", 5))
+
+
+# Two versions of a linear scorer.
+VERSIONS = [scoring.LinearModel("v1", 0.1, {"standardized_spread": 0.8, "spread": -0.01}),
+            scoring.LinearModel("v2", -0.2, {"standardized_spread": 1.5, "mu": 0.02})]
+
+
+@query("h15_score_stream", f"""WITH {SPREAD_SQL},
+f AS (SELECT date, spread, mu, z, date < DATE '1998-01-01' AND year(date) <> 1996 AS early, CASE WHEN year(date) = 1996 THEN 2 ELSE 1 END AS n FROM zs WHERE z IS NOT NULL),
+p AS (SELECT date, early, n, 1 / (1 + exp(-CASE WHEN early THEN 0.1 + 0.8 * z - 0.01 * spread ELSE -0.2 + 1.5 * z + 0.02 * mu END)) AS p FROM f)
+SELECT date, CASE WHEN p >= 0.5 THEN 1 ELSE 0 END AS prediction, round(greatest(p, 1 - p), 6) AS confidence, CASE WHEN early THEN 'v1' ELSE 'v2' END AS model_id,
+       CAST(n AS BIGINT) AS n_messages FROM p""")
+def h15_stream(spark, d):
+    # features arrive in three periods; the second version is published after the first, and the last period sends a year again
+    path = work_dir(spark, "scores")
+    rows = training.materialise(b.spread(spark, d).where(F.col(Z).isNotNull()).select("date", "mu", "std", "spread", Z), "scorable")
+    sink = scoring.score_sink(spark, f"{path}/out", f"{path}/models")
+    for k, (lo, hi) in enumerate(zip(EDGES, EDGES[1:])):
+        if k < len(VERSIONS):
+            scoring.publish_model(spark, f"{path}/models", VERSIONS[k], f"2024-01-0{k + 1}")
+        again = F.year("date") == 1996 if k == 2 else F.lit(False)
+        rows.where(((F.col("date") >= lo) & (F.col("date") < hi)) | again).write.mode("append").parquet(f"{path}/in")
+        msgs.run_once(spark.readStream.schema(rows.schema).parquet(f"{path}/in"), "", f"{path}/ckpt", foreach=sink)
+    sent = published.read_published(spark, f"{path}/out", "messages")
+    n = sent.select(F.from_json("body", schemas.MESSAGE)["date"].cast("date").alias("date")).groupBy("date").agg(F.count(F.lit(1)).alias("n_messages"))
+    return scoring.current_predictions(spark, f"{path}/out").join(n, "date").select("date", "prediction", b.r("confidence"), "model_id", "n_messages")

@@ -10,7 +10,7 @@ from pairloom.catalog import base as b
 from pairloom.catalog.base import BARS, PREDICTIONS, RUN_TS, SPREAD_SQL, query
 from pairloom.operators import tables as t
 from pairloom.plans import marts
-from pairloom.session import work_dir
+from pairloom.session import stored, work_dir
 
 COLS = "symbol, date, open, high, low, close, volume"
 CUT = "2001-06-30"
@@ -48,6 +48,33 @@ def b2_gate(spark, d):
     return t.guarded_append(bad, once, required)
 
 
+def gated_batches(spark, d):
+    """Stored rows up to a date, then a complete batch that overlaps them, twice, and one with a null close; the table and the verdicts."""
+    path = work_dir(spark, "gated")
+    df = stored(b.bars(spark, d).select(*COLS.split(", "), F.year("date").alias("year")), "bars")
+    df.where(F.col("date") <= CUT).write.partitionBy("year").parquet(f"{path}/t")
+    good = df.where((F.col("date") >= "2001-01-01") & (F.col("date") <= DAY))
+    bad = df.where(F.col("date") > DAY).withColumn("close", F.when(F.col("close") > 1000, F.col("close")))
+    verdicts = [t.gated_append(batch, f"{path}/t", f"{path}/staged/{k}", COLS.split(", "), by="year") for k, batch in enumerate((good, good, bad))]
+    return spark.read.schema(df.schema).parquet(f"{path}/t").drop("year"), verdicts
+
+
+@query("b2_gated_append", f"WITH {BARS} SELECT {COLS} FROM bars WHERE date <= DATE '{DAY}'")
+def b2_gated(spark, d):
+    return gated_batches(spark, d)[0]
+
+
+@query("j6_gate_of_the_write", f"""WITH {BARS},
+x AS (SELECT CASE WHEN date > DATE '{DAY}' THEN 2 ELSE 0 END AS batch, CASE WHEN date > DATE '{DAY}' AND close <= 1000 THEN 1 ELSE 0 END AS bad
+      FROM bars WHERE date >= DATE '2001-01-01'),
+g AS (SELECT batch, count(*) AS n_rows, sum(bad) AS n_bad FROM x GROUP BY batch)
+SELECT batch, CAST(n_rows AS BIGINT) AS n_rows, CAST(n_bad AS BIGINT) AS n_bad, CAST(n_bad AS BIGINT) AS null_close, n_bad = 0 AS accepted FROM g
+UNION ALL SELECT 1, n_rows, n_bad, n_bad, n_bad = 0 FROM g WHERE batch = 0""")
+def j6_write(spark, d):
+    rows = [(k, v.n_rows, v.n_bad, v.nulls["close"], v.accepted) for k, v in enumerate(gated_batches(spark, d)[1])]
+    return spark.createDataFrame(rows, "batch int, n_rows long, n_bad long, null_close long, accepted boolean")
+
+
 @query("b2_rejection_report", f"""WITH {BARS}
 SELECT CASE WHEN close <= 1000 THEN 'incomplete' WHEN date <= DATE '{CUT}' THEN 'stored' ELSE 'new' END AS status,
        CAST(count(*) AS BIGINT) AS n_rows FROM bars WHERE date >= DATE '2001-01-01' GROUP BY 1""")
@@ -58,12 +85,12 @@ def b2_report(spark, d):
 
 
 @query("b3_replace_day", f"""WITH {BARS}
-SELECT symbol, date, open, high, low, CASE WHEN date = DATE '{DAY}' THEN close + 1 ELSE close END AS close, volume
-FROM bars WHERE date <= DATE '{DAY}'""")
+SELECT symbol, date, open, high, low, CASE WHEN date = (SELECT max(date) FROM bars) THEN close + 1 ELSE close END AS close, volume FROM bars""")
 def b3(spark, d):
+    # the newest day arrives again with other closes
     df = b.bars(spark, d).select(*COLS.split(", "))
-    fresh = df.where(F.col("date") >= DAY).withColumn("close", F.col("close") + 1)
-    return t.replace_day(df.where(F.col("date") <= DAY), fresh, DAY)
+    newest = b.dates(spark, d).agg(F.max("date").cast("string")).first()[0]
+    return t.replace_day(df, df.withColumn("close", F.col("close") + 1), newest)
 
 
 @query("b4_prediction_upsert", f"""WITH {PREDICTIONS}
@@ -80,12 +107,12 @@ def b4(spark, d):
 
 
 @query("b5_features_table", f"""WITH {BARS}
-SELECT date AS "DATE", close AS "CLOSE_ETH", volume AS "VOLUME_ETH" FROM bars WHERE symbol = 'A'""")
+SELECT date AS "DATE", symbol AS "SYMBOL", open AS "OPEN_ETH", high AS "HIGH_ETH", low AS "LOW_ETH", close AS "CLOSE_ETH", volume AS "VOLUME_ETH" FROM bars""")
 def b5(spark, d):
-    df = b.bars(spark, d).where("symbol = 'A'").select(
-        F.col("volume").alias("volume_eth"), "high", F.col("close").alias("close_eth"), "date")
+    named = b.bars(spark, d).withColumnsRenamed({c: f"{c}_eth" for c in ("volume", "high", "close", "low", "open")}).withColumn("more", F.lit(1))
     path = work_dir(spark, "features")
-    t.project(df, ("DATE", "CLOSE_ETH", "VOLUME_ETH")).write.mode("overwrite").parquet(f"{path}/features")
+    order = ("DATE", "SYMBOL", "OPEN_ETH", "HIGH_ETH", "LOW_ETH", "CLOSE_ETH", "VOLUME_ETH")
+    t.project(named, order).write.mode("overwrite").parquet(f"{path}/features")
     return spark.read.parquet(f"{path}/features")
 
 

@@ -54,6 +54,18 @@ def h3(spark, d):
     return labels.label_concurrency(times, spans, spec)
 
 
+@query("h3_average_uniqueness", f"""WITH {SPANS},
+c AS (SELECT e.event_type, e.t0 AS ts, count(*) AS n FROM (SELECT DISTINCT event_type, t0 FROM spans) e JOIN spans s
+      ON s.event_type = e.event_type AND s.t0 <= e.t0 AND s.t1 >= e.t0 GROUP BY ALL)
+SELECT s.event_type, s.event_id, round(avg(1.0 / n), 6) AS weight FROM spans s JOIN c ON c.event_type = s.event_type AND c.ts BETWEEN s.t0 AND s.t1
+GROUP BY s.event_type, s.event_id""")
+def h3_average(spark, d):
+    spans = event_spans(spark, d)
+    spec = SeriesSpec(("event_type",), "ts", bucket_days=MINUTE)
+    out = labels.average_uniqueness(spans.select("event_type", F.col("t0").alias("ts")), spans, spec)
+    return out.select("event_type", "event_id", b.r("weight"))
+
+
 @query("h4_purge_train", f"""WITH {BARRIER},
 te AS (SELECT date, t1 FROM labelled WHERE date BETWEEN DATE '1998-01-01' AND DATE '1998-12-31'),
 tr AS (SELECT date, t1 FROM labelled WHERE date NOT BETWEEN DATE '1998-01-01' AND DATE '1998-12-31')

@@ -26,11 +26,11 @@ def g2(spark, d):
     return df.groupBy("symbol").agg(F.max_by(row, "date").alias("r")).select("symbol", "r.*")
 
 
-@query("g3_union_by_name", f"WITH {BARS} SELECT symbol, date, close, CASE WHEN symbol = 'A' THEN volume END AS volume FROM bars WHERE symbol IN ('A', 'N')")
+@query("g3_union_by_name", f"WITH {BARS} SELECT symbol, date, close, CASE WHEN symbol = 'A' THEN volume END AS volume FROM bars")
 def g3(spark, d):
     df = b.bars(spark, d)
     first = df.where("symbol = 'A'").select("symbol", "date", "close", "volume")
-    return first.unionByName(df.where("symbol = 'N'").select("close", "date", "symbol"), allowMissingColumns=True)
+    return first.unionByName(df.where("symbol <> 'A'").select("close", "date", "symbol"), allowMissingColumns=True)
 
 
 @query("g4_union_all", "SELECT l_orderkey AS k, l_quantity AS v FROM lineitem UNION ALL SELECT o_orderkey, o_totalprice FROM orders")

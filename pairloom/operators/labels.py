@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pairloom.operators.series import CHUNK, ORD, SeriesSpec, join_per_key, running, time_sliding, time_slices, with_ordinal
+from pairloom.session import stored
 
 
 DAY_MICROS = 86_400_000_000
@@ -137,8 +138,8 @@ def forward_candidates(df: DataFrame, spec: SeriesSpec, value: str, days: int) -
                       "max_abs", "min_abs")
 
 
-def label_concurrency(bars: DataFrame, spans: DataFrame, spec: SeriesSpec, t0: str = "t0", t1: str = "t1") -> DataFrame:
-    """Number of label spans ``[t0, t1]`` that cover each bar; an open ``t1`` lasts to the end.
+def _covered(bars: DataFrame, spans: DataFrame, spec: SeriesSpec, t0: str, t1: str) -> DataFrame:
+    """(keys, ts, _bar, _c) at every bar, start and end: whether a bar is there, and how many spans cover the time.
 
     Starts and ends are netted per time, then cumulated: no span meets a bar in a join.
     """
@@ -150,8 +151,33 @@ def label_concurrency(bars: DataFrame, spans: DataFrame, spec: SeriesSpec, t0: s
     net = starts.unionByName(ends).unionByName(marks).groupBy(*keys, ts).agg(
         F.sum("_in").alias("_in"), F.sum("_out").alias("_out"), F.max("_bar").alias("_bar"))
     summed = running(net, spec, sums={"_sin": F.col("_in"), "_sout": F.col("_out")})
-    covering = F.col("_sin") - (F.col("_sout") - F.col("_out"))
-    return summed.where("_bar = 1").select(*keys, ts, covering.cast("long").alias("concurrency"))
+    return summed.select(*keys, ts, "_bar", (F.col("_sin") - (F.col("_sout") - F.col("_out"))).cast("long").alias("_c"))
+
+
+def label_concurrency(bars: DataFrame, spans: DataFrame, spec: SeriesSpec, t0: str = "t0", t1: str = "t1") -> DataFrame:
+    """Number of label spans ``[t0, t1]`` that cover each bar; an open ``t1`` lasts to the end."""
+    covered = _covered(bars, spans, spec, t0, t1)
+    return covered.where("_bar = 1").select(*spec.keys, spec.ts, F.col("_c").alias("concurrency"))
+
+
+def average_uniqueness(bars: DataFrame, spans: DataFrame, spec: SeriesSpec, t0: str = "t0", t1: str = "t1", out: str = "weight") -> DataFrame:
+    """``spans`` with the mean of one over the concurrency at all bars of their whole life ``[t0, t1]``; null if no bar is in it.
+
+    1 / concurrency and the bars are cumulated along each series, at bars as well as at starts and ends of spans. What a
+    span holds is the difference between two look-ups, at its end and before its start, however long it is. An open ``t1`` lasts to the last
+    bar. Bars of one time count once; ``ts`` of the bars and the bounds must have one type.
+    """
+    keys, ts = list(spec.keys), spec.ts
+    covered = _covered(bars, spans, spec, t0, t1).withColumn("_u", F.when(F.col("_bar") == 1, 1 / F.greatest(F.col("_c"), F.lit(1))).otherwise(0.0))
+    cumulated = stored(running(covered, spec.with_(shared_input=True), sums={"_su": F.col("_u"), "_sn": F.col("_bar")}).select(
+        *keys, ts, "_bar", "_u", "_su", "_sn"), "uniqueness")
+    last = cumulated.groupBy(*keys).agg(F.max("_su").alias("_last_su"), F.max("_sn").alias("_last_sn"))
+    before = cumulated.select(*keys, F.col(ts).alias(t0), (F.col("_su") - F.col("_u")).alias("_u0"), (F.col("_sn") - F.col("_bar")).alias("_n0"))
+    upto = cumulated.select(*keys, F.col(ts).alias(t1), F.col("_su").alias("_u1"), F.col("_sn").alias("_n1"))
+    found = join_per_key(spans.join(before, [*keys, t0]).join(upto, [*keys, t1], "left"), last, keys, t0)
+    n = F.coalesce("_n1", "_last_sn") - F.col("_n0")
+    mean = (F.coalesce("_u1", "_last_su") - F.col("_u0")) / F.nullif(n, F.lit(0).cast("long"))
+    return found.select(*spans.columns, mean.alias(out))
 
 
 def start_uniqueness(labelled: DataFrame, spec: SeriesSpec, t1: str = "t1", out: str = "weight") -> DataFrame:

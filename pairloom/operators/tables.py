@@ -7,11 +7,13 @@ Each operator returns the new content (or the part of it to overwrite) as a Data
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from pairloom.functions.columns import any_null, normal_name, surrogate_key
+from pairloom.session import path_exists
 
 SCD_COLUMNS = ("scd_id", "updated_at", "valid_from", "valid_to")
 
@@ -47,6 +49,49 @@ def guarded_append(incoming: DataFrame, stored: DataFrame, required: Sequence[st
     return stored.unionByName(fresh.select(*keys, *[F.col("_r").getField(c).alias(c) for c in values]))
 
 
+@dataclass(frozen=True)
+class GateVerdict:
+    """What the one pass over a batch found: rows, rows with a null in a required column, nulls by column."""
+
+    n_rows: int
+    n_bad: int
+    nulls: dict[str, int]
+
+    @property
+    def accepted(self) -> bool:
+        return self.n_bad == 0
+
+
+def gated_append(batch: DataFrame, path: str, staging: str, required: Sequence[str], keys: Sequence[str] = ("symbol", "date"),
+                 by: str = "date") -> GateVerdict:
+    """Appends the new rows of a batch to the table at ``path``, stored by day; a batch with a null in a required column leaves it untouched.
+
+    The batch is read once: while its rows are written to ``staging`` (a folder of its own for each attempt), the gate's counts are
+    observed. Only then the verdict falls. An accepted batch is published from the staged files, whose days are read next to the
+    same days of the table; of new rows with one key the smallest is taken. A repeated batch, or one whose publication broke off,
+    appends what is missing.
+    """
+    spark, columns = batch.sparkSession, batch.columns
+    seen = Observation()
+    counts = [F.count(F.lit(1)).alias("n_rows"), F.count(F.when(any_null(required), 1)).alias("n_bad"),
+              *[F.count(F.when(F.col(c).isNull(), 1)).alias(f"null_{i}") for i, c in enumerate(columns)]]
+    batch.observe(seen, *counts).write.partitionBy(by).parquet(staging)
+    found = seen.get
+    verdict = GateVerdict(found["n_rows"], found["n_bad"], {c: found[f"null_{i}"] for i, c in enumerate(columns)})
+    if not verdict.accepted or not verdict.n_rows:
+        return verdict
+    staged = spark.read.schema(batch.schema).parquet(staging)
+    fresh = staged
+    if path_exists(spark, path):
+        # days are folders of both tables: only those of the batch are read
+        stored = spark.read.schema(batch.schema).parquet(path).join(staged.select(by).distinct(), by, "left_semi")
+        fresh = new_rows(staged, stored, keys)
+    values = [c for c in columns if c not in keys]
+    rows = fresh.groupBy(*keys).agg(F.min(F.struct(*values)).alias("_r"))
+    rows.select(*keys, *[F.col("_r").getField(c).alias(c) for c in values]).select(*columns).write.mode("append").partitionBy(by).parquet(path)
+    return verdict
+
+
 def rejection_report(incoming: DataFrame, stored: DataFrame, required: Sequence[str],
                      keys: Sequence[str] = ("symbol", "date")) -> DataFrame:
     """How many rows of a batch are new, already stored, or incomplete."""

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -15,7 +14,8 @@ from pyspark.sql import types as T
 
 from pairloom.operators.chunks import HOME, chunk_fold
 from pairloom.operators.series import SeriesSpec
-from pairloom.session import SESSION_CONF, path_exists
+from pairloom.session import SESSION_CONF
+from pairloom.streaming.published import publish, read_published
 
 STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
 
@@ -328,39 +328,21 @@ def balance_rows(ledger: DataFrame) -> DataFrame:
     return ledger.select(F.to_date("ts").alias("date"), F.col("account").alias("account_id"), "account_balance", "msg_id")
 
 
-COMMIT = "run string, batch_id long, attempt string"
 TABLES = {"positions": position_rows, "balances": balance_rows}
 
 
 def write_ledger(path: str, run: str = "0"):
-    """``foreachBatch`` sink that publishes each micro-batch in both tables at once.
-
-    An attempt at a batch writes its rows of both tables under a name of its own, and then one commit record that names the
-    attempt. Readers follow the records (``read_ledger``), so a failure between the writes shows the batch in neither table, and files
-    that a reader uses are never written again. A batch that has a record is left as it is when it comes again. Batch numbers
-    start at 0 with every new checkpoint: give each checkpoint a ``run`` of its own.
-    """
+    """``foreachBatch`` sink that publishes each micro-batch in both tables at once (``published.publish``)."""
     def write(batch: DataFrame, batch_id: int) -> None:
-        spark, done = batch.sparkSession, f"{path}/commits/run={run}/batch_id={batch_id}"
-        if path_exists(spark, f"{done}/_SUCCESS"):
-            return
-        attempt = uuid.uuid4().hex
         # read twice below; cached blocks are rebuilt from the batch if an executor is lost
         batch = batch.persist()
         try:
-            for name, rows in TABLES.items():
-                rows(batch).write.parquet(f"{path}/{name}/run={run}/batch_id={batch_id}/attempt={attempt}")
+            publish(batch.sparkSession, path, run, batch_id, {name: rows(batch) for name, rows in TABLES.items()})
         finally:
             batch.unpersist()
-        spark.createDataFrame([(attempt,)], "attempt string").coalesce(1).write.mode("overwrite").parquet(done)
     return write
 
 
 def read_ledger(spark: SparkSession, path: str, name: str) -> DataFrame:
     """The published rows of the table ``name`` (positions or balances) with run and batch_id; an empty one before the first commit."""
-    if not path_exists(spark, f"{path}/commits"):
-        return spark.read.schema(f"msg_id string, {COMMIT}").parquet(f"{path}/{name}").where("false").drop("attempt")
-    commits = spark.read.schema(COMMIT).parquet(f"{path}/commits")
-    rows = spark.read.option("basePath", f"{path}/{name}").parquet(f"{path}/{name}")
-    rows = rows.withColumns({"run": F.col("run").cast("string"), "batch_id": F.col("batch_id").cast("long"), "attempt": F.col("attempt").cast("string")})
-    return rows.join(commits, ["run", "batch_id", "attempt"], "left_semi").drop("attempt")
+    return read_published(spark, path, name, "msg_id string")

@@ -3,7 +3,7 @@ import datetime as dt
 import numpy as np
 import pandas as pd
 import pytest
-from helpers import SPEC, back, to_spark, walk
+from helpers import SPEC, back, close, to_spark, walk
 from pyspark.sql import functions as F
 
 from pairloom.operators import labels
@@ -142,3 +142,23 @@ def test_start_uniqueness(spark):
     pdf = pd.DataFrame({"k": "a", "date": [dt.date(2020, 1, i) for i in (1, 2, 3, 9)], "t1": [dt.date(2020, 1, i) for i in (3, 3, 4, 9)]})
     out = back(labels.start_uniqueness(spark.createDataFrame(pdf), SPEC))
     assert out.weight.round(6).tolist() == [1.0, 0.5, round(1 / 3, 6), 1.0]
+
+
+def test_average_uniqueness_over_the_whole_life(spark):
+    rng = np.random.default_rng(5)
+    pdf = walk(n=60)
+    bars = to_spark(spark, pdf).select("k", F.col("date").alias("ts"))
+    rows = []
+    for i, r in enumerate(pdf.itertuples()):
+        if i % 3:
+            end = None if i % 17 == 0 else r.date + dt.timedelta(days=int(rng.integers(0, 25)))
+            rows.append((r.k, i, r.date, end))
+    rows.append(("a", 999, pdf.date.iloc[0] - dt.timedelta(days=9), pdf.date.iloc[0] - dt.timedelta(days=2)))  # no bar in it
+    spans = spark.createDataFrame(rows, "k string, id int, t0 date, t1 date").repartition(3)
+    out = labels.average_uniqueness(bars, spans, SPEC.with_(ts="ts"), out="w").toPandas().set_index("id").w
+    far = dt.date(2100, 1, 1)
+    for k, i, t0, t1 in rows:
+        held = [d for d in pdf[pdf.k == k].date if t0 <= d <= (t1 or far)]
+        shares = [1 / sum(q == k and a <= d <= (b or far) for q, _, a, b in rows) for d in held]
+        close([out[i]], [np.mean(shares) if shares else np.nan])
+    assert len(out) == len(rows)

@@ -241,3 +241,37 @@ def test_touched_tail_and_latest_rows(spark):
     log = stored.withColumn("batch_id", F.lit(0)).unionByName(batch.withColumn("batch_id", F.lit(1)))
     now = {(r.symbol, r.date.day): r.close for r in incremental.latest_rows(log).collect()}
     assert now[("A", 10)] == 99.0 and len(now) == 12
+
+
+def test_gate_decides_in_the_pass_that_writes(spark, tmp_path):
+    """The batch runs once, a rejected one changes nothing, a repeated one adds nothing, a broken publication is made up for."""
+    schema = "symbol string, date date, close double, actual int"
+    days = [dt.date(2020, 1, 1) + dt.timedelta(days=i) for i in range(6)]
+    runs = spark.sparkContext.accumulator(0)
+
+    def batch(rows):
+        def count(batches):
+            for b in batches:
+                runs.add(b.num_rows)
+                yield b
+        df = spark.createDataFrame(rows, schema)
+        return df.mapInArrow(count, df.schema)
+
+    def table():
+        return sorted(tuple(r) for r in spark.read.schema(schema).parquet(str(tmp_path / "t")).select("symbol", "date", "close", "actual").collect())
+
+    required = ["symbol", "date", "close"]
+    first = [("a", d, 1.0, None) for d in days[:3]] + [("a", days[0], 0.5, 1)]
+    v = tables.gated_append(batch(first), str(tmp_path / "t"), str(tmp_path / "s0"), required)
+    assert (v.accepted, v.n_rows, v.n_bad, v.nulls) == (True, 4, 0, {"symbol": 0, "date": 0, "close": 0, "actual": 3}) and runs.value == 4
+    want = [("a", days[0], 0.5, 1), ("a", days[1], 1.0, None), ("a", days[2], 1.0, None)]
+    assert table() == want
+    bad = [("a", days[4], 2.0, None), ("b", days[4], None, None), (None, days[5], None, 7)]
+    v = tables.gated_append(batch(bad), str(tmp_path / "t"), str(tmp_path / "s1"), required)
+    assert (v.accepted, v.n_rows, v.n_bad, v.nulls["close"], v.nulls["symbol"]) == (False, 3, 2, 2, 1) and table() == want
+    more = [("a", days[2], 9.0, None), ("a", days[3], 3.0, None), ("b", days[3], 4.0, None)]
+    spark.createDataFrame(more[1:2], schema).write.mode("append").partitionBy("date").parquet(str(tmp_path / "t"))  # half of it is there
+    for k in (2, 3):
+        assert tables.gated_append(batch(more), str(tmp_path / "t"), str(tmp_path / f"s{k}"), required).accepted
+        assert table() == sorted(want + more[1:])
+    assert tables.gated_append(batch([]), str(tmp_path / "t"), str(tmp_path / "s4"), required).n_rows == 0 and table() == sorted(want + more[1:])
