@@ -337,6 +337,16 @@ def l7(spark, d):
     return training.cross_validate(labelled, PAIR, k=3, embargo=0.01, inputs=schemas.MODEL_FEATURES)
 
 
+# Settings of the search and the numbers of trees of its rungs.
+SETTINGS, RUNGS = ({"depth": 2}, {"depth": 4}, {"depth": 2, "scaling": False}, {"depth": 3}), (1, 3)
+
+
+@query("h16_grid_search")
+def h16_grid(spark, d):
+    labelled = training.materialise(training.labelled_features(feature_rows(spark, d)), "labelled")
+    return training.grid_search(labelled, SETTINGS, RUNGS, PAIR, k=2, inputs=schemas.MODEL_FEATURES, use_regimes=False)
+
+
 # means by symbol in closed form: sums over all earlier rows
 SYMBOL_MEANS = """
 nb AS (SELECT *, row_number() OVER (PARTITION BY symbol ORDER BY date) - 1 AS o, close - lag(close) OVER (PARTITION BY symbol ORDER BY date) AS ch FROM bars),

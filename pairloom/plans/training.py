@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import math
+from collections.abc import Callable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel, Transformer
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import StandardScaler, VectorAssembler
@@ -101,22 +105,77 @@ def with_regimes(df: DataFrame, train: DataFrame, spec: SeriesSpec, ahead: int =
     return df.join(states, [*series.keys, spec.ts])
 
 
-def cross_validate(labelled: DataFrame, spec: SeriesSpec = PAIR, k: int = 3, embargo: float = 0.01,
-                   inputs: Sequence[str] = MODEL_INPUTS, use_regimes: bool = True, **model) -> DataFrame:
-    """Scores of every purged fold. ``labelled`` is written once and read by every fold.
+def side_by_side(tasks: Sequence[Callable], workers: int) -> list:
+    """Results of the tasks in their order; at most ``workers`` of them submit jobs at a time, with the caller's job properties."""
+    with ThreadPoolExecutor(max_workers=workers) as pool:
+        return [f.result() for f in [pool.submit(inheritable_thread_target(task)) for task in tasks]]
+
+
+def fold_tables(labelled: DataFrame, spec: SeriesSpec = PAIR, k: int = 3, embargo: float = 0.01, inputs: Sequence[str] = MODEL_INPUTS,
+                use_regimes: bool = True, workers: int = 3) -> tuple[list[DataFrame], list[str]]:
+    """Stored train and test rows of every purged fold, which all fits share, and the columns of their models.
 
-    A row weighs one over the number of labels that cover its start.
+    ``labelled`` is written once and read by every fold. A row weighs one over the number of labels that cover its start.
     """
     rows = start_uniqueness(relabel(labelled), spec)
     folded = materialise(purged_kfold(rows, spec, "t1", k, embargo).where(F.col("role").isin("train", "test")), "folds")
-    scored: DataFrame | None = None
-    for fold in range(k):
+
+    def table(fold: int) -> DataFrame:
         part = folded.where(F.col("fold") == fold)
-        columns = list(inputs)
-        if use_regimes:
-            part = materialise(with_regimes(part, part.where("role = 'train'"), spec, parts=("role",)), "regime-rows")
-            columns += ["state", "next_state_1", "next_state_2"]
-        fitted = classifier(columns, **model).fit(part.where("role = 'train'"))
-        out = score(fitted, part.where("role = 'test'")).select("fold", spec.ts, "label", "p_one", "weight")
-        scored = out if scored is None else scored.unionByName(out)
-    return weighted_scores(scored, "fold", "label", "p_one", "weight")
+        return materialise(with_regimes(part, part.where("role = 'train'"), spec, parts=("role",)), "regime-rows") if use_regimes else part
+
+    return (side_by_side([lambda fold=fold: table(fold) for fold in range(k)], workers),
+            [*inputs, *(("state", "next_state_1", "next_state_2") if use_regimes else ())])
+
+
+def scores_of_folds(folds: Sequence[DataFrame], columns: Sequence[str], spec: SeriesSpec, workers: int = 3,
+                    make: Callable[..., Pipeline] = classifier, **model) -> DataFrame:
+    """Scores of one setting in every fold; the folds are fitted side by side."""
+    def scored(part: DataFrame) -> DataFrame:
+        fitted = make(columns, **model).fit(part.where("role = 'train'"))
+        return score(fitted, part.where("role = 'test'")).select("fold", spec.ts, "label", "p_one", "weight")
+
+    parts = side_by_side([lambda part=part: scored(part) for part in folds], workers)
+    return weighted_scores(reduce(DataFrame.unionByName, parts), "fold", "label", "p_one", "weight")
+
+
+def cross_validate(labelled: DataFrame, spec: SeriesSpec = PAIR, k: int = 3, embargo: float = 0.01,
+                   inputs: Sequence[str] = MODEL_INPUTS, use_regimes: bool = True, workers: int = 3, **model) -> DataFrame:
+    """Scores of every purged fold (``fold_tables``, ``scores_of_folds``)."""
+    folds, columns = fold_tables(labelled, spec, k, embargo, inputs, use_regimes, workers)
+    return scores_of_folds(folds, columns, spec, workers, **model)
+
+
+def successive_halving(settings: Sequence[Mapping], rungs: Sequence[int], evaluate: Callable[..., float], keep: float = 0.5,
+                       workers: int = 3) -> list[dict]:
+    """A search over ``settings``: all of them get the first budget of ``rungs``, the better part of each rung the next budget.
+
+    ``evaluate(budget, **setting)`` gives a loss. ``keep`` of the settings of a rung go on, rounded up, one at least; of equal losses the
+    earlier setting does, and a loss that is no number is the worst. Returns a row per setting and rung: setting (its number), rung,
+    budget, loss, kept (goes on, or is the winner of the last rung).
+    """
+    alive, out = list(range(len(settings))), []
+    for rung, budget in enumerate(rungs):
+        losses = side_by_side([lambda i=i: float(evaluate(budget, **settings[i])) for i in alive], workers)
+        ranked = sorted(zip(alive, losses), key=lambda x: (math.isnan(x[1]), x[1], x[0]))
+        n = 1 if rung == len(rungs) - 1 else max(1, math.ceil(keep * len(alive)))
+        better = {i for i, _ in ranked[:n]}
+        out += [{"setting": i, "rung": rung, "budget": budget, "loss": loss, "kept": i in better} for i, loss in zip(alive, losses)]
+        alive = sorted(better)
+    return out
+
+
+def grid_search(labelled: DataFrame, settings: Sequence[Mapping], rungs: Sequence[int], spec: SeriesSpec = PAIR, k: int = 3,
+                embargo: float = 0.01, inputs: Sequence[str] = MODEL_INPUTS, use_regimes: bool = True, workers: int = 3) -> DataFrame:
+    """Successive halving of boosted models over purged folds: the budget is the number of trees, the loss the mean log loss of the folds.
+
+    All fits share the stored fold tables; ``workers`` fits run side by side. Only a loss per setting and rung comes to the driver.
+    """
+    folds, columns = fold_tables(labelled, spec, k, embargo, inputs, use_regimes, workers)
+
+    def loss(budget: int, **setting) -> float:
+        return scores_of_folds(folds, columns, spec, 1, iterations=budget, **setting).agg(F.avg("log_loss")).first()[0]
+
+    rows = successive_halving(settings, rungs, loss, workers=workers)
+    names = [tuple(r[c] for c in ("setting", "rung", "budget", "loss", "kept")) for r in rows]
+    return labelled.sparkSession.createDataFrame(names, "setting int, rung int, budget int, loss double, kept boolean")
