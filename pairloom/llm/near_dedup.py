@@ -231,10 +231,9 @@ def near_classes(docs: DataFrame, key: str = "doc_id", text: str = "text", simil
             links = links.unionAll(stored(_block_links(at, texts, similarity), "similar"))
         else:
             order = F.col("node") if not turn else F.xxhash64(F.lit(turn), F.col("node"))
-            hubs = at.groupBy("band").agg(F.min(order).alias("rank"))
-            hub = at.withColumn("rank", order).join(hubs, ["band", "rank"]).select(
-                "band", F.col("node").alias("hub"), F.col("label").alias("hub_label")).dropDuplicates(["band"])
-            hub = stored(hub, "hubs")  # a plain table, so that adaptive execution can split a band that many texts share
+            # reduced map-side and stored: a band that many texts share meets its hub where its rows are, or in a join that can be split
+            hub = stored(at.groupBy("band").agg(F.min(F.struct(order.alias("rank"), "node", "label")).alias("h"))
+                         .select("band", F.col("h.node").alias("hub"), F.col("h.label").alias("hub_label")), "hubs")
             pairs = at.join(hub, "band").where("label <> hub_label").select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b"))
             links = links.unionAll(stored(_links(pairs.distinct(), texts, similarity), "similar"))
         labels = components(links)
