@@ -184,10 +184,10 @@ RULES = {"tight": ledger.LedgerRules(0.173043, 0.117092, barrier_basis="open", r
 SELECT 'tight' AS account, {LEDGER_COLS} FROM led_tight JOIN sig_tight USING (k)
 UNION ALL SELECT 'wide', {LEDGER_COLS} FROM led_wide JOIN sig_wide USING (k)""")
 def i4(spark, d):
-    # two rule sets replayed over the whole history, in chunks of a few hundred signals
-    out = None
+    # two rule sets replayed over the whole history, in chunks of a few hundred signals, which are built once
+    base, out = training.materialise(signals(spark, d), "signals"), None
     for name, rules in RULES.items():
-        part = ledger.replay(signals(spark, d).withColumn("account", F.lit(name)), rules, chunk_rows=512)
+        part = ledger.replay(base.withColumn("account", F.lit(name)), rules, chunk_rows=512)
         out = part if out is None else out.unionByName(part)
     return ledger_select(out, "account")
 

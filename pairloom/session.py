@@ -59,11 +59,29 @@ def work_dir(spark: SparkSession, label: str) -> str:
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if shared:
-        return f"{shared.rstrip('/')}/{label}-{uuid.uuid4().hex}"
-    master = spark.sparkContext.master
-    if not (master == "local" or master.startswith("local[")):
-        raise ValueError(f"spark.checkpoint.dir must name a shared folder on {master}")
-    return tempfile.mkdtemp(prefix=f"{label}-")
+        path = f"{shared.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    else:
+        master = spark.sparkContext.master
+        if not (master == "local" or master.startswith("local[")):
+            raise ValueError(f"spark.checkpoint.dir must name a shared folder on {master}")
+        path = tempfile.mkdtemp(prefix=f"{label}-")
+    _made.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+_made: dict[str, list[str]] = {}
+
+
+def remove_work(spark: SparkSession) -> int:
+    """Deletes the folders that ``work_dir`` has named in this application, and only those; returns how many were there.
+
+    Frames that were built on them can't be read afterwards: call it when the results of a run are stored elsewhere.
+    """
+    gone = 0
+    for path in _made.pop(spark.sparkContext.applicationId, []):
+        p = spark._jvm.org.apache.hadoop.fs.Path(path)
+        gone += p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+    return gone
 
 
 def stored(df: DataFrame, label: str) -> DataFrame:
