@@ -277,16 +277,16 @@ def test_gate_decides_in_the_pass_that_writes(spark, tmp_path):
     assert tables.gated_append(batch([]), str(tmp_path / "t"), str(tmp_path / "s4"), required).n_rows == 0 and table() == sorted(want + more[1:])
 
 
-def test_work_folders_are_removed_on_request(spark, tmp_path, monkeypatch):
+def test_work_folders_are_removed_on_request(spark, monkeypatch):
     import os
-    import tempfile
 
     from pairloom import session
-    monkeypatch.setattr(session, "_made", {})
-    monkeypatch.setattr(tempfile, "tempdir", str(tmp_path))
-    (tmp_path / "other").mkdir()
+    kept = session.work_dir(spark, "kept")
+    os.makedirs(kept, exist_ok=True)
+    monkeypatch.setattr(session, "_made", {})  # only what is named from here on
     df = session.stored(spark.range(3), "numbers")
-    session.work_dir(spark, "empty")
-    assert df.count() == 3 and len(os.listdir(tmp_path)) == 3
+    session.stored(spark.range(2), "more")
+    made = [p for paths in session._made.values() for p in paths]
+    assert df.count() == 3 and len(made) == 2 and all(map(os.path.isdir, made))
     assert session.remove_work(spark) == 2 and session.remove_work(spark) == 0
-    assert os.listdir(tmp_path) == ["other"]
+    assert not any(map(os.path.exists, made)) and os.path.isdir(kept)
