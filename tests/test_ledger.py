@@ -192,3 +192,30 @@ def test_stored_account_is_the_start_state(spark, tmp_path):
     run_once(ledger.ledger_stream(stream, accounts=accounts), str(tmp_path / "out"), str(tmp_path / "ckpt"))
     row = spark.read.parquet(str(tmp_path / "out")).first()
     assert row.action == "close" and row.account_balance == 1020.0
+
+
+def test_accounts_of_a_group_keep_their_own_state(spark, tmp_path):
+    """Many accounts share a group, some with a stored start state; what waits and what is held goes over batches."""
+    accounts = [f"a{k}" for k in range(7)]
+    rows, rules = signals(n=25, accounts=accounts), ledger.LedgerRules()
+    held = [("a0", "ETH-USD", 2.0, 200.0, 800.0, 1, 0.5), ("a3", "", 0.0, 0.0, 500.0, 0, 0.0)]
+    start = {"a0": ledger.Account("ETH-USD", 2.0, 200.0, 800.0, 1, 0.5), "a3": ledger.Account(balance=500.0)}
+    want = {}
+    for a, ts, mid, pred, ms, sp, pe, pb in rows:
+        acc = start.setdefault(a, ledger.Account())
+        want[mid] = (a, ts, ledger.step(acc, rules, pred, ms, sp, {"ETH-USD": pe, "BTC-USD": pb}), acc.symbol, acc.balance)
+    stored = spark.createDataFrame(held, "account string, symbol string, amount double, position_value double, "
+                                         "account_balance double, days_in_trade int, trade_open_spread double")
+    clock = ("clock", dt.datetime(2030, 1, 1), "clock", None, 0.0, 0.0, 1.0, 1.0)
+    first, later = [r for r in rows if r[1] < dt.datetime(2020, 1, 15)], [r for r in rows if r[1] >= dt.datetime(2020, 1, 15)]
+    (tmp_path / "in").mkdir()
+    stream = spark.readStream.schema(COLS).parquet(str(tmp_path / "in")).withWatermark("ts", "5 days")
+    for part in (first[::-1], later[::-1], [clock]):
+        spark.createDataFrame(part, COLS).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+        run_once(ledger.ledger_in_event_time(stream, rules, accounts=stored, groups=2), str(tmp_path / "out"), str(tmp_path / "ckpt"))
+    out = spark.read.parquet(str(tmp_path / "out")).toPandas().set_index("msg_id")
+    assert sorted(out.index) == sorted(want)
+    for mid, (a, ts, did, symbol, cash) in want.items():
+        row = out.loc[mid]
+        assert (row.account, row.ts, row.action) == (a, ts, did) and (row.symbol or None) == symbol
+        close([row.account_balance], [cash])
