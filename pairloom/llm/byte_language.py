@@ -2,8 +2,8 @@
 
 The bytes of a text go through the network in windows of ``WINDOW`` bytes, which all start from a zero state in both directions, in
 training as in use. Every position of every window gets a probability per language from the two states that meet there; the
-score of a text is the mean over all its positions. Arrays hold units in rows and windows in columns, so that each gate is one
-stretch of memory.
+score of a text is the mean over all its positions. In training arrays hold units in rows and windows in columns, in use the other way
+round and a gate at a time, so that each gate is one stretch of memory.
 """
 
 from __future__ import annotations
@@ -27,7 +27,7 @@ STEPS, BATCH, RATE = 400, 256, 0.01
 #: more values of the language column than this are no languages
 MOST_LANGUAGES = 500
 #: windows that a worker turns at a time, and bytes of texts that it cuts into windows
-BLOCK, SLICE_BYTES = 2048, 2 << 20
+BLOCK, SLICE_BYTES = 4096, 2 << 20
 UNKNOWN = "und"
 
 
@@ -81,11 +81,17 @@ class Direction:
         by_byte[:, values] = np.add.reduceat(d_inputs[:, order], first, axis=1)
         return by_byte, d_recurrent
 
-    def halved(self) -> tuple[np.ndarray, np.ndarray]:
-        """Weights with which the two gates are 0.5 * tanh + 0.5."""
+    def by_gate(self) -> tuple[list[np.ndarray], list[np.ndarray]]:
+        """Weights for states in rows, of update, reset and candidate: rows of the byte values, and matrices behind the states.
+
+        The first two are halved, so that a gate is 0.5 * (tanh + 1). The candidate's matrix is halved for the reset, which is then tanh + 1;
+        halving is exact.
+        """
         h = self.recurrent.shape[1]
-        scale = np.repeat(np.array([0.5, 1.0], self.inputs.dtype), [2 * h, h])[:, None]
-        return np.ascontiguousarray(self.inputs * scale), np.ascontiguousarray(self.recurrent * scale)
+        half, one = self.inputs.dtype.type(0.5), self.inputs.dtype.type(1)
+        parts = [slice(k * h, k * h + h) for k in range(3)]
+        return ([np.ascontiguousarray(self.inputs[rows].T * scale) for rows, scale in zip(parts, (half, half, one))],
+                [np.ascontiguousarray(self.recurrent[rows].T * half) for rows in parts])
 
 
 @dataclass
@@ -145,44 +151,54 @@ class Network:
 
     def probabilities(self, x: np.ndarray, valid: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
         """(position, probabilities (languages, windows)) from the last position of the windows to the first."""
-        h, n = self.bias.dtype.type(0.5), x.shape[1]
+        half, one, n = self.bias.dtype.type(0.5), self.bias.dtype.type(1), x.shape[1]
         units = self.ahead.recurrent.shape[1]
-        gates, more = (np.empty((3 * units, n), np.float32) for _ in range(2))
-
-        def step(state, inputs, recurrent, t):
-            np.take(inputs, x[t], axis=1, out=gates, mode="clip")
-            np.matmul(recurrent, state, out=more)
-            zr, c = gates[:2 * units], more[2 * units:]
-            zr += more[:2 * units]
-            np.tanh(zr, out=zr)
-            zr *= h
-            zr += h
-            c *= zr[units:]
-            c += gates[2 * units:]
+        # a gate's units of one window stand side by side: a byte's weights are then one copy, and each gate one stretch of memory
+        gates, more = (np.empty((2, n, units), np.float32) for _ in range(2))
+        c, own, state = (np.empty((n, units), np.float32) for _ in range(3))
+        z, r = gates
+
+        def step(inputs, recurrent, t):
+            at = x[t].astype(np.intp)
+            for table, matrix, out, product in zip(inputs, recurrent, (z, r, own), (*more, c)):
+                np.take(table, at, axis=0, out=out, mode="clip")
+                np.matmul(state, matrix, out=product)
+            np.add(gates, more, out=gates)
+            np.tanh(gates, out=gates)
+            np.add(gates, one, out=gates)
+            np.multiply(c, r, out=c)
+            np.add(c, own, out=c)
             np.tanh(c, out=c)
-            state -= c
-            state *= zr[:units]
-            state += c
-
-        whole = valid.all(1)
-        state = np.zeros((units, n), np.float32)
+            np.subtract(state, c, out=state)
+            np.multiply(state, z, out=state)
+            np.multiply(state, half, out=state)
+            np.add(state, c, out=state)
+
+        def begin(inputs, t):
+            """The step from a zero state, which depends on the byte alone."""
+            gate, candidate = np.tanh(inputs[0]), np.tanh(inputs[2])
+            after = (0 - candidate) * (gate + one) * half + candidate
+            np.take(after, x[t].astype(np.intp), axis=0, out=state, mode="clip")
+
+        outside = [np.flatnonzero(v == 0) for v in valid]
+        bias = self.bias[:, None]
         logits = np.empty((len(x), len(self.bias), n), np.float32)
-        inputs, recurrent = self.ahead.halved()
+        other, line = np.empty((len(self.bias), n), np.float32), np.empty(n, np.float32)
+        inputs, recurrent = self.ahead.by_gate()
         for t in range(len(x)):
-            step(state, inputs, recurrent, t)
-            np.matmul(self.ahead.out, state, out=logits[t])
-        logits += self.bias[:, None]
-        state[:] = 0
-        inputs, recurrent = self.back.halved()
+            step(inputs, recurrent, t) if t else begin(inputs, t)
+            np.matmul(self.ahead.out, state.T, out=logits[t])
+            logits[t] += bias
+        inputs, recurrent = self.back.by_gate()
         for t in range(len(x) - 1, -1, -1):
-            step(state, inputs, recurrent, t)
-            if not whole[t]:
-                state *= valid[t]  # the way back begins at the last byte
+            step(inputs, recurrent, t) if t < len(x) - 1 else begin(inputs, t)
+            if len(outside[t]):
+                state[outside[t]] = 0  # the way back begins at the last byte
             p = logits[t]
-            p += self.back.out @ state
-            p -= p.max(0)
+            p += np.matmul(self.back.out, state.T, out=other)
+            p -= np.max(p, axis=0, out=line)
             np.exp(p, out=p)
-            p /= p.sum(0)
+            p /= np.sum(p, axis=0, out=line)
             yield t, p
 
 

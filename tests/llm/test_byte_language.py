@@ -125,3 +125,26 @@ def test_held_out_rows(spark):
     assert len(rows) == len(langs) and all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 5 == 0) for r in rows)
     right = [r.lang_pred == langs[r.doc_id] for r in rows if r.held_out]
     assert len(right) > 150 and np.mean(right) > 0.97
+
+
+def test_scoring_by_rows_is_the_forward_pass_of_training():
+    """Windows of every length, of all byte values: the states of ``by_gate`` are those of ``states``."""
+    import numpy as np
+
+    rng = np.random.default_rng(5)
+    network = B.Network.drawn(["a", "b", "c"])
+    length = np.concatenate([np.arange(1, B.WINDOW + 1), np.full(20, B.WINDOW)])
+    x = rng.integers(0, 256, (B.WINDOW, len(length))).astype(np.uint8)
+    valid = (np.arange(B.WINDOW)[:, None] < length).astype(np.float32)
+    for layer in (network.ahead, network.back):
+        (update, *_, candidate), _ = layer.by_gate()
+        first = (1 - (np.tanh(update) + 1) / 2) * np.tanh(candidate)
+        every = np.arange(256)[None]
+        assert np.allclose(first.T, layer.states(every, np.ones((1, 256), np.float32))[0][0], atol=1e-6)
+    f, _ = network.ahead.states(x, np.ones_like(valid))
+    b, _ = network.back.states(x[::-1], valid[::-1])
+    logits = network.ahead.out @ f + network.back.out @ b[::-1] + network.bias[:, None]
+    want = np.exp(logits) / np.exp(logits).sum(1, keepdims=True)
+    for t, p in network.probabilities(x, valid):
+        inside = valid[t] > 0
+        assert np.allclose(p[:, inside], want[t][:, inside], atol=1e-5)
