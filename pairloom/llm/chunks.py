@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Callable, Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -52,30 +53,31 @@ class Chunks:
         """The chunks' values; None for chunks at which a plain cut is not sound."""
         if self.held > self.kept:
             self.old, self.young, self.held = self.young, {}, 0
-        young, old, held = self.young, self.old, 0
-        found = [young.get(c, self) for c in chunks]
+        young, old, tail, held = self.young, self.old, self.tail, 0
+        found = list(map(young.get, chunks, repeat(self)))
         todo, need, passing = [], {}, {}
-        for i, (c, v) in enumerate(zip(chunks, found)):
-            if v is not self:
-                continue
-            v = old.get(c, self)
-            if v is not self:
-                found[i] = young[c] = v
-                held += _ENTRY + 2 * len(c)
-            elif self._unsafe(c):
+        for i in [i for i, v in enumerate(found) if v is self]:
+            c = chunks[i]
+            if old:
+                v = old.get(c, self)
+                if v is not self:
+                    found[i] = young[c] = v
+                    held += _ENTRY + 2 * len(c)
+                    continue
+            if self.keep_space and self._unsafe(c):
                 found[i] = None
                 if len(c) <= LONGEST:
                     young[c] = None
                     held += _ENTRY + 2 * len(c)
-            else:
-                core = c.rstrip(self.tail) if self.tail else c
-                parts = (core, c[len(core):]) if len(core) < len(c) and core.lstrip(" ").isalpha() else (c,)
-                todo.append((i, c, parts))
-                for p in parts:
-                    if p in young:
-                        passing[p] = young[p]
-                    else:
-                        need[p] = None
+                continue
+            core = c.rstrip(tail) if tail else c
+            parts = (core, c[len(core):]) if len(core) < len(c) and core.lstrip(" ").isalpha() else (c,)
+            todo.append((i, c, parts))
+            for p in parts:
+                if p in young:
+                    passing[p] = young[p]
+                else:
+                    need[p] = None
         if need:
             for p, v in zip(need, self.compute(list(need))):
                 passing[p] = v

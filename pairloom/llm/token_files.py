@@ -38,7 +38,6 @@ SEGMENT_IDS = 65536
 #: texts that a worker encodes at a time
 SLICE = 2048
 _MAGIC = b"PFR1"
-_BIT = np.arange(32, dtype=np.uint32)
 #: widths that numbers of whole bytes have
 _WHOLE = {8: "<u1", 16: "<u2", 32: "<u4"}
 
@@ -48,6 +47,31 @@ def _bits(x: np.ndarray) -> np.ndarray:
     return np.frexp(x.astype(np.float64))[1].astype(np.int64) * (x > 0)
 
 
+def _pack_bits(values: np.ndarray, width: int) -> np.ndarray:
+    """The low ``width`` bits of the values of each row (blocks of 128), lowest first; 32 values fill ``width`` words."""
+    values = values.reshape(-1, 32).T & np.uint32((1 << width) - 1)
+    words = np.zeros((width, values.shape[1]), np.uint32)
+    for k in range(32):
+        word, shift = divmod(k * width, 32)
+        words[word] |= values[k] << np.uint32(shift)
+        if shift + width > 32:
+            words[word + 1] |= values[k] >> np.uint32(32 - shift)
+    return np.ascontiguousarray(words.T).astype("<u4", copy=False).view(np.uint8).reshape(-1, BLOCK * width // 8)
+
+
+def _unpack_bits(packed: np.ndarray, width: int) -> np.ndarray:
+    """The values that ``_pack_bits`` has packed."""
+    words = np.ascontiguousarray(np.ascontiguousarray(packed).view("<u4").reshape(-1, width).T)
+    values = np.empty((32, words.shape[1]), np.uint32)
+    for k in range(32):
+        word, shift = divmod(k * width, 32)
+        np.right_shift(words[word], np.uint32(shift), out=values[k])
+        if shift + width > 32:
+            values[k] |= words[word + 1] << np.uint32(32 - shift)
+    values &= np.uint32((1 << width) - 1)
+    return values.T.reshape(-1, BLOCK)
+
+
 def pack(ids: np.ndarray) -> bytes:
     """The payload for ``ids`` (uint32). Blocks of one width are packed together."""
     n = len(ids)
@@ -57,7 +81,7 @@ def pack(ids: np.ndarray) -> bytes:
     padded = np.concatenate([ids, np.full(count * BLOCK - n, ids[-1], np.uint32)]).reshape(count, BLOCK)
     low = padded.min(1)
     rest = padded - low[:, None]
-    width = np.sort(_bits(rest), axis=1)[:, int(np.ceil(PERCENTILE * BLOCK)) - 1]
+    width = _bits(np.sort(rest, axis=1)[:, int(np.ceil(PERCENTILE * BLOCK)) - 1])
     odd = rest >= (np.uint64(1) << width.astype(np.uint64))[:, None]
     exceptions = odd.sum(1)
     sizes = 6 + 16 * width + 5 * exceptions
@@ -74,8 +98,7 @@ def pack(ids: np.ndarray) -> bytes:
         if w in _WHOLE:
             packed = rest[rows].astype(_WHOLE[w]).view(np.uint8)
         elif w:
-            planes = (rest[rows][:, :, None] >> _BIT[:w] & 1).astype(np.uint8).reshape(len(rows), -1)
-            packed = np.packbits(planes, axis=1, bitorder="little")
+            packed = _pack_bits(rest[rows], int(w))
         if w:
             out[(at[rows] + 6)[:, None] + np.arange(16 * w)] = packed
     block, place = np.nonzero(odd)
@@ -105,13 +128,7 @@ def unpack(payload: bytes, blocks: slice | None = None) -> np.ndarray:
         if w in _WHOLE:
             rest[rows] = packed.view(_WHOLE[w])
         elif w:
-            planes = np.unpackbits(packed, axis=1, bitorder="little").reshape(len(rows), BLOCK, w)
-            if w <= 16:
-                words = np.packbits(np.pad(planes, ((0, 0), (0, 0), (0, 16 - w))), axis=2, bitorder="little")
-                rest[rows] = words.reshape(len(rows), -1).view("<u2")
-            else:
-                words = np.packbits(np.pad(planes, ((0, 0), (0, 0), (0, 32 - w))), axis=2, bitorder="little")
-                rest[rows] = words.reshape(len(rows), -1).view("<u4")
+            rest[rows] = _unpack_bits(packed, int(w))
     if exceptions.any():
         block = np.repeat(np.arange(hi - lo), exceptions)
         k = np.arange(len(block)) - np.concatenate([[0], np.cumsum(exceptions)])[block]
@@ -159,8 +176,12 @@ class WordEncoder:
         merge, out = self.tokenizer.model.tokenize, [b""] * len(chunks)
         others = []
         for i, c in enumerate(chunks):
-            if c.isalpha() and c == c.lower() and (c.isascii() or "Σ" not in c and unicodedata.is_normalized("NFC", c)):
-                out[i] = array("I", [t.id for t in merge(in_byte_characters(c))]).tobytes()
+            if c.isascii():  # letters among the first 128 characters stand for their own bytes
+                plain = c if c.isalpha() and c.islower() else None
+            else:
+                plain = in_byte_characters(c) if c.isalpha() and c == c.lower() and "Σ" not in c and unicodedata.is_normalized("NFC", c) else None
+            if plain is not None:
+                out[i] = array("I", [t.id for t in merge(plain)]).tobytes()
             else:
                 others.append(i)
         for i, e in zip(others, self.tokenizer.encode_batch_fast([chunks[i] for i in others], add_special_tokens=False)):

@@ -68,3 +68,14 @@ def test_empty_table(spark, tmp_path):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").limit(0)
     T.write_token_files(docs, str(tmp_path / "none"), PATH, end_id=2)
     assert T.read_token_files(spark, str(tmp_path / "none")).count() == 0
+
+
+def test_bits_of_every_width_are_packed_as_planes():
+    rng = np.random.default_rng(6)
+    for width in range(1, 33):
+        values = rng.integers(0, 1 << 32, (3, T.BLOCK), dtype=np.uint64).astype(np.uint32)
+        low = values & np.uint32((1 << width) - 1)
+        planes = (low[:, :, None] >> np.arange(width, dtype=np.uint32) & 1).astype(np.uint8).reshape(3, -1)
+        packed = T._pack_bits(values, width)
+        assert np.array_equal(packed, np.packbits(planes, axis=1, bitorder="little"))
+        assert np.array_equal(T._unpack_bits(packed, width), low)
