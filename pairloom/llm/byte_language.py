@@ -27,10 +27,23 @@ STEPS, BATCH, RATE = 400, 256, 0.01
 #: more values of the language column than this are no languages
 MOST_LANGUAGES = 500
 #: windows that a worker turns at a time, and bytes of texts that it cuts into windows
-BLOCK, SLICE_BYTES = 4096, 2 << 20
+BLOCK, SLICE_BYTES = 4096, 4 << 20
+#: steps at the beginning of windows that those with equal bytes share (at most four)
+OPENING = 4
 UNKNOWN = "und"
 
 
+@dataclass
+class Opening:
+    """States after the first steps of windows: for each step a row per distinct opening, and the opening of each window."""
+
+    states: list[np.ndarray]
+    which: np.ndarray
+
+    def part(self, of: slice) -> Opening:
+        return Opening(self.states, self.which[of])
+
+
 @dataclass
 class Direction:
     """A gated recurrent layer: one column of ``inputs`` per byte value, rows for update, reset and candidate."""
@@ -93,6 +106,28 @@ class Direction:
         return ([np.ascontiguousarray(self.inputs[rows].T * scale) for rows, scale in zip(parts, (half, half, one))],
                 [np.ascontiguousarray(self.recurrent[rows].T * half) for rows in parts])
 
+    def opening(self, x: np.ndarray) -> Opening:
+        """The steps from a zero state over ``x`` (``OPENING``, windows), each computed once for windows that have been equal so far."""
+        half, one = self.inputs.dtype.type(0.5), self.inputs.dtype.type(1)
+        (update, reset, candidate), (by_z, by_r, by_c) = self.by_gate()
+        key = np.zeros(x.shape[1], np.uint32)
+        for row in x:
+            key = key << np.uint32(8) | row
+        coded = pa.array(key).dictionary_encode()
+        found = coded.dictionary.to_numpy()
+        order = np.argsort(found)
+        values, which = found[order], np.argsort(order)[coded.indices.to_numpy()]
+        states = [np.zeros((len(values), len(by_z)), self.inputs.dtype)]
+        for k in range(OPENING - 1, -1, -1):
+            begun = values >> np.uint32(8 * k)
+            first = np.ones(len(begun), bool)
+            first[1:] = begun[1:] != begun[:-1]
+            at, state = (begun[first] & np.uint32(255)).astype(np.intp), states[-1][first]
+            z, r = np.tanh(update[at] + state @ by_z) + one, np.tanh(reset[at] + state @ by_r) + one
+            c = np.tanh(state @ by_c * r + candidate[at])
+            states.append(((state - c) * z * half + c)[np.cumsum(first) - 1])
+        return Opening(states[1:], which)
+
 
 @dataclass
 class Network:
@@ -149,17 +184,42 @@ class Network:
                 s += 0.01 * (g * g - s)
                 w -= (now / (1 - 0.9 ** step)) * m / (np.sqrt(s / (1 - 0.99 ** step)) + 1e-8)
 
-    def probabilities(self, x: np.ndarray, valid: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
-        """(position, probabilities (languages, windows)) from the last position of the windows to the first."""
-        half, one, n = self.bias.dtype.type(0.5), self.bias.dtype.type(1), x.shape[1]
+    def openings(self, data: np.ndarray, start: np.ndarray, length: np.ndarray) -> tuple[Opening, Opening]:
+        """The first steps of windows of ``data`` ahead, from their first bytes, and back, from their last."""
+        at = np.arange(OPENING)[:, None]
+        return (self.ahead.opening(data[np.minimum(start + at, len(data) - 1)]),
+                self.back.opening(data[np.maximum(start + length - 1 - at, 0)]))
+
+    def probabilities(self, x: np.ndarray, valid: np.ndarray, openings: tuple[Opening, Opening] | None = None) -> Iterator[tuple[int, np.ndarray]]:
+        """(position, probabilities (languages, windows)) from the last position of the windows to the first; zeros behind a window's end.
+
+        Windows that come longest first are turned where they stand, so that those that reach a position are one stretch; others are brought
+        into that order. ``openings`` are those of the windows, shared by more of them than are given here.
+        """
+        length = valid.sum(0).astype(np.intp)
+        if (length[1:] > length[:-1]).any():
+            order = np.argsort(-length, kind="stable")
+            back_to = np.argsort(order)
+            for t, p in self.probabilities(x[:, order], valid[:, order]):
+                yield t, p[:, back_to]
+            return
+        n, last = x.shape[1], len(x)
+        if openings is None:
+            openings = self.openings(x.ravel(order="F"), last * np.arange(n), length)
+        # windows longer than t, for t up to that of the last position and OPENING more
+        reach = n - np.searchsorted(length[::-1], np.arange(last + OPENING + 1), side="right")
+        half, one = self.bias.dtype.type(0.5), self.bias.dtype.type(1)
         units = self.ahead.recurrent.shape[1]
         # a gate's units of one window stand side by side: a byte's weights are then one copy, and each gate one stretch of memory
-        gates, more = (np.empty((2, n, units), np.float32) for _ in range(2))
-        c, own, state = (np.empty((n, units), np.float32) for _ in range(3))
-        z, r = gates
-
-        def step(inputs, recurrent, t):
-            at = x[t].astype(np.intp)
+        room = [np.empty((2, n, units), np.float32) for _ in range(2)]
+        lines = [np.empty((n, units), np.float32) for _ in range(3)]
+
+        def step(inputs, recurrent, t, m):
+            """The step of the first ``m`` windows at position ``t``."""
+            at = x[t, :m].astype(np.intp)
+            gates, more = (a[:, :m] for a in room)
+            c, own, state = (a[:m] for a in lines)
+            z, r = gates
             for table, matrix, out, product in zip(inputs, recurrent, (z, r, own), (*more, c)):
                 np.take(table, at, axis=0, out=out, mode="clip")
                 np.matmul(state, matrix, out=product)
@@ -174,32 +234,38 @@ class Network:
             np.multiply(state, half, out=state)
             np.add(state, c, out=state)
 
-        def begin(inputs, t):
-            """The step from a zero state, which depends on the byte alone."""
-            gate, candidate = np.tanh(inputs[0]), np.tanh(inputs[2])
-            after = (0 - candidate) * (gate + one) * half + candidate
-            np.take(after, x[t].astype(np.intp), axis=0, out=state, mode="clip")
-
-        outside = [np.flatnonzero(v == 0) for v in valid]
+        state = lines[2]
         bias = self.bias[:, None]
-        logits = np.empty((len(x), len(self.bias), n), np.float32)
+        logits = np.empty((last, len(self.bias), n), np.float32)
         other, line = np.empty((len(self.bias), n), np.float32), np.empty(n, np.float32)
+        begin = openings[0]
         inputs, recurrent = self.ahead.by_gate()
-        for t in range(len(x)):
-            step(inputs, recurrent, t) if t else begin(inputs, t)
-            np.matmul(self.ahead.out, state.T, out=logits[t])
-            logits[t] += bias
+        for t in range(last):
+            m = reach[t]
+            if t < OPENING:
+                np.take(begin.states[t], begin.which[:m], axis=0, out=state[:m], mode="clip")
+            else:
+                step(inputs, recurrent, t, m)
+            p = logits[t, :, :m]
+            np.matmul(self.ahead.out, state[:m].T, out=p)
+            p += bias
+        begin = openings[1]
         inputs, recurrent = self.back.by_gate()
-        for t in range(len(x) - 1, -1, -1):
-            step(inputs, recurrent, t) if t < len(x) - 1 else begin(inputs, t)
-            if len(outside[t]):
-                state[outside[t]] = 0  # the way back begins at the last byte
-            p = logits[t]
-            p += np.matmul(self.back.out, state.T, out=other)
-            p -= np.max(p, axis=0, out=line)
+        for t in range(last - 1, -1, -1):
+            m = reach[t]
+            if reach[t + OPENING]:
+                step(inputs, recurrent, t, reach[t + OPENING])
+            for k in range(OPENING):  # windows whose last byte is k bytes on
+                lo, hi = reach[t + k + 1], reach[t + k]
+                if lo < hi:
+                    np.take(begin.states[k], begin.which[lo:hi], axis=0, out=state[lo:hi], mode="clip")
+            p, low = logits[t, :, :m], line[:m]
+            p += np.matmul(self.back.out, state[:m].T, out=other[:, :m])
+            p -= np.max(p, axis=0, out=low)
             np.exp(p, out=p)
-            p /= np.sum(p, axis=0, out=line)
-            yield t, p
+            p /= np.sum(p, axis=0, out=low)
+            logits[t, :, m:] = 0
+            yield t, logits[t]
 
 
 def windows(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -218,19 +284,23 @@ def windows(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.nda
 def blocks(data: np.ndarray, start: np.ndarray, length: np.ndarray) -> Iterator[tuple[slice, np.ndarray, np.ndarray]]:
     """The windows in blocks: (which, bytes (positions, windows), whether a position lies in the text)."""
     at = np.arange(WINDOW)[:, None]
+    every = np.lib.stride_tricks.sliding_window_view(np.concatenate([data, np.zeros(WINDOW, np.uint8)]), WINDOW)
     for lo in range(0, len(start), BLOCK):
         which = slice(lo, min(lo + BLOCK, len(start)))
-        yield which, data[np.minimum(start[which] + at, len(data) - 1)], (at < length[which]).astype(np.float32)
+        yield which, np.ascontiguousarray(every[start[which]].T), (at < length[which]).astype(np.float32)
 
 
 def pooled(network: Network, texts: pa.Array) -> np.ndarray:
     """Mean probabilities (texts, languages) over all positions of each text; zeros for a text without bytes."""
     data, start, length, of = windows(texts)
+    order = np.argsort(-length, kind="stable")
+    start, length, of = start[order], length[order], of[order]
     total = np.zeros((len(texts), len(network.bias)))
+    ahead, back = network.openings(data, start, length)
     for which, x, valid in blocks(data, start, length):
         held = np.zeros((len(network.bias), x.shape[1]), np.float32)
-        for t, p in network.probabilities(x, valid):
-            held += p * valid[t]
+        for _, p in network.probabilities(x, valid, (ahead.part(which), back.part(which))):
+            held += p
         np.add.at(total, of[which], held.T)
     return total / np.maximum(1, np.bincount(of, weights=length, minlength=len(texts)))[:, None]
 

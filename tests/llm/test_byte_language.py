@@ -148,3 +148,25 @@ def test_scoring_by_rows_is_the_forward_pass_of_training():
     for t, p in network.probabilities(x, valid):
         inside = valid[t] > 0
         assert np.allclose(p[:, inside], want[t][:, inside], atol=1e-5)
+
+
+def test_openings_are_the_first_steps_once_for_equal_bytes():
+    rng = np.random.default_rng(7)
+    network = B.Network.drawn(["a", "b", "c"])
+    x = rng.integers(97, 101, (B.OPENING, 400)).astype(np.uint8)
+    x[:, :9] = rng.integers(0, 256, (B.OPENING, 9))
+    for layer in (network.ahead, network.back):
+        opening = layer.opening(x)
+        assert len(opening.states[0]) == len(np.unique(x, axis=1).T) < x.shape[1]
+        want, _ = layer.states(x, np.ones(x.shape, np.float32))
+        for states, step in zip(opening.states, want):
+            assert np.allclose(states[opening.which].T, step, atol=1e-6)
+    # windows that share openings with others, longest first, and the same in any order
+    data, start, length, _ = B.windows(pa.array(["abcdefgh" * k + "xyz"[:k % 4] for k in range(40)] + ["", None, "a", "ab"]))
+    assert (np.diff(length) > 0).any()
+    order = np.argsort(-length, kind="stable")
+    every = network.openings(data, start[order], length[order])
+    (_, x, valid), = B.blocks(data, start, length)
+    mixed = [(t, p.copy()) for t, p in network.probabilities(x, valid)]
+    for (t, p), (s, q) in zip(mixed, network.probabilities(x[:, order], valid[:, order], every)):
+        assert t == s and np.allclose(p[:, order], q, atol=1e-6) and not p[:, valid[t] == 0].any()
