@@ -23,6 +23,11 @@ TAIL = ".,!?;:)#$%&*"
 _BETWEEN = re.compile(r"(?<=\S) (?=\S)")
 
 
+def _strings(texts: pa.Array) -> list[str]:
+    """Like ``to_pylist``, without a scalar object for each text."""
+    return texts.to_numpy(zero_copy_only=False).tolist()
+
+
 class Chunks:
     """``compute`` gives the values (numbers, or ids as bytes of 32-bit numbers) of a list of chunks.
 
@@ -53,48 +58,49 @@ class Chunks:
         """The chunks' values; None for chunks at which a plain cut is not sound."""
         if self.held > self.kept:
             self.old, self.young, self.held = self.young, {}, 0
-        young, old, tail, held = self.young, self.old, self.tail, 0
+        young, old, tail = self.young, self.old, self.tail
         found = list(map(young.get, chunks, repeat(self)))
-        todo, need, passing = [], {}, {}
-        for i in [i for i, v in enumerate(found) if v is self]:
-            c = chunks[i]
-            if old:
-                v = old.get(c, self)
+        missing = [i for i, v in enumerate(found) if v is self]
+        if old and missing:
+            names = [chunks[i] for i in missing]
+            for i, c, v in zip(missing, names, map(old.get, names, repeat(self))):
                 if v is not self:
-                    found[i] = young[c] = v
-                    held += _ENTRY + 2 * len(c)
-                    continue
+                    found[i] = v
+                    self._keep(c, v)
+            missing = [i for i in missing if found[i] is self]
+        whole, cut, need = [], [], {}
+        for i in missing:
+            c = chunks[i]
             if self.keep_space and self._unsafe(c):
                 found[i] = None
-                if len(c) <= LONGEST:
-                    young[c] = None
-                    held += _ENTRY + 2 * len(c)
+                self._keep(c, None)
                 continue
             core = c.rstrip(tail) if tail else c
-            parts = (core, c[len(core):]) if len(core) < len(c) and core.lstrip(" ").isalpha() else (c,)
-            todo.append((i, c, parts))
-            for p in parts:
-                if p in young:
-                    passing[p] = young[p]
-                else:
-                    need[p] = None
-        if need:
-            for p, v in zip(need, self.compute(list(need))):
-                passing[p] = v
-                if len(p) <= LONGEST:
-                    young[p] = v
-                    held += _ENTRY + 2 * len(p)
-        for i, c, parts in todo:
-            v = passing[parts[0]]
-            if len(parts) == 2:
-                v = v + passing[parts[1]]
-                if len(c) <= LONGEST:
-                    young[c] = v
-                    held += _ENTRY + 2 * len(c)
-            found[i] = v
-        self.held += held
+            if len(core) < len(c) and core.lstrip(" ").isalpha():
+                end = c[len(core):]
+                cut.append((i, c, core, end))
+                for part in (core, end):
+                    if part not in young:
+                        need[part] = None
+            else:
+                whole.append(i)
+                need[c] = None
+        fresh = dict(zip(need, self.compute(list(need)))) if need else {}
+        for i in whole:
+            found[i] = fresh[chunks[i]]
+        kept = {c: v for c, v in fresh.items() if len(c) <= LONGEST}
+        young.update(kept)
+        self.held += _ENTRY * len(kept) + 2 * sum(map(len, kept))
+        for i, c, core, end in cut:
+            found[i] = v = (fresh[core] if core in fresh else young[core]) + (fresh[end] if end in fresh else young[end])
+            self._keep(c, v)
         return found
 
+    def _keep(self, chunk: str, value) -> None:
+        if len(chunk) <= LONGEST:
+            self.young[chunk] = value
+            self.held += _ENTRY + 2 * len(chunk)
+
     def _odd(self, text: str) -> list:
         """Chunk values of a text with unusual spaces; chunks that a plain cut would not trust are not kept."""
         parts = _BETWEEN.split(text)
@@ -110,7 +116,7 @@ class Chunks:
         first = lists.offsets.to_numpy()
         coded = lists.flatten().dictionary_encode()
         at = coded.indices.to_numpy().astype(np.int64)
-        distinct = coded.dictionary.to_pylist()
+        distinct = _strings(coded.dictionary)
         if not self.keep_space:
             return self._values(distinct), at, first, {}
         if self.lead:
@@ -119,7 +125,7 @@ class Chunks:
             strange = np.flatnonzero(np.logical_or.reduceat(odd[at], first[:-1])) if odd.any() else ()
             return values, at, first, {int(i): self._odd(" " + texts[i]) for i in strange}
         heads = lists.flatten().take(pa.array(first[:-1])).dictionary_encode()
-        starts = heads.dictionary.to_pylist()
+        starts = _strings(heads.dictionary)
         values = self._values([" " + d for d in distinct] + starts)
         at[first[:-1]] = heads.indices.to_numpy() + len(distinct)
         odd = np.array([v is None for v in values])
@@ -154,12 +160,14 @@ class Chunks:
 
     def _joined(self, texts: list[str]) -> list[np.ndarray]:
         values, at, first, odd = self._cut(texts)
-        plain = [v or b"" for v in values]
-        size = np.array([len(v) for v in plain], np.int64) // 4
+        plain = [v or b"" for v in values] if self.keep_space else values
+        size = np.fromiter(map(len, plain), np.int64, len(plain)) // 4
         begin = np.cumsum(size) - size
         ids = np.frombuffer(b"".join(plain), np.uint32)
         taken = size[at]
         ends = np.cumsum(taken)
-        flat = ids[np.repeat(begin[at] - (ends - taken), taken) + np.arange(ends[-1])]
+        place = np.repeat(begin[at] - (ends - taken), taken)
+        place += np.arange(ends[-1])
+        flat = ids[place]
         bounds = np.concatenate([[0], ends[first[1:] - 1]])
         return [np.frombuffer(b"".join(odd[i]), np.uint32) if i in odd else flat[bounds[i]:bounds[i + 1]] for i in range(len(texts))]

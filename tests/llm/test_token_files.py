@@ -79,3 +79,27 @@ def test_bits_of_every_width_are_packed_as_planes():
         packed = T._pack_bits(values, width)
         assert np.array_equal(packed, np.packbits(planes, axis=1, bitorder="little"))
         assert np.array_equal(T._unpack_bits(packed, width), low)
+
+
+def test_chunks_come_back_as_strings_and_with_their_values_from_every_generation():
+    import pyarrow as pa
+
+    from pairloom.llm import chunks as C
+
+    odd = pa.array(["", "a", "ñandú", "漢字", "a\0b", "x" * 300, "😀"], pa.large_string())
+    assert C._strings(odd) == odd.to_pylist() and C._strings(odd[:0]) == []
+    asked = []
+
+    def spell(todo):
+        asked.extend(todo)
+        return [np.array([ord(x) for x in c], np.uint32).tobytes() for c in todo]
+
+    texts = ["one two, two. (three) one,", "two! four " + "y" * 300 + " one", "", " ", "five, six. one two,"]
+    cut = C.Chunks(spell, keep_space=False)
+    small = C.Chunks(spell, keep_space=False, kept=600)  # a generation holds two or three chunks
+    for chunks in (cut, small):
+        for part in (texts, texts[::-1], texts[1:], texts):
+            assert [[chr(i) for i in got] for got in chunks.joined(part)] == [list(t.replace(" ", "")) for t in part]
+    asked.clear()
+    cut.joined(texts)
+    assert asked == ["y" * 300]
