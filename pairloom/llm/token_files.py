@@ -37,6 +37,8 @@ PERCENTILE = 0.9
 SEGMENT_IDS = 65536
 #: texts that a worker encodes at a time
 SLICE = 2048
+#: bytes of a generation of cached chunks (a worker holds two): the distinct words of some tens of megabytes of prose
+KEPT = 96 << 20
 _MAGIC = b"PFR1"
 #: widths that numbers of whole bytes have
 _WHOLE = {8: "<u1", 16: "<u2", 32: "<u4"}
@@ -169,7 +171,7 @@ class WordEncoder:
         plain = steps == STEPS and not any(model.get(k) for k in ("dropout", "continuing_subword_prefix", "ignore_merges")) and all(
             t["content"].startswith("<|") and not any(t.get(k) for k in ("single_word", "lstrip", "rstrip", "normalized"))
             and " " not in t["content"] for t in made.get("added_tokens", ()))
-        self.chunks = Chunks(self._encode, keep_space=False) if plain else None
+        self.chunks = Chunks(self._encode, keep_space=False, kept=KEPT) if plain else None
 
     def _encode(self, chunks: list[str]) -> list[bytes]:
         """A lower-case word in normal form is one match of the pattern, so it goes straight to the merges."""
