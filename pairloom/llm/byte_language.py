@@ -27,7 +27,7 @@ STEPS, BATCH, RATE = 400, 256, 0.01
 #: more values of the language column than this are no languages
 MOST_LANGUAGES = 500
 #: windows that a worker turns at a time, and bytes of texts that it cuts into windows
-BLOCK, SLICE_BYTES = 4096, 4 << 20
+BLOCK, SLICE_BYTES = 4096, 8 << 20
 #: steps at the beginning of windows that those with equal bytes share (at most four)
 OPENING = 4
 UNKNOWN = "und"
